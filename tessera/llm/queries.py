@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import fingerprint, mixing
+from tessera.llm import fingerprint, mixing, neardup
 from tessera.llm.shared import read_table
 
 
@@ -12,13 +12,17 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op10_fingerprint": op10_fingerprint}
+    return {"op1_mix": op1_mix, "op4_near_duplicates": op4_near_duplicates, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.ORACLE}
+    return {"op1_mix": mixing.ORACLE, "op4_near_duplicates": neardup.ORACLE}
