@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import fingerprint, mixing, neardup
+from tessera.llm import fingerprint, langid, mixing, neardup
 from tessera.llm.shared import read_table
 
 
+def fold(column: str, folds: int) -> Column:
+    """crc32 of an id as text, modulo ``folds``."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % folds
+
+
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
@@ -16,12 +22,16 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(read_table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1)
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op4_near_duplicates": op4_near_duplicates, "op10_fingerprint": op10_fingerprint}
+    return {"op1_mix": op1_mix, "op4_near_duplicates": op4_near_duplicates, "op8_language": op8_language, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
