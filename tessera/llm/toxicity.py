@@ -20,7 +20,9 @@ from tessera.llm.textops import BASE, LOWER, chunks, hash_runs, mix, runs
 BITS = 18
 #: Labelled rows that the model is fitted on at most, chosen by a hash of their id.
 SAMPLE = 12_000
-ALPHA, BETA, L1, L2 = 0.15, 1.0, 1.0, 1.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.1
+#: How much more an example of the rarer, toxic class counts, so that one telling word is enough.
+POSITIVE = 3.0
 #: Examples seen at least, by going over a small sample again, and most rounds.
 STEPS, ROUNDS = 24_000, 12
 
@@ -74,7 +76,7 @@ def train(examples: list[np.ndarray], labels: np.ndarray) -> Weights:
             shrunk = np.sign(zi) * np.maximum(np.abs(zi) - L1, 0)
             shrunk[-1] = zi[-1]
             w = -shrunk / ((BETA + root) / ALPHA + L2)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y
+            g = (1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y) * (POSITIVE if y else 1.0)
             z[i] = zi + g - (np.sqrt(ni + g * g) - root) / ALPHA * w
             n[i] = ni + g * g
     shrunk = np.sign(z) * np.maximum(np.abs(z) - L1, 0)
