@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fingerprint, langid, mixing, neardup, toxicity
+from tessera.llm import fingerprint, langid, mixing, neardup, pii, toxicity
 from tessera.llm.shared import read_table
 
 
@@ -22,6 +22,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), fold("doc_id", 5) == 0)
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op4_near_duplicates": op4_near_duplicates, "op8_language": op8_language, "op10_fingerprint": op10_fingerprint}
+    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_personal_data": op3_personal_data, "op4_near_duplicates": op4_near_duplicates, "op8_language": op8_language, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
