@@ -26,11 +26,12 @@ from tessera.llm.shared import settle
 from tessera.llm.textops import IS_SPACE, LOWER, chunks, hash_runs, mix, runs, shingle_hashes
 
 ROWS, BANDS, WIDTH, PERCENT = 3, 12, 5, 85
-#: Pairs whose signatures agree less than this many percent below the threshold are not confirmed: over six standard errors.
-SLACK = 27
+#: Pairs whose signatures agree less than this many percent below the threshold are not confirmed: over four standard errors.
+SLACK = 19
 #: Sets of one table key that are compared in one block.
 BLOCK = 512
 HASHES = 2 * ROWS * BANDS
+NEED = HASHES * (PERCENT - SLACK) / 100
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _A = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -75,38 +76,41 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = list(shingle_sets(batch.column(1)))
         filled = [k for k, s in enumerate(sets) if len(s)]
-        digest: list = [None] * len(sets)
-        for k in filled:
-            digest[k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest()
+        empty = [None] * len(sets)
+        digest, u, v, short = empty[:], empty[:], empty[:], empty[:]
+        if filled:
+            sig = signatures([sets[k] for k in filled])
+            keys = _bands(sig).view(np.int64)
+            tops = (sig >> np.uint64(48)).astype(np.uint16)
+            for row, k in enumerate(filled):
+                digest[k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest()
+                u[k], v[k], short[k] = keys[row, :BANDS], keys[row, BANDS:], tops[row].tobytes()
+        lists = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary())], ["doc_id", "n_shingles", "digest"]
+            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(u, lists), pa.array(v, lists), pa.array(short, pa.binary())],
+            ["doc_id", "n_shingles", "digest", "u", "v", "sig"],
         )
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, sig of a, sig of b) whose signatures agree enough."""
     for batch in batches:
-        sets = list(shingle_sets(batch.column(1)))
-        filled = [k for k, s in enumerate(sets) if len(s)]
-        sets = [sets[k] for k in filled]
-        if not sets:
-            continue
-        sig = signatures(sets)
-        keys = _bands(sig).view(np.int64)
-        short = (sig >> np.uint64(48)).astype(np.uint16)
-        lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(np.ascontiguousarray(keys[:, s]).ravel())) for s in (slice(None, BANDS), slice(BANDS, None))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(filled)), *lists, pa.array([r.tobytes() for r in short], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "u", "v", "sig", "members"]
-        )
+        if batch.num_rows:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, HASHES) for k in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array((x == y).sum(1) >= NEED))
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, text of a, text of b) whose full sets are similar enough."""
+    last, q = None, np.zeros(0, np.uint64)
     for batch in batches:
-        x, y = batch.column(2), batch.column(3)
         keep = []
-        for k in range(batch.num_rows):
-            p, q = np.frombuffer(x[k].as_buffer(), np.uint64), np.frombuffer(y[k].as_buffer(), np.uint64)
+        hubs = batch.column(1).to_pylist()
+        for k, p in enumerate(shingle_sets(batch.column(2))):
+            if hubs[k] != last:
+                last, q = hubs[k], next(shingle_sets(batch.column(3).slice(k, 1)))
             small, large = (p, q) if len(p) <= len(q) else (q, p)
-            if 100 * len(small) < PERCENT * len(large):
+            if 100 * len(small) < PERCENT * len(large) or not len(small):
                 continue
             at = np.searchsorted(large, small)
             at[at == len(large)] = 0
@@ -116,12 +120,32 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough."""
-    members = sets.select("id", "members")
-    with_a = pairs.join(members.select(F.col("id").alias("a"), F.col("members").alias("x")), "a")
-    both = with_a.join(members.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long")
+#: Bits of the filter below: 2**23, in at most 2**17 rows of 64.
+_FILTER_BITS = 23
+
+
+def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows (id, text) that pairs need, and few others.
+
+    Ids of the pairs set bits of a filter of fixed size, which is small enough to broadcast at any size of the
+    input, so that texts in no pair are not shuffled; where it fills up it only keeps more.
+    """
+    bit = F.xxhash64("id").bitwiseAND(F.lit(2**_FILTER_BITS - 1))
+    word = F.shiftright(bit, 6)
+    mask = F.expr(f"shiftleft(1L, CAST((xxhash64(id) & {2**_FILTER_BITS - 1}) & 63 AS INT))")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    filled = ids.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("bits"))
+    return texts.withColumn("word", word).join(F.broadcast(filled), "word").filter(F.col("bits").bitwiseAND(mask) != 0).select("id", "text")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that are similar enough, by signatures first and then by full sets."""
+    sig = sets.select("id", "sig")
+    with_sig = pairs.join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    alike = settle(with_sig.mapInArrow(_alike, "a long, b long"))
+    some = _texts_of(texts, alike)
+    both = alike.join(some.toDF("a", "x"), "a").join(some.toDF("b", "y"), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long").distinct()
 
 
 def _blocks(frame):
@@ -132,11 +156,10 @@ def _blocks(frame):
     ids, comp, block = (frame[c].to_numpy() for c in ("id", "component", "block"))
     low = frame["low"].iloc[0] == block
     high = frame["high"].iloc[0] == block
-    need = HASHES * (PERCENT - SLACK) / 100
     found = []
     right = np.flatnonzero(high)
     for k in np.flatnonzero(low):
-        near = right[(sig[right] == sig[k]).sum(1) >= need]
+        near = right[(sig[right] == sig[k]).sum(1) >= NEED]
         near = near[(comp[near] != comp[k]) & (ids[near] != ids[k])]
         found.append(np.stack([np.maximum(ids[near], ids[k]), np.minimum(ids[near], ids[k])], 1))
     pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
@@ -152,12 +175,12 @@ def _table_keys(sets: DataFrame) -> DataFrame:
     return both.select("id", F.xxhash64("i", "uk", "j", "vk").alias("key"))
 
 
-def _links(sets: DataFrame) -> DataFrame:
+def _links(sets: DataFrame, texts: DataFrame) -> DataFrame:
     """Confirmed links (a, b) that connect what is similar."""
     keys = settle(_table_keys(sets))
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select("key", "hub")
     to_hub = keys.join(hubs, "key").filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    links = settle(_confirmed(to_hub, sets))
+    links = settle(_confirmed(to_hub, sets, texts))
 
     # Tables that still hold several components: all pairs of those but for the pairs with the hub, which are done.
     known = components(links)
@@ -168,7 +191,7 @@ def _links(sets: DataFrame) -> DataFrame:
     rest = rest.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rest = rest.select("key", "id", "component", "sig", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     late = rest.groupBy("key", "low", "high").applyInPandas(_blocks, "a long, b long").distinct()
-    return links.union(_confirmed(late, sets))
+    return links.union(_confirmed(late, sets, texts))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -181,15 +204,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their own with that id, so each is kept if the id is; a row with null id has a null component, is kept, and links nothing.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    described = settle(source.mapInArrow(_describe, "doc_id long, n_shingles long, digest binary"))
+    described = settle(source.mapInArrow(_describe, "doc_id long, n_shingles long, digest binary, u array<long>, v array<long>, sig binary"))
     filled = described.filter("digest is not null and doc_id is not null")
-    classes = settle(filled.groupBy("digest").agg(F.min("doc_id").alias("id")))
-    one_text = source.join(classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select("doc_id", "text")
-    sets = settle(one_text.mapInArrow(_sign, "id long, u array<long>, v array<long>, sig binary, members binary"))
+    # Rows of one digest have equal sets, so equal keys and signatures.
+    sets = settle(filled.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("u").alias("u"), F.first("v").alias("v"), F.first("sig").alias("sig")))
+    classes = sets.select("digest", "id")
+    texts = source.select(F.col("doc_id").alias("id"), "text")
     # A doc_id that several rows have with other texts is one node: its texts are linked through it.
     several = filled.groupBy("doc_id").agg(F.min("digest").alias("p"), F.max("digest").alias("q")).filter("p <> q").select("doc_id")
     through = filled.join(several, "doc_id").join(classes, "digest").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    linked = components(_links(sets).union(through))
+    linked = components(_links(sets, texts).union(through))
     best = classes.join(linked, classes["id"] == linked["node"], "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     out = described.join(best, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
