@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fingerprint, langid, mixing, neardup, pii, toxicity
+from tessera.llm import fingerprint, langid, mixing, neardup, pii, toxicity, warc
 from tessera.llm.shared import read_table
 
 
@@ -30,6 +30,10 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark, read_table(spark, sf_dir, "pages"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(read_table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1)
 
@@ -39,8 +43,8 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_personal_data": op3_personal_data, "op4_near_duplicates": op4_near_duplicates, "op8_language": op8_language, "op10_fingerprint": op10_fingerprint}
+    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_personal_data": op3_personal_data, "op4_near_duplicates": op4_near_duplicates, "op5_warc": op5_warc, "op8_language": op8_language, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.ORACLE, "op4_near_duplicates": neardup.ORACLE}
+    return {"op1_mix": mixing.ORACLE, "op4_near_duplicates": neardup.ORACLE, "op5_warc": warc.ORACLE}
