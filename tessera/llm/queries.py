@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, fingerprint, langid, maintext, mixing, neardup, pii, toxicity, warc
+from tessera.llm import ann, fingerprint, langid, maintext, mixing, neardup, pieces, pii, toxicity, warc
 from tessera.llm.shared import read_table
 
 
@@ -46,12 +46,16 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(read_table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1)
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_personal_data": op3_personal_data, "op4_near_duplicates": op4_near_duplicates, "op5_warc": op5_warc, "op6_main_text": op6_main_text, "op7_nearest": op7_nearest, "op8_language": op8_language, "op10_fingerprint": op10_fingerprint}
+    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_personal_data": op3_personal_data, "op4_near_duplicates": op4_near_duplicates, "op5_warc": op5_warc, "op6_main_text": op6_main_text, "op7_nearest": op7_nearest, "op8_language": op8_language, "op9_pieces": op9_pieces, "op10_fingerprint": op10_fingerprint}
 
 
 def oracle_sql() -> dict[str, str]:
