@@ -29,8 +29,10 @@ ROWS, BANDS, WIDTH, PERCENT = 3, 12, 5, 85
 #: Pairs whose signatures agree less than this many percent below the threshold are not confirmed: over four standard errors.
 SLACK = 19
 #: Sets of one table key that are compared in one block.
-BLOCK = 512
+BLOCK = 128
 HASHES = 2 * ROWS * BANDS
+#: Minhashes of a long signature, of which one byte is kept, and how many must agree: over four standard errors below the threshold.
+LONG, LONG_NEED = 384, 384 * 0.765
 NEED = HASHES * (PERCENT - SLACK) / 100
 
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -125,15 +127,19 @@ _FILTER_BITS = 23
 
 
 def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The rows (id, text) that pairs need, and few others.
+    """``_texts_with`` the ids of pairs."""
+    return _texts_with(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")))
 
-    Ids of the pairs set bits of a filter of fixed size, which is small enough to broadcast at any size of the
+
+def _texts_with(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (id, text) with one of the ids, and few others.
+
+    Ids set bits of a filter of fixed size, which is small enough to broadcast at any size of the
     input, so that texts in no pair are not shuffled; where it fills up it only keeps more.
     """
     bit = F.xxhash64("id").bitwiseAND(F.lit(2**_FILTER_BITS - 1))
     word = F.shiftright(bit, 6)
     mask = F.expr(f"shiftleft(1L, CAST((xxhash64(id) & {2**_FILTER_BITS - 1}) & 63 AS INT))")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     filled = ids.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("bits"))
     return texts.withColumn("word", word).join(F.broadcast(filled), "word").filter(F.col("bits").bitwiseAND(mask) != 0).select("id", "text")
 
@@ -148,22 +154,58 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame
     return both.select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long").distinct()
 
 
-def _blocks(frame):
-    """Pairs of different components in a block pair of one table key whose signatures agree enough."""
-    import pandas as pd
-
-    sig = np.stack([np.frombuffer(s, np.uint16) for s in frame["sig"]])
-    ids, comp, block = (frame[c].to_numpy() for c in ("id", "component", "block"))
-    low = frame["low"].iloc[0] == block
-    high = frame["high"].iloc[0] == block
-    found = []
-    right = np.flatnonzero(high)
-    for k in np.flatnonzero(low):
-        near = right[(sig[right] == sig[k]).sum(1) >= NEED]
-        near = near[(comp[near] != comp[k]) & (ids[near] != ids[k])]
-        found.append(np.stack([np.maximum(ids[near], ids[k]), np.minimum(ids[near], ids[k])], 1))
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (id, long): one byte of each of LONG minhashes."""
+    rng = np.random.Generator(np.random.PCG64(8))
+    a, b = rng.integers(1, 2**63, LONG, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2**63, LONG, dtype=np.uint64)
+    for batch in batches:
+        ids, out = [], []
+        for k, s in enumerate(shingle_sets(batch.column(1))):
+            if len(s):
+                least = np.full(LONG, np.iinfo(np.uint64).max, np.uint64)
+                for at in range(0, len(s), 1024):
+                    np.minimum(least, (s[at : at + 1024, None] * a + b).min(0), out=least)
+                ids.append(k)
+                out.append((mix(least) >> np.uint64(56)).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(out, pa.binary())], ["id", "long"])
+
+
+def _pairs_in_groups(rows: pa.Table) -> pa.RecordBatch:
+    """Pairs (a, b) of different components in a group of rows, sorted by group, whose long signatures agree enough."""
+    group, ids, component, block, single = (rows.column(k).to_numpy() for k in range(5))
+    long = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint8).reshape(-1, LONG)
+    found, first = [], np.arange(len(group))
+    for d in range(1, len(group)):
+        first = first[first + d < len(group)]
+        first = first[group[first] == group[first + d]]
+        if not len(first):
+            break
+        other = first + d
+        p = (component[first] != component[other]) & (single[first] | (block[first] != block[other]))
+        x, y = first[p], other[p]
+        near = (long[x] == long[y]).sum(1) >= LONG_NEED
+        found.append(np.stack([np.maximum(ids[x], ids[y])[near], np.minimum(ids[x], ids[y])[near]]))
+    pairs = np.unique(np.concatenate(found, 1), axis=1) if found else np.zeros((2, 0), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_pairs_in_groups`` over batches; a group that runs over the end of one waits for the next."""
+    waiting: list = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        group = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(group, group[-1]))
+        if cut:
+            yield _pairs_in_groups(pa.Table.from_batches([*waiting, batch.slice(0, cut)]))
+            waiting = []
+        elif waiting and waiting[0].column(0)[0].as_py() != group[0]:
+            yield _pairs_in_groups(pa.Table.from_batches(waiting))
+            waiting = []
+        waiting.append(batch.slice(cut))
+    if waiting:
+        yield _pairs_in_groups(pa.Table.from_batches(waiting))
 
 
 def _table_keys(sets: DataFrame) -> DataFrame:
@@ -186,11 +228,14 @@ def _links(sets: DataFrame, texts: DataFrame) -> DataFrame:
     known = components(links)
     named = keys.join(known, keys["id"] == known["node"], "left").select("id", "key", F.coalesce("component", "id").alias("component"))
     open_keys = named.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n")).filter("c < d and n > 2").select("key", "n")
+    rest = settle(named.join(open_keys, "key"))
+    long = _texts_with(texts, rest.select("id")).mapInArrow(_long_signatures, "id long, long binary")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = named.join(open_keys, "key").join(sets.select("id", "sig"), "id")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rest = rest.select("key", "id", "component", "sig", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    late = rest.groupBy("key", "low", "high").applyInPandas(_blocks, "a long, b long").distinct()
+    rest = rest.join(long, "id").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    # All pairs inside a block are compared in its own group only.
+    rest = rest.select(group.alias("group"), "id", "component", "block", (F.col("block") == F.col("other")).alias("single"), "long")
+    late = rest.repartition("group").sortWithinPartitions("group").mapInArrow(_compare, "a long, b long").distinct()
     return links.union(_confirmed(late, sets, texts))
 
 
