@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tessera.llm.textops import BASE, chunks, mix, runs
 
@@ -259,3 +260,18 @@ def identify_languages(docs: DataFrame, held_out: Column, id_col: str = "doc_id"
     """``predict`` for all rows, by a model fitted on rows that are not ``held_out``; adds held_out."""
     model = fit(docs.filter(~held_out), text_col, lang_col, id_col)
     return predict(docs, model, id_col, text_col).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+
+
+def predict_with(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
+    """``docs`` with lang_pred and score of each row beside its columns, without a join."""
+    at = docs.columns.index(text_col)
+    label = _predict(model, spans=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = pa.RecordBatch.from_arrays([batch.column(at), batch.column(at).fill_null("")], ["id", "text"])
+            found = next(label(iter([text])))
+            yield pa.RecordBatch.from_arrays([*batch.columns, found.column(1), found.column(2)], [*batch.schema.names, "lang_pred", "score"])
+
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.mapInArrow(run, schema)
