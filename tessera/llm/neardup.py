@@ -171,8 +171,12 @@ def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _pairs_in_groups(rows: pa.Table) -> pa.RecordBatch:
-    """Pairs (a, b) of different components in a group of rows, sorted by group, whose long signatures agree enough."""
-    group, ids, component, block, single = (rows.column(k).to_numpy() for k in range(5))
+    """Pairs (a, b) of different components in a group of rows, sorted by group, whose long signatures agree enough.
+
+    A pair that meets in several tables is given in the first of them only.
+    """
+    group, ids, component, block, single, place = (rows.column(k).to_numpy() for k in (0, 1, 2, 3, 4, 6))
+    u, v = (rows.column(k).combine_chunks().flatten().to_numpy().reshape(-1, BANDS) for k in (7, 8))
     long = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint8).reshape(-1, LONG)
     found, first = [], np.arange(len(group))
     for d in range(1, len(group)):
@@ -184,7 +188,9 @@ def _pairs_in_groups(rows: pa.Table) -> pa.RecordBatch:
         p = (component[first] != component[other]) & (single[first] | (block[first] != block[other]))
         x, y = first[p], other[p]
         near = (long[x] == long[y]).sum(1) >= LONG_NEED
-        found.append(np.stack([np.maximum(ids[x], ids[y])[near], np.minimum(ids[x], ids[y])[near]]))
+        x, y = x[near], y[near]
+        here = (u[x] == u[y]).argmax(1) * BANDS + (v[x] == v[y]).argmax(1) == place[x]
+        found.append(np.stack([np.maximum(ids[x], ids[y])[here], np.minimum(ids[x], ids[y])[here]]))
     pairs = np.unique(np.concatenate(found, 1), axis=1) if found else np.zeros((2, 0), np.int64)
     return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
@@ -209,12 +215,12 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _table_keys(sets: DataFrame) -> DataFrame:
-    """(id, key) of the tables in which a set may meet another."""
+    """(id, key, place) of the tables in which a set may meet another; place is the number of the table."""
     first = sets.select("id", F.posexplode("u").alias("i", "uk"))
     shared = first.groupBy("i", "uk").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("i", "uk")
     alive = first.join(shared, ["i", "uk"])
     both = alive.join(sets.select("id", "v"), "id").select("id", "i", "uk", F.posexplode("v").alias("j", "vk"))
-    return both.select("id", F.xxhash64("i", "uk", "j", "vk").alias("key"))
+    return both.select("id", F.xxhash64("i", "uk", "j", "vk").alias("key"), (F.col("i") * BANDS + F.col("j")).alias("place"))
 
 
 def _links(sets: DataFrame, texts: DataFrame) -> DataFrame:
@@ -226,15 +232,15 @@ def _links(sets: DataFrame, texts: DataFrame) -> DataFrame:
 
     # Tables that still hold several components: all pairs of those but for the pairs with the hub, which are done.
     known = components(links)
-    named = keys.join(known, keys["id"] == known["node"], "left").select("id", "key", F.coalesce("component", "id").alias("component"))
+    named = keys.join(known, keys["id"] == known["node"], "left").select("id", "key", "place", F.coalesce("component", "id").alias("component"))
     open_keys = named.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n")).filter("c < d and n > 2").select("key", "n")
     rest = settle(named.join(open_keys, "key"))
     long = _texts_with(texts, rest.select("id")).mapInArrow(_long_signatures, "id long, long binary")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = rest.join(long, "id").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rest = rest.join(long, "id").join(sets.select("id", "u", "v"), "id").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
     # All pairs inside a block are compared in its own group only.
-    rest = rest.select(group.alias("group"), "id", "component", "block", (F.col("block") == F.col("other")).alias("single"), "long")
+    rest = rest.select(group.alias("group"), "id", "component", "block", (F.col("block") == F.col("other")).alias("single"), "long", "place", "u", "v")
     late = rest.repartition("group").sortWithinPartitions("group").mapInArrow(_compare, "a long, b long").distinct()
     return links.union(_confirmed(late, sets, texts))
 

@@ -1,27 +1,12 @@
-"""Tables written between jobs, in the folder that all executors share."""
+"""Tables written between jobs, and the given tables."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.sources.shared import settle, shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``; a local one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: its lineage is cut, and it survives lost executors."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["read_table", "settle", "shared_folder"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
