@@ -95,8 +95,11 @@ def write_flat(quads: DataFrame, path: str, with_graph: bool = True) -> None:
     ranged.select(nt_statement(with_graph).alias("value")).write.option("compression", "gzip").text(path)
 
 
-_TERM = r"""(<[^>]*>|_:[^\s]+|"(?:[^"\\]|\\.)*"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?)"""
-_LINE = rf"^\s*{_TERM}\s+{_TERM}\s+{_TERM}\s*{_TERM}?\s*\.\s*$"
+_NODE = r'(<[^<>"\s]*>|_:[^\s"<>]+)'
+#: Subject and predicate, the rest up to the full stop; a graph at the end of the rest; a literal whose escapes are taken out.
+_LINE = rf"^\s*{_NODE}\s+(<[^<>\"\s]*>)\s+(\S|\S.*\S)\s*\.\s*$"
+_GRAPH = rf"^(.*\S)\s+{_NODE}$"
+_SUFFIX = r'(?:@[A-Za-z0-9-]+|\^\^<[^<>"\s]*>)?'
 
 
 def _unescaped(text: Column) -> Column:
@@ -109,25 +112,41 @@ def _unescaped(text: Column) -> Column:
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Lines (text, ...) with the quad columns added; all are null where a line is no statement without quoted triples."""
-    part = lambda k: F.nullif(F.regexp_extract("text", _LINE, k), F.lit(""))
     null = F.lit(None).cast("string")
+    part = lambda text, pattern, k: F.nullif(F.regexp_extract(text, pattern, k), F.lit(""))
 
     def kind(t: Column) -> Column:
         return F.when(t.startswith("<"), "iri").when(t.startswith("_:"), "bnode").when(t.startswith('"'), "literal")
 
     def value(t: Column) -> Column:
-        return F.when(t.startswith("<"), F.substr(t, F.lit(2), F.length(t) - 2)).when(t.startswith("_:"), F.substr(t, F.lit(3))).otherwise(_unescaped(F.regexp_extract(t, r'^"((?:[^"\\]|\\.)*)"', 1)))
-
-    raw = lines.withColumns({"__s": part(1), "__p": part(2), "__o": part(3), "__g": part(4)})
+        inner = F.regexp_extract(t, rf'(?s)^"(.*)"{_SUFFIX}$', 1)
+        return F.when(t.startswith("<"), F.substr(t, F.lit(2), F.length(t) - 2)).when(t.startswith("_:"), F.substr(t, F.lit(3))).otherwise(_unescaped(inner))
+
+    def once(rows: DataFrame, **columns: Column) -> DataFrame:
+        """Columns as a step of their own, so that each is computed once and not again in every use."""
+        return rows.select("*", F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("__x")).select("*", "__x.*").drop("__x")
+
+    raw = once(lines, __s=part("text", _LINE, 1), __p=part("text", _LINE, 2), __rest=part("text", _LINE, 3))
+    raw = once(raw, __g=part("__rest", _GRAPH, 2), __before=part("__rest", _GRAPH, 1))
+    # No group is repeated in these patterns, so texts of any length are matched without recursion.
+    raw = once(raw, __o=F.when(F.col("__g").isNull(), F.col("__rest")).otherwise(F.col("__before")))
+    bare = F.regexp_replace("__o", r"\\.", "")
     o = F.col("__o")
-    dt = F.nullif(F.regexp_extract(o, r'"\^\^<([^>]*)>$', 1), F.lit(""))
-    lang = F.nullif(F.regexp_extract(o, r'"@([A-Za-z0-9-]+)$', 1), F.lit(""))
-    plain = (kind(o) == "literal") & dt.isNull() & lang.isNull()
-    columns = {"g": F.when(F.col("__g").isNotNull(), value(F.col("__g"))), "g_kind": kind(F.col("__g"))}
-    for n in "spo":
-        columns |= {n: F.when(F.col("__s").isNotNull(), value(F.col("__" + n))), n + "_kind": kind(F.col("__" + n))}
-    columns |= {"o_dt": F.when(plain, F.lit("http://www.w3.org/2001/XMLSchema#string")).otherwise(F.when(kind(o) == "literal", dt).otherwise(null)), "o_lang": lang}
-    return raw.withColumns(columns).drop("__s", "__p", "__o", "__g")
+    raw = once(
+        raw,
+        __fine=F.col("__s").isNotNull() & (o.rlike(rf"^{_NODE}$") | bare.rlike(rf'^"[^"]*"{_SUFFIX}$')),
+        __dt=part(o, r'"\^\^<([^>]*)>$', 1),
+        __lang=part(o, r'"@([A-Za-z0-9-]+)$', 1),
+        __kind=kind(o),
+        __value=value(o),
+    )
+    c = F.col
+    plain = c("__dt").isNull() & c("__lang").isNull()
+    datatype = F.when(c("__kind") == "literal", F.when(plain, "http://www.w3.org/2001/XMLSchema#string").otherwise(c("__dt")))
+    columns = {"o": c("__value"), "o_kind": c("__kind"), "o_dt": datatype, "o_lang": c("__lang")}
+    for n in "gsp":
+        columns |= {n: F.when(c("__" + n).isNotNull(), value(c("__" + n))), n + "_kind": kind(c("__" + n))}
+    return raw.select(*lines.columns, *[F.when(F.coalesce(c("__fine"), F.lit(False)), x.cast("string")).alias(n) for n, x in columns.items()])
 
 
 def read_flat_statements(spark: SparkSession, path: str) -> DataFrame:
