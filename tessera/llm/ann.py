@@ -6,6 +6,7 @@ compares what a candidate has so far with what one would have that ends above th
 far; candidates that fail it are abandoned. What remains is scored exactly on the vectors as given.
 
 How many lists a query probes is fitted on the sample too, so that ``RECALL`` of the true neighbours are in them.
+The nearest ``FIRST`` lists are searched first; their k-th best is the threshold that the others start from.
 Lists are dealt in blocks of rows, so a large list is no single task's.
 """
 
@@ -29,6 +30,8 @@ SAMPLE = 16_384
 LISTS, RECALL, BLOCK, TOGETHER = 2048, 0.985, 512, 512
 #: Columns in a block, and standard deviations that the test allows.
 COLUMNS, Z = 16, 3.5
+#: Lists of a query that set its first threshold.
+FIRST = 4
 #: Rows that are scanned between two looks at the thresholds.
 STEP = 128
 
@@ -112,8 +115,8 @@ def _assign(index: Index, queries: bool):
     return run
 
 
-def scan(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of q, row of x, score) of at least the k best of each query that the tests leave, by score and then id."""
+def scan(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of x, score) of the k best of each query that the tests leave, by score and then id, none below its ``floor``."""
     width = x.shape[1]
     turn = rotation(width)
     xr, qr = x @ turn, q @ turn
@@ -123,7 +126,7 @@ def scan(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k
     found: list[tuple] = []
     for a in range(0, len(x), STEP):
         rows = slice(a, a + STEP)
-        threshold = best.min(1) if best.shape[1] >= k else np.full(len(q), -np.inf)
+        threshold = np.maximum(best.min(1), floor) if best.shape[1] >= k else floor
         sofar = qr[:, :COLUMNS] @ xr[rows, :COLUMNS].T
         qi, xi = np.nonzero(query_ids[:, None] != ids[None, rows])
         part = sofar[qi, xi]
@@ -137,6 +140,8 @@ def scan(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k
         alive = part >= threshold[qi] - 1e-4 * (1 + np.abs(threshold[qi]))
         qi, xi = qi[alive], xi[alive]
         score = np.einsum("ij,ij->i", q64[qi], x64[xi])
+        high = score >= floor[qi]
+        qi, xi, score = qi[high], xi[high], score[high]
         found.append((qi, xi, score))
         order = np.lexsort((-score, qi))
         place = np.arange(len(qi)) - np.searchsorted(qi[order], qi[order])
@@ -184,17 +189,8 @@ def nearest(data: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int32()))], ["id", "raw", "lists"])
 
     asks = rows.filter("asks").select("id", "vector").dropDuplicates(["id"]).mapInArrow(_assign(index, True), "id long, raw binary, lists array<int>")
-    asks = asks.mapInArrow(enough, "id long, raw binary, lists array<int>")
-    # Both sides in blocks: each pair of a block of rows and a block of queries of a list is one group.
-    asked = int(sum(sizes.values()))
-    parts = max(1, asked // (TOGETHER * 64))
-    dealt_rows = placed.withColumn("block", F.pmod(F.xxhash64("id"), count[F.col("list")]).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    dealt_asks = (
-        asks.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
-        .withColumn("list", F.explode("lists"))
-        .drop("lists")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), (count[F.col("list")] - 1).cast("int"))))
-    )
+    asks = settle(asks.mapInArrow(enough, "id long, raw binary, lists array<int>"))
+    parts = max(1, sum(sizes.values()) // (TOGETHER * 64))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -205,11 +201,29 @@ def nearest(data: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
             for a in range(0, len(right), TOGETHER):
                 some = right.iloc[a : a + TOGETHER]
                 query_ids = some["id"].to_numpy()
-                qi, xi, score = scan(ids, x, query_ids, np.frombuffer(b"".join(some["raw"]), np.float32).reshape(len(some), -1), k)
+                q = np.frombuffer(b"".join(some["raw"]), np.float32).reshape(len(some), -1)
+                qi, xi, score = scan(ids, x, query_ids, q, some["floor"].to_numpy(), k)
                 found.append(pd.DataFrame({"query_id": query_ids[qi], "vec_id": ids[xi], "score": score}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
 
-    keys = ["list", "block", "part"]
-    near = dealt_rows.groupBy(*keys).cogroup(dealt_asks.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id")))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def search(some: DataFrame) -> DataFrame:
+        """Both sides in blocks: each pair of a block of rows and a block of queries of a list is one group."""
+        left = placed.withColumn("block", F.pmod(F.xxhash64("id"), count[F.col("list")]).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        right = (
+            some.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
+            .withColumn("list", F.explode("lists"))
+            .drop("lists")
+            .withColumn("block", F.explode(F.sequence(F.lit(0), (count[F.col("list")] - 1).cast("int"))))
+        )
+        keys = ["list", "block", "part"]
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
+
+    def best(near: DataFrame) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id")))
+        return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    lowest = F.lit(float("-inf"))
+    first = settle(best(search(asks.withColumn("lists", F.slice("lists", 1, FIRST)).withColumn("floor", lowest))))
+    floors = first.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+    later = asks.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", lowest)).withColumn("lists", F.slice("lists", FIRST + 1, len(index.centroids)))
+    return best(first.drop("rank").unionByName(search(later)))
