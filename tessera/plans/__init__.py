@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("stat_queries", "name_queries", "quad_queries", "graph_queries")
+MODULES = ("stat_queries", "name_queries", "quad_queries", "graph_queries", "stream_queries")
 
 
 def queries() -> dict:
