@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.llm.shared import settle
+from tessera.llm.shared import settle, small_batches
 
 #: Rows that centroids and the number of probes are fitted on at most.
 SAMPLE = 16_384
@@ -163,6 +163,7 @@ def nearest(data: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     that are null, empty, zero or not finite, take no part, and a row is no candidate of a query of its id. Shorter vectors count as
     padded with zeros. Rows of equal id stay candidates each. Other columns are not looked at.
     """
+    small_batches(data)
     rows = data.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vector"), is_query.alias("asks"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
     out = "query_id long, rank int, vec_id long, score double"

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from tessera.llm.shared import small_batches
 from tessera.llm.textops import BASE, chunks, mix, runs
 
 #: Labelled texts that the model is fitted on at most, chosen by a hash of their id.
@@ -84,7 +85,7 @@ def code_points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def words_of(column: pa.Array) -> Iterator[tuple]:
     """First and end row of a chunk, its folded code points and their scripts, word starts and ends, and the
     offsets of rows in the words and in the code points. A word is a run of letters."""
-    for a, b, data, off in chunks(column, 1 << 20):
+    for a, b, data, off in chunks(column, 1 << 19):
         cp, rows = code_points(data, off)
         script = script_of(cp)
         yield a, b, np.where(cp < len(_FOLD), _FOLD[np.minimum(cp, len(_FOLD) - 1)], cp), script, *runs(script > 0, rows), rows
@@ -157,6 +158,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
 
     The counts that reach the driver number at most (scripts + 2**BITS) for each language of the sample.
     """
+    small_batches(docs)
     chosen = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"), F.col(id_col).alias("id"))
     ids = chosen.select("h", "id").orderBy("h", "id").limit(sample)
     cut = ids.agg(F.max("h").alias("cut"))
@@ -252,6 +254,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id"
     without letters, and all texts if the model is None, are ``und`` with score 0 and no spans. Whole texts of
     any length are labelled. Rows of equal id stay apart; other columns are not looked at.
     """
+    small_batches(docs)
     schema = "doc_id long, lang_pred string, score double" + ", spans array<struct<lang: string, start: int, end: int>>" * spans
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_predict(model, spans), schema)
 
@@ -264,6 +267,7 @@ def identify_languages(docs: DataFrame, held_out: Column, id_col: str = "doc_id"
 
 def predict_with(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score of each row beside its columns, without a join."""
+    small_batches(docs)
     at = docs.columns.index(text_col)
     label = _predict(model, spans=False)
 

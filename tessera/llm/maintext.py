@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.shared import small_batches
+
 #: Elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object select xmp noembed noframes".split())
@@ -314,6 +316,7 @@ def extract_main_text(pages: DataFrame, weights: list[float] | None = None, id_c
     Null or empty html, and pages without content, give an empty text. Rows of equal id stay apart; null ids and urls
     pass through; other columns are not looked at. Whole pages of any length are read.
     """
+    small_batches(pages)
     weights = weights or train()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

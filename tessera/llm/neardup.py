@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import components
-from tessera.llm.shared import settle
+from tessera.llm.shared import settle, small_batches
 from tessera.llm.textops import IS_SPACE, LOWER, chunks, hash_runs, mix, runs, shingle_hashes
 
 ROWS, BANDS, WIDTH, PERCENT = 3, 12, 5, 85
@@ -53,7 +53,7 @@ def shingle_sets(column: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """Minhashes (rows, HASHES) of sets that are not empty."""
     out = np.empty((len(sets), HASHES), np.uint64)
-    a, cut = 0, 1 << 17
+    a, cut = 0, 1 << 16
     while a < len(sets):
         b, total = a, 0
         while b < len(sets) and (b == a or total + len(sets[b]) <= cut):
@@ -254,6 +254,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words (or null) has no shingles and is linked with nothing. Rows of one doc_id are documents of
     their own with that id, so each is kept if the id is; a row with null id has a null component, is kept, and links nothing.
     """
+    small_batches(docs)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     described = settle(source.mapInArrow(_describe, "doc_id long, n_shingles long, digest binary, u array<long>, v array<long>, sig binary"))
     filled = described.filter("digest is not null and doc_id is not null")

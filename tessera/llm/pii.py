@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.shared import small_batches
 from tessera.llm.textops import utf8
 
 KINDS = ("email", "ip", "card", "phone")
@@ -377,6 +378,7 @@ def find_personal_data(docs: DataFrame, field: Field | None = None, id_col: str
     start, then kind in the order email, ip, card, phone, joined by commas; offsets are code points. A null text is
     empty: counts 0, empty spans. Rows of equal id stay apart; other columns are not looked at.
     """
+    small_batches(docs)
     import hashlib
 
     field = field or train()
@@ -413,6 +415,7 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def mask_personal_data(docs: DataFrame, field: Field | None = None, text_col: str = "text") -> DataFrame:
     """``docs`` with all spans in ``text_col`` masked; null stays null, other columns pass through."""
+    small_batches(docs)
     field = field or train()
     at = docs.columns.index(text_col)
 

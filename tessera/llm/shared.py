@@ -1,4 +1,4 @@
-"""Tables written between jobs, and the given tables."""
+"""Tables written between jobs, the given tables, and the size of Arrow batches."""
 
 from __future__ import annotations
 
@@ -6,8 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.sources.shared import settle, shared_folder
 
-__all__ = ["read_table", "settle", "shared_folder"]
+__all__ = ["read_table", "settle", "shared_folder", "small_batches"]
+
+#: Rows of an Arrow batch at most: texts can be long, and a batch is held whole.
+BATCH = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def small_batches(df: DataFrame) -> None:
+    """Let no Arrow batch of this session have more than BATCH rows, so that a worker's memory stays small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH:
+        df.sparkSession.conf.set(key, BATCH)

@@ -63,7 +63,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0] : off[-1]], off - off[0]
 
 
-def chunks(column: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole rows with about ``size`` bytes."""
     data, off = utf8(column)
     a, n = 0, len(off) - 1

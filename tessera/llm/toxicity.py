@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.shared import small_batches
 from tessera.llm.textops import BASE, LOWER, chunks, hash_runs, mix, runs
 
 BITS = 18
@@ -100,6 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     The features of the sample meet in one task, which is bounded by ``sample``. Null labels are left
     out; without any labelled text all weights are zero.
     """
+    small_batches(docs)
     known = labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col).alias("label_id"), (F.col(label_col) > 0).cast("int").alias("y"))
     chosen = known.withColumn("h", F.xxhash64("label_id")).orderBy("h", "label_id", "y").limit(sample)
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -110,6 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, weights: Weights, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score and predicted of each row; the whole text counts, null as empty. Nothing but the text is looked at."""
+    small_batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.zeros(1 << BITS)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import shared_folder
+from tessera.llm.shared import shared_folder, small_batches
 
 #: Smallest payload that a revisit record may stand for.
 MIN_REVISIT = 1000
@@ -95,6 +95,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "p
     others revisit it; rows of the same id as it are responses too. Smaller ones are all responses. Null html is
     an empty payload, and a null url an empty one in the record; a null id never is what others refer to.
     """
+    small_batches(pages)
     folder = folder or shared_folder(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     digest, size = F.sha1(F.col("html").cast("binary")), F.octet_length("html")
@@ -162,6 +163,7 @@ RECORDS = "page_id long, url string, payload_bytes long, payload_digest string,
 
 def read_records(selected: DataFrame) -> DataFrame:
     """The records that rows of an index name: RECORDS, the payload null for revisits. Each payload is held against its digest."""
+    small_batches(selected)
     placed = selected.select("archive", "offset", "length").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
     return placed.mapInArrow(_read, RECORDS)
 
