@@ -234,7 +234,7 @@ def _predict(model: LanguageModel | None, spans: bool):
                         lo, hi = rows[k], rows[k + 1]
                         first = lo + np.flatnonzero(np.diff(label[lo:hi], prepend=-1)) if hi > lo else np.zeros(0, int)
                         base = row_cp[k]
-                        last = np.append(first[1:], hi) - 1
+                        last = np.append(first[1:], hi)[: len(first)] - 1
                         parts.append([(model.languages[label[f]], int(starts[f] - base), int(ends[z] - base)) for f, z in zip(first, last, strict=True)])
             columns = [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             names = ["doc_id", "lang_pred", "score"]
