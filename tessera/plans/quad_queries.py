@@ -158,6 +158,31 @@ def a1_read_element_archive(spark, sf_dir):
     return docs.join(back, F.col("element_id") == F.col("id")).select("element_id", terms.last_segment(F.col("path")).alias("name"), same.alias("same"))
 
 
+@query("a5_write_element_stream", "SELECT count(*) AS members, lpad(CAST(min(event_id) AS STRING), 10, '0') || '.ttl' AS first_member, true AS several, true AS in_order FROM events")
+def a5_write_element_stream(spark, sf_dir):
+    """Elements in archives of ranges: how many members, and whether each archive is named after its first and in order."""
+    from tessera.functions.names import element_id_of
+    from tessera.sources.shared import settle, shared_folder
+
+    docs = files.element_documents(view("q_events", spark, sf_dir), with_graph=False)
+    written = settle(files.write_element_stream(docs, shared_folder(spark), archives=4, members=1000)).withColumn("id", element_id_of(F.col("path")))
+    each = written.groupBy("archive").agg(F.count("*").alias("n"), F.min("path").alias("path"), F.min_by("id", "pos").alias("first"), F.min("id").alias("low"))
+    named = F.regexp_extract("archive", r"elements-([0-9]+)\.tar\.gz$", 1).cast("long")
+    return each.agg(F.sum("n").alias("members"), F.min("path").alias("first_member"), (F.count("*") > 1).alias("several"), F.bool_and((F.col("first") == F.col("low")) & (named == F.col("low"))).alias("in_order"))
+
+
+@query("a12_degree_tsv", with_views("q_events") + " SELECT 'subject' AS role, CAST(count(DISTINCT s) AS BIGINT) AS nodes, count(*) AS occurrences FROM q_events UNION ALL SELECT 'predicate', count(DISTINCT p), count(*) FROM q_events UNION ALL SELECT 'object', count(DISTINCT o || o_kind || coalesce(o_dt, '')), count(*) FROM q_events")
+def a12_degree_tsv(spark, sf_dir):
+    """Degrees written as one TSV for each role and read back."""
+    from tessera.operators.degrees import degree_sketches
+    from tessera.sources.shared import shared_folder
+
+    path = shared_folder(spark)
+    files.write_degrees(degree_sketches(view("q_events", spark, sf_dir)), path)
+    back = spark.read.option("sep", "\t").schema("node string, occurrences long, distinct_lower double, distinct_est double, distinct_upper double, role string").csv(path)
+    return back.groupBy("role").agg(F.count("*").alias("nodes"), F.sum("occurrences").alias("occurrences"))
+
+
 _RELEASE = """'{"tag_name": "v' || p_size || '.0.' || (p_partkey % 4) || '", "assets": [' || CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN '{"name": "source.tar.gz", "browser_download_url": "urn:u:' || p_partkey || '"}' ELSE '{"name": "source.tar.gz", "browser_download_url": "urn:u:1"}, {"name": "source.tar.gz", "browser_download_url": "urn:u:2"}' END || ']}'"""
 
 
