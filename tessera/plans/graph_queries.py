@@ -81,7 +81,7 @@ _ELEMENT_TYPE = "CASE p_partkey % 4 WHEN 1 THEN 'triple' WHEN 2 THEN 'dataset' E
 
 @query("c1_stream_types_of_dataset", f"SELECT p_partkey AS dataset, {_TYPE} AS name, {_IS_FLAT} AS is_flat, {_ELEMENT_TYPE} AS element_type FROM part")
 def c1_stream_types_of_dataset(spark, sf_dir):
-    usages = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("dataset"), F.expr(f"'urn:stax/v#' || {_TYPE}").alias("type"))
+    usages = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("dataset"), F.expr(f"'urn:streams/v#' || {_TYPE}").alias("type"))
     return results.stream_types_of(usages, results.stream_types(spark))
 
 
