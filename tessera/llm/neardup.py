@@ -32,7 +32,7 @@ SLACK = 19
 BLOCK = 128
 HASHES = 2 * ROWS * BANDS
 #: Minhashes of a long signature, of which one byte is kept, and how many must agree: over four standard errors below the threshold.
-LONG, LONG_NEED = 384, 384 * 0.765
+LONG, LONG_NEED = 768, 768 * 0.79
 NEED = HASHES * (PERCENT - SLACK) / 100
 
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -144,13 +144,18 @@ def _texts_with(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.withColumn("word", word).join(F.broadcast(filled), "word").filter(F.col("bits").bitwiseAND(mask) != 0).select("id", "text")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that are similar enough, by signatures first and then by full sets."""
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose signatures agree enough."""
     sig = sets.select("id", "sig")
     with_sig = pairs.join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    alike = settle(with_sig.mapInArrow(_alike, "a long, b long"))
-    some = _texts_of(texts, alike)
-    both = alike.join(some.toDF("a", "x"), "a").join(some.toDF("b", "y"), "b")
+    return with_sig.mapInArrow(_alike, "a long, b long")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets are similar enough."""
+    pairs = settle(pairs)
+    some = _texts_of(texts, pairs)
+    both = pairs.join(some.toDF("a", "x"), "a").join(some.toDF("b", "y"), "b")
     return both.select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long").distinct()
 
 
@@ -228,7 +233,7 @@ def _links(sets: DataFrame, texts: DataFrame) -> DataFrame:
     keys = settle(_table_keys(sets))
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select("key", "hub")
     to_hub = keys.join(hubs, "key").filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    links = settle(_confirmed(to_hub, sets, texts))
+    links = settle(_confirmed(_near(to_hub, sets), texts))
 
     # Tables that still hold several components: all pairs of those but for the pairs with the hub, which are done.
     known = components(links)
@@ -242,7 +247,7 @@ def _links(sets: DataFrame, texts: DataFrame) -> DataFrame:
     # All pairs inside a block are compared in its own group only.
     rest = rest.select(group.alias("group"), "id", "component", "block", (F.col("block") == F.col("other")).alias("single"), "long", "place", "u", "v")
     late = rest.repartition("group").sortWithinPartitions("group").mapInArrow(_compare, "a long, b long").distinct()
-    return links.union(_confirmed(late, sets, texts))
+    return links.union(_confirmed(late, texts))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
