@@ -17,6 +17,8 @@ ORACLE_SQL = None
 
 #: Least share of a text's letters that must be in spans of its main language.
 LEAST_SHARE = 0.3
+#: Documents whose sets of five-word shingles share so many percent of their union are near duplicates.
+NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +32,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup: of each group of linked documents, that with the least doc_id stays; of repeated rows, one."""
-    groups = neardup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    groups = neardup.near_duplicates(docs, percent=NEAR_PERCENT).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(groups, F.expr("doc_id <=> kept_id")).select(*docs.columns).dropDuplicates(["doc_id"])
 
 

@@ -4,7 +4,7 @@ Two collections of ``BANDS`` short keys, each of ``ROWS`` minhashes, are made fo
 set. A table key is a pair, one key from each collection, so BANDS * BANDS tables of 2 * ROWS minhashes
 cost only 2 * BANDS * ROWS minhashes. A set whose key of the first collection nobody shares can't
 collide in any of its tables, so pairs are formed only for the rest. Two sets with a Jaccard similarity of 0.85
-miss each other with a probability of 2e-5.
+miss each other with a probability of 2e-5, of 0.8 with 4e-4.
 
 Candidates are confirmed on full shingle sets. Equal sets are one class from the start, so copies are not
 paired. Inside a table key, sets are first compared with the least one there; where those that are left
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,20 @@ SLACK = 19
 #: Sets of one table key that are compared in one block.
 BLOCK = 128
 HASHES = 2 * ROWS * BANDS
-#: Minhashes of a long signature, of which one byte is kept, and how many must agree: over four standard errors below the threshold.
-LONG, LONG_NEED = 768, 768 * 0.79
-NEED = HASHES * (PERCENT - SLACK) / 100
+#: Minhashes of a long signature, of which one byte is kept, and by how many standard errors below the threshold they may agree.
+LONG, LONG_SLACK = 768, 4.65
+
+
+def need(percent: float) -> float:
+    """How many of HASHES minhashes must agree."""
+    return HASHES * (percent - SLACK) / 100
+
+
+def long_need(percent: float) -> float:
+    """How many of LONG minhashes must agree: 0.79 of them for 85 %, 0.73 for 80 %."""
+    p = percent / 100
+    return LONG * p - LONG_SLACK * (LONG * p * (1 - p)) ** 0.5
+
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _A = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -94,15 +106,15 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _alike(batches: Iterator[pa.RecordBatch], percent: float) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, sig of a, sig of b) whose signatures agree enough."""
     for batch in batches:
         if batch.num_rows:
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, HASHES) for k in (2, 3))
-            yield batch.select([0, 1]).filter(pa.array((x == y).sum(1) >= NEED))
+            yield batch.select([0, 1]).filter(pa.array((x == y).sum(1) >= need(percent)))
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(batches: Iterator[pa.RecordBatch], percent: float) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, text of a, text of b) whose full sets are similar enough."""
     last, q = None, np.zeros(0, np.uint64)
     for batch in batches:
@@ -112,12 +124,12 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if hubs[k] != last:
                 last, q = hubs[k], next(shingle_sets(batch.column(3).slice(k, 1)))
             small, large = (p, q) if len(p) <= len(q) else (q, p)
-            if 100 * len(small) < PERCENT * len(large) or not len(small):
+            if 100 * len(small) < percent * len(large) or not len(small):
                 continue
             at = np.searchsorted(large, small)
             at[at == len(large)] = 0
             common = int((large[at] == small).sum())
-            if 100 * common >= PERCENT * (len(p) + len(q) - common):
+            if 100 * common >= percent * (len(p) + len(q) - common):
                 keep.append(k)
         yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
@@ -144,19 +156,19 @@ def _texts_with(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.withColumn("word", word).join(F.broadcast(filled), "word").filter(F.col("bits").bitwiseAND(mask) != 0).select("id", "text")
 
 
-def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, sets: DataFrame, percent: float) -> DataFrame:
     """Those of the pairs (a, b) whose signatures agree enough."""
     sig = sets.select("id", "sig")
     with_sig = pairs.join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return with_sig.mapInArrow(_alike, "a long, b long")
+    return with_sig.mapInArrow(partial(_alike, percent=percent), "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: float) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough."""
     pairs = settle(pairs)
     some = _texts_of(texts, pairs)
     both = pairs.join(some.toDF("a", "x"), "a").join(some.toDF("b", "y"), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long").distinct()
+    return both.select("a", "b", "x", "y").mapInArrow(partial(_confirm, percent=percent), "a long, b long").distinct()
 
 
 def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +187,7 @@ def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(out, pa.binary())], ["id", "long"])
 
 
-def _pairs_in_groups(rows: pa.Table) -> pa.RecordBatch:
+def _pairs_in_groups(rows: pa.Table, percent: float) -> pa.RecordBatch:
     """Pairs (a, b) of different components in a group of rows, sorted by group, whose long signatures agree enough.
 
     A pair that meets in several tables is given in the first of them only.
@@ -192,7 +204,7 @@ def _pairs_in_groups(rows: pa.Table) -> pa.RecordBatch:
         other = first + d
         p = (component[first] != component[other]) & (single[first] | (block[first] != block[other]))
         x, y = first[p], other[p]
-        near = (long[x] == long[y]).sum(1) >= LONG_NEED
+        near = (long[x] == long[y]).sum(1) >= long_need(percent)
         x, y = x[near], y[near]
         here = (u[x] == u[y]).argmax(1) * BANDS + (v[x] == v[y]).argmax(1) == place[x]
         found.append(np.stack([np.maximum(ids[x], ids[y])[here], np.minimum(ids[x], ids[y])[here]]))
@@ -200,7 +212,7 @@ def _pairs_in_groups(rows: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], percent: float) -> Iterator[pa.RecordBatch]:
     """``_pairs_in_groups`` over batches; a group that runs over the end of one waits for the next."""
     waiting: list = []
     for batch in batches:
@@ -209,14 +221,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = batch.column(0).to_numpy()
         cut = int(np.searchsorted(group, group[-1]))
         if cut:
-            yield _pairs_in_groups(pa.Table.from_batches([*waiting, batch.slice(0, cut)]))
+            yield _pairs_in_groups(pa.Table.from_batches([*waiting, batch.slice(0, cut)]), percent)
             waiting = []
         elif waiting and waiting[0].column(0)[0].as_py() != group[0]:
-            yield _pairs_in_groups(pa.Table.from_batches(waiting))
+            yield _pairs_in_groups(pa.Table.from_batches(waiting), percent)
             waiting = []
         waiting.append(batch.slice(cut))
     if waiting:
-        yield _pairs_in_groups(pa.Table.from_batches(waiting))
+        yield _pairs_in_groups(pa.Table.from_batches(waiting), percent)
 
 
 def _table_keys(sets: DataFrame) -> DataFrame:
@@ -228,12 +240,12 @@ def _table_keys(sets: DataFrame) -> DataFrame:
     return both.select("id", F.xxhash64("i", "uk", "j", "vk").alias("key"), (F.col("i") * BANDS + F.col("j")).alias("place"))
 
 
-def _links(sets: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(sets: DataFrame, texts: DataFrame, percent: float) -> DataFrame:
     """Confirmed links (a, b) that connect what is similar."""
     keys = settle(_table_keys(sets))
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select("key", "hub")
     to_hub = keys.join(hubs, "key").filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    links = settle(_confirmed(_near(to_hub, sets), texts))
+    links = settle(_confirmed(_near(to_hub, sets, percent), texts, percent))
 
     # Tables that still hold several components: all pairs of those but for the pairs with the hub, which are done.
     known = components(links)
@@ -246,15 +258,15 @@ def _links(sets: DataFrame, texts: DataFrame) -> DataFrame:
     group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
     # All pairs inside a block are compared in its own group only.
     rest = rest.select(group.alias("group"), "id", "component", "block", (F.col("block") == F.col("other")).alias("single"), "long", "place", "u", "v")
-    late = rest.repartition("group").sortWithinPartitions("group").mapInArrow(_compare, "a long, b long").distinct()
-    return links.union(_confirmed(late, texts))
+    late = rest.repartition("group").sortWithinPartitions("group").mapInArrow(partial(_compare, percent=percent), "a long, b long").distinct()
+    return links.union(_confirmed(late, texts, percent))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: float = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of ``docs``.
 
     Words are runs without white space, A-Z in lower case; a document's set holds its different
-    shingles of five words, or all its words as one if fewer. Sets that share 85 % of their union are linked.
+    shingles of five words, or all its words as one if fewer. Sets that share ``percent`` % of their union are linked.
     ``component_id`` is the least doc_id reachable; ``kept`` says whether it is the row's own. A document without
     words (or null) has no shingles and is linked with nothing. Rows of one doc_id are documents of
     their own with that id, so each is kept if the id is; a row with null id has a null component, is kept, and links nothing.
@@ -270,7 +282,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A doc_id that several rows have with other texts is one node: its texts are linked through it.
     several = filled.groupBy("doc_id").agg(F.min("digest").alias("p"), F.max("digest").alias("q")).filter("p <> q").select("doc_id")
     through = filled.join(several, "doc_id").join(classes, "digest").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    linked = components(_links(sets, texts).union(through))
+    linked = components(_links(sets, texts, percent).union(through))
     best = classes.join(linked, classes["id"] == linked["node"], "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     out = described.join(best, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -27,7 +27,7 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

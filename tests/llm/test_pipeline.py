@@ -46,3 +46,20 @@ def test_query_against_sql(name, spark, sf_dir):
 
 def test_numbers():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+
+
+def test_near_duplicates_from_four_fifths(spark):
+    words = [f"w{k}" for k in range(204)]
+    # 200 shingles; four changed words that are apart take 20 of them, so 180 of 220 are shared.
+    other = [f"x{k}" if k in (20, 60, 100, 140) else w for k, w in enumerate(words)]
+    rows = [(k, " ".join(w), "en", "s", 0) for k, w in enumerate((words, other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()] == [0]
+    assert neardup.near_duplicates(docs, percent=85).filter("kept").count() == 2
+
+
+def test_near_duplicates_stage_takes_what_four_fifths_keep(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = {r.doc_id for r in neardup.near_duplicates(docs, percent=80).filter("kept").collect()}
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).select("doc_id").collect()} == kept
+    assert len(kept) < neardup.near_duplicates(docs).filter("kept").count()
