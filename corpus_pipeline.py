@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tessera.llm import langid, mixing, neardup, pieces, pii
 from tessera.llm.shared import read_table, settle
@@ -47,8 +48,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece encoding: the columns of documents without the text, and the ids of its pieces."""
-    return pieces.encode_documents(docs).drop("text")
+    """SentencePiece encoding: the columns of documents without the text, and the ids of its pieces; each copy that the mix made has drops of its own."""
+    copies = W.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang", "n_chars")
+    return pieces.encode_documents(docs.withColumn("__epoch", F.row_number().over(copies)), epoch_col="__epoch").drop("text", "__epoch")
 
 
 STAGES = [

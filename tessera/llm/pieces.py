@@ -1,10 +1,11 @@
 """SentencePiece encoding with seeded merge-dropout, and decoding.
 
 Merges of the model's vocabulary are processed from an agenda, best first. A candidate that comes up is
-skipped where a keyed hash of the seed, the unit, its variant, the place and the piece says so, which gives
+skipped where a keyed hash of the seed, the document, the occurrence and the candidate's turn says so, which gives
 varied segmentations into the model's own pieces. A unit is a word with the spaces before it (no piece
-crosses from a letter to a space); which of ``VARIANTS`` variants an occurrence gets depends on the seed,
-the document and its place, so results do not depend on how documents are dealt to tasks.
+crosses from a letter to a space). Each occurrence of a unit has drops of its own, a bit for each turn, and
+results do not depend on how documents are dealt to tasks. Segmentations are kept by unit and the drops that
+they met, which says them whole, so what is kept never stands for other drops.
 
 Characters that no piece has, and U+2581 itself, become byte pieces, so decoding gives back every text.
 """
@@ -13,7 +14,6 @@ from __future__ import annotations
 
 import heapq
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,17 +24,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from tessera.llm.shared import small_batches
-from tessera.llm.textops import chunks, mix
+from tessera.llm.textops import BASE, chunks, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 1
-VARIANTS = 2
-#: Units of which a worker keeps the segmentations, and the longest unit kept.
-KEPT, KEPT_LENGTH = 300_000, 64
+#: Segmentations that a worker keeps, twice.
+KEPT = 300_000
+#: Longest unit whose drops fit in 63 bits: n characters have 3 * (n - 1) candidates at most.
+SHORT = 22
 SPACE = "▁"
 _UNITS = re.compile("\n|▁| *[^ \n▁]+| +")
 _NEVER = 1 << 60
+_ALL = (1 << 63) - 1
 
 
 @dataclass
@@ -98,52 +100,68 @@ class Pairs:
 
 
 class Encoder:
-    """Encodes texts; keeps what it found for frequent units."""
+    """Encodes texts; keeps what it found for frequent units.
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
-        self.v, self.seed, self.variants = vocabulary, seed, variants if dropout > 0 else 1
+    Drops are the bits of a number: bit k says whether the candidate that comes up as number k is skipped.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED):
+        self.v, self.seed, self.dropout = vocabulary, seed, dropout
         self.dropping = dropout > 0
-        # The keyed hash is a table of bits that the seed fills, looked up at a mix of unit, place and piece.
-        self.drop = bytes((np.random.Generator(np.random.PCG64(seed)).random(1 << 16) < dropout).astype(np.uint8))
+        #: How many different drops a short unit can have.
+        self.variants = 1 << 63 if self.dropping else 1
+        # Eight drops by each 16 bits of a keyed hash: a table that the seed fills.
+        bits = np.random.Generator(np.random.PCG64(seed)).random((1 << 16, 8)) < dropout
+        self.drop = (bits << np.arange(8)).sum(1).astype(np.uint64)
         self.pairs = Pairs(vocabulary)
         self.token = {name: np.int32(k).tobytes() for name, k in vocabulary.ids.items()}
         self.byte_token = [np.int32(k).tobytes() for k in vocabulary.byte]
-        self.young: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.old: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-
-    def segment(self, text: str, key: int) -> list[str]:
-        """Pieces and single characters of one unit."""
-        return self._short(text, key) if len(text) <= 24 else self._long(text, key)
-
-    def _short(self, text: str, key: int) -> list[str]:
-        rank, drop, dropping = self.v.rank.get, self.drop, self.dropping
-        parts, places = list(text), list(range(len(text)))
+        # By unit: which bits the segmentation without drops looks at, its ids, and the same by other drops.
+        self.young: dict[str, tuple[int, bytes, dict]] = {}
+        self.old: dict[str, tuple[int, bytes, dict]] = {}
+        self.size = 0
+
+    def _short(self, text: str, drops: int) -> list[str]:
+        return self._turns(text, drops)[0]
+
+    def _turns(self, text: str, drops: int) -> tuple[list[str], int]:
+        """Pieces and single characters of one unit, and how many candidates came up."""
+        rank, turns = self.v.rank.get, 0
+        parts = list(text)
         agenda = [rank(text[k : k + 2], _NEVER) for k in range(len(text) - 1)]
         while agenda:
             r = min(agenda)
             if r == _NEVER:
                 break
             k = agenda.index(r)
-            if dropping and drop[(key + places[k] * 0x9E3B + r * 0x85EB) & 0xFFFF]:
+            turns += 1
+            if drops >> turns - 1 & 1:
                 agenda[k] = _NEVER
                 continue
             part = parts[k] = parts[k] + parts.pop(k + 1)
-            del places[k + 1], agenda[k]
+            del agenda[k]
             if k:
                 agenda[k - 1] = rank(parts[k - 1] + part, _NEVER)
             if k < len(agenda):
                 agenda[k] = rank(part + parts[k + 1], _NEVER)
-        return parts
+        return parts, turns
 
-    def _long(self, text: str, key: int) -> list[str]:
+    def _long(self, text: str, drops: int | bytes) -> list[str]:
+        """Pieces and single characters of one unit; ``drops`` may also be a byte for each turn."""
         rank, n = self.v.rank, len(text)
+        if isinstance(drops, int):
+            drops = bytes(drops >> k & 1 for k in range(3 * n))
+        turn = -1
         end, start = list(range(1, n + 1)), list(range(n))  # end[k]: of the part that begins at k; start[k]: of the part that ends before k + 1
         heap = [(r, k, k + 1, k + 2) for k in range(n - 1) if (r := rank.get(text[k : k + 2])) is not None]
         heapq.heapify(heap)
         gone = bytearray(n)
         while heap:
             r, a, b, c = heapq.heappop(heap)
-            if gone[a] or (b < n and gone[b]) or end[a] != b or end[b] != c or (self.dropping and self.drop[(key + a * 0x9E3B + r * 0x85EB) & 0xFFFF]):
+            if gone[a] or (b < n and gone[b]) or end[a] != b or end[b] != c:
+                continue
+            turn += 1
+            if drops[turn]:
                 continue
             gone[b], end[a], start[c - 1] = 1, c, a
             if a:
@@ -158,19 +176,36 @@ class Encoder:
             k = end[k]
         return parts
 
-    def _key(self, unit: str, variant: int) -> int:
-        return zlib.crc32(unit.encode(), (self.seed * 1_000_003 + variant) & 0xFFFFFFFF)
-
-    def _unit(self, unit: str, variant: int) -> bytes:
-        """The ids of one unit."""
-        if unit == SPACE:
-            return b"".join(self.byte_token[b] for b in unit.encode())
+    def _ids(self, parts: list[str]) -> bytes:
         token = self.token
-        parts = self.segment(unit.replace(" ", SPACE), self._key(unit, variant))
         return b"".join([token[part] if part in token else b"".join([self.byte_token[b] for b in part.encode()]) for part in parts])
 
-    def _many(self, units: list[str], variants: list[int]) -> list[bytes]:
-        """The ids of short units, all at once: in each round every unit handles the top of its agenda."""
+    def _unit(self, unit: str, drops: int) -> bytes:
+        """The ids of one short unit."""
+        return self._found(unit, drops)[0]
+
+    def _found(self, unit: str, drops: int) -> tuple[bytes, int]:
+        """The ids of one short unit, and how many candidates came up."""
+        if unit == SPACE:
+            return b"".join(self.byte_token[b] for b in unit.encode()), 0
+        parts, turns = self._turns(unit.replace(" ", SPACE), drops)
+        return self._ids(parts), turns
+
+    def _long_unit(self, unit: str, key: int) -> bytes:
+        """The ids of one long unit, whose drops come from the hash ``key`` of its occurrence."""
+        turns = 3 * len(unit)
+        if self.dropping:
+            h = mix(np.arange(turns, dtype=np.uint64) * BASE + np.uint64(key)) >> np.uint64(11)
+            drops = (h < np.uint64(int(self.dropout * (1 << 53)))).tobytes()
+        else:
+            drops = bytes(turns)
+        return self._ids(self._long(unit.replace(" ", SPACE), drops))
+
+    def _many(self, units: list[str], drops: list[int]) -> list[bytes]:
+        return self._all_found(units, drops)[0]
+
+    def _all_found(self, units: list[str], drops: list[int]) -> tuple[list[bytes], list[int]]:
+        """``_found`` of short units, all at once: in each round every unit handles the top of its agenda."""
         pairs, n = self.pairs, len(units)
         size = np.array([len(u) for u in units])
         width = int(size.max())
@@ -178,9 +213,8 @@ class Encoder:
         filled = np.arange(width) < size[:, None]
         part = np.full((n, width), -1, np.int64)
         part[filled] = np.where(points < 1 << 16, pairs.of_char[np.minimum(np.where(points == 32, ord(SPACE), points), (1 << 16) - 1)], -2)
-        place = np.tile(np.arange(width), (n, 1))
-        key = np.array([self._key(u, v) for u, v in zip(units, variants, strict=True)], np.int64)
-        drop = np.frombuffer(self.drop, np.uint8)
+        bits = np.array(drops, np.int64)
+        turns = np.zeros(n, np.int64)
         agenda = np.full((n, width), _NEVER)
         agenda[:, :-1] = pairs.rank(part[:, :-1], part[:, 1:])
         row = np.arange(n)
@@ -190,12 +224,13 @@ class Encoder:
             r = agenda[row, k]
             live = r < _NEVER
             row, k, r = row[live], k[live], r[live]
-            skip = drop[(key[row] + place[row, k] * 0x9E3B + r * 0x85EB) & 0xFFFF] > 0 if self.dropping else np.zeros(len(row), bool)
+            skip = (bits[row] >> turns[row]) & 1 > 0
+            turns[row] += 1
             agenda[row[skip], k[skip]] = _NEVER
             m, k, r = row[~skip], k[~skip], r[~skip]
             # What stands after the merged pair moves one place to the left.
             take = np.minimum(column + (column > k[:, None]), width - 1)
-            for a, end in ((part, -1), (place, 0), (agenda, _NEVER)):
+            for a, end in ((part, -1), (agenda, _NEVER)):
                 moved = np.take_along_axis(a[m], take, 1)
                 moved[:, -1] = end
                 a[m] = moved
@@ -207,63 +242,104 @@ class Encoder:
         real = part >= 0
         flat = part[real].astype(np.int32).tobytes()
         ends = (4 * np.cumsum(real.sum(1))).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], turns.tolist()
 
-    def _learn(self, missing: dict[tuple[str, int], None]) -> dict[tuple[str, int], bytes]:
-        """Segmentations of units that are not at hand."""
-        out, short = {}, []
+    def _learn(self, missing: dict[tuple[str, int], None]) -> None:
+        """Segmentations of short units that are not at hand, by their drops."""
+        out, plain = [], []
         of_char = self.pairs.of_char
-        for unit, variant in missing:
-            found = self.old[variant].get(unit)
+        # Characters without a piece of their own become bytes, one unit at a time.
+        points = set("".join({u for u, _ in missing}))
+        odd = {c for c in points if c != " " and (c == SPACE or ord(c) >= 1 << 16 or of_char[ord(c)] < 0)}
+        for x in missing:
+            if odd and not odd.isdisjoint(x[0]):
+                out.append((x, *self._found(*x)))
+            else:
+                plain.append(x)
+        plain.sort(key=lambda x: len(x[0]))
+        for a in range(0, len(plain), 8192):
+            some = plain[a : a + 8192]
+            out += zip(some, *self._all_found([u for u, _ in some], [d for _, d in some]), strict=True)
+        for (unit, drops), ids, turns in out:
+            seen = (1 << turns) - 1
+            if drops:
+                self.young[unit][2][drops] = seen, ids
+            else:
+                self.young[unit] = seen, ids, {}
+        self.size += len(out)
+
+    def _walk(self, unit: str, drops: int) -> tuple[bytes | None, int]:
+        """The ids of a short unit, or None and the first of its drops that nothing is kept for.
+
+        Up to the first drop all is as without one; up to the second as with the first only, and so on.
+        """
+        found = self.young.get(unit)
+        if found is None:
+            found = self.old.get(unit)
+            if found is None:
+                return None, 0
+            self.young[unit] = found
+            self.size += 1 + len(found[2])
+        seen, ids, others = found
+        met = 0
+        while (left := drops & seen) != met:
+            left ^= met
+            met |= left & -left
+            found = others.get(met)
             if found is None:
-                if len(unit) <= 24 and unit != SPACE:
-                    short.append((unit, variant))
-                    continue
-                found = self._unit(unit, variant)
-            out[unit, variant] = found
-        if short:
-            # Characters without a piece of their own become bytes, one unit at a time.
-            points = set("".join({u for u, _ in short}))
-            odd = {c for c in points if c != " " and (ord(c) >= 1 << 16 or of_char[ord(c)] < 0)}
-            plain = [x for x in short if not odd or odd.isdisjoint(x[0])]
-            for x in short if odd else ():
-                if not odd.isdisjoint(x[0]):
-                    out[x] = self._unit(*x)
-            plain.sort(key=lambda x: len(x[0]))
-            for a in range(0, len(plain), 8192):
-                some = plain[a : a + 8192]
-                out.update(zip(some, self._many([u for u, _ in some], [v for _, v in some]), strict=True))
-        for (unit, variant), found in out.items():
-            if len(unit) <= KEPT_LENGTH:
-                if len(self.young[variant]) >= KEPT // self.variants:
-                    self.old[variant], self.young[variant] = self.young[variant], {}
-                self.young[variant][unit] = found
-        return out
+                return None, met
+            seen, ids = found
+        return ids, met
+
+    def _drops(self, units: list[str], document: int) -> tuple[list[int], np.ndarray]:
+        """The drops of each occurrence, and its hash."""
+        base = np.uint64((document * 0x9E3779B97F4A7C15 + self.seed) & 0xFFFFFFFFFFFFFFFF)
+        key = mix(np.arange(len(units), dtype=np.uint64) + mix(np.array([base]))[0])
+        if not self.dropping:
+            return [0] * len(units), key
+
+        def bits(h):
+            parts = [self.drop[(h >> np.uint64(16 * k)) & np.uint64(0xFFFF)] << np.uint64(8 * k) for k in range(4)]
+            return parts[0] | parts[1] | parts[2] | parts[3]
+
+        drops = bits(key)
+        # Up to 11 characters have 30 candidates at most.
+        more = np.array([k for k, u in enumerate(units) if len(u) > 11], np.int64)
+        if len(more):
+            drops[more] |= (bits(mix(key[more] + BASE)) << np.uint64(32)) & np.uint64(_ALL)
+        return drops.tolist(), key
 
     def encode_many(self, texts: list[str], documents: list[int]) -> list[bytes]:
         """The ids of the pieces of each text, as 32-bit numbers."""
-        split = []
-        missing: dict[tuple[str, int], None] = {}
-        young = self.young
+        if self.size >= KEPT:
+            self.old, self.young, self.size = self.young, {}, 0
+        split, holes = [], []
         for text, document in zip(texts, documents, strict=True):
             units = _UNITS.findall(" " + text) if text else []
-            if self.variants == 1:
-                variants = [0] * len(units)
-            else:
-                base = np.uint64((document * 0x9E3779B97F4A7C15 + self.seed) & 0xFFFFFFFFFFFFFFFF)
-                variants = ((mix(np.arange(len(units), dtype=np.uint64) + base) >> np.uint64(32)) % np.uint64(self.variants)).tolist()
-            found = [young[v].get(u) for u, v in zip(units, variants, strict=True)]
-            if None in found:
-                holes = [k for k, x in enumerate(found) if x is None]
-                missing.update(((units[k], variants[k]), None) for k in holes)
-                split.append((found, [(k, (units[k], variants[k])) for k in holes]))
-            else:
-                split.append((found, ()))
-        learnt = self._learn(missing)
-        for found, holes in split:
-            for k, x in holes:
-                found[k] = learnt[x]
-        return [b"".join(found) for found, _ in split]
+            drops, key = self._drops(units, document)
+            found = []
+            get, put = self.young.get, found.append
+            for k, unit in enumerate(units):
+                kept = get(unit)
+                if kept is not None and not drops[k] & kept[0]:
+                    put(kept[1])
+                elif len(unit) > SHORT:
+                    put(self._long_unit(unit, int(key[k])))
+                else:
+                    ids, met = self._walk(unit, drops[k])
+                    put(ids)
+                    if ids is None:
+                        holes.append((found, k, unit, drops[k], met))
+            split.append(found)
+        while holes:
+            self._learn({(unit, met): None for _, _, unit, _, met in holes})
+            left = []
+            for found, k, unit, drops, _ in holes:
+                found[k], met = self._walk(unit, drops)
+                if found[k] is None:
+                    left.append((found, k, unit, drops, met))
+            holes = left
+        return [b"".join(found) for found in split]
 
     def encode(self, text: str, document: int) -> bytes:
         return self.encode_many([text], [document])[0]
@@ -281,12 +357,12 @@ def decoded(vocabulary: Vocabulary, ids: list[int]) -> str:
 _encoders: dict[tuple, Encoder] = {}
 
 
-def _encoder(shared, dropout: float, seed: int, variants: int) -> Encoder:
+def _encoder(shared, dropout: float, seed: int) -> Encoder:
     """This worker's encoder, kept from task to task."""
-    key = (shared.value[0], dropout, seed, variants)
+    key = (shared.value[0], dropout, seed)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(shared.value[1], dropout, seed, variants)
+        _encoders[key] = Encoder(shared.value[1], dropout, seed)
     return _encoders[key]
 
 
@@ -295,19 +371,23 @@ def _shared(spark: SparkSession, model_path: str):
     return spark.sparkContext.broadcast((model_path, load(model_path)))
 
 
-def encode_documents(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text", epoch_col: str | None = None) -> DataFrame:
     """``docs`` with three more columns: ids (of the pieces), n_pieces, and lossless, whether ids decode to the text.
 
     Columns of these names in ``docs`` are replaced. Null and empty texts have no pieces and are lossless. The same seed,
-    id and text always give the same ids; a null id counts as 0; rows of equal id and text have equal ids. Texts of any length are encoded whole.
+    id, epoch (from 1; 1 if there is no such column) and text always give the same ids; a null id counts as 0; rows of equal id, epoch and
+    text have equal ids. Texts of any length are encoded whole.
     """
     small_batches(docs)
     shared = _shared(docs.sparkSession, model_path)
     kept = [c for c in docs.columns if c.lower() not in ("ids", "n_pieces", "lossless")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(0))
+    if epoch_col:
+        key = F.when(F.col(epoch_col) > 1, F.xxhash64(key, F.col(epoch_col))).otherwise(key)
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], key.alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared, dropout, seed, variants)
+        encoder = _encoder(shared, dropout, seed)
         pieces = encoder.v.pieces
         for batch in batches:
             n = len(kept)

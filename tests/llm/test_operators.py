@@ -431,6 +431,32 @@ def test_agendas_agree(vocabulary):
         assert encoder._short(u, 17) == encoder._long(u, 17)
 
 
+def test_each_occurrence_has_drops_of_its_own(vocabulary):
+    encoder = pieces.Encoder(vocabulary, dropout=0.1)
+    n, found = 3000, Counter()
+    for document in range(2):
+        part = []
+        for k in np.frombuffer(encoder.encode("language " * n, document), np.int32).tolist():
+            part.append(k)
+            if b"".join(vocabulary.pieces[k] for k in part) == b" language":
+                found[tuple(part)] += 1
+                part = []
+    assert sum(found.values()) == 2 * n and len(found) > 10
+    drops = np.array(encoder._drops(["understanding"] * n, 7)[0])
+    assert [((drops >> k) & 1).mean() for k in range(63)] == pytest.approx([0.1] * 63, abs=0.025)
+    # What is kept is what the drops of an occurrence give, short or long, at any time.
+    rnd = random.Random(5)
+    for _ in range(3):
+        texts = ["".join(rnd.choice(("the ", "under", "standing ", "é\U0001f600 ", "▁", "  \n", "q" * 30)) for _ in range(300)) for _ in range(20)]
+        fresh = [pieces.Encoder(vocabulary, dropout=0.1) if k % 10 == 0 else None for k in range(20)]
+        got = encoder.encode_many(texts, list(range(20)))
+        assert all(f is None or f.encode(t, k) == x for k, (f, t, x) in enumerate(zip(fresh, texts, got, strict=True)))
+        for k, (t, x) in enumerate(zip(texts, got, strict=True)):
+            units = pieces._UNITS.findall(" " + t)
+            drops, key = encoder._drops(units, k)
+            assert x == b"".join(encoder._unit(u, d) if len(u) <= pieces.SHORT else encoder._long_unit(u, int(h)) for u, d, h in zip(units, drops, key, strict=True))
+
+
 def test_pieces_table(spark, odd):
     got = pieces.encode_documents(odd)
     assert sorted(got.columns) == sorted({*odd.columns, "n_pieces", "lossless"})

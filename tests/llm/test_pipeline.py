@@ -63,3 +63,11 @@ def test_near_duplicates_stage_takes_what_four_fifths_keep(spark, sf_dir):
     kept = {r.doc_id for r in neardup.near_duplicates(docs, percent=80).filter("kept").collect()}
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).select("doc_id").collect()} == kept
     assert len(kept) < neardup.near_duplicates(docs).filter("kept").count()
+
+
+def test_copies_of_the_mix_are_encoded_apart(spark):
+    text = "the understanding of languages is a matter of some importance " * 20
+    docs = spark.createDataFrame([(1, text, "en", "s", len(text))] * 3 + [(1, text + "x", "en", "s", len(text) + 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.encode(spark, docs, "").collect()
+    assert len({tuple(r.ids) for r in got}) == 4 and all(r.lossless for r in got)
+    assert sorted(got) == sorted(corpus_pipeline.encode(spark, docs.repartition(3), "").collect())
