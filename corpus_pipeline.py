@@ -18,17 +18,19 @@ ORACLE_SQL = None
 
 #: Least share of a text's letters that must be in spans of its main language.
 LEAST_SHARE = 0.3
+#: Least likelihood of a text's n-grams against those of its languages' own texts.
+LEAST_CONFIDENCE = 0.1
 #: Documents whose sets of five-word shingles share so many percent of their union are near duplicates.
 NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: sets lang to the predicted language; documents without letters, or without a main language, go."""
+    """Language ID: sets lang to the predicted language; documents without letters, without a main language, or unlike all learned languages go."""
     columns = docs.columns
     model = langid.fit(docs)
     kept = docs.select(*[c for c in columns if c != "lang"])
     predicted = langid.predict_with(kept, model)
-    return predicted.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)).withColumn("lang", F.col("lang_pred")).select(*columns)
+    return predicted.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SHARE) & (F.col("confidence") >= LEAST_CONFIDENCE)).withColumn("lang", F.col("lang_pred")).select(*columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

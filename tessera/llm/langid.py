@@ -27,6 +27,8 @@ SWITCH = 6.0
 #: Most that one word may say for one language over another.
 WORD_CAP = 4.0
 UNDETERMINED = "und"
+#: A text is trusted as if it had so many more n-grams, all as likely as in its languages' own texts; short ones vary.
+EASE = 20
 
 #: First and last code points of letter ranges by script.
 SCRIPTS = {
@@ -111,27 +113,35 @@ def _grams(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tup
 
 
 class LanguageModel:
-    """Log probabilities of n-gram buckets by language, and the languages of each script."""
+    """Log probabilities of n-gram buckets by language, their mean in a language's own texts, and the languages of each script."""
 
-    def __init__(self, languages: list[str], table: np.ndarray, allowed: np.ndarray):
-        self.languages, self.table, self.allowed = languages, table, allowed
+    def __init__(self, languages: list[str], table: np.ndarray, own: np.ndarray, allowed: np.ndarray):
+        self.languages, self.table, self.own, self.allowed = languages, table, own, allowed
 
-    def scores(self, cp: np.ndarray, script: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """(words, languages): log likelihood less the best one's, at least -WORD_CAP; languages of other scripts have the least."""
+    def known(self, script: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Whether any language uses the script of each word."""
+        return self.allowed.any(1)[script[starts]]
+
+    def scores(self, cp: np.ndarray, script: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(words, languages): log likelihood less the best one's, at least -WORD_CAP; languages of other scripts have the least.
+
+        Also the log likelihoods themselves, and how many n-grams each word has.
+        """
         total = np.zeros((len(starts), len(self.languages)), np.float32)
         count = np.zeros(len(starts), np.float32)
         for bucket, owner in _grams(cp, starts, ends):
             edge = np.flatnonzero(np.diff(owner, prepend=-1))
             total[owner[edge]] += np.add.reduceat(self.table[bucket], edge, axis=0)
             count += np.bincount(owner, minlength=len(starts))
+        whole = total
         # Grams of one word overlap, so they count as fewer independent ones.
-        total /= np.sqrt(np.maximum(count, 1))[:, None]
+        total = whole / np.sqrt(np.maximum(count, 1))[:, None]
         ok = self.allowed[script[starts]]
         total = np.where(ok, total, -np.inf)
         none = ~ok.any(1)
         total[none] = 0
         total -= total.max(1, keepdims=True)
-        return np.maximum(total, -WORD_CAP)
+        return np.maximum(total, -WORD_CAP), whole, count
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +183,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     by_script, grams = table[:scripts], table[scripts:]
     allowed = by_script > 0.001 * by_script.sum(0, keepdims=True)
     log = np.log((grams + 0.5) / (grams.sum(0, keepdims=True) + 0.5 * (1 << BITS)))
-    return LanguageModel(languages, log.astype(np.float32), allowed)
+    own = (grams * log).sum(0) / np.maximum(grams.sum(0), 1)
+    return LanguageModel(languages, log.astype(np.float32), own.astype(np.float32), allowed)
 
 
 def viterbi(scores: np.ndarray, rows: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -209,22 +220,28 @@ def viterbi(scores: np.ndarray, rows: np.ndarray, switch: float = SWITCH) -> np.
     return label
 
 
-def _predict(model: LanguageModel | None, spans: bool):
+def _predict(model: LanguageModel | None, spans: bool, sure: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang, score, parts = [], [], []
+            lang, score, confidence, parts = [], [], [], []
             for a, b, cp, script, starts, ends, rows, row_cp in words_of(batch.column(1)):
                 if model is None:
                     lang += [UNDETERMINED] * (b - a)
                     score += [0.0] * (b - a)
+                    confidence += [0.0] * (b - a)
                     parts += [[] for _ in range(b - a)]
                     continue
                 n_lang = len(model.languages)
-                s = model.scores(cp, script, starts, ends)
+                s, whole, count = model.scores(cp, script, starts, ends)
                 label = viterbi(s, rows)
                 row = np.repeat(np.arange(b - a), np.diff(rows))
-                letters = np.bincount(row * n_lang + label, ends - starts, (b - a) * n_lang).reshape(b - a, n_lang)
-                all_letters = letters.sum(1)
+                known = model.known(script, starts)
+                letters = np.bincount(row * n_lang + label, (ends - starts) * known, (b - a) * n_lang).reshape(b - a, n_lang)
+                all_letters = np.bincount(row, ends - starts, b - a)
+                count = count * known
+                below = np.bincount(row, (whole[np.arange(len(label)), label] - model.own[label] * count) * known, b - a)
+                grams = np.bincount(row, count, b - a)
+                confidence += np.where(grams > 0, np.exp(np.minimum(below / (grams + EASE), 0)), 0).tolist()
                 best = letters.argmax(1)
                 share = letters.max(1) / np.maximum(all_letters, 1)
                 lang += [model.languages[k] if n else UNDETERMINED for k, n in zip(best.tolist(), all_letters.tolist(), strict=True)]
@@ -238,6 +255,9 @@ def _predict(model: LanguageModel | None, spans: bool):
                         parts.append([(model.languages[label[f]], int(starts[f] - base), int(ends[z] - base)) for f, z in zip(first, last, strict=True)])
             columns = [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             names = ["doc_id", "lang_pred", "score"]
+            if sure:
+                columns.append(pa.array(confidence, pa.float64()))
+                names.append("confidence")
             if spans:
                 kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
                 columns.append(pa.array([[{"lang": x, "start": s, "end": e} for x, s, e in p] for p in parts], kind))
@@ -250,7 +270,8 @@ def _predict(model: LanguageModel | None, spans: bool):
 def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text", spans: bool = True) -> DataFrame:
     """doc_id, lang_pred, score and, if asked for, spans (lang, start, end in code points) of each row.
 
-    ``score`` is the share of the letters in spans of the predicted language. Null texts and texts
+    ``score`` is the share of the text's letters that are in spans of the predicted language and in words of a
+    script that some language uses; it is 0 where no word has such a script. Null texts and texts
     without letters, and all texts if the model is None, are ``und`` with score 0 and no spans. Whole texts of
     any length are labelled. Rows of equal id stay apart; other columns are not looked at.
     """
@@ -266,16 +287,20 @@ def identify_languages(docs: DataFrame, held_out: Column, id_col: str = "doc_id"
 
 
 def predict_with(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score of each row beside its columns, without a join."""
+    """``docs`` with lang_pred, score and confidence of each row beside its columns, without a join.
+
+    ``confidence``, 0 to 1, is how likely an n-gram of the text is in the languages of its words, as a geometric mean,
+    against one of those languages' own texts, with ``EASE`` for short ones; 0 where no word has a script that some language uses.
+    """
     small_batches(docs)
     at = docs.columns.index(text_col)
-    label = _predict(model, spans=False)
+    label = _predict(model, spans=False, sure=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = pa.RecordBatch.from_arrays([batch.column(at), batch.column(at).fill_null("")], ["id", "text"])
             found = next(label(iter([text])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, found.column(1), found.column(2)], [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found.columns[1:]], [*batch.schema.names, "lang_pred", "score", "confidence"])
 
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("confidence", DoubleType())])
     return docs.mapInArrow(run, schema)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import mixing, neardup, queries
+from tessera.llm import langid, mixing, neardup, queries
 from tessera.llm.shared import settle
 from tests.compare import connect, same
 
@@ -71,3 +71,16 @@ def test_copies_of_the_mix_are_encoded_apart(spark):
     got = corpus_pipeline.encode(spark, docs, "").collect()
     assert len({tuple(r.ids) for r in got}) == 4 and all(r.lossless for r in got)
     assert sorted(got) == sorted(corpus_pipeline.encode(spark, docs.repartition(3), "").collect())
+
+
+def test_language_stage_rejects_what_is_not_learned(spark, sf_dir):
+    start = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    short = start.filter("n_chars > 40").withColumn("text", F.array_join(F.slice(F.split("text", " "), 1, 2), " "))
+    odd = ["Αυτό είναι ένα κείμενο", "これは日本語です", "สวัสดีครับ", "one Αυτό είναι ένα κείμενο και άλλο", "xqzv kjwpq zzxj qqwk vbnx jjqz", "To jest polski tekst o niczym szczególnym"]
+    planted = spark.createDataFrame([(-1 - k, t, None, "s", len(t)) for k, t in enumerate(odd)], start.schema)
+    docs = settle(start.unionByName(short.withColumn("doc_id", F.col("doc_id") + 1_000_000)).unionByName(planted))
+    got = {r.doc_id for r in corpus_pipeline.language(spark, docs, sf_dir).collect()}
+    assert not [k for k in got if k < 0]
+    assert len(got) >= 0.99 * (start.count() + short.count())
+    by = {r.doc_id: r for r in langid.predict(planted, langid.fit(docs)).collect()}
+    assert [by[k].score for k in (-1, -2, -3)] == [0.0] * 3 and {r.lang_pred for r in by.values()} <= {"de", "en", "es", "fr"}
