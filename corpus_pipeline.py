@@ -34,9 +34,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: of each group of linked documents, that with the least doc_id stays; of repeated rows, one."""
-    groups = neardup.near_duplicates(docs, percent=NEAR_PERCENT).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(groups, F.expr("doc_id <=> kept_id")).select(*docs.columns).dropDuplicates(["doc_id"])
+    """MinHash near-dedup: of each group of linked rows, that with the least doc_id stays; rows without a doc_id all stay."""
+    return neardup.without_near_duplicates(docs, NEAR_PERCENT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,20 +65,24 @@ def mix_sources(
     cycle: int = 3,
     max_epochs: int = 3,
     seed: str = "mix",
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, taken, epochs.
 
     ``size`` counts words; ``epochs`` is how often the mix takes the document, ``taken`` the words it
     so takes. Null or empty texts and sources without words have size and taken 0, and target 0.
     A null source is a source, the last one. Repeated rows count each on its own. An empty table
-    gives an empty result. Other columns of ``docs`` are not looked at.
+    gives an empty result. Other columns of ``docs`` are not looked at; ``row_col``, if given, numbers
+    the rows and is in the result too, and rows of equal id and size are then in the order of a hash of the text.
     """
+    number = [F.col(row_col).alias("row_no"), F.xxhash64(text_col).alias("text_key")] if row_col else []
     sized = settle(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
             F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))).alias("key"),
+            *number,
         )
     )
     targets = source_targets(sized, cycle, max_epochs)
@@ -89,7 +93,7 @@ def mix_sources(
         .agg(F.sum("size").alias("slice_size"))
         .select(F.col("source_no").alias("no"), F.col("slice").alias("sl"), F.coalesce(F.sum("slice_size").over(before), F.lit(0)).alias("offset"))
     )
-    inside = W.partitionBy("source_no", "slice").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("source_no", "slice").orderBy("key", "doc_id", "size", *["text_key"] * bool(row_col)).rowsBetween(W.unboundedPreceding, 0)
     placed = settle(
         rows.withColumn("within", F.sum("size").over(inside))
         .join(slices, (F.col("source_no") == F.col("no")) & (F.col("slice") == F.col("sl")))
@@ -137,14 +141,15 @@ def mix_sources(
     return (
         placed.crossJoin(F.broadcast(cut))
         .withColumn("epochs", epochs)
-        .select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"), "epochs")
+        .select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"), "epochs", *[F.col("row_no").alias(row_col or "")] * bool(row_col))
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it takes it, with the columns of ``docs``."""
-    chosen = mix_sources(docs, **options).filter("epochs > 0").groupBy(F.col("doc_id").alias("mix_id")).agg(F.max("epochs").alias("mix_epochs"))
-    return docs.join(chosen, F.expr("doc_id <=> mix_id")).withColumn("mix_epoch", F.explode(F.sequence(F.lit(1), "mix_epochs"))).select(*docs.columns)
+    rows = settle(docs.withColumn("__row", F.monotonically_increasing_id()))
+    chosen = mix_sources(rows, row_col="__row", **options).filter("epochs > 0").select("__row", F.col("epochs").alias("__epochs"))
+    return rows.join(chosen, "__row").withColumn("__epoch", F.explode(F.sequence(F.lit(1), "__epochs"))).select(*docs.columns)
 
 
 ORACLE = r"""

@@ -288,6 +288,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def without_near_duplicates(docs: DataFrame, percent: float = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: one of each group of linked rows, and every row with a null id.
+
+    Each row is a document of its own, so rows of one id with texts that are not linked all stay. Of a group, the
+    row with the least id stays; of several with that id, that with the least hash of its columns.
+    """
+    rows = settle(docs.withColumn("__row", F.monotonically_increasing_id()))
+    own = rows.filter(F.col(id_col).isNotNull())
+    found = near_duplicates(own, "__row", text_col, percent).select(F.col("doc_id").alias("__found"), "component_id")
+    order = own.select("__row", F.struct(F.col(id_col), F.xxhash64(*docs.columns), F.col("__row")).alias("order"))
+    least = found.join(order, F.expr("__found = __row")).groupBy("component_id").agg(F.min("order").alias("least")).select(F.col("least.__row").alias("__stays"))
+    return rows.join(least, F.expr("__row = __stays"), "left").filter(F.col(id_col).isNull() | F.col("__stays").isNotNull()).select(*docs.columns)
+
+
 ORACLE = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w

@@ -1,5 +1,7 @@
 """The stages of the pipeline, one by one, and the registered queries."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +86,21 @@ def test_language_stage_rejects_what_is_not_learned(spark, sf_dir):
     assert len(got) >= 0.99 * (start.count() + short.count())
     by = {r.doc_id: r for r in langid.predict(planted, langid.fit(docs)).collect()}
     assert [by[k].score for k in (-1, -2, -3)] == [0.0] * 3 and {r.lang_pred for r in by.values()} <= {"de", "en", "es", "fr"}
+
+
+def test_rows_without_or_with_repeated_ids_stay_where_they_differ(spark):
+    a, b, c, d = ("the quick brown fox jumps over it", "a lazy dog sleeps all day long here", "nothing of this is said anywhere else", "one more text that is all by itself")
+    rows = [(None, a), (None, b), (None, b), (1, a), (2, a), (2, b), (2, c), (2, c), (3, b), (4, d), (4, d)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for some in (docs, docs.repartition(3)):
+        got = corpus_pipeline.near_duplicates(spark, some, "").select("doc_id", "text").collect()
+        assert Counter(map(tuple, got)) == Counter([(None, a), (None, b), (None, b), (1, a), (2, b), (2, c), (4, d)])
+
+
+def test_mix_matches_rows_that_share_an_id(spark):
+    rows = [(1, "w " * (k + 1), "big" if k % 2 else "small") for k in range(30)] + [(None, f"v{k} " * 5, "big") for k in range(30)] + [(1, "", "big")]
+    docs = settle(spark.createDataFrame([(k, t, "en", s, len(t)) for k, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long"))
+    taken = {r.source: r.taken for r in mixing.mix_sources(docs).groupBy("source").agg(F.sum("taken").alias("taken")).collect()}
+    mixed = mixing.mixed_documents(docs)
+    assert {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()} == taken
+    assert Counter(mixed.collect()) == Counter(mixing.mixed_documents(docs.repartition(3)).collect())
