@@ -22,21 +22,22 @@ from pyspark.sql import functions as F
 
 from tessera.llm.shared import small_batches
 
-#: Elements by role.
+#: Elements by role. RAW have text that is no markup and not shown; HIDDEN have markup that is not shown.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object select xmp noembed noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style title iframe noembed noframes".split())
+HIDDEN = frozenset("svg template".split())
+INLINE = frozenset("a abbr acronym audio b bdi bdo big br canvas cite code data del dfn em font i img input ins kbd label map mark math meter noscript object output picture progress q rp rt ruby s samp slot small span strike strong sub sup svg template time tt u var video wbr annotation menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("html body table ul ol dl div article section main aside nav footer header form".split())
-BOILERPLATE = frozenset("nav footer aside form menu dialog button".split())
+BOILERPLATE = frozenset("nav footer aside form menu dialog button select".split())
 CONTENT = frozenset("article main".split())
 SIGNS = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|social|related|sidebar|widget|menu|nav\w*|breadcrumbs?|comments?|disqus|repl(?:y|ies)|footer|header|masthead|copyright|login|search|tags|toolbar|pagination)(?=$|[\s_-])", re.I)
 
-_TAG = re.compile(r"""</?([a-zA-Z][^\s/>"']*+)(?:[^>"']++|"[^"]{0,65536}"|'[^']{0,65536}')*+>""")
-_PLAIN_TAG = re.compile(r"<([a-zA-Z][^\s/>]*+)[^>]*>")
-_SIGN_VALUES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
+_HEAD = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
+#: One attribute: its name, and the quote that begins its value or the value itself; or the end of the tag.
+_ATTRIBUTE = re.compile(r"""[\s/]*+(?:>|([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:(["'])|([^\s>]*+)))?+)""")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in (*RAW, "textarea")}
 
 
 @dataclass(slots=True)
@@ -53,122 +54,196 @@ class Block:
 
 
 class _Open:
-    __slots__ = ("tag", "number", "boilerplate", "content", "header", "sign", "keep", "link")
+    """An open element, with what it has from those around it; ``block`` is the nearest that is not inline."""
 
-    def __init__(self, tag: str, number: int, over: "_Open | None" = None, attributes: str = ""):
+    __slots__ = ("tag", "number", "boilerplate", "content", "header", "sign", "keep", "link", "hidden", "block", "above")
+
+    def __init__(self, tag: str, number: int, over: "_Open | None" = None, keep: bool = False, values: str = ""):
         self.tag, self.number = tag, number
         if over is None:
-            self.boilerplate = self.content = self.header = self.link = self.keep = self.sign = False
+            self.boilerplate = self.content = self.header = self.link = self.keep = self.sign = self.hidden = False
+            self.block, self.above = self, number
             return
         self.boilerplate = over.boilerplate or tag in BOILERPLATE
         self.content = over.content or tag in CONTENT
         self.header = over.header or (tag == "header" and not self.content)
         self.link = over.link or tag == "a"
-        self.keep, self.sign = over.keep, over.sign
-        if " " in attributes:
-            self.keep = self.keep or " keep" in attributes
-            if not self.sign and "=" in attributes:
-                values = "".join(f" {a or b or c}" for a, b, c in _SIGN_VALUES.findall(attributes))
-                self.sign = bool(values) and bool(SIGNS.search(values))
+        self.hidden = over.hidden or tag in HIDDEN
+        self.keep = over.keep or keep
+        self.sign = over.sign or (bool(values) and bool(SIGNS.search(values)))
+        self.block = over.block if tag in INLINE else self
+        self.above = over.number
+
+
+class _Stack:
+    """The open elements, with the places of each tag and of those that bound an implied end."""
+
+    def __init__(self):
+        self.open = [_Open("html", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.scopes = [0]
+
+    def push(self, element: _Open) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.open))
+        if element.tag in SCOPES:
+            self.scopes.append(len(self.open))
+        self.open.append(element)
+
+    def last(self, tags) -> int:
+        """The place of the innermost open element with one of the tags; 0 if there is none."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def cut(self, place: int) -> None:
+        """End the element at a place and all inside it."""
+        while len(self.open) > place:
+            tag = self.open.pop().tag
+            self.places[tag].pop()
+            if tag in SCOPES:
+                self.scopes.pop()
+
+
+class _Tags:
+    """Ends of the tags of a page, in time that grows with its length."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, {c: page.rfind(c) for c in ">\"'"}
+        self.plain = False  # after a tag whose quotes leave it without an end, each tag ends at the first >
+
+    def end(self, at: int) -> tuple[int, str, bool]:
+        """Where the tag whose name ends at ``at`` ends, or -1; the values of class, id and role; and whether it has the mark ``keep``."""
+        page = self.page
+        gt = page.find(">", at) if at <= self.last[">"] else -1
+        if gt < 0 or gt == at:
+            return gt + 1 or -1, "", False
+        if self.plain:
+            return gt + 1, "", False
+        values, keep = "", False
+        while True:
+            m = _ATTRIBUTE.match(page, at)
+            if m is None:  # the page ends first
+                self.plain = True
+                return gt + 1, "", False
+            name, quote, value = m.groups()
+            at = m.end()
+            if name is None:
+                return at, values, keep
+            if quote:
+                close = page.find(quote, at) if at <= self.last[quote] else -1
+                if close < 0:
+                    self.plain = True
+                    return gt + 1, "", False
+                value, at = page[at:close], close + 1
+            if len(name) < 6:
+                name = name.lower()
+                if value and name in ("class", "id", "role"):
+                    values += " " + value
+                keep = keep or name == "keep"
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page in order; raw and hidden elements give none."""
+    """The text blocks of a page in order; scripts, styles and hidden elements give none.
+
+    An element without end tag ends with the one around it, or where its kind implies an end. An attribute value
+    whose quote is never closed does not count as quoted, nor do later ones. A comment, script or style that is never closed
+    goes on to the end of the page; other elements of raw text count as empty then. Nesting has no limit.
+    """
     found: list[Block] = []
-    stack = [_Open("html", 0)]
+    stack, tags = _Stack(), _Tags(page)
+    top = stack.open[0]
     parts: list[str] = []
     links = 0
     numbers = 0
+    endless: set[str] = set()
 
     def flush() -> None:
         nonlocal links
         if parts:
-            text = parts[0] if len(parts) == 1 else "".join(parts)
-            text = " ".join((entities.unescape(text) if "&" in text else text).split())
+            text = " ".join((parts[0] if len(parts) == 1 else "".join(parts)).split())
             if text:
-                k = len(stack) - 1
-                while k and stack[k].tag in INLINE:
-                    k -= 1
-                at, above = stack[k], stack[max(0, k - 1)]
-                found.append(Block(text, at.tag, above.number, links, at.boilerplate, at.content, at.header, at.sign, at.keep))
+                at = top.block
+                found.append(Block(text, at.tag, at.above, links, at.boilerplate, at.content, at.header, at.sign, at.keep))
             parts.clear()
         links = 0
 
+    def say(text: str) -> None:
+        nonlocal links
+        if not in_head and not top.hidden:
+            parts.append(entities.unescape(text) if "&" in text else text)
+            if top.link:
+                links += len(text)
+
     at, end, in_head = 0, len(page), False
     while at < end:
         lt = page.find("<", at)
         if lt < 0:
-            lt = end
-        if lt > at and not in_head:
-            parts.append(page[at:lt])
-            if stack[-1].link:
-                links += lt - at
-        if lt == end:
+            say(page[at:])
             break
+        if lt > at:
+            say(page[at:lt])
         at = lt
-        if page.startswith("<!--", at):
-            close = page.find("-->", at + 4)
-            at = end if close < 0 else close + 3
-            continue
-        m = _TAG.match(page, at)
+        m = _HEAD.match(page, at)
         if m is None:
             following = page[at + 1 : at + 2]
-            close = page.find(">", at) if following in ("!", "?") or following == "/" or following.isalpha() else -1
-            if close < 0:
-                if not in_head:
-                    parts.append("<")
-                at += 1
-            elif following in ("!", "?", "/"):
-                at = close + 1
+            if page.startswith("<!--", at):
+                close = at + 4 if page.startswith(">", at + 4) else at + 5 if page.startswith("->", at + 4) else page.find("-->", at + 4) + 2
+                at = end if close < 4 else close + 1
+            elif following and following in "!?/" and at <= tags.last[">"]:
+                at = page.find(">", at) + 1
             else:
-                m = _PLAIN_TAG.match(page, at)
-        if m is None:
+                say("<")
+                at += 1
+            continue
+        after, values, keep = tags.end(m.end())
+        if after < 0:
+            say("<")
+            at += 1
             continue
-        at = m.end()
-        raw = m.group()
-        tag = m[1].lower()
-        if raw[1] == "/":
+        closing, at, tag = page[at + 1] == "/", after, m[1].lower()
+        if closing:
             if tag == "head":
                 in_head = False
             elif tag == "p" or tag not in INLINE:
                 flush()
-            for k in range(len(stack) - 1, max(0, len(stack) - 256), -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if place := stack.last((tag,)):
+                stack.cut(place)
+                top = stack.open[-1]
             continue
-        if tag in RAW:
-            close = _RAW_END[tag].search(page, at)
-            if raw[-2] != "/" or tag in ("script", "style"):
-                if close is None:
+        if tag in RAW or tag == "textarea":
+            close = None if tag in endless else _RAW_END[tag].search(page, at)
+            if close is None:
+                endless.add(tag)
+                if tag in ("script", "style"):
                     break
-                gt = page.find(">", close.end())
-                at = end if gt < 0 else gt + 1
-            if tag not in INLINE:
-                parts.append(" ")
+                continue
+            if tag == "textarea":
+                say(" " + page[at : close.start()] + " ")
+            after = tags.end(close.end())[0]
+            at = end if after < 0 else after
             continue
         if tag == "head":
             in_head = True
             continue
-        if tag == "body" or (in_head and tag not in VOID and tag != "base"):
+        if tag == "body" or (in_head and tag not in VOID):
             in_head = False
+        if tag in ("html", "body"):
+            flush()
+            continue
+        if top.hidden and (tag == "p" or tag in CLOSES_P) and (place := stack.last(("svg",))):
+            stack.cut(place)  # a drawing holds no such elements, so it was not closed
+            top = stack.open[-1]
         if tag == "br":
-            parts.append(" ")
-        if tag not in INLINE:
+            say(" ")
+        elif tag not in INLINE:
             flush()
-        if tag in VOID or tag in ("html", "body"):
+        if tag in VOID or ((top.hidden or tag in ("svg", "math")) and page.startswith("/>", at - 2)):
             continue
-        ended = {"p"} if tag in CLOSES_P else SIBLINGS.get(tag)
-        if ended:
-            for k in range(len(stack) - 1, max(0, len(stack) - 256), -1):
-                if stack[k].tag in ended:
-                    del stack[k:]
-                    break
-                if stack[k].tag in SCOPES:
-                    break
+        ended = ("p",) if tag in CLOSES_P else SIBLINGS.get(tag)
+        if ended and (place := stack.last(ended)) > stack.scopes[-1]:
+            stack.cut(place)
+            top = stack.open[-1]
         numbers += 1
-        if len(stack) < 4096:
-            stack.append(_Open(tag, numbers, stack[-1], raw))
+        top = _Open(tag, numbers, top, keep, values)
+        stack.push(top)
     flush()
     return found
 
@@ -291,6 +366,53 @@ def source_side(n: int, source: list[float], sink: list[float], edges: list[tupl
                 following[a] += 1
 
 
+def separate(n: int, source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
+    """``source_side``, after blocks that no edges can outvote are settled and left out.
+
+    A block whose preference for one terminal is at least the sum of its edges is on that side in a minimum cut; its
+    neighbours then lean to that side by their edge. The flow runs over what is left, one connected part after the other; its
+    rounds grow with the length of runs of blocks that are nearly undecided.
+    """
+    lean = [a - b for a, b in zip(source, sink, strict=True)]
+    around: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+    for a, b, c in edges:
+        around[a].append((b, c))
+        around[b].append((a, c))
+    loose = [sum(c for _, c in x) for x in around]
+    side: list[bool | None] = [None] * n
+    ready = list(range(n))
+    while ready:
+        k = ready.pop()
+        if side[k] is not None or abs(lean[k]) < loose[k]:
+            continue
+        side[k] = lean[k] > 0
+        for j, c in around[k]:
+            if side[j] is None:
+                lean[j] += c if side[k] else -c
+                loose[j] -= c
+                ready.append(j)
+    for first in range(n):
+        if side[first] is not None:
+            continue
+        part, number, waiting = [], {first: 0}, [first]
+        while waiting:
+            k = waiting.pop()
+            number[k] = len(part)
+            part.append(k)
+            for j, _ in around[k]:
+                if side[j] is None and j not in number:
+                    number[j] = -1
+                    waiting.append(j)
+        if all(lean[k] > 0 for k in part) or all(lean[k] <= 0 for k in part):
+            on = [lean[first] > 0] * len(part)
+        else:
+            inside = [(number[k], number[j], c) for k in part for j, c in around[k] if j in number and j > k]
+            on = source_side(len(part), [max(lean[k], 0.0) for k in part], [max(-lean[k], 0.0) for k in part], inside)
+        for k, x in zip(part, on, strict=True):
+            side[k] = x
+    return [bool(x) for x in side]
+
+
 def main_text(page: str, weights: list[float]) -> str:
     """The content blocks of a page in order, joined by line feeds."""
     found = blocks_of(page)
@@ -306,7 +428,7 @@ def main_text(page: str, weights: list[float]) -> str:
         if b.parent in last:
             edges.append((last[b.parent], k, KIN))
         last[b.parent] = k
-    side = source_side(len(found), source, sink, edges)
+    side = separate(len(found), source, sink, edges)
     return "\n".join(b.text for b, content in zip(found, side, strict=True) if content)
 
 
@@ -314,7 +436,8 @@ def extract_main_text(pages: DataFrame, weights: list[float] | None = None, id_c
     """page_id, url, text and n_chars (code points) of each row.
 
     Null or empty html, and pages without content, give an empty text. Rows of equal id stay apart; null ids and urls
-    pass through; other columns are not looked at. Whole pages of any length are read.
+    pass through; other columns are not looked at. Whole pages of any length and nesting are read (see ``blocks_of`` for elements
+    that are not closed).
     """
     small_batches(pages)
     weights = weights or train()
