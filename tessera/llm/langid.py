@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tessera.llm.shared import small_batches
-from tessera.llm.textops import BASE, chunks, mix, runs
+from tessera.llm.textops import BASE, chunks, hash_points, mix, runs
 
 #: Labelled texts that the model is fitted on at most, chosen by a hash of their id.
 SAMPLE = 6000
@@ -27,6 +27,8 @@ SWITCH = 6.0
 #: Most that one word may say for one language over another.
 WORD_CAP = 4.0
 UNDETERMINED = "und"
+#: Texts times languages up to which texts are labelled one by one.
+APART = 64
 #: A text is trusted as if it had so many more n-grams, all as likely as in its languages' own texts; short ones vary.
 EASE = 20
 
@@ -127,6 +129,9 @@ class LanguageModel:
 
         Also the log likelihoods themselves, and how many n-grams each word has.
         """
+        # Each different word once.
+        _, some, back = np.unique(hash_points(cp, starts, ends), return_index=True, return_inverse=True)
+        starts, ends = starts[some], ends[some]
         total = np.zeros((len(starts), len(self.languages)), np.float32)
         count = np.zeros(len(starts), np.float32)
         for bucket, owner in _grams(cp, starts, ends):
@@ -141,7 +146,7 @@ class LanguageModel:
         none = ~ok.any(1)
         total[none] = 0
         total -= total.max(1, keepdims=True)
-        return np.maximum(total, -WORD_CAP), whole, count
+        return np.maximum(total, -WORD_CAP)[back], whole[back], count[back]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,6 +182,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     if not len(counted):
         return None
     languages = sorted(set(counted["lang"]), key=lambda x: x.encode())
+    if len(languages) > np.iinfo(np.int16).max:
+        raise ValueError(f"{len(languages)} languages are too many")
     scripts = N_SCRIPTS
     table = np.zeros((scripts + (1 << BITS), len(languages)))
     table[counted["bucket"], counted["lang"].map({x: k for k, x in enumerate(languages)})] = counted["n"]
@@ -188,16 +195,20 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
 
 
 def viterbi(scores: np.ndarray, rows: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """The best label of each word; ``rows`` are the offsets of texts in the words. All texts step together."""
+    """The best label of each word; ``rows`` are the offsets of texts in the words.
+
+    All texts step together; where few go on, each of those goes on by itself, with the same sums.
+    """
     n_words, n_lang = scores.shape
     length = np.diff(rows)
     order = np.argsort(-length, kind="stable")
     begin, length = rows[:-1][order], length[order]
     steps = int(length[0]) if len(length) else 0
     alive = np.searchsorted(-length, -np.arange(steps), "left")  # texts longer than each step
-    best = np.zeros((len(order), n_lang), np.float32)
-    origin = np.zeros((n_words, n_lang), np.int8)
-    stay = np.arange(n_lang, dtype=np.int8)
+    steps = int(np.searchsorted(-alive * n_lang, -APART, "right"))
+    best = np.zeros((len(order), n_lang))
+    origin = np.zeros((n_words, n_lang), np.int16)
+    stay = np.arange(n_lang, dtype=np.int16)
     for t in range(steps):
         k = alive[t]
         at = begin[:k] + t
@@ -206,11 +217,14 @@ def viterbi(scores: np.ndarray, rows: np.ndarray, switch: float = SWITCH) -> np.
             top = now.argmax(1)
             jump = now[np.arange(k), top] - switch
             moved = now < jump[:, None]
-            origin[at] = np.where(moved, top[:, None].astype(np.int8), stay)
+            origin[at] = np.where(moved, top[:, None].astype(np.int16), stay)
             now = np.where(moved, jump[:, None], now)
         best[:k] = now + scores[at]
-    label = np.zeros(n_words, np.int8)
-    state = best.argmax(1).astype(np.int8)
+    label = np.zeros(n_words, np.int16)
+    state = best.argmax(1).astype(np.int16)
+    for j in range(alive[steps] if steps < len(alive) else 0):
+        first = begin[j] + steps
+        label[first : begin[j] + length[j]], state[j] = _alone(scores[first : begin[j] + length[j]], best[j], switch, steps == 0)
     for t in range(steps - 1, -1, -1):
         k = alive[t]
         at = begin[:k] + t
@@ -220,6 +234,28 @@ def viterbi(scores: np.ndarray, rows: np.ndarray, switch: float = SWITCH) -> np.
     return label
 
 
+def _alone(scores: np.ndarray, best: np.ndarray, switch: float, fresh: bool) -> tuple[np.ndarray, int]:
+    """The best labels of the words of one text from ``best`` on, and the label before them; ``fresh``: there is none."""
+    now, back = best.tolist(), []
+    for word in scores.tolist():
+        high = max(now)
+        jump = high - switch
+        if fresh or min(now) >= jump:
+            fresh = False
+            back.append(None)
+            now = [x + s for x, s in zip(now, word)]  # noqa: B905
+        else:
+            top = now.index(high)
+            back.append([top if x < jump else k for k, x in enumerate(now)])
+            now = [(jump if x < jump else x) + s for x, s in zip(now, word)]  # noqa: B905
+    at, out = now.index(max(now)), []
+    for came in reversed(back):
+        out.append(at)
+        if came is not None:
+            at = came[at]
+    return np.array(out[::-1], np.int16), at
+
+
 def _predict(model: LanguageModel | None, spans: bool, sure: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,6 +271,7 @@ def _predict(model: LanguageModel | None, spans: bool, sure: bool = False):
                 s, whole, count = model.scores(cp, script, starts, ends)
                 label = viterbi(s, rows)
                 row = np.repeat(np.arange(b - a), np.diff(rows))
+                label = label.astype(np.int64)
                 known = model.known(script, starts)
                 letters = np.bincount(row * n_lang + label, (ends - starts) * known, (b - a) * n_lang).reshape(b - a, n_lang)
                 all_letters = np.bincount(row, ends - starts, b - a)

@@ -100,6 +100,14 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((total[ends] - total[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
 
 
+def hash_points(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of code points."""
+    p, inv = powers(len(points) + 1)
+    total = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * p[: len(points)], out=total[1:])
+    return mix((total[ends] - total[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
+
+
 def shingle_hashes(words: np.ndarray, row_words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each row's runs of ``width`` words, of its whole words if fewer, and the offsets of rows in them."""
     n = np.diff(row_words)
