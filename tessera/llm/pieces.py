@@ -5,7 +5,8 @@ skipped where a keyed hash of the seed, the document, the occurrence and the can
 varied segmentations into the model's own pieces. A unit is a word with the spaces before it (no piece
 crosses from a letter to a space). Each occurrence of a unit has drops of its own, a bit for each turn, and
 results do not depend on how documents are dealt to tasks. Segmentations are kept by unit and the drops that
-they met, which says them whole, so what is kept never stands for other drops.
+they met, which says them whole, so what is kept never stands for other drops. All occurrences of a chunk
+look theirs up together.
 
 Characters that no piece has, and U+2581 itself, become byte pieces, so decoding gives back every text.
 """
@@ -29,13 +30,13 @@ from tessera.llm.textops import BASE, chunks, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 1
-#: Segmentations that a worker keeps, twice.
-KEPT = 300_000
+#: Segmentations that a worker keeps, and how many children of one.
+KEPT, BRANCHES = 600_000, 24
 #: Longest unit whose drops fit in 63 bits: n characters have 3 * (n - 1) candidates at most.
 SHORT = 22
 SPACE = "▁"
 _UNITS = re.compile("\n|▁| *[^ \n▁]+| +")
-_NEVER = 1 << 60
+_NEVER = (1 << 31) - 1
 _ALL = (1 << 63) - 1
 
 
@@ -86,15 +87,15 @@ class Pairs:
                 if a is not None and b is not None:
                     found[a << 32 | b] = r
         self.keys = np.array(sorted(found), np.int64)
-        self.ranks = np.array([found[k] for k in self.keys.tolist()], np.int64)
-        self.made = np.array([v.ids[name] for name in v.rank], np.int64)
-        self.of_char = np.full(1 << 16, -1, np.int64)
+        self.ranks = np.array([found[k] for k in self.keys.tolist()], np.int32)
+        self.made = np.array([v.ids[name] for name in v.rank], np.int32)
+        self.of_char = np.full(1 << 16, -1, np.int32)
         for name, k in v.ids.items():
             if len(name) == 1 and ord(name) < 1 << 16:
                 self.of_char[ord(name)] = k
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a << 32 | b
+        key = a.astype(np.int64) << 32 | b
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where((b >= 0) & (self.keys[at] == key), self.ranks[at], _NEVER)
 
@@ -102,7 +103,9 @@ class Pairs:
 class Encoder:
     """Encodes texts; keeps what it found for frequent units.
 
-    Drops are the bits of a number: bit k says whether the candidate that comes up as number k is skipped.
+    Drops are the bits of a number: bit k says whether the candidate that comes up as number k is skipped. What is
+    kept of a unit is a tree: its root is the segmentation without drops, and the child k of a node is that
+    with candidate k skipped too, k being above all that the node skips. A node knows how many candidates come up.
     """
 
     def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED):
@@ -112,14 +115,42 @@ class Encoder:
         self.variants = 1 << 63 if self.dropping else 1
         # Eight drops by each 16 bits of a keyed hash: a table that the seed fills.
         bits = np.random.Generator(np.random.PCG64(seed)).random((1 << 16, 8)) < dropout
-        self.drop = (bits << np.arange(8)).sum(1).astype(np.uint64)
+        self.drop = (bits << np.arange(8)).sum(1).astype(np.int64)
         self.pairs = Pairs(vocabulary)
         self.token = {name: np.int32(k).tobytes() for name, k in vocabulary.ids.items()}
         self.byte_token = [np.int32(k).tobytes() for k in vocabulary.byte]
-        # By unit: which bits the segmentation without drops looks at, its ids, and the same by other drops.
-        self.young: dict[str, tuple[int, bytes, dict]] = {}
-        self.old: dict[str, tuple[int, bytes, dict]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start the trees anew."""
+        self.roots: dict[str, int] = {}
+        self.units: list[str] = []
         self.size = 0
+        #: By node: bits of the candidates that come up, those skipped, where its ids are, and its children.
+        self.seen, self.met, self.begin, self.length = (np.zeros(1024, np.int64) for _ in range(4))
+        self.child = np.full((1024, BRANCHES), -1, np.int32)
+        self.pool, self.filled = np.zeros(1 << 14, np.int32), 0
+        #: Once KEPT are kept: their number, ids in the pool, and the links to nodes that are not.
+        self.full: tuple[int, int] | None = None
+        self.loose: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def _trim(self, n: int) -> None:
+        """Once KEPT segmentations are kept, more last for one call only; if ``n`` units needed many more, the texts have changed, and it starts anew."""
+        if self.full is None:
+            if self.size >= KEPT:
+                self.full = self.size, self.filled
+            return
+        size, filled = self.full
+        if self.size - size > 0.35 * n + 1000:
+            self._forget()
+            return
+        for at, turn in self.loose:
+            self.child[at[at < size], turn[at < size]] = -1
+        for k in (np.flatnonzero(self.met[size : self.size] == 0) + size).tolist():
+            del self.roots[self.units[k]]
+        self.child[size : self.size] = -1
+        del self.units[size:]
+        self.size, self.filled, self.loose = size, filled, []
 
     def _short(self, text: str, drops: int) -> list[str]:
         return self._turns(text, drops)[0]
@@ -202,26 +233,24 @@ class Encoder:
         return self._ids(self._long(unit.replace(" ", SPACE), drops))
 
     def _many(self, units: list[str], drops: list[int]) -> list[bytes]:
-        return self._all_found(units, drops)[0]
+        at = self._add(units, np.array(drops, np.int64))
+        return [self.pool[a : a + n].tobytes() for a, n in zip(self.begin[at].tolist(), self.length[at].tolist(), strict=True)]
 
-    def _all_found(self, units: list[str], drops: list[int]) -> tuple[list[bytes], list[int]]:
-        """``_found`` of short units, all at once: in each round every unit handles the top of its agenda."""
-        pairs, n = self.pairs, len(units)
-        size = np.array([len(u) for u in units])
-        width = int(size.max())
-        points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-        filled = np.arange(width) < size[:, None]
-        part = np.full((n, width), -1, np.int64)
-        part[filled] = np.where(points < 1 << 16, pairs.of_char[np.minimum(np.where(points == 32, ord(SPACE), points), (1 << 16) - 1)], -2)
-        bits = np.array(drops, np.int64)
+    def _all_found(self, part: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of short units, one after the other, how many each has, and how many candidates came up.
+
+        ``part`` holds a unit a row, its characters as pieces, then -1. In each round every unit handles the top of its agenda.
+        """
+        pairs, (n, width) = self.pairs, part.shape
         turns = np.zeros(n, np.int64)
-        agenda = np.full((n, width), _NEVER)
+        agenda = np.full((n, width), _NEVER, np.int32)
         agenda[:, :-1] = pairs.rank(part[:, :-1], part[:, 1:])
         row = np.arange(n)
         column = np.arange(width)
         while len(row):
-            k = agenda[row].argmin(1)
-            r = agenda[row, k]
+            now = agenda if len(row) == n else agenda[row]
+            k = now.argmin(1)
+            r = now[np.arange(len(row)), k]
             live = r < _NEVER
             row, k, r = row[live], k[live], r[live]
             skip = (bits[row] >> turns[row]) & 1 > 0
@@ -229,9 +258,9 @@ class Encoder:
             agenda[row[skip], k[skip]] = _NEVER
             m, k, r = row[~skip], k[~skip], r[~skip]
             # What stands after the merged pair moves one place to the left.
-            take = np.minimum(column + (column > k[:, None]), width - 1)
+            take = np.minimum(column + (column > k[:, None]), width - 1) + (m * width)[:, None]
             for a, end in ((part, -1), (agenda, _NEVER)):
-                moved = np.take_along_axis(a[m], take, 1)
+                moved = a.ravel()[take]
                 moved[:, -1] = end
                 a[m] = moved
             part[m, k] = pairs.made[r]
@@ -240,106 +269,144 @@ class Encoder:
             left = k > 0
             agenda[m[left], k[left] - 1] = pairs.rank(part[m[left], k[left] - 1], part[m[left], k[left]])
         real = part >= 0
-        flat = part[real].astype(np.int32).tobytes()
-        ends = (4 * np.cumsum(real.sum(1))).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], turns.tolist()
-
-    def _learn(self, missing: dict[tuple[str, int], None]) -> None:
-        """Segmentations of short units that are not at hand, by their drops."""
-        out, plain = [], []
-        of_char = self.pairs.of_char
+        return part[real], real.sum(1), turns
+
+    def _room(self, nodes: int, ids: int) -> None:
+        """Let the trees have room for so many nodes and ids more."""
+        if (short := self.size + nodes - len(self.seen)) > 0:
+            short += self.size + nodes
+            self.seen, self.met, self.begin, self.length = (np.concatenate([x, np.zeros(short, np.int64)]) for x in (self.seen, self.met, self.begin, self.length))
+            self.child = np.concatenate([self.child, np.full((short, BRANCHES), -1, np.int32)])
+        if self.filled + ids > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(self.filled + 2 * ids, np.int32)])
+
+    def _add(self, units: list[str], drops: np.ndarray) -> np.ndarray:
+        """New nodes of short units by their drops; their numbers follow each other."""
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        start = np.cumsum(sizes) - sizes
+        points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
+        piece = self.pairs.of_char[np.where(points == 32, ord(SPACE), np.minimum(points, (1 << 16) - 1))]
         # Characters without a piece of their own become bytes, one unit at a time.
-        points = set("".join({u for u, _ in missing}))
-        odd = {c for c in points if c != " " and (c == SPACE or ord(c) >= 1 << 16 or of_char[ord(c)] < 0)}
-        for x in missing:
-            if odd and not odd.isdisjoint(x[0]):
-                out.append((x, *self._found(*x)))
-            else:
-                plain.append(x)
-        plain.sort(key=lambda x: len(x[0]))
-        for a in range(0, len(plain), 8192):
-            some = plain[a : a + 8192]
-            out += zip(some, *self._all_found([u for u, _ in some], [d for _, d in some]), strict=True)
-        for (unit, drops), ids, turns in out:
-            seen = (1 << turns) - 1
-            if drops:
-                self.young[unit][2][drops] = seen, ids
-            else:
-                self.young[unit] = seen, ids, {}
-        self.size += len(out)
-
-    def _walk(self, unit: str, drops: int) -> tuple[bytes | None, int]:
-        """The ids of a short unit, or None and the first of its drops that nothing is kept for.
+        piece[(points >= (1 << 16) - 1) | (points == ord(SPACE))] = -1
+        odd = np.minimum.reduceat(piece, start) < 0
+        self._room(len(units), len(points) * 4)
+        at = np.arange(self.size, self.size + len(units))
+        self.met[at] = drops
+
+        def put(nodes, ids, length, turns) -> None:
+            ends = self.filled + np.cumsum(length)
+            self.length[nodes], self.begin[nodes], self.seen[nodes] = length, ends - length, (np.int64(1) << turns) - 1
+            self.pool[self.filled : ends[-1]] = ids
+            self.filled = int(ends[-1])
+
+        for k in np.flatnonzero(odd).tolist():
+            ids, turns = self._found(units[k], int(drops[k]))
+            put(at[k : k + 1], np.frombuffer(ids, np.int32), np.array([len(ids) // 4]), np.array([turns]))
+        plain = np.flatnonzero(~odd)
+        plain = plain[np.argsort(sizes[plain], kind="stable")]
+        for a in range(0, len(plain), 4096):
+            some = plain[a : a + 4096]
+            column = np.arange(sizes[some[-1]])
+            part = np.where(column < sizes[some, None], piece[np.minimum(start[some, None] + column, len(piece) - 1)], np.int32(-1))
+            put(at[some], *self._all_found(part, drops[some]))
+        self.units += units
+        self.size += len(units)
+        return at
+
+    def _down(self, node: np.ndarray, drops: np.ndarray) -> dict[int, bytes]:
+        """Lead the roots in ``node`` to the nodes of their drops; what has no node is given by its place.
 
         Up to the first drop all is as without one; up to the second as with the first only, and so on.
         """
-        found = self.young.get(unit)
-        if found is None:
-            found = self.old.get(unit)
-            if found is None:
-                return None, 0
-            self.young[unit] = found
-            self.size += 1 + len(found[2])
-        seen, ids, others = found
-        met = 0
-        while (left := drops & seen) != met:
-            left ^= met
-            met |= left & -left
-            found = others.get(met)
-            if found is None:
-                return None, met
-            seen, ids = found
-        return ids, met
-
-    def _drops(self, units: list[str], document: int) -> tuple[list[int], np.ndarray]:
-        """The drops of each occurrence, and its hash."""
-        base = np.uint64((document * 0x9E3779B97F4A7C15 + self.seed) & 0xFFFFFFFFFFFFFFFF)
-        key = mix(np.arange(len(units), dtype=np.uint64) + mix(np.array([base]))[0])
+        apart: dict[int, bytes] = {}
+        moving = np.flatnonzero(drops & self.seen[node])
+        while len(moving):
+            at = node[moving]
+            left = drops[moving] & self.seen[at] & ~self.met[at]
+            moving, at, left = moving[left != 0], at[left != 0], left[left != 0]
+            if not len(moving):
+                break
+            low = left & -left
+            bit = np.frexp(low.astype(np.float64))[1] - 1
+            far = bit >= BRANCHES
+            for k in moving[far].tolist():
+                apart[k] = self._unit(self.units[node[k]], int(drops[k]))
+            moving, at, bit = moving[~far], at[~far], bit[~far]
+            to = self.child[at, bit]
+            missing = np.flatnonzero(to < 0)
+            if len(missing):
+                ways, back = np.unique(at[missing] * 64 + bit[missing], return_inverse=True)
+                above, turn = ways >> 6, ways & 63
+                new = self._add([self.units[a] for a in above.tolist()], self.met[above] | np.int64(1) << turn)
+                self.child[above, turn] = new
+                if self.full is not None:
+                    self.loose.append((above, turn))
+                to[missing] = new[back]
+            node[moving] = to
+        return apart
+
+    def _drops(self, sizes: np.ndarray, documents: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The drops of each occurrence of a unit, by its document and place there, and its hash."""
+        with np.errstate(over="ignore"):
+            key = mix(place.astype(np.uint64) + mix(documents.astype(np.uint64) * BASE + np.uint64(self.seed)))
         if not self.dropping:
-            return [0] * len(units), key
+            return np.zeros(len(sizes), np.int64), key
 
         def bits(h):
-            parts = [self.drop[(h >> np.uint64(16 * k)) & np.uint64(0xFFFF)] << np.uint64(8 * k) for k in range(4)]
+            parts = [self.drop[(h >> np.uint64(16 * k)) & np.uint64(0xFFFF)] << (8 * k) for k in range(4)]
             return parts[0] | parts[1] | parts[2] | parts[3]
 
         drops = bits(key)
         # Up to 11 characters have 30 candidates at most.
-        more = np.array([k for k, u in enumerate(units) if len(u) > 11], np.int64)
+        more = np.flatnonzero(sizes > 11)
         if len(more):
-            drops[more] |= (bits(mix(key[more] + BASE)) << np.uint64(32)) & np.uint64(_ALL)
-        return drops.tolist(), key
+            drops[more] |= (bits(mix(key[more] + BASE)) << 32) & _ALL
+        return drops, key
 
     def encode_many(self, texts: list[str], documents: list[int]) -> list[bytes]:
         """The ids of the pieces of each text, as 32-bit numbers."""
-        if self.size >= KEPT:
-            self.old, self.young, self.size = self.young, {}, 0
-        split, holes = [], []
-        for text, document in zip(texts, documents, strict=True):
-            units = _UNITS.findall(" " + text) if text else []
-            drops, key = self._drops(units, document)
-            found = []
-            get, put = self.young.get, found.append
-            for k, unit in enumerate(units):
-                kept = get(unit)
-                if kept is not None and not drops[k] & kept[0]:
-                    put(kept[1])
-                elif len(unit) > SHORT:
-                    put(self._long_unit(unit, int(key[k])))
-                else:
-                    ids, met = self._walk(unit, drops[k])
-                    put(ids)
-                    if ids is None:
-                        holes.append((found, k, unit, drops[k], met))
-            split.append(found)
-        while holes:
-            self._learn({(unit, met): None for _, _, unit, _, met in holes})
-            left = []
-            for found, k, unit, drops, _ in holes:
-                found[k], met = self._walk(unit, drops)
-                if found[k] is None:
-                    left.append((found, k, unit, drops, met))
-            holes = left
-        return [b"".join(found) for found in split]
+        units, rows = [], [0]
+        for text in texts:
+            if text:
+                units += _UNITS.findall(" " + text)
+            rows.append(len(units))
+        if not units:
+            return [b""] * len(texts)
+        rows = np.array(rows)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        of = np.repeat(np.arange(len(texts)), np.diff(rows))
+        drops, key = self._drops(sizes, np.array(documents, np.int64)[of], np.arange(len(units)) - rows[of])
+        get = self.roots.get
+        node = np.array([get(u, -1) for u in units])
+        new = {units[k]: None for k in np.flatnonzero((node < 0) & (sizes <= SHORT)).tolist()}
+        if new:
+            self.roots.update(zip(new, self._add(list(new), np.zeros(len(new), np.int64)).tolist(), strict=True))
+            holes = np.flatnonzero((node < 0) & (sizes <= SHORT))
+            node[holes] = [get(units[k]) for k in holes.tolist()]
+        short = np.flatnonzero(node >= 0)
+        led = node[short]
+        apart = {int(short[k]): ids for k, ids in self._down(led, drops[short]).items()}
+        node[short] = led
+        for k in np.flatnonzero(node < 0).tolist():
+            apart[k] = self._long_unit(units[k], int(key[k]))
+        length = np.where(node >= 0, self.length[node], 0)
+        for k, ids in apart.items():
+            length[k] = len(ids) // 4
+        ends = np.cumsum(length)
+        out = self.pool[np.repeat(self.begin[node] - ends + length, length) + np.arange(ends[-1])] if not apart else self._with(apart, node, length, ends)
+        bounds = np.concatenate([[0], ends])[rows]
+        self._trim(len(units))
+        return [out[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+    def _with(self, apart: dict[int, bytes], node: np.ndarray, length: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The ids of all units where some are not in the pool."""
+        begin = self.begin[node]
+        begin[list(apart)] = 0
+        index = np.repeat(begin - ends + length, length) + np.arange(ends[-1])
+        out = self.pool[np.minimum(index, len(self.pool) - 1)]
+        for k, ids in apart.items():
+            out[ends[k] - length[k] : ends[k]] = np.frombuffer(ids, np.int32)
+        return out
 
     def encode(self, text: str, document: int) -> bytes:
         return self.encode_many([text], [document])[0]

@@ -299,6 +299,43 @@ def test_warc_round_trip(spark):
     assert warc.archive_pages(spark, pages.limit(0)).count() == 0
 
 
+def test_warc_pointers_resolve(spark):
+    """Ids are unique, each revisit refers to a response of its payload, and the archives are gzip members with whole records."""
+    long = "<p>" + "z" * 3000 + "</p>"
+    rows = [(k, f"http://a/{k}", long if k % 3 else f"{k} " + long) for k in range(90)] + [(89, "http://b/89", long)] * 3 + [(None, "n", long)]
+    index = warc.write_archives(frame(spark, rows, "page_id long, url string, html string").repartition(5))
+    got = warc.read_records(index).collect()
+    by_id = {r.record_id: r for r in got}
+    assert len(by_id) == len(got) == len(rows)
+    revisits = [r for r in got if r.record_type == "revisit"]
+    assert len(revisits) == 60 and all(r.page_id != 89 for r in revisits)
+    for r in revisits:
+        target = by_id[r.refers_to_record]
+        assert target.record_type == "response" and target.page_id == r.refers_to == 89 and target.payload_digest == r.payload_digest and target.payload_bytes == r.payload_bytes == len(long)
+    for archive in {r.archive for r in index.collect()}:
+        system, path = warc.opened(archive)
+        data, members = system.open_input_file(path).read(), []
+        while data:
+            unpack = zlib.decompressobj(wbits=31)
+            members.append(unpack.decompress(data) + unpack.flush())
+            data = unpack.unused_data
+        for m in members:
+            head, _, rest = m.partition(b"\r\n\r\n")
+            length = int(re.search(rb"\r\nContent-Length: (\d+)", head)[1])
+            assert head.startswith(b"WARC/1.1\r\n") and rest[length:] == b"\r\n\r\n" and rest.startswith(b"HTTP/1.1 200 OK\r\n")
+
+
+def test_warc_is_read_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "READ_TASK", 2000)
+    monkeypatch.setattr(warc, "FEW", 0)
+    rnd = random.Random(1)
+    rows = [(k, "u", "".join(rnd.choices("abcdef", k=1200)) if k % 2 else "same " * 300) for k in range(60)]
+    data = frame(spark, rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash")).withColumn("archive", F.lit(1)).withColumn("size", F.lit(2)).withColumn("page", F.lit(3))
+    got = warc.read_records(warc.write_archives(data), payloads=False)
+    assert "payload" not in got.columns and got.rdd.getNumPartitions() > 5
+    assert Counter(r.record_type for r in got.collect()) == {"response": 31, "revisit": 29}
+
+
 def test_warc_reads_selected_ranges_only(spark):
     pages = frame(spark, [(k, f"u{k}", f"page {k}") for k in range(50)], "page_id long, url string, html string")
     index = warc.write_archives(pages)
