@@ -505,6 +505,46 @@ def test_nearest(spark):
         assert [(-r.score, r.vec_id) for r in v] == sorted((-r.score, r.vec_id) for r in v)
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_nearest_in_many_parts_and_two_levels(spark, monkeypatch, kind):
+    """Small blocks, few centroids and small lists: several groups a list, a second level, and queries that go on."""
+    for name, value in (("BLOCK", 64 * 16), ("CENTROIDS", 8), ("LIST_ROWS", 20), ("TRIED", 40)):
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.default_rng(3)
+    x = (rng.standard_normal((40, 16))[rng.integers(0, 40, 3000)] + 0.3 * rng.standard_normal((3000, 16))) * rng.uniform(0.5, 2, (3000, 1))
+    x = x.astype(np.float32) if kind == "float" else x
+    x[1000:1700] = x[1000]
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    data = frame(spark, rows, f"vec_id long, embedding array<{kind}>")
+    for name in ("id", "raw", "block", "part", "lists", "floor", "vector"):
+        data = data.withColumn(name, F.lit("clash"))
+    index = ann.fit(data.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")), 20)
+    assert len(index.lower) > 1 and index.probes > 1 and index.kind == (np.float32 if kind == "float" else np.float64)
+    want, got = plain_nearest(rows, 20), defaultdict(list)
+    for r in ann.nearest(data, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r)
+    assert all([r["rank"] for r in got[q]] == list(range(1, 21)) for q in want)
+    assert sum(len({r.vec_id for r in got[q]} & {i for _, i in want[q]}) for q in want) >= 0.95 * 20 * len(want)
+    for q in want:
+        for r in got[q]:
+            assert r.score == pytest.approx(float(x[q].astype(float) @ x[r.vec_id].astype(float)), abs=1e-12)
+
+
+def test_nearest_goes_on_where_lists_are_small(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 3)
+    monkeypatch.setattr(ann, "RECALL", 0.0)
+    rng = np.random.default_rng(4)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.standard_normal((600, 8)).astype(np.float32))]
+    got = Counter(r.query_id for r in ann.nearest(frame(spark, rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0).collect())
+    assert got == dict.fromkeys(range(0, 600, 20), 20)
+
+
+def test_nearest_keeps_doubles(spark):
+    x = [(0, [0.1, 1 / 3]), (1, [0.2, 0.4 + 1e-9]), (2, [1 / 7, 1 / 9])]
+    got = ann.nearest(frame(spark, x, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(i, pytest.approx(0.1 * v[0] + v[1] / 3, abs=1e-16)) for i, v in x[1:]]
+
+
 def test_nearest_with_few_rows(spark):
     data = frame(spark, [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.5, 0.0]), (3, [1.0])], "vec_id long, embedding array<float>")
     got = [tuple(r) for r in ann.nearest(data, F.col("vec_id") % 20 == 0).orderBy("rank").collect()]
