@@ -8,7 +8,9 @@ miss each other with a probability of 2e-5, of 0.8 with 4e-4.
 
 Candidates are confirmed on full shingle sets. Equal sets are one class from the start, so copies are not
 paired. Inside a table key, sets are first compared with the least one there; where those that are left
-are in different components, all of them are compared by their signatures, in blocks.
+are in different components, all of them are compared by their signatures. A key with many such sets, as pages of one
+template make, is first split by longer keys, whose length follows the number of sets, so that few of them meet
+by their template alone.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.components import components
 from tessera.llm.shared import settle, small_batches
-from tessera.llm.textops import IS_SPACE, LOWER, chunks, hash_runs, mix, runs, shingle_hashes
+from tessera.llm.textops import BASE, IS_SPACE, LOWER, chunks, hash_runs, mix, runs, shingle_hashes
 
 ROWS, BANDS, WIDTH, PERCENT = 3, 12, 5, 85
 #: Pairs whose signatures agree less than this many percent below the threshold are not confirmed: over four standard errors.
@@ -34,6 +36,8 @@ BLOCK = 128
 HASHES = 2 * ROWS * BANDS
 #: Minhashes of a long signature, of which one byte is kept, and by how many standard errors below the threshold they may agree.
 LONG, LONG_SLACK = 768, 4.65
+#: Probability that a similar pair of a split key meets in none of its longer keys, and least and most minhashes of one.
+MISS, SHORTEST, LONGEST = 1e-4, 8, 20
 
 
 def need(percent: float) -> float:
@@ -134,8 +138,8 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: float) -> Iterator[pa.R
         yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
 
-#: Bits of the filter below: 2**23, in at most 2**17 rows of 64.
-_FILTER_BITS = 23
+#: Bits of the filter below, as powers of 2: at most 2**27, in 2**21 rows of 64.
+_FILTER_BITS = 16, 27
 
 
 def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -146,12 +150,13 @@ def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 def _texts_with(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows (id, text) with one of the ids, and few others.
 
-    Ids set bits of a filter of fixed size, which is small enough to broadcast at any size of the
+    Ids set bits of a filter that has 16 for each of them, up to a size that can be broadcast whatever the
     input, so that texts in no pair are not shuffled; where it fills up it only keeps more.
     """
-    bit = F.xxhash64("id").bitwiseAND(F.lit(2**_FILTER_BITS - 1))
+    bits = min(_FILTER_BITS[1], max(_FILTER_BITS[0], (16 * ids.count()).bit_length()))
+    bit = F.xxhash64("id").bitwiseAND(F.lit(2**bits - 1))
     word = F.shiftright(bit, 6)
-    mask = F.expr(f"shiftleft(1L, CAST((xxhash64(id) & {2**_FILTER_BITS - 1}) & 63 AS INT))")
+    mask = F.expr(f"shiftleft(1L, CAST((xxhash64(id) & {2**bits - 1}) & 63 AS INT))")
     filled = ids.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("bits"))
     return texts.withColumn("word", word).join(F.broadcast(filled), "word").filter(F.col("bits").bitwiseAND(mask) != 0).select("id", "text")
 
@@ -187,10 +192,34 @@ def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(out, pa.binary())], ["id", "long"])
 
 
+def split_keys(n: int, percent: float) -> tuple[int, int]:
+    """How many minhashes the longer keys have where up to n sets share a key, and how many such keys a set has.
+
+    So long that of n sets of similarity 0.5 about one has the same, so many that similar pairs meet.
+    """
+    length = min(LONGEST, max(SHORTEST, int(n).bit_length()))
+    return length, int(np.ceil(np.log(MISS) / np.log1p(-((percent / 100) ** length))))
+
+
+def _split(batches: Iterator[pa.RecordBatch], length: int, keys: int) -> Iterator[pa.RecordBatch]:
+    """(id, component, long) to (key, id, component): the longer keys of each set, from chosen places of its long signature."""
+    rng = np.random.Generator(np.random.PCG64(length))
+    places = np.stack([rng.permutation(LONG)[:length] for _ in range(keys)])
+    for batch in batches:
+        for a in range(0, batch.num_rows, 1024):
+            some = batch.slice(a, 1024)
+            long = np.frombuffer(b"".join(some.column(2).to_pylist()), np.uint8).reshape(-1, LONG).astype(np.uint64)
+            h = np.broadcast_to(np.arange(keys, dtype=np.uint64), (len(long), keys))
+            for k in range(length):
+                h = mix(h * BASE + long[:, places[:, k]])
+            ids, component = (np.repeat(some.column(k).to_numpy(), keys) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(ids), pa.array(component)], ["key", "id", "component"])
+
+
 def _pairs_in_groups(rows: pa.Table, percent: float) -> pa.RecordBatch:
     """Pairs (a, b) of different components in a group of rows, sorted by group, whose long signatures agree enough.
 
-    A pair that meets in several tables is given in the first of them only.
+    A pair that meets in several tables is given in the first of them only; a place of -1 is no table.
     """
     group, ids, component, block, single, place = (rows.column(k).to_numpy() for k in (0, 1, 2, 3, 4, 6))
     u, v = (rows.column(k).combine_chunks().flatten().to_numpy().reshape(-1, BANDS) for k in (7, 8))
@@ -206,7 +235,7 @@ def _pairs_in_groups(rows: pa.Table, percent: float) -> pa.RecordBatch:
         x, y = first[p], other[p]
         near = (long[x] == long[y]).sum(1) >= long_need(percent)
         x, y = x[near], y[near]
-        here = (u[x] == u[y]).argmax(1) * BANDS + (v[x] == v[y]).argmax(1) == place[x]
+        here = (place[x] < 0) | ((u[x] == u[y]).argmax(1) * BANDS + (v[x] == v[y]).argmax(1) == place[x])
         found.append(np.stack([np.maximum(ids[x], ids[y])[here], np.minimum(ids[x], ids[y])[here]]))
     pairs = np.unique(np.concatenate(found, 1), axis=1) if found else np.zeros((2, 0), np.int64)
     return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
@@ -240,6 +269,11 @@ def _table_keys(sets: DataFrame) -> DataFrame:
     return both.select("id", F.xxhash64("i", "uk", "j", "vk").alias("key"), (F.col("i") * BANDS + F.col("j")).alias("place"))
 
 
+def _several(named: DataFrame) -> DataFrame:
+    """(key, n) of the keys whose n rows are of several components."""
+    return named.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n")).filter("c < d").select("key", "n")
+
+
 def _links(sets: DataFrame, texts: DataFrame, percent: float) -> DataFrame:
     """Confirmed links (a, b) that connect what is similar."""
     keys = settle(_table_keys(sets))
@@ -247,12 +281,20 @@ def _links(sets: DataFrame, texts: DataFrame, percent: float) -> DataFrame:
     to_hub = keys.join(hubs, "key").filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     links = settle(_confirmed(_near(to_hub, sets, percent), texts, percent))
 
-    # Tables that still hold several components: all pairs of those but for the pairs with the hub, which are done.
+    # Keys that still hold several components: all pairs of those but for the pairs with the hub, which are done.
     known = components(links)
     named = keys.join(known, keys["id"] == known["node"], "left").select("id", "key", "place", F.coalesce("component", "id").alias("component"))
-    open_keys = named.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n")).filter("c < d and n > 2").select("key", "n")
+    open_keys = _several(named).filter("n > 2")
     rest = settle(named.join(open_keys, "key"))
-    long = _texts_with(texts, rest.select("id")).mapInArrow(_long_signatures, "id long, long binary")
+    long = settle(_texts_with(texts, rest.select("id").distinct()).mapInArrow(_long_signatures, "id long, long binary"))
+    crowd = rest.agg(F.max("n")).first()[0] or 0
+    if crowd > BLOCK:
+        # Each pair that meets in a crowded key is of two crowded sets, so one lot of longer keys does for all those keys.
+        length, keys_each = split_keys(crowd, percent)
+        crowded = rest.filter(F.col("n") > BLOCK).select("id", "component").distinct().join(long, "id").select("id", "component", "long")
+        split = settle(crowded.mapInArrow(partial(_split, length=length, keys=keys_each), "key long, id long, component long"))
+        split = split.join(_several(split), "key").withColumn("place", F.lit(-1))
+        rest = rest.filter(F.col("n") <= BLOCK).unionByName(split.select(*rest.columns))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     rest = rest.join(long, "id").join(sets.select("id", "u", "v"), "id").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))

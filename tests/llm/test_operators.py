@@ -246,6 +246,47 @@ def test_near_duplicates_are_all_found(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_templated_sets_of_one_key_are_split(spark, monkeypatch):
+    """Many sets of one key in many components: all links are found, and rows stay near linear in the number of sets."""
+    rnd = random.Random(5)
+    vocabulary = ["".join(rnd.choices("abcdefghij", k=5)) for _ in range(3000)]
+    template = rnd.choices(vocabulary, k=150)
+    n, texts = 240, []
+    monkeypatch.setattr(neardup, "BLOCK", 32)
+    for _ in range(n // 2):
+        words = template + rnd.choices(vocabulary, k=90)
+        twin = list(words)
+        twin[rnd.randrange(200, 235)] = "twin"
+        texts += [" ".join(words), " ".join(twin)]
+    rows = list(enumerate(texts))
+    rnd.shuffle(rows)
+    docs_ = frame(spark, rows, "id long, text string")
+    sets = {k: set(zip(*(t.split()[i:] for i in range(5)), strict=False)) for k, t in rows}
+    want = {(b, a) for a, b in itertools.combinations(sorted(sets), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(want) >= n // 2
+    for k in range(0, n, 2):
+        assert 0.3 < len(sets[k] & sets[0]) / len(sets[k] | sets[0]) <= 1
+    # As if all of them met in one key.
+    (batch,) = neardup._long_signatures(iter([pa.RecordBatch.from_pydict({"id": pa.array([k for k, _ in rows], pa.int64()), "text": [t for _, t in rows]})]))
+    given = pa.RecordBatch.from_arrays([batch.column(0), batch.column(0), batch.column(1)], ["id", "component", "long"])
+    length, keys = neardup.split_keys(n, 80)
+    split = pa.Table.from_batches(neardup._split(iter([given]), length, keys)).to_pandas()
+    assert len(split) == n * keys
+    groups = split.groupby("key").id.apply(list)
+    met = {(max(a, b), min(a, b)) for g in groups if len(g) > 1 for a, b in itertools.combinations(g, 2)}
+    assert want <= met and len(met - want) < 20 * n
+    links = {(r.a, r.b) for r in neardup._links(described_sets(spark, docs_), docs_, 80).collect()}
+    reach = {r.node: r.component for r in components.components(frame(spark, sorted(links), "a long, b long")).collect()}
+    assert links <= want and all(reach[a] == reach[b] for a, b in want)
+
+
+def described_sets(spark, texts):
+    rows = texts.mapInArrow(neardup._describe, "doc_id long, n_shingles long, digest binary, u array<long>, v array<long>, sig binary")
+    # One key for all: each first and second key is the same.
+    one = F.transform("u", lambda _: F.lit(1).cast("long"))
+    return rows.select(F.col("doc_id").alias("id"), "digest", one.alias("u"), one.alias("v"), "sig")
+
+
 def test_near_duplicates_edges(spark, odd):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == odd.count()
