@@ -174,9 +174,9 @@ def rootless(names: DataFrame, quads: DataFrame, root_class: str, rdf_type: str)
 
 def parse_check(lines: DataFrame) -> DataFrame:
     """(file, line, text) of the lines of a flat file that are no statement; see ``sources.files.parse_lines``."""
-    from tessera.sources.files import parse_lines
+    from tessera.sources.files import is_blank, parse_lines
 
-    return parse_lines(lines).filter(F.col("s").isNull() & (F.trim("text") != "") & ~F.col("text").startswith("#")).select("file", "line", "text")
+    return parse_lines(lines.filter(~is_blank(F.col("text")))).filter("s is null").select("file", "line", "text")
 
 
 def combined(checks: list) -> DataFrame:

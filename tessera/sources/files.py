@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import tarfile
 from collections.abc import Iterator
 
@@ -95,63 +96,122 @@ def write_flat(quads: DataFrame, path: str, with_graph: bool = True) -> None:
     ranged.select(nt_statement(with_graph).alias("value")).write.option("compression", "gzip").text(path)
 
 
-_NODE = r'(<[^<>"\s]*>|_:[^\s"<>]+)'
-#: Subject and predicate, the rest up to the full stop; a graph at the end of the rest; a literal whose escapes are taken out.
-_LINE = rf"^\s*{_NODE}\s+(<[^<>\"\s]*>)\s+(\S|\S.*\S)\s*\.\s*$"
-_GRAPH = rf"^(.*\S)\s+{_NODE}$"
-_SUFFIX = r'(?:@[A-Za-z0-9-]+|\^\^<[^<>"\s]*>)?'
+#: Terms of a line. All repeats are possessive, so texts of any length are matched without recursion.
+_IRI = r'<[^<>"\s]*+>'
+_BNODE = r'_:[^\s"<>.]++(?:\.++[^\s"<>.]++)*+'
+_LITERAL = rf'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:@[A-Za-z]++(?:-[A-Za-z0-9]++)*+|\^\^{_IRI})?+'
+#: Quoted triples may hold others, down to this depth.
+QUOTED_DEPTH = 2
+
+
+def _node(depth: int) -> str:
+    """An IRI, a blank node, or a quoted triple with at most ``depth`` levels."""
+    inner = "" if depth == 0 else rf"|<<\s*+{_node(depth - 1)}\s*+{_IRI}\s*+(?:{_LITERAL}|{_node(depth - 1)})\s*+>>"
+    return rf"(?:{_IRI}|{_BNODE}{inner})"
+
+
+#: The terms of a line one after the other, each where the one before ends, then the full stop with what may follow it.
+_TOKENS = rf"\G\s*+({_LITERAL}|{_node(QUOTED_DEPTH)}|\.\s*+(?:#.*+)?+$)"
+#: Runs of one escape, or of none; escapes of 16 bits come together, as two may be one character.
+_PIECES = r"(?s)\G(?:(?:\\u[0-9A-Fa-f]{4})++|\\U[0-9A-Fa-f]{8}|\\.|[^\\]++)"
+_SURROGATES = r"(?i)^(?:\\u(?:[0-9a-c][0-9a-f]{3}|d[0-7][0-9a-f]{2}|[ef][0-9a-f]{3}|d[89ab][0-9a-f]{2}\\ud[c-f][0-9a-f]{2}))++$"
+_POINT = r"(?i)^\\U00(?:0[0-9a-f]|10)(?!(?<=00)d[89a-f])[0-9a-f]{4}$"
+_PLAIN_ESCAPE = r"""^\\[tbnrf"'\\]$"""
+
+
+def _sound_escapes(text: Column) -> Column:
+    """Whether all escapes of a text stand for a character."""
+    fine = lambda p: ~p.startswith("\\") | p.rlike(_PLAIN_ESCAPE) | p.rlike(_SURROGATES) | p.rlike(_POINT)
+    return ~F.contains(text, F.lit("\\")) | F.forall(F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0)), fine)
 
 
 def _unescaped(text: Column) -> Column:
-    # Backslashes are set aside first so that their followers are read once.
-    out = F.replace(text, F.lit("\\\\"), F.lit("￾"))
-    for written, raw in (('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
-        out = F.replace(out, F.lit(written), F.lit(raw))
-    return F.replace(out, F.lit("￾"), F.lit("\\"))
+    """A text whose escapes are sound, with the characters that they stand for."""
+
+    def piece(p: Column) -> Column:
+        raw = F.substr(p, F.lit(2))
+        plain = F.translate(raw, "tbnrf", "\t\b\n\r\f")
+        points = F.when(p.startswith("\\u"), F.decode(F.unhex(F.replace(p, F.lit("\\u"), F.lit(""))), "UTF-16BE")).when(p.startswith("\\U"), F.decode(F.unhex(F.substr(p, F.lit(3))), "UTF-32"))
+        return F.when(~p.startswith("\\"), p).otherwise(F.coalesce(points, plain))
+
+    pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
+    return F.when(~F.contains(text, F.lit("\\")), text).otherwise(F.array_join(F.transform(pieces, piece), ""))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Lines (text, ...) with the quad columns added; all are null where a line is no statement without quoted triples."""
-    null = F.lit(None).cast("string")
-    part = lambda text, pattern, k: F.nullif(F.regexp_extract(text, pattern, k), F.lit(""))
+    """Lines (text, ...) with the quad columns added; all are null where a line is no statement.
+
+    A quoted triple is a term of kind ``triple`` with its parts as written; ``quoted_parts`` gives those. Each line is matched once.
+    """
 
     def kind(t: Column) -> Column:
-        return F.when(t.startswith("<"), "iri").when(t.startswith("_:"), "bnode").when(t.startswith('"'), "literal")
-
-    def value(t: Column) -> Column:
-        inner = F.regexp_extract(t, rf'(?s)^"(.*)"{_SUFFIX}$', 1)
-        return F.when(t.startswith("<"), F.substr(t, F.lit(2), F.length(t) - 2)).when(t.startswith("_:"), F.substr(t, F.lit(3))).otherwise(_unescaped(inner))
-
-    def once(rows: DataFrame, **columns: Column) -> DataFrame:
-        """Columns as a step of their own, so that each is computed once and not again in every use."""
-        return rows.select("*", F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("__x")).select("*", "__x.*").drop("__x")
-
-    raw = once(lines, __s=part("text", _LINE, 1), __p=part("text", _LINE, 2), __rest=part("text", _LINE, 3))
-    raw = once(raw, __g=part("__rest", _GRAPH, 2), __before=part("__rest", _GRAPH, 1))
-    # No group is repeated in these patterns, so texts of any length are matched without recursion.
-    raw = once(raw, __o=F.when(F.col("__g").isNull(), F.col("__rest")).otherwise(F.col("__before")))
-    bare = F.regexp_replace("__o", r"\\.", "")
-    o = F.col("__o")
-    raw = once(
-        raw,
-        __fine=F.col("__s").isNotNull() & (o.rlike(rf"^{_NODE}$") | bare.rlike(rf'^"[^"]*"{_SUFFIX}$')),
-        __dt=part(o, r'"\^\^<([^>]*)>$', 1),
-        __lang=part(o, r'"@([A-Za-z0-9-]+)$', 1),
-        __kind=kind(o),
-        __value=value(o),
-    )
-    c = F.col
-    plain = c("__dt").isNull() & c("__lang").isNull()
-    datatype = F.when(c("__kind") == "literal", F.when(plain, "http://www.w3.org/2001/XMLSchema#string").otherwise(c("__dt")))
-    columns = {"o": c("__value"), "o_kind": c("__kind"), "o_dt": datatype, "o_lang": c("__lang")}
-    for n in "gsp":
-        columns |= {n: F.when(c("__" + n).isNotNull(), value(c("__" + n))), n + "_kind": kind(c("__" + n))}
-    return raw.select(*lines.columns, *[F.when(F.coalesce(c("__fine"), F.lit(False)), x.cast("string")).alias(n) for n, x in columns.items()])
-
-
-def read_flat_statements(spark: SparkSession, path: str) -> DataFrame:
-    """A3: the statements of (gzipped) N-Triples or N-Quads files as quad columns; other lines are left out."""
-    return parse_lines(spark.read.text(path).withColumnRenamed("value", "text")).filter("s is not null").drop("text")
+        return F.when(t.startswith("<<"), "triple").when(t.startswith("<"), "iri").when(t.startswith("_:"), "bnode").when(t.startswith('"'), "literal")
+
+    c, null = F.col, F.lit(None).cast("string")
+    # An array of one row keeps the match a step of its own, so that its uses don't repeat it.
+    found = lines.select("*", F.explode(F.array(F.regexp_extract_all("text", F.lit(_TOKENS), F.lit(1)))).alias("__t"))
+    at = lambda k: F.get("__t", F.lit(k))
+    ended = at(4).startswith(".")
+    tokens = {"s": at(0), "p": at(1), "o": at(2), "g": F.when(ended, at(3))}
+    found = found.select(*lines.columns, (F.when(F.size("__t") == 4, at(3).startswith(".")).otherwise((F.size("__t") == 5) & ended)).alias("__whole"), *[t.alias("__" + n) for n, t in tokens.items()])
+    suffix = F.when(c("__o").startswith('"'), F.substring_index("__o", '"', -1))
+    found = found.withColumns({"__suffix": suffix, **{f"__{n}_kind": kind(c("__" + n)) for n in tokens}})
+    size = lambda n: F.char_length(c("__" + n))
+
+    def inside(n: str) -> Column:
+        """A term without its marks, as written."""
+        t = c("__" + n)
+        text = F.when(c(f"__{n}_kind") == "iri", F.substr(t, F.lit(2), size(n) - 2)).when(c(f"__{n}_kind") == "bnode", F.substr(t, F.lit(3))).when(c(f"__{n}_kind") == "triple", F.trim(F.substr(t, F.lit(3), size(n) - 4)))
+        return text.when(c(f"__{n}_kind") == "literal", F.substr(t, F.lit(2), size(n) - F.char_length("__suffix") - 2)) if n == "o" else text
+
+    found = found.withColumns({"__in_" + n: inside(n) for n in tokens} | {"__dt": F.when(F.startswith("__suffix", F.lit("^^")), F.substr("__suffix", F.lit(4), F.char_length("__suffix") - 4))})
+    node = lambda n, *kinds: c(f"__{n}_kind").isin(*kinds)
+    escapes = [(c(f"__{n}_kind") == "triple") | _sound_escapes(c("__in_" + n)) for n in tokens] + [_sound_escapes(c("__dt"))]
+    sound = c("__whole") & node("s", "iri", "bnode", "triple") & node("p", "iri") & c("__o_kind").isNotNull() & (c("__g").isNull() | node("g", "iri", "bnode"))
+    for fine in escapes:
+        sound = sound & F.coalesce(fine, F.lit(True))
+    plain = F.lit("http://www.w3.org/2001/XMLSchema#string")
+    lang = F.when(F.startswith("__suffix", F.lit("@")), F.substr("__suffix", F.lit(2)))
+    columns = {"o_dt": F.when(c("__suffix") == "", plain).otherwise(_unescaped(c("__dt"))), "o_lang": lang}
+    for n in tokens:
+        columns |= {n: F.when(c(f"__{n}_kind") == "triple", c("__in_" + n)).otherwise(_unescaped(c("__in_" + n))), n + "_kind": c(f"__{n}_kind")}
+    found = found.withColumn("__sound", F.coalesce(sound, F.lit(False)))
+    return found.select(*lines.columns, *[F.when(c("__sound"), columns.get(n, null)).alias(n) for n in ("o", "o_kind", "o_dt", "o_lang", "g", "g_kind", "s", "s_kind", "p", "p_kind")])
+
+
+def is_blank(text: Column) -> Column:
+    """Lines without statement that a file may have."""
+    return text.rlike(r"^\s*+(?:#.*+)?+$")
+
+
+def statements(lines: DataFrame, bad: str = "error", where: str = "text") -> DataFrame:
+    """The lines (text, ...) that are statements, with the quad columns. Blank lines and comments go; a line that is
+    neither is an error that names ``where``, or goes too if ``bad`` is ``drop`` (``validate.parse_check`` lists such lines)."""
+    rows = parse_lines(lines.filter(~is_blank(F.col("text"))))
+    if bad == "drop":
+        return rows.filter("s is not null")
+    wrong = F.raise_error(F.concat(F.lit("no statement in "), F.col(where).cast("string"), F.lit(": "), F.left(F.col("text"), F.lit(200))))
+    return rows.withColumn("s", F.when(F.col("s").isNull(), wrong).otherwise(F.col("s")))
+
+
+def read_flat_statements(spark: SparkSession, path: str, bad: str = "error") -> DataFrame:
+    """A3: the statements of (gzipped) N-Triples or N-Quads files as quad columns; see ``statements`` for other lines."""
+    return statements(spark.read.text(path).withColumnRenamed("value", "text"), bad).drop("text")
+
+
+def quoted_parts(quads: DataFrame) -> DataFrame:
+    """(element_id, path, depth, parts) of the quoted triples that are subject or object of a quad, those inside them included.
+
+    ``path`` says where: s or o for each level. There are QUOTED_DEPTH levels at most.
+    """
+    parts = ("s", "s_kind", "p", "p_kind", "o", "o_kind", "o_dt", "o_lang")
+    level, found = quads.select("element_id", F.lit("").alias("path"), F.lit(0).alias("depth"), *parts), None
+    for _ in range(QUOTED_DEPTH):
+        inner = F.filter(F.array(*[F.when(F.col(n + "_kind") == "triple", F.struct(F.lit(n).alias("at"), F.concat(n, F.lit(" .")).alias("text"))) for n in "so"]), lambda x: x.isNotNull())
+        lines = level.select("element_id", "path", "depth", F.explode(inner).alias("x")).select("element_id", F.concat("path", "x.at").alias("path"), (F.col("depth") + 1).alias("depth"), "x.text")
+        level = statements(lines).select("element_id", "path", "depth", *parts)
+        found = level if found is None else found.unionByName(level)
+    return found
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -183,11 +243,14 @@ def member_name(path: Column, strip: str = "profile-") -> Column:
 
 
 def load_collection(spark: SparkSession, path: str) -> DataFrame:
-    """The statements of all flat files under ``path``, keyed by ``name``; a line that is none is an error."""
-    lines = spark.read.text(path).select(F.col("value").alias("text"), member_name(F.col("_metadata.file_path")).alias("name")).filter("name is not null")
-    rows = parse_lines(lines.filter(F.trim("text") != ""))
-    bad = F.raise_error(F.concat(F.lit("no statement in "), F.col("name"), F.lit(": "), F.col("text")))
-    return rows.withColumn("s", F.when(F.col("s").isNull(), bad).otherwise(F.col("s"))).drop("text")
+    """The statements of all flat files under ``path``, keyed by ``name``; a line that is none is an error.
+
+    A member is a file, or a folder of part files, right below ``path``.
+    """
+    top = re.escape(path.rstrip("/").rpartition("/")[2])
+    member = F.regexp_replace(F.regexp_extract("_metadata.file_path", rf"/{top}/([^/]+)", 1), r"^\w+=", "")
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("value").alias("text"), member_name(member).alias("name")).filter("name is not null")
+    return statements(lines, where="name").drop("text")
 
 
 def write_degrees(degrees: DataFrame, path: str, with_nodes: bool = True) -> None:
