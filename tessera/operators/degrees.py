@@ -12,27 +12,31 @@ _SIGMAS, _RSE = 2.0, 1.04 / 2**6
 
 
 def node_uses(quads: DataFrame, detailed: bool = True) -> DataFrame:
-    """(role, node, stmt) of each use of a node; without detail all roles are ``statement``."""
+    """(role, node, h, k) of each use of a node; without detail all roles are ``statement``.
+
+    h and k are a digest of the statement of 128 bits, which stands for its text in shuffles.
+    """
     null = F.lit(None).cast("string")
     nodes = {"subject": nt_term(F.col("s"), F.col("s_kind")), "predicate": nt_term(F.col("p"), F.col("p_kind")), "object": nt_term(F.col("o"), F.col("o_kind"), F.col("o_dt"), F.col("o_lang")), "graph": F.when(F.col("g").isNotNull(), nt_term(F.col("g"), F.coalesce("g_kind", null)))}
-    stmt = F.concat_ws(" ", *nodes.values())
-    uses = F.array(*[F.struct(F.lit(role if detailed else "statement").alias("role"), node.alias("node")) for role, node in nodes.items()])
-    return quads.select(stmt.alias("stmt"), F.explode(uses).alias("u")).select("u.role", "u.node", "stmt").filter("node is not null")
+    written = quads.select(*[n.alias(role) for role, n in nodes.items()])
+    stmt = F.concat_ws(" ", *nodes)
+    each = F.array(*[F.struct(F.lit(role if detailed else "statement").alias("role"), F.col(role).alias("node")) for role in nodes])
+    return written.select(F.xxhash64(stmt).alias("h"), F.xxhash64(F.lit(1), stmt).alias("k"), F.explode(each).alias("u")).select("u.role", "u.node", "h", "k").filter("node is not null")
 
 
 def degree_distribution(quads: DataFrame, detailed: bool = True) -> DataFrame:
-    """Role, node, occurrences and the number of different statements, exact.
+    """Role, node, occurrences and the number of different statements.
 
     Statements are first made different by role and node, which spreads a frequent predicate over all tasks; then both
     counts need partial sums only.
     """
-    by_statement = node_uses(quads, detailed).groupBy("role", "node", "stmt").agg(F.count("*").alias("uses"))
+    by_statement = node_uses(quads, detailed).groupBy("role", "node", "h", "k").agg(F.count("*").alias("uses"))
     return by_statement.groupBy("role", "node").agg(F.sum("uses").alias("occurrences"), F.count("*").alias("distinct_statements"))
 
 
 def degree_sketches(quads: DataFrame, detailed: bool = True) -> DataFrame:
     """As ``degree_distribution``, with an estimate and bounds two standard deviations away instead of the exact number."""
-    found = node_uses(quads, detailed).groupBy("role", "node").agg(F.count("*").alias("occurrences"), F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64("stmt"), F.lit(12))).alias("distinct_est"))
+    found = node_uses(quads, detailed).groupBy("role", "node").agg(F.count("*").alias("occurrences"), F.hll_sketch_estimate(F.hll_sketch_agg("h", F.lit(12))).alias("distinct_est"))
     return found.withColumns({"distinct_lower": F.col("distinct_est") / (1 + _SIGMAS * _RSE), "distinct_upper": F.col("distinct_est") / (1 - _SIGMAS * _RSE)})
 
 

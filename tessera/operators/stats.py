@@ -3,11 +3,15 @@
 A value is computed for each element, zeros included, and summarised for each prefix size. Prefixes are not
 scanned one by one: elements fall in the bucket of the least boundary above their number, buckets are aggregated once, and a
 running sum over the few bucket rows gives every prefix.
+
+The values of all statistics asked for come from one scan and one shuffle by element: an element is small, so what it has
+meets in one row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,22 +38,31 @@ def with_bucket(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.crossJoin(F.broadcast(bounds)).withColumn("bucket", found).drop("bounds").filter("bucket is not null")
 
 
-def terms(quads: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
-    """(element_id, role, value, kind, dt, lang) of every term use; roles s, p, o and g, those in quoted triples included.
+_PARTS = ("s", "s_kind", "p", "p_kind", "o", "o_kind", "o_dt", "o_lang")
+
+
+def statements(quads: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
+    """The quads and the triples quoted in them as one table, those marked as ``quoted``."""
+    out = quads.select("element_id", "g", "g_kind", *_PARTS, F.lit(False).alias("quoted"))
+    if quoted is not None:
+        null = F.lit(None).cast("string")
+        out = out.unionByName(quoted.select("element_id", null.alias("g"), null.alias("g_kind"), *_PARTS, F.lit(True).alias("quoted")))
+    return out
+
 
-    A graph name comes once for each element.
+def uses(rows: DataFrame) -> DataFrame:
+    """(element_id, quoted, role, value, kind, dt, lang, line) of every term use of ``statements``; roles s, p, o and g.
+
+    ``line`` is the length of the line of a statement that is not quoted, with its predicate, and null elsewhere.
     """
-    null = F.lit(None).cast("string")
+    null, none = F.lit(None).cast("string"), F.lit(None).cast("int")
+    line = F.when(~F.col("quoted"), F.octet_length(nt_statement()) + 1)
 
-    def use(role: str, dt: Column = null, lang: Column = null) -> Column:
-        return F.struct(F.lit(role).alias("role"), F.col(role).alias("value"), F.col(role + "_kind").alias("kind"), dt.alias("dt"), lang.alias("lang"))
+    def use(role: str, dt: Column = null, lang: Column = null, line: Column = none) -> Column:
+        return F.struct(F.lit(role).alias("role"), F.col(role).alias("value"), F.col(role + "_kind").alias("kind"), dt.alias("dt"), lang.alias("lang"), line.alias("line"))
 
-    uses = F.explode(F.array(use("s"), use("p"), use("o", F.col("o_dt"), F.col("o_lang")))).alias("u")
-    out = quads.select("element_id", uses).select("element_id", "u.*")
-    if quoted is not None:
-        out = out.unionByName(quoted.select("element_id", uses).select("element_id", "u.*"))
-    graphs = quads.filter("g is not null").select("element_id", F.lit("g").alias("role"), F.col("g").alias("value"), F.col("g_kind").alias("kind"), null.alias("dt"), null.alias("lang")).distinct()
-    return out.unionByName(graphs)
+    each = F.explode(F.array(use("s"), use("p", line=line), use("o", F.col("o_dt"), F.col("o_lang")), use("g")))
+    return rows.select("element_id", "quoted", each.alias("u")).select("element_id", "quoted", "u.*").filter((F.col("role") != "g") | F.col("value").isNotNull())
 
 
 #: Statistics that count different values of an element.
@@ -81,42 +94,71 @@ def distinct_values(name: str, quads: DataFrame, quoted: DataFrame | None = None
     if name == "graphs":
         return quads.select("element_id", F.coalesce("g", F.lit(DEFAULT_GRAPH)).alias("x")).distinct()
     which, what = _counted(name)
-    return terms(quads, quoted).filter(which).select("element_id", what.alias("x")).distinct()
+    return uses(statements(quads, quoted)).filter(which).select("element_id", what.alias("x")).distinct()
+
+
+def _aggregate(name: str) -> Column:
+    """The value of a statistic over the term uses of an element."""
+    c = F.col
+    predicate, graph, literal = (c("role") == "p") & ~c("quoted"), c("role") == "g", c("kind") == "literal"
+    if name in DISTINCT:
+        which, what = _counted(name)
+        return F.size(F.collect_set(F.when(which, what))).cast("long")
+    controls = F.aggregate(F.collect_set(F.when(literal & graph, c("value"))), F.lit(0).cast("long"), lambda n, x: n + ascii_control_count(x))  # a graph name counts once
+    return {
+        # With more statements than graph names some are in the default graph.
+        "graphs": F.size(F.collect_set(F.when(graph, c("value")))).cast("long") + (F.count_if(predicate) > F.count_if(graph)).cast("long"),
+        "statements": F.count_if(predicate),
+        "quoted_triples": F.count_if((c("role") == "p") & c("quoted")),
+        "ascii_control_chars": F.coalesce(F.sum(F.when(literal & ~graph, ascii_control_count(c("value")))), F.lit(0)) + controls,
+        "byte_density": F.sum("line") / F.nullif(F.count_if(predicate), F.lit(0)),
+    }[name]
+
 
+#: The statistics of this module.
+NAMES = (*DISTINCT, "graphs", "statements", "quoted_triples", "ascii_control_chars", "byte_density")
 
-def occurrence_values(name: str, quads: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
-    """(element_id, value) of the statistics that count occurrences."""
-    if name == "statements":
-        return quads.groupBy("element_id").agg(F.count("*").alias("value"))
-    if name == "quoted_triples":
-        return quoted.groupBy("element_id").agg(F.count("*").alias("value"))
-    if name == "ascii_control_chars":
-        return terms(quads, quoted).filter(F.col("kind") == "literal").groupBy("element_id").agg(F.sum(ascii_control_count(F.col("value"))).alias("value"))
-    if name == "byte_density":
-        return quads.groupBy("element_id").agg((F.sum(F.octet_length(nt_statement()) + 1) / F.count("*")).alias("value"))
-    raise KeyError(name)
+
+def element_table(names: list[str], elements: DataFrame, quads: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
+    """(element_id, and a column for each of ``names``): 0 where an element has none, but null for a density without statements.
+
+    Statements are dealt by element once; all sets of an element are made where its statements are.
+    """
+    found = uses(statements(quads, quoted).repartition("element_id")).groupBy("element_id").agg(*[_aggregate(n).alias(n) for n in names])
+    filled = [F.col(n) if n == "byte_density" else F.coalesce(n, F.lit(0)).alias(n) for n in names]
+    return elements.select("element_id").join(found, "element_id", "left").select("element_id", *filled)
 
 
 def element_values(name: str, elements: DataFrame, quads: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
-    """(element_id, value) of each element: 0 where it has none, but null for a density without statements."""
-    if name in DISTINCT or name == "graphs":
-        found = distinct_values(name, quads, quoted).groupBy("element_id").agg(F.count("*").alias("value"))
-    else:
-        found = occurrence_values(name, quads, quoted)
-    filled = F.col("value") if name == "byte_density" else F.coalesce("value", F.lit(0))
-    return elements.select("element_id").join(found, "element_id", "left").select("element_id", filled.alias("value"))
+    """(element_id, value) of one statistic; see ``element_table``."""
+    return element_table([name], elements, quads, quoted).withColumnRenamed(name, "value")
+
+
+def summaries(values: DataFrame, names: list[str], sizes: DataFrame) -> DataFrame:
+    """``summary`` of each of the columns ``names`` of (element_id, ...), named by ``statistic``, from one pass over the elements."""
+    kinds = dict(values.dtypes)
+
+    def of(name: str) -> Column:
+        """Sums of whole numbers are exact."""
+        v, whole = F.col(name), kinds[name] in ("bigint", "int")
+        d = v.cast("decimal(19,0)") if whole else F.lit(None).cast("decimal(19,0)")
+        r = F.lit(None).cast("double") if whole else v.cast("double")
+        return F.struct(F.lit(name).alias("statistic"), F.count(v).alias("n"), F.sum(d).alias("s"), F.sum(d * d).alias("ss"), F.sum(r).alias("rs"), F.sum(r * r).alias("rss"), F.min(v).cast("double").alias("lo"), F.max(v).cast("double").alias("hi"))
+
+    by_bucket = with_bucket(values, sizes).groupBy("bucket").agg(F.array(*[of(n) for n in names]).alias("x")).select("bucket", F.explode("x").alias("x")).select("bucket", "x.*")
+    asked = sizes.select("size", "is_full", F.explode(F.array(*[F.lit(n) for n in names])).alias("statistic"))
+    rows = asked.join(by_bucket.withColumnRenamed("statistic", "of"), F.expr("size = bucket and statistic = of"), "left")
+    upto = W.partitionBy("statistic").orderBy("size").rowsBetween(W.unboundedPreceding, 0)  # over at most seven rows
+    run = rows.select("size", "is_full", "statistic", *[f(c).over(upto).alias(c) for f, cs in ((F.sum, ("n", "s", "ss", "rs", "rss")), (F.min, ("lo",)), (F.max, ("hi",))) for c in cs])
+    n, total, squares = F.nullif(F.col("n"), F.lit(0)), F.coalesce(F.col("s").cast("double"), "rs"), F.coalesce(F.col("ss").cast("double"), "rss")
+    mean = total / n
+    variance = squares / n - mean * mean
+    return run.select("size", "is_full", F.coalesce("n", F.lit(0)).alias("n"), total.alias("sum"), F.round(mean, 6).alias("mean"), F.round(F.sqrt(F.greatest(variance, F.lit(0.0))), 4).alias("st_dev"), F.col("lo").alias("min"), F.col("hi").alias("max"), "statistic")
 
 
 def summary(values: DataFrame, sizes: DataFrame) -> DataFrame:
-    """size, is_full, n, sum, mean, st_dev (of the population), min and max at each prefix. Without values all but n and sum are null."""
-    exact = F.col("value").cast("decimal(19,0)") if dict(values.dtypes)["value"] in ("bigint", "int") else F.col("value")
-    by_bucket = with_bucket(values, sizes).groupBy("bucket").agg(F.count("value").alias("n"), F.sum(exact).alias("s"), F.sum(exact * exact).alias("ss"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    rows = sizes.join(by_bucket, F.col("size") == F.col("bucket"), "left")
-    upto = W.orderBy("size").rowsBetween(W.unboundedPreceding, 0)  # over at most seven rows
-    run = rows.select("size", "is_full", *[f(c).over(upto).alias(c) for f, c in ((F.sum, "n"), (F.sum, "s"), (F.sum, "ss"), (F.min, "lo"), (F.max, "hi"))])
-    mean = F.col("s").cast("double") / F.nullif(F.col("n"), F.lit(0))
-    variance = F.col("ss").cast("double") / F.nullif(F.col("n"), F.lit(0)) - mean * mean
-    return run.select("size", "is_full", F.coalesce("n", F.lit(0)).alias("n"), F.col("s").cast("double").alias("sum"), F.round(mean, 6).alias("mean"), F.round(F.sqrt(F.greatest(variance, F.lit(0.0))), 4).alias("st_dev"), F.col("lo").cast("double").alias("min"), F.col("hi").cast("double").alias("max"))
+    """size, is_full, n, sum, mean, st_dev (of the population), min and max of (element_id, value) at each prefix. Without values all but n and sum are null."""
+    return summaries(values, ["value"], sizes).drop("statistic")
 
 
 def prefix_unique(values: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -140,22 +182,19 @@ def prefix_unique_approx(values: DataFrame, sizes: DataFrame) -> DataFrame:
     return estimate.select("size", "unique_count", F.floor(F.col("unique_count") / (1 + _SIGMAS * _RSE)).alias("unique_lower"), F.ceil(F.col("unique_count") / (1 - _SIGMAS * _RSE)).alias("unique_upper"))
 
 
-#: Statistics by name: a function (elements, quads, quoted) -> (element_id, value). Others may be registered.
-REGISTRY: dict[str, Callable[[DataFrame, DataFrame, DataFrame | None], DataFrame]] = {
-    name: (lambda e, q, t, n=name: element_values(n, e, q, t)) for name in (*DISTINCT, "graphs", "statements", "quoted_triples", "ascii_control_chars", "byte_density")
-}
+#: Statistics that were added, by name: functions (elements, quads, quoted) -> (element_id, value).
+REGISTRY: dict[str, Callable[[DataFrame, DataFrame, DataFrame | None], DataFrame]] = {}
 
 
 def register_statistic(name: str, values: Callable[[DataFrame, DataFrame, DataFrame | None], DataFrame]) -> None:
-    """Add a statistic: ``values`` gives (element_id, value) for the elements that have one."""
+    """Add a statistic: ``values`` gives (element_id, value) for the elements that have one. A name of this module's own is replaced."""
     REGISTRY[name] = values
 
 
 def prefix_stats(names: list[str], elements: DataFrame, quads: DataFrame, quoted: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
-    """The summaries of several statistics, with their name as ``statistic``."""
+    """The summaries of several statistics, with their name as ``statistic``. Those of this module come from one scan."""
     sizes = prefix_sizes(elements) if sizes is None else sizes
-    out = None
-    for name in names:
-        one = summary(REGISTRY[name](elements, quads, quoted), sizes).withColumn("statistic", F.lit(name))
-        out = one if out is None else out.unionByName(one)
-    return out
+    own = [n for n in names if n not in REGISTRY]
+    tables = [summaries(element_table(own, elements, quads, quoted), own, sizes)] if own else []
+    tables += [summary(REGISTRY[n](elements, quads, quoted), sizes).withColumn("statistic", F.lit(n)) for n in names if n in REGISTRY]
+    return reduce(DataFrame.unionByName, tables)

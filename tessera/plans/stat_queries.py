@@ -146,8 +146,16 @@ def d17_approx_distinct_bounds(spark, sf_dir):
     return stats.prefix_unique(values, sizes).join(about, "size").select("size", "unique_count", near.alias("within_3_percent"), ((F.col("unique_lower") <= F.col("estimate")) & (F.col("estimate") <= F.col("unique_upper"))).alias("in_bounds"))
 
 
+def d1_d15_all_statistics(spark, sf_dir):
+    """All statistics of the quoted-triple stream from one scan; the elements are its documents."""
+    elements, quads, quoted = inputs(spark, sf_dir, *_STARS[:3])
+    return stats.prefix_stats(list(stats.NAMES), elements, quads, quoted, stats.prefix_sizes(elements, _STARS[3])).drop("sum")
+
+
 _UNIQUE = uses_sql("q_events") + f", {sizes_sql('events', _EVENTS[3])} SELECT size, count(DISTINCT {_KEY}) AS unique_count"
 QUERIES |= {"e2_cumulative_prefix_stats": e2_cumulative_prefix_stats, "d16_stat_summary": d16_stat_summary, "e3_cumulative_exact_distinct": e3_cumulative_exact_distinct, "d17_approx_distinct_bounds": d17_approx_distinct_bounds}
+QUERIES["d1_d15_all_statistics"] = d1_d15_all_statistics
+SQL["d1_d15_all_statistics"] = " UNION ALL ".join(f"SELECT size, is_full, n, mean, st_dev, min, max, '{n}' AS statistic FROM ({summary_sql(n, *_STARS)})" for n in stats.NAMES)
 SQL["e2_cumulative_prefix_stats"] = summary_sql("statements", *_EVENTS)
 SQL["d16_stat_summary"] = " UNION ALL ".join(f"SELECT *, '{n}' AS statistic FROM ({summary_sql(n, *_EVENTS)})" for n in ("iris", "literals", "objects"))
 SQL["e3_cumulative_exact_distinct"] = _UNIQUE + " FROM sizes JOIN u ON element_id < size WHERE k = 'literal' GROUP BY size"
@@ -167,11 +175,15 @@ def d20_distinct_nodes_per_role(spark, sf_dir):
 
 
 def d18_degree_sketches(spark, sf_dir):
+    """For each role: nodes whose estimate is within 10 % of the exact number, and inside its own bounds; the exact number is in the bounds of all but one in twenty."""
     quads = VIEWS["q_orders"](spark, sf_dir)
-    exact = degrees.degree_distribution(quads).filter("role = 'predicate'")
-    about = degrees.degree_sketches(quads).select("role", "node", "distinct_est")
-    near = F.abs(F.col("distinct_est") - F.col("distinct_statements")) <= 0.1 * F.col("distinct_statements")
-    return exact.join(about, ["role", "node"]).select("node", "occurrences", near.alias("within_10_percent"))
+    about = degrees.degree_sketches(quads).drop("occurrences")
+    both = degrees.degree_distribution(quads).join(about, ["role", "node"])
+    exact = F.col("distinct_statements")
+    near = F.abs(F.col("distinct_est") - exact) <= 0.1 * exact
+    inside = (F.col("distinct_lower") <= exact) & (exact <= F.col("distinct_upper"))
+    ordered = (F.col("distinct_lower") <= F.col("distinct_est")) & (F.col("distinct_est") <= F.col("distinct_upper"))
+    return both.groupBy("role").agg(F.count("*").alias("nodes"), F.sum("occurrences").alias("occurrences"), F.bool_and(near).alias("within_10_percent"), F.bool_and(ordered).alias("ordered"), (F.count_if(inside) >= 0.95 * F.count("*")).alias("in_bounds"))
 
 
 def a12_degree_counts(spark, sf_dir):
@@ -192,7 +204,7 @@ _COUNTS = " SELECT role, node, count(*) AS occurrences, count(DISTINCT line) AS
 SQL["d18_degree_distribution"] = _degree_sql("q_orders", True) + _COUNTS
 SQL["d19_degree_any_position"] = _degree_sql("q_orders", False) + _COUNTS
 SQL["d20_distinct_nodes_per_role"] = _degree_sql("q_orders", True) + " SELECT role, count(DISTINCT node) AS nodes FROM uses WHERE node IS NOT NULL GROUP BY role"
-SQL["d18_degree_sketches"] = _degree_sql("q_orders", True) + " SELECT node, count(*) AS occurrences, true AS within_10_percent FROM uses WHERE role = 'predicate' GROUP BY node"
+SQL["d18_degree_sketches"] = _degree_sql("q_orders", True) + " SELECT role, count(DISTINCT node) AS nodes, count(*) AS occurrences, true AS within_10_percent, true AS ordered, true AS in_bounds FROM uses WHERE node IS NOT NULL GROUP BY role"
 SQL["a12_degree_counts"] = _degree_sql("q_events", True) + f" SELECT role, occurrences, count(*) AS nodes FROM ({_COUNTS}) GROUP BY role, occurrences"
 
 
