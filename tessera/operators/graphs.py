@@ -105,16 +105,16 @@ def label_lookup(subjects: DataFrame, graph: DataFrame, pref_label: str, label:
 def vocabulary_map(graph: DataFrame, types: DataFrame, properties: DataFrame, rdf_type: str, dataset: str, free: str, name: str, person: str) -> DataFrame:
     """Types (old, new) are translated and unmapped ones kept; properties (old, new, as_text) are translated and unmapped ones dropped.
 
-    Both tables are declared by hand and small, so they are broadcast. Resources under a property with ``as_text`` become strings. A type that
+    Spark broadcasts both tables where their size allows it. Resources under a property with ``as_text`` become strings. A type that
     becomes ``dataset`` adds (s, ``free``, "true"); a ``name`` adds the type ``person``.
     """
     null = F.lit(None).cast("string")
     boolean = "http://www.w3.org/2001/XMLSchema#boolean"
-    typed = graph.filter(F.col("p") == rdf_type).join(F.broadcast(types), F.col("o") == F.col("old"), "left").withColumn("o", F.coalesce("new", "o")).select(*TRIPLE)
+    typed = graph.filter(F.col("p") == rdf_type).join(types, F.col("o") == F.col("old"), "left").withColumn("o", F.coalesce("new", "o")).select(*TRIPLE)
     flags = typed.filter(F.col("o") == dataset).select("s", "s_kind", F.lit(free).alias("p"), F.lit("true").alias("o"), F.lit("literal").alias("o_kind"), F.lit(boolean).alias("o_dt"), null.alias("o_lang"))
     facts = graph.filter(F.col("p") != rdf_type)
     text = F.col("as_text") & (F.col("o_kind") != "literal")
-    mapped = facts.join(F.broadcast(properties), F.col("p") == F.col("old")).select(
+    mapped = facts.join(properties, F.col("p") == F.col("old")).select(
         "s", "s_kind", F.col("new").alias("p"), "o", F.when(text, "literal").otherwise(F.col("o_kind")).alias("o_kind"), F.when(text, "http://www.w3.org/2001/XMLSchema#string").otherwise(F.col("o_dt")).alias("o_dt"), "o_lang"
     )
     people = facts.filter(F.col("p") == name).select("s", "s_kind", F.lit(rdf_type).alias("p"), F.lit(person).alias("o"), F.lit("iri").alias("o_kind"), null.alias("o_dt"), null.alias("o_lang"))

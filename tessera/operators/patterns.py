@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tessera.sources.shared import settle
+
 
 def triple_pattern(quads: DataFrame, s: str | None = None, p: str | None = None, o: str | None = None, g: str | None = None) -> DataFrame:
     """The quads that match; None matches all. The conditions reach a Parquet scan."""
@@ -51,12 +53,35 @@ def nth_element(rows: DataFrame, n: int) -> DataFrame:
 def element_index(rows: DataFrame, shard: Column, position: Column) -> DataFrame:
     """``rows`` with a dense element_id from 0 in the order of shard and position in it.
 
-    Shards are numbered on their own and then shifted by the sizes of those before, so one task holds one shard at most.
+    Rows are dealt by ranges of that order and numbered inside them; the few ranges are then shifted by the sizes of those before.
+    """
+    dealt = in_ranges(rows.withColumns({"__shard": shard, "__at": position}), "__shard", "__at")
+    inside = W.partitionBy("__range").orderBy("__shard", "__at")
+    before = W.orderBy("__r").rowsBetween(W.unboundedPreceding, -1)  # over one row for each range
+    starts = dealt.groupBy(F.col("__range").alias("__r")).agg(F.count("*").alias("__n")).select("__r", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    numbered = dealt.withColumn("__place", F.row_number().over(inside) - 1).join(starts, F.col("__range") == F.col("__r"))
+    return numbered.withColumn("element_id", F.col("__start") + F.col("__place")).select(*rows.columns, "element_id")
+
+
+def in_ranges(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` with __range, the number of the range of ``order`` that each is in; written down, so that the ranges stay as they are."""
+    return settle(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+
+
+def with_following(rows: DataFrame, value: str, by: str, *order: str) -> DataFrame:
+    """``rows`` with ``following``, the value of the next row of the same ``by``, null after the last.
+
+    Rows are dealt by ranges, so that a group of any size is no single task's; the first row of a group in each range is the next of
+    the last one in the range before. Rows of equal ``by`` and ``order`` are in one range.
     """
-    keyed = rows.withColumn("__shard", shard).withColumn("__place", F.row_number().over(W.partitionBy(shard).orderBy(position)) - 1)
-    before = W.orderBy("__s").rowsBetween(W.unboundedPreceding, -1)
-    sizes = rows.groupBy(shard.alias("__s")).agg(F.count("*").alias("__n")).select("__s", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    return keyed.join(sizes, F.col("__shard").eqNullSafe(F.col("__s"))).withColumn("element_id", F.col("__start") + F.col("__place")).drop("__shard", "__place", "__s", "__start")
+    dealt = in_ranges(rows, by, *order)
+    heads = dealt.groupBy("__range", by).agg(F.min(F.struct(*order, value)).alias("__first"))
+    # One row for each group and range.
+    across = W.partitionBy(by).orderBy("__range")
+    heads = heads.withColumn("__then", F.lead(f"__first.{value}").over(across)).select("__range", F.col(by).alias("__by"), "__then")
+    inside = W.partitionBy("__range", by).orderBy(*order, value)
+    joined = dealt.withColumn("following", F.lead(value).over(inside)).join(heads.withColumnRenamed("__range", "__r"), (F.col("__range") == F.col("__r")) & F.col(by).eqNullSafe(F.col("__by")))
+    return joined.withColumn("following", F.coalesce("following", "__then")).select(*rows.columns, "following")
 
 
 def first_value(rows: DataFrame, key: str, value: str, order: str | None = None) -> DataFrame:

@@ -9,7 +9,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from tessera.operators.patterns import with_following
 
 
 def strict(violations: DataFrame) -> DataFrame:
@@ -119,8 +120,7 @@ def archive_count(entries: DataFrame, declared: DataFrame) -> DataFrame:
 
 def sequence_gaps(entries: DataFrame, number: str = "number", position: str = "pos", by: str = "archive") -> DataFrame:
     """(archive, after, missing) where the next number in order of position is not one more. The first number is free."""
-    following = F.lead(number).over(W.partitionBy(by).orderBy(position))
-    return entries.withColumn("__next", following).filter(F.col("__next") != F.col(number) + 1).select(by, F.col(number).alias("after"), (F.col(number) + 1).alias("missing"))
+    return with_following(entries, number, by, position).filter(F.col("following") != F.col(number) + 1).select(by, F.col(number).alias("after"), (F.col(number) + 1).alias("missing"))
 
 
 def archive_names(entries: DataFrame, triple_stream: bool, clean: DataFrame | None = None) -> DataFrame:
@@ -145,10 +145,10 @@ def constraint_violations(targets: DataFrame, facts: DataFrame, constraints: Dat
     """(profile, target, property, op) of the constraints that a target breaks.
 
     targets (target, class), facts (target, property, kind, datatype, value), constraints (profile, class, property, op, value). Operators:
-    min_count, max_count, kind, datatype, pattern, in (values joined by |). The constraints are declared by hand and small, so they are
-    broadcast; each target meets those of its class only, and facts join on target and property.
+    min_count, max_count, kind, datatype, pattern, in (values joined by |). Each target meets the
+    constraints of its class only, and facts join on target and property; Spark broadcasts the constraints where their size allows it.
     """
-    asked = targets.join(F.broadcast(constraints.withColumnRenamed("value", "want")), "class")
+    asked = targets.join(constraints.withColumnRenamed("value", "want"), "class")
     met = asked.join(facts, ["target", "property"], "left")
     c = F.col
     ok = (

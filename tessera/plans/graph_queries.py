@@ -384,11 +384,14 @@ def i11_archive_names(spark, sf_dir):
     return validate.archive_names(entries, triple_stream=True)
 
 
-@query("k5_extra_validation", "SELECT p_partkey AS subject, 'no_brand' AS rule FROM part WHERE p_brand = 'Brand#11' UNION ALL SELECT s_suppkey, 'negative' FROM supplier WHERE s_acctbal < 0")
+@query("k5_extra_validation", with_views("q_events") + ", g AS (SELECT * REPLACE (CASE WHEN element_id % 50 = 0 THEN 'urn:g' END AS g) FROM q_events) SELECT element_id, 'no_named_graphs' AS rule, 'named graphs in a triple stream' AS message FROM g WHERE g IS NOT NULL GROUP BY element_id UNION ALL SELECT element_id, 'cheap', 'fewer than 1000 cents' FROM q_events WHERE p = 'urn:p:cents' AND CAST(o AS BIGINT) < 1000")
 def k5_extra_validation(spark, sf_dir):
-    a = lambda: table(spark, sf_dir, "part").filter("p_brand = 'Brand#11'").select(F.col("p_partkey").alias("subject"), F.lit("no_brand").alias("rule"))
-    b = lambda: table(spark, sf_dir, "supplier").filter("s_acctbal < 0").select(F.col("s_suppkey").alias("subject"), F.lit("negative").alias("rule"))
-    return validate.combined([a, b])
+    """The structure rules of a triple stream together with a check of one's own."""
+    q = VIEWS["q_events"](spark, sf_dir)
+    marked = q.withColumn("g", F.when(F.col("element_id") % 50 == 0, "urn:g")).withColumn("g_kind", F.when(F.col("g").isNotNull(), "iri"))
+    elements = table(spark, sf_dir, "events").select(F.col("event_id").alias("element_id"))
+    own = q.filter((F.col("p") == "urn:p:cents") & (F.col("o").cast("long") < 1000)).select("element_id", F.lit("cheap").alias("rule"), F.lit("fewer than 1000 cents").alias("message"))
+    return validate.combined([lambda: validate.structure_violations(elements, marked, triple_stream=True), lambda: own])
 
 
 # Nanopublications: an order, whose key is its customer

@@ -128,22 +128,48 @@ def e6_last_matching(spark, sf_dir):
     return patterns.last_matching(table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'"), "o_custkey", "o_orderpriority", "o_orderkey")
 
 
-@query("a9_file_digests", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS byte_size, md5(text) AS md5, sha1(text) AS sha1, sha256(text) AS sha256 FROM documents")
-def a9_file_digests(spark, sf_dir):
+@query("a9_text_digests", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS byte_size, md5(text) AS md5, sha1(text) AS sha1, sha256(text) AS sha256 FROM documents")
+def a9_text_digests(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", *files.digests(F.col("text")))
 
 
-@query("a3_read_flat_statements", with_views("q_orders", "q_docs") + ", u AS (SELECT * FROM q_orders UNION ALL SELECT * FROM q_docs) SELECT p, s_kind, o_kind, o_dt, o_lang, count(*) AS n, count(g) AS in_graphs, CAST(sum(length(o)) AS BIGINT) AS chars FROM u GROUP BY ALL")
+@query("a9_file_digests", "SELECT doc_id % 64 AS file, CAST(strlen(body) AS BIGINT) AS byte_size, md5(body) AS md5, sha1(body) AS sha1, sha256(body) AS sha256 FROM (SELECT doc_id % 64 AS doc_id, string_agg(text || chr(10), '' ORDER BY doc_id) AS body FROM documents WHERE text IS NOT NULL GROUP BY doc_id % 64)")
+def a9_file_digests(spark, sf_dir):
+    """Texts of documents written as 64 files in the order of their ids, and the files digested."""
+    from tessera.sources.shared import shared_folder
+
+    path = shared_folder(spark)
+    docs = table(spark, sf_dir, "documents").filter("text is not null").select((F.col("doc_id") % 64).alias("file"), "doc_id", "text")
+    docs.repartition("file").sortWithinPartitions("file", "doc_id").select("file", "text").write.partitionBy("file").text(path)
+    return files.file_digests(spark, path).select(F.regexp_extract("path", "/file=([0-9]+)/", 1).cast("long").alias("file"), "byte_size", "md5", "sha1", "sha256")
+
+
+@query("a3_read_flat_statements", with_views("q_orders", "q_docs", "q_stars") + ", u AS (SELECT * FROM q_orders UNION ALL SELECT * FROM q_docs UNION ALL SELECT * FROM q_stars) SELECT p, s_kind, o_kind, o_dt, o_lang, count(*) AS n, count(g) AS in_graphs, CAST(sum(length(o)) AS BIGINT) AS chars FROM u GROUP BY ALL")
 def a3_read_flat_statements(spark, sf_dir):
     """Quads written as a gzipped flat file and read back."""
     from tessera.sources.shared import shared_folder
 
     path = shared_folder(spark)
-    files.write_flat(view("q_orders", spark, sf_dir).unionByName(view("q_docs", spark, sf_dir)), path)
+    files.write_flat(view("q_orders", spark, sf_dir).unionByName(view("q_docs", spark, sf_dir)).unionByName(view("q_stars", spark, sf_dir)), path)
     back = files.read_flat_statements(spark, path)
     return back.groupBy("p", "s_kind", "o_kind", "o_dt", "o_lang").agg(F.count("*").alias("n"), F.count("g").alias("in_graphs"), F.sum(F.char_length("o")).alias("chars"))
 
 
+@query("a3_quoted_parts", with_views("q_stars", "quoted_stars") + " SELECT 's' AS path, 1 AS depth, s, p, o, o_dt FROM quoted_stars WHERE element_id IN (SELECT element_id FROM q_stars) UNION ALL SELECT 'o', 1, s, p, o, o_dt FROM q_stars UNION ALL SELECT 'os', 2, s, p, o, o_dt FROM quoted_stars WHERE element_id IN (SELECT element_id FROM q_stars)")
+def a3_quoted_parts(spark, sf_dir):
+    """Statements with quoted triples as subject, and with those statements quoted in turn as object, written as a flat file and read back."""
+    from tessera.sources.shared import shared_folder
+
+    path = shared_folder(spark)
+    stars = view("q_stars", spark, sf_dir)
+    whole = F.concat_ws(" ", terms.nt_term(F.col("s"), F.col("s_kind")), terms.nt_term(F.col("p"), F.col("p_kind")), terms.nt_term(F.col("o"), F.col("o_kind"), F.col("o_dt"), F.col("o_lang")))
+    null = F.lit(None).cast("string")
+    about = stars.withColumns({"o": whole, "o_kind": F.lit("triple"), "o_dt": null, "o_lang": null, "s": F.lit("urn:about"), "s_kind": F.lit("iri")})
+    files.write_flat(stars.unionByName(about), path)
+    back = files.read_flat_statements(spark, path).withColumn("element_id", F.lit(0).cast("long"))
+    return files.quoted_parts(back).select("path", "depth", "s", "p", "o", "o_dt")
+
+
 @query("a1_read_element_archive", "SELECT event_id AS element_id, CASE WHEN true THEN lpad(CAST(event_id AS STRING), 10, '0') || '.ttl' END AS name, true AS same FROM events")
 def a1_read_element_archive(spark, sf_dir):
     """Elements written as archives (A5) and read back, held against what was written."""
@@ -165,7 +191,7 @@ def a5_write_element_stream(spark, sf_dir):
     from tessera.sources.shared import settle, shared_folder
 
     docs = files.element_documents(view("q_events", spark, sf_dir), with_graph=False)
-    written = settle(files.write_element_stream(docs, shared_folder(spark), archives=4, members=1000)).withColumn("id", element_id_of(F.col("path")))
+    written = settle(files.write_element_stream(docs, shared_folder(spark), members=1000)).withColumn("id", element_id_of(F.col("path")))
     each = written.groupBy("archive").agg(F.count("*").alias("n"), F.min("path").alias("path"), F.min_by("id", "pos").alias("first"), F.min("id").alias("low"))
     named = F.regexp_extract("archive", r"elements-([0-9]+)\.tar\.gz$", 1).cast("long")
     return each.agg(F.sum("n").alias("members"), F.min("path").alias("first_member"), (F.count("*") > 1).alias("several"), F.bool_and((F.col("first") == F.col("low")) & (named == F.col("low"))).alias("in_order"))
@@ -204,12 +230,10 @@ def a15_load_collection(spark, sf_dir):
     from tessera.sources.shared import shared_folder
 
     folder = shared_folder(spark)
-    q = view("q_orders", spark, sf_dir).select((F.col("element_id") % 7).alias("k"), terms.nt_statement().alias("value"))
-    for k in range(7):
-        q.filter(F.col("k") == k).select("value").write.text(f"{folder}/profile-p{k}.nq")
-    # Each graph is a folder of part files, whose name is its parent's.
-    lines = spark.read.text([f"{folder}/profile-p{k}.nq" for k in range(7)]).select(F.col("value").alias("text"), files.member_name(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)).alias("name"))
-    return files.parse_lines(lines).groupBy("name").agg(F.count("s").alias("n"), F.count_distinct("s").alias("subjects"))
+    q = view("q_orders", spark, sf_dir).select(F.concat(F.lit("profile-p"), (F.col("element_id") % 7).cast("string"), F.lit(".nq")).alias("member"), terms.nt_statement().alias("value"))
+    template = spark.createDataFrame([("template.nq", "no statement")], "member string, value string")
+    q.unionByName(template).write.partitionBy("member").text(folder)  # each member is a folder of part files
+    return files.load_collection(spark, folder).groupBy("name").agg(F.count("s").alias("n"), F.count_distinct("s").alias("subjects"))
 
 
 @query("a11_write_metadata_statements", with_views("q_events") + " SELECT p, count(*) AS n FROM (SELECT DISTINCT s, p, o FROM q_events) GROUP BY p")
@@ -225,13 +249,14 @@ def a11_write_metadata_statements(spark, sf_dir):
 
 @query("a19_parse_check", "SELECT doc_id FROM documents WHERE doc_id % 10 = 3")
 def a19_parse_check(spark, sf_dir):
-    """Lines of documents, of which one in ten is broken."""
+    """Lines of documents, of which one in ten is broken, among sound lines with quoted triples."""
     from tessera.operators.validate import parse_check
 
     q = VIEWS["q_docs"](spark, sf_dir).filter("p = 'urn:p:source'")
     text = F.when(F.col("element_id") % 10 == 3, F.replace(terms.nt_statement(), F.lit("<urn:p"), F.lit("urn:p"))).otherwise(terms.nt_statement())
     lines = q.select(F.col("element_id").alias("line"), F.lit("f").alias("file"), text.alias("text"))
-    return parse_check(lines).select(F.col("line").alias("doc_id"))
+    stars = VIEWS["q_stars"](spark, sf_dir).select(F.lit(-1).cast("long").alias("line"), F.lit("g").alias("file"), terms.nt_statement().alias("text"))
+    return parse_check(lines.unionByName(stars)).select(F.col("line").alias("doc_id"))
 
 
 @query("j6_skip_done", "SELECT o_custkey FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")

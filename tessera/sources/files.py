@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import tarfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,23 +16,24 @@ from pyspark.sql import Window as W
 
 from tessera.functions.names import directory_levels, element_id_of, element_path
 from tessera.functions.terms import nt_statement
+from tessera.sources.shared import open_stream
 
 RELEASE = "struct<tag_name: string, assets: array<struct<name: string, browser_download_url: string>>>"
 ENTRIES = "archive string, pos long, path string, size long, mtime long, content binary"
 
 
 def read_element_archive(spark: SparkSession, path: str) -> DataFrame:
-    """A1: ENTRIES of the regular members of tar.gz archives, one task for each archive, members one by one.
+    """A1: ENTRIES of the regular members of tar.gz archives of any size, read as streams in the tasks, members one by one.
 
-    A gzip stream cannot be split, so large streams should come as many archives.
+    A gzip stream cannot be split, so an archive is one task's, and large streams should come as many archives.
     """
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("archive", pa.string()), ("pos", pa.int64()), ("path", pa.string()), ("size", pa.int64()), ("mtime", pa.int64()), ("content", pa.binary())])
         for batch in batches:
-            for archive, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for archive in batch.column(0).to_pylist():
                 rows, held = [], 0
-                with tarfile.open(fileobj=io.BytesIO(content.as_buffer()), mode="r|gz") as tar:
+                with open_stream(archive) as source, tarfile.open(fileobj=source, mode="r|gz") as tar:
                     for pos, m in enumerate(x for x in tar if x.isreg()):
                         data = tar.extractfile(m).read()
                         rows.append((archive, pos, m.name, m.size, int(m.mtime), data))
@@ -41,14 +44,16 @@ def read_element_archive(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(members, ENTRIES)
+    return spark.read.format("binaryFile").load(path).select("path").mapInArrow(members, ENTRIES)
 
 
-def write_element_stream(documents: DataFrame, folder: str, archives: int = 8, extension: str = "ttl", members: int | None = None) -> DataFrame:
+def write_element_stream(documents: DataFrame, folder: str, archives: int | None = None, extension: str = "ttl", members: int | None = None) -> DataFrame:
     """A5: documents (element_id, data) as tar.gz archives of ranges of elements, members in order and with time 0.
 
-    Gives (archive, pos, path). A task that runs again writes the same bytes under the name of its first element.
+    Gives (archive, pos, path). There are as many archives as shuffle partitions if no number is given. A task writes under a name of its own
+    and then gives the file the name of its first element, so a task that runs again, or twice at a time, leaves the same whole file.
     """
+    archives = archives or int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     levels = directory_levels(members or 0)
     named = documents.select("element_id", element_path(F.col("element_id"), levels, extension).alias("path"), "data").repartitionByRange(archives, "element_id").sortWithinPartitions("element_id")
 
@@ -64,7 +69,8 @@ def write_element_stream(documents: DataFrame, folder: str, archives: int = 8, e
                     system, base = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
                     system.create_dir(base, recursive=True)
                     name = f"{base}/elements-{element:010d}.tar.gz"
-                    out = system.open_output_stream(name, compression=None)
+                    attempt = f"{base}/.attempt-{uuid.uuid4().hex}"
+                    out = system.open_output_stream(attempt, compression=None)
                     tar = tarfile.open(fileobj=out, mode="w|gz")
                 info = tarfile.TarInfo(path)
                 body = data.encode()
@@ -77,6 +83,7 @@ def write_element_stream(documents: DataFrame, folder: str, archives: int = 8, e
         if tar is not None:
             tar.close()
             out.close()
+            system.move(attempt, name)
 
     return named.mapInArrow(write, "archive string, pos long, path string")
 
@@ -215,9 +222,24 @@ def quoted_parts(quads: DataFrame) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(file_name, byte_size, md5, sha1) of each file, in lower-case hexadecimal."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("byte_size"), F.md5("content").alias("md5"), F.sha1("content").alias("sha1"))
+    """(path, file_name, byte_size, md5, sha1, sha256) of each file, in lower-case hexadecimal; files of any size are read as streams in the tasks."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for name in batch.column(0).to_pylist():
+                found, size = [hashlib.new(kind, usedforsecurity=False) for kind in ("md5", "sha1", "sha256")], 0
+                with open_stream(name) as source:
+                    while part := source.read(1 << 20):
+                        size += len(part)
+                        for h in found:
+                            h.update(part)
+                rows.append({"path": name, "file_name": name.rpartition("/")[2], "byte_size": size} | {h.name: h.hexdigest() for h in found})
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path").mapInArrow(digest, "path string, file_name string, byte_size long, md5 string, sha1 string, sha256 string")
 
 
 def digests(text: Column) -> list[Column]:

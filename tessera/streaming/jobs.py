@@ -17,13 +17,19 @@ from tessera.sources.shared import shared_folder
 from tessera.sources.views import QUADS
 
 
-def write_stream_files(quads: DataFrame, path: str, files: int = 4) -> None:
+def parallelism(spark: SparkSession) -> int:
+    """Files that are written at a time, and read in a batch: as many as the session has shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def write_stream_files(quads: DataFrame, path: str, files: int | None = None) -> None:
     """Quads as files of ranges of elements, so that no element is in two files."""
-    quads.repartitionByRange(files, "element_id").write.parquet(path)
+    quads.repartitionByRange(files or 4 * parallelism(quads.sparkSession), "element_id").write.parquet(path)
 
 
-def element_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
+def element_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """The quads of a directory as a stream."""
+    files_per_batch = files_per_batch or parallelism(spark)
     return spark.readStream.schema(QUADS).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 

@@ -208,3 +208,62 @@ def test_stream_state_finds_gaps(spark, tmp_path):
             got = [tuple(r) for r in jobs.stream_gaps_in_batches(stream).collect()]
         found.append(sorted(got))
     assert found == [[("a", 1, 2), ("a", 4, 5)]] * 2
+
+
+def test_following_over_ranges(spark):
+    rows = [("a", k, k if k != 500 else 501) for k in range(1000)] + [("b", 0, 7)] + [("c", k, 2 * k) for k in range(300)] + [(None, 1, 1), (None, 2, 2)]
+    df = spark.createDataFrame(rows, "archive string, pos long, number long").repartition(6)
+    got = {(r.archive, r.pos): r.following for r in patterns.with_following(df, "number", "archive", "pos").collect()}
+    by = {}
+    for archive, pos, number in rows:
+        by.setdefault(archive, []).append((pos, number))
+    for archive, entries in by.items():
+        entries.sort()
+        for (pos, _), (_, following) in zip(entries, [*entries[1:], (None, None)], strict=True):
+            assert got[archive, pos] == following
+    assert sorted(tuple(r) for r in validate.sequence_gaps(df.filter("archive = 'a'")).collect()) == [("a", 499, 500), ("a", 501, 502)]
+    assert patterns.with_following(df.limit(0), "number", "archive", "pos").count() == 0
+
+
+def test_element_index_is_dense_over_ranges(spark):
+    df = spark.range(2000).select((F.col("id") % 3).alias("shard"), F.col("id").alias("at")).repartition(7)
+    got = patterns.element_index(df, F.col("shard"), F.col("at")).orderBy("shard", "at").collect()
+    assert [r.element_id for r in got] == list(range(2000))
+
+
+def test_shared_folder_needs_a_name_on_a_cluster(monkeypatch):
+    from tessera.sources import shared
+
+    class Conf:
+        def __init__(self, **values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            self.values[key] = value
+
+    class Session:
+        def __init__(self, **values):
+            self.conf = Conf(**values)
+
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077", ""):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            shared.shared_folder(Session(**{"spark.master": master}))
+    for master in ("local", "local[4]", "local[*]"):
+        assert shared.shared_folder(Session(**{"spark.master": master})).startswith("file:///")
+    assert shared.shared_folder(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///x"})).startswith("hdfs:///x/tessera-")
+
+
+def test_archives_are_read_as_streams(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"line {k}\n" * 5) for k in range(30)], "element_id long, data string")
+    written = files.write_element_stream(docs, str(tmp_path), archives=3).collect()
+    assert len(written) == 30 and not list(tmp_path.glob(".attempt*"))
+    back = files.read_element_archive(spark, str(tmp_path)).collect()
+    assert {(r.path, bytes(r.content).decode()) for r in back} == {(f"{k:010d}.ttl", f"line {k}\n" * 5) for k in range(30)}
+    import hashlib
+
+    for r in files.file_digests(spark, str(tmp_path)).collect():
+        data = (tmp_path / r.file_name).read_bytes()
+        assert (r.byte_size, r.md5, r.sha1, r.sha256) == (len(data), *(hashlib.new(n, data).hexdigest() for n in ("md5", "sha1", "sha256")))
