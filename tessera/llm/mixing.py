@@ -5,8 +5,9 @@ finish time: the words of its source up to and with it, divided by the source's
 documents of all sources in the order of that time, cut where the budget of words is spent, are the
 mix. A source whose target is above its size goes round again, at most ``max_epochs`` times.
 
-Sums over an order are taken in two levels (totals of slices, then the rows of a slice), so no task
-holds a source or the whole order.
+Sums over an order are taken in levels (totals of slices, then the rows of a slice), so no task
+holds a source or the whole order. The slice of virtual time in which the budget is spent is cut into finer
+ones until it has few rows; those are sorted.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from tessera.llm.shared import settle
 
 #: Slices of a source's shuffled order, by the first three hexadecimal digits of the shuffle key.
 SLICE_DIGITS = 3
-#: Slices of virtual time 1.
-TIME_SLICES = 4096
+#: Slices of virtual time 1, and of a slice that is cut again; rows of a slice that is not cut again; most cuts, as doubles are no finer.
+TIME_SLICES, FEW, CUTS = 4096, 20_000, 4
 
 
 def word_count(text: Column) -> Column:
@@ -72,16 +73,16 @@ def mix_sources(
     ``size`` counts words; ``epochs`` is how often the mix takes the document, ``taken`` the words it
     so takes. Null or empty texts and sources without words have size and taken 0, and target 0.
     A null source is a source, the last one. Repeated rows count each on its own. An empty table
-    gives an empty result. Other columns of ``docs`` are not looked at; ``row_col``, if given, numbers
-    the rows and is in the result too, and rows of equal id and size are then in the order of a hash of the text.
+    gives an empty result. The shuffled order is that of a hash of seed, id and text. Other columns of ``docs`` are not looked at;
+    ``row_col``, if given, numbers the rows and is in the result too.
     """
-    number = [F.col(row_col).alias("row_no"), F.xxhash64(text_col).alias("text_key")] if row_col else []
+    number = [F.col(row_col).alias("row_no")] if row_col else []
     sized = settle(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
-            F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))).alias("key"),
+            F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.md5(F.coalesce(text_col, F.lit(""))))).alias("key"),
             *number,
         )
     )
@@ -93,7 +94,7 @@ def mix_sources(
         .agg(F.sum("size").alias("slice_size"))
         .select(F.col("source_no").alias("no"), F.col("slice").alias("sl"), F.coalesce(F.sum("slice_size").over(before), F.lit(0)).alias("offset"))
     )
-    inside = W.partitionBy("source_no", "slice").orderBy("key", "doc_id", "size", *["text_key"] * bool(row_col)).rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("source_no", "slice").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
     placed = settle(
         rows.withColumn("within", F.sum("size").over(inside))
         .join(slices, (F.col("source_no") == F.col("no")) & (F.col("slice") == F.col("sl")))
@@ -107,42 +108,43 @@ def mix_sources(
     def place(time: Column, epoch: Column) -> Column:
         return F.struct(time.alias("time"), F.col("source_no"), epoch.alias("epoch"), F.col("key"), F.col("doc_id"))
 
-    queue = (
-        placed.filter("size > 0")
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1))))
-        .withColumn("time", finish(F.col("epoch")))
-        .withColumn("time_slice", F.floor(F.col("time") * TIME_SLICES))
-    )
-    so_far = W.orderBy("time_slice").rowsBetween(W.unboundedPreceding, 0)
-    full = (
-        queue.groupBy("time_slice")
-        .agg(F.sum("size").alias("slice_size"), F.max("budget").alias("budget"))
-        .withColumn("spent", F.sum("slice_size").over(so_far))
-        .filter("spent > budget")
-        .agg(F.min_by(F.struct("time_slice", (F.col("budget") - F.col("spent") + F.col("slice_size")).alias("left")), "time_slice").alias("cut"))
-        .select(F.col("cut.time_slice").alias("cut_slice"), F.col("cut.left").alias("cut_left"))
-    )
-    order = W.orderBy("time", "source_no", "epoch", "key", "doc_id").rowsBetween(W.unboundedPreceding, 0)
-    last = (
-        queue.join(F.broadcast(full), F.col("time_slice") == F.col("cut_slice"))  # of one row
-        .withColumn("spent", F.sum("size").over(order))
-        .filter("spent <= cut_left")
-        .agg(F.max(place(F.col("time"), F.col("epoch"))).alias("last"))
-    )
-    cut = settle(full.crossJoin(F.broadcast(last)))  # of one row each
+    queue = placed.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1)))).withColumn("time", finish(F.col("epoch")))
+    so_far = W.orderBy("slice").rowsBetween(W.unboundedPreceding, 0)  # over one row for each slice
+    slices_of_one, left, some = float(TIME_SLICES), None, queue
+    for _ in range(CUTS):
+        budget = F.max("budget") if left is None else F.lit(left)
+        cut = (
+            some.groupBy(F.floor(F.col("time") * slices_of_one).alias("slice"))
+            .agg(F.sum("size").alias("slice_size"), F.count("*").alias("n"), budget.alias("budget"))
+            .withColumn("spent", F.sum("slice_size").over(so_far))
+            .filter("spent > budget")
+            .agg(F.min_by(F.struct("slice", "n", (F.col("budget") - F.col("spent") + F.col("slice_size")).alias("left")), "slice").alias("cut"))
+            .first()["cut"]
+        )
+        if cut is None:
+            break
+        left = cut["left"]
+        # What is before this slice is taken whole, what is after it not at all.
+        low, high = cut["slice"] / slices_of_one, (cut["slice"] + 1) / slices_of_one
+        some = queue.filter((F.col("time") >= low) & (F.col("time") < high))
+        if cut["n"] <= FEW:
+            break
+        slices_of_one *= TIME_SLICES
+    last = None
+    if left is not None:
+        order = W.orderBy("time", "source_no", "epoch", "key", "doc_id").rowsBetween(W.unboundedPreceding, 0)
+        last = some.withColumn("spent", F.sum("size").over(order)).filter(F.col("spent") <= left).agg(F.max(place(F.col("time"), F.col("epoch"))).alias("last"))
+        placed = placed.crossJoin(F.broadcast(settle(last)))  # of one row
 
     def taken_in(epoch: Column) -> Column:
-        time = finish(epoch)
-        inside_cut = F.coalesce(place(time, epoch) <= F.col("last"), F.lit(False))
-        at = F.floor(time * TIME_SLICES)
-        return F.when(F.col("size") == 0, 0).when(F.col("cut_slice").isNull() | (at < F.col("cut_slice")) | ((at == F.col("cut_slice")) & inside_cut), 1).otherwise(0)
+        taken = F.lit(1)
+        if left is not None:
+            time = finish(epoch)
+            taken = F.when(time < low, 1).when((time < high) & F.coalesce(place(time, epoch) <= F.col("last"), F.lit(False)), 1).otherwise(0)
+        return F.when(F.col("size") == 0, 0).otherwise(taken)
 
     epochs = sum((taken_in(F.lit(k)) for k in range(1, max_epochs)), taken_in(F.lit(0)))
-    return (
-        placed.crossJoin(F.broadcast(cut))
-        .withColumn("epochs", epochs)
-        .select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"), "epochs", *[F.col("row_no").alias(row_col or "")] * bool(row_col))
-    )
+    return placed.withColumn("epochs", epochs).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"), "epochs", *[F.col("row_no").alias(row_col or "")] * bool(row_col))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -154,7 +156,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
 ORACLE = r"""
 WITH sized AS (
-  SELECT doc_id, source, md5('mix:' || CAST(doc_id AS VARCHAR)) AS key,
+  SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS key,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 by_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),

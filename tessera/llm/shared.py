@@ -8,8 +8,8 @@ from tessera.sources.shared import settle, shared_folder
 
 __all__ = ["read_table", "settle", "shared_folder", "small_batches"]
 
-#: Rows of an Arrow batch at most: texts can be long, and a batch is held whole.
-BATCH = 1000
+#: Rows and bytes of an Arrow batch at most: texts can be long, and a batch is held whole.
+BATCH, BATCH_BYTES = 1000, 1 << 25
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +17,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(df: DataFrame) -> None:
-    """Let no Arrow batch of this session have more than BATCH rows, so that a worker's memory stays small."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH:
-        df.sparkSession.conf.set(key, BATCH)
+    """Let no Arrow batch of this session have more than BATCH rows, or more than a row beyond BATCH_BYTES, so that a worker's memory stays small.
+
+    The session keeps these settings; smaller ones are left as they are.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(key).lower().removesuffix("b")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            conf.set(key, most)

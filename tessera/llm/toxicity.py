@@ -62,7 +62,7 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = np.unique((row << BITS) | bucket)
             at = np.searchsorted(key >> BITS, np.arange(b - a + 1))
             lists += [key[at[k] : at[k + 1]] & ((1 << BITS) - 1) for k in range(b - a)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int32()))], ["h", "y", "buckets"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(lists, pa.list_(pa.int32()))], ["h", "y", "label_id", "buckets"])
 
 
 def train(examples: list[np.ndarray], labels: np.ndarray) -> Weights:
@@ -90,23 +90,25 @@ def train(examples: list[np.ndarray], labels: np.ndarray) -> Weights:
 def _train_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = [b for b in batches if b.num_rows]
     if table:
-        rows = sorted(((h, y, x.values.to_numpy()) for b in table for h, y, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True)), key=lambda r: (r[0], r[1], len(r[2])))
+        rows = sorted(((h, y, x.values.to_numpy()) for b in table for h, y, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True)), key=lambda r: (r[0], r[1], len(r[2]), r[2].tobytes()))
         w = train([r[2] for r in rows], np.array([r[1] for r in rows], float))
         yield pa.RecordBatch.from_arrays([pa.array([w.bias]), pa.array([w.bucket]), pa.array([w.weight])], ["bias", "bucket", "weight"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Weights:
-    """Weights from at most ``sample`` rows of ``labels`` (id, label) and their texts.
+    """Weights from at most ``sample`` rows of ``labels`` (id, label) and a text for each.
 
-    The features of the sample meet in one task, which is bounded by ``sample``. Null labels are left
-    out; without any labelled text all weights are zero.
+    The features of the sample meet in one task, which is bounded by ``sample`` lists of at most 2**BITS buckets. Null labels are left
+    out; without any labelled text all weights are zero. Of several texts of one id the one with the least features counts.
     """
     small_batches(docs)
     known = labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col).alias("label_id"), (F.col(label_col) > 0).cast("int").alias("y"))
     chosen = known.withColumn("h", F.xxhash64("label_id")).orderBy("h", "label_id", "y").limit(sample)
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = text.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("h", "y", "text")  # at most ``sample`` rows
-    trained = rows.mapInArrow(_featurise, "h long, y int, buckets array<int>").repartition(1).mapInArrow(_train_sample, "bias double, bucket array<long>, weight array<double>").collect()
+    rows = text.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("h", "y", "text", F.col("label_id").cast("string").alias("label_id"))  # ``chosen`` has at most ``sample`` rows
+    featured = rows.mapInArrow(_featurise, "h long, y int, label_id string, buckets array<int>")
+    once = featured.groupBy("h", "y", "label_id").agg(F.min("buckets").alias("buckets")).select("h", "y", "buckets")
+    trained = once.repartition(1).mapInArrow(_train_sample, "bias double, bucket array<long>, weight array<double>").collect()
     return Weights(trained[0][0], np.array(trained[0][1], np.int64), np.array(trained[0][2])) if trained else Weights()
 
 

@@ -15,9 +15,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, components, fingerprint, langid, maintext, mixing, neardup, pieces, pii, toxicity, warc
+from tessera.llm import ann, components, fingerprint, langid, maintext, mixing, neardup, pieces, pii, textops, toxicity, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -91,6 +92,23 @@ def test_mix_targets_and_amounts(spark):
     assert mixed.columns == df.columns and mixed.count() == sum(r.epochs for r in got)
 
 
+def test_mix_cuts_time_until_few_rows_are_left(spark, monkeypatch):
+    rnd = random.Random(9)
+    df = docs(spark, [f"{k} " + "w " * rnd.randint(0, 20) for k in range(500)])
+    whole = sorted(mixing.mix_sources(df).collect())
+    for few, slices in ((3, 4), (0, 8), (10**9, 2)):
+        monkeypatch.setattr(mixing, "FEW", few)
+        monkeypatch.setattr(mixing, "TIME_SLICES", slices)
+        assert sorted(mixing.mix_sources(df).collect()) == whole
+
+
+def test_mix_of_rows_of_one_id(spark):
+    texts = ["w " * (k % 7 + 1) + str(k) for k in range(300)]
+    df = frame(spark, [(1, t, "en", "s" + str(k % 2), None) for k, t in enumerate(texts)])
+    got = mixing.mix_sources(df).collect()
+    assert len(got) == 300 and sum(r.taken for r in got) <= sum(r["size"] for r in got) <= sum(r.taken for r in got) + 30
+
+
 def test_mix_edges(spark, odd):
     got = mixing.mix_sources(odd).collect()
     assert len(got) == odd.count() and all(r.taken == 0 for r in got if r["size"] == 0)
@@ -121,6 +139,67 @@ def test_toxicity_learns_and_leaves_clean(spark, odd):
     assert toxicity.score_toxicity(df.limit(0), labels, held).count() == 0
 
 
+def plain_features(text):
+    """Buckets of words, pairs and pairs with a word between."""
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).encode())
+    each = [int(textops.hash_runs(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in words]
+
+    def bucket(h):
+        for shift, factor in ((31, 0x7FB5D329728EA185), (27, 0x81DADEF4BC2DD44D), (33, 1)):
+            h = (h ^ h >> shift) * factor % 2**64
+        return h >> 64 - toxicity.BITS
+
+    found = {bucket((h + 1) % 2**64) for h in each}
+    for gap in (1, 2):
+        found |= {bucket((a * int(textops.BASE) + b + 2 + gap) % 2**64) for a, b in zip(each, each[gap:], strict=False)}
+    return found
+
+
+def plain_ftrl(examples, rounds):
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if i == "bias":
+            return -z[i] / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+        if abs(z[i]) <= toxicity.L1:
+            return 0.0
+        return -(z[i] - (1 if z[i] > 0 else -1) * toxicity.L1) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(rounds):
+        for x, y in examples:
+            w = {i: weight(i) for i in [*sorted(x), "bias"]}
+            g = (1 / (1 + np.exp(-max(-30, min(30, sum(w.values()))))) - y) * (toxicity.POSITIVE if y else 1.0)
+            for i, wi in w.items():
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA * wi
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_ftrl_is_that_of_a_plain_loop(spark):
+    rnd = random.Random(8)
+    words = ["".join(rnd.choices("abcdefgh", k=4)) for _ in range(60)] + ["Foo9", "bär"]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(0, 30))) + (" vile! TROLL" if k % 3 == 0 else "") for k in range(120)]
+    batch = pa.RecordBatch.from_pydict({"h": list(range(120)), "y": [int(k % 3 == 0) for k in range(120)], "text": texts, "label_id": [str(k) for k in range(120)]})
+    (featured,) = toxicity._featurise(iter([batch]))
+    lists = [set(x) for x in featured.column(3).to_pylist()]
+    assert lists == [plain_features(t) for t in texts]
+    got = toxicity.train([np.array(sorted(x), np.int64) for x in lists], np.array([float(k % 3 == 0) for k in range(120)]))
+    want = plain_ftrl([(x, float(k % 3 == 0)) for k, x in enumerate(lists)], toxicity.ROUNDS)
+    assert got.bias == pytest.approx(want.pop("bias"), abs=1e-9) and len(got.bucket) > 3
+    assert dict(zip(got.bucket.tolist(), got.weight.tolist(), strict=True)) == pytest.approx({i: w for i, w in want.items() if w}, abs=1e-9)
+    weights = dict(zip(got.bucket.tolist(), got.weight.tolist(), strict=True))
+    for r in toxicity.score(docs(spark, [*texts[:20], None, ""]), got).collect():
+        total = got.bias + sum(weights.get(i, 0.0) for i in plain_features([*texts[:20], "", ""][r.doc_id]))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)
+
+
+def test_several_texts_of_a_labelled_id_count_once(spark):
+    df = frame(spark, [(k % 10, f"word{k} common", "en", "s", None) for k in range(400)])
+    labels = frame(spark, [(k, int(k % 2 == 0)) for k in range(10)], "doc_id long, toxic int")
+    a, b = (toxicity.fit(df.repartition(n), labels) for n in (1, 7))
+    assert a.bias == b.bias and a.bucket.tolist() == b.bucket.tolist() and a.weight.tolist() == b.weight.tolist()
+
+
 # 3 PII
 
 
@@ -816,6 +895,51 @@ def test_fingerprints(spark):
     assert all(len(p) == 1 for p in prints.values()) and prints[""] == {""}
 
 
+def plain_fingerprint(text):
+    """(n, digest, kept) by a library's XXH64, whose seed is the hash of what came before."""
+    top = 2**63 - 1
+
+    def chain(values, seed=42):
+        for v in values:
+            seed = xxhash.xxh64_intdigest((v % 2**64).to_bytes(8, "little"), seed)
+        return seed
+
+    words = [xxhash.xxh64_intdigest(w.encode(), 42) for w in WORD.findall(text)]
+    found = {chain(words[k : k + 5]) & top for k in range(len(words) - 4)} if len(words) >= 5 else {chain([chain(words)]) & top} if words else set()
+    if words and len(words) < 5:
+        found = {chain(words) & top}
+    return len(found), chain(sorted(found)), {h for h in found if h < top // fingerprint.SCALE}
+
+
+def plain_alike(a, b):
+    if a[:2] == b[:2]:
+        return 1.0
+    return len(a[2] & b[2]) / len(a[2] | b[2]) if a[2] | b[2] else 0.0
+
+
+def test_fingerprints_are_those_of_a_plain_version(spark):
+    rnd = random.Random(18)
+    words = ["alpha", "beta", "gamma", "delta", "ünï", "\U0001f600"]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(0, 120))) for _ in range(80)] + [None, "", "one", "one two", "one"]
+    ids = [None if k == 7 else k % 60 for k in range(len(texts))]
+    got = fingerprint.fingerprint_documents(frame(spark, list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(4)).collect()
+    rows = sorted((i is not None, i or 0, (h := xxhash.xxh64_intdigest((t or "").encode(), xxhash.xxh64_intdigest((1).to_bytes(4, "little"), 42))) - 2**64 * (h >> 63), t or "") for i, t in zip(ids, texts, strict=True))
+    want = Counter()
+    for (known, i, _, t), (*_, following) in zip(rows, rows[1:] + rows[:1], strict=True):
+        half = len(t) // 2
+        edited = t[: len(t) - half] + following[:half]
+        own, other, after = (plain_fingerprint(x) for x in (t, edited, following))
+        text = lambda f: "" if not f[0] else f"{f[0]}:{f[1]:x}:" + ",".join(f"{h:x}" for h in sorted(f[2]))
+        want[i if known else None, len(t), hashlib.sha256(edited.encode()).hexdigest(), text(own), text(other), round(plain_alike(own, other), 12), round(plain_alike(own, after), 12)] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 12), round(r.near_next, 12)) for r in got) == want
+
+
+def test_rows_of_one_id_are_in_several_ranges(spark):
+    df = frame(spark, [(5, f"text {k}") for k in range(400)], "doc_id long, text string")
+    paired = fingerprint.with_next(df, ["text"], slices=16)
+    assert len({r.text for r in paired.collect()}) == 400 == len({r["next"].text for r in paired.collect()})
+
+
 def test_fingerprint_edges(spark, odd):
     got = fingerprint.fingerprint_documents(odd).collect()
     assert len(got) == odd.count()
@@ -828,6 +952,8 @@ def test_sketches_merge_and_estimate(spark):
     rnd = random.Random(9)
     words = [str(rnd.randrange(10**6)) for _ in range(4000)]
     a, b = " ".join(words[:3000]), " ".join(words[2000:])
-    row = frame(spark, [(a, b, " ".join(words[:400]))], "a string, b string, c string").select(*[fingerprint.sketch(F.col(x)).alias(x) for x in "abc"])
-    est = row.select(fingerprint.likeness(F.col("a"), F.col("b")).alias("j"), fingerprint.containment(F.col("c"), F.col("a")).alias("c"), (fingerprint.merged(F.col("a"), F.col("b")) == F.sort_array(F.array_union("a", "b"))).alias("m")).first()
-    assert est.j == pytest.approx(0.25, abs=0.06) and est.c == 1.0 and est.m
+    both = a + " " + " ".join(f"x{k}" for k in range(5))
+    row = frame(spark, [(a, b, " ".join(words[:400]), "one", both)], "a string, b string, c string, d string, e string").select(*[fingerprint.sketch(F.col(x)).alias(x) for x in "abcde"])
+    est = row.select(fingerprint.likeness(F.col("a"), F.col("b")).alias("j"), fingerprint.containment(F.col("c"), F.col("a")).alias("c"), F.size(fingerprint.merged(F.col("a"), F.col("b"))).alias("m"), F.size(F.array_union("a", "b")).alias("u"), F.size("a").alias("n"), fingerprint.containment(F.col("a"), F.col("e")).alias("s")).first()
+    assert est.j == pytest.approx(0.25, abs=0.06) and est.c == 1.0 == est.s and est.m == est.u
+    assert est.n == pytest.approx(2996 / fingerprint.SCALE, rel=0.2)
