@@ -2,8 +2,8 @@
 
 Sketches of equal fraction merge by union, and the share of one sketch that is in another estimates
 how much of one document is in another, also where their lengths are very unequal. A short text may
-have no hash below the threshold; a fingerprint therefore also has the number of different shingles and a
-digest of them all, by which equal documents are known.
+have no hash below the threshold; a fingerprint therefore also has the number of words and a digest of
+their sequence, by which equal documents are known.
 
 All of this is DataFrame and SQL functions.
 """
@@ -23,19 +23,17 @@ WIDTH = 5
 _TOP = 2**63 - 1
 
 
-def shingles(text: Column, width: int = WIDTH) -> Column:
-    """Distinct non-negative 63-bit hashes of the runs of ``width`` words, or of all words if fewer."""
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
+def word_hashes(text: Column) -> Column:
+    """A hash of each word of a text, in order; null counts as empty."""
+    return F.transform(F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
-    def runs(h: Column) -> Column:
-        whole = F.array(F.xxhash64(h))
-        long = F.transform(F.sequence(F.lit(0), F.size(h) - width), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)]))
-        return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).when(F.size(h) < width, whole).otherwise(long)
 
-    # One-element arrays give the intermediate arrays a name, so that each is computed once.
-    hashes = F.flatten(F.transform(F.array(hashed), runs))
-    return F.transform(hashes, lambda h: h.bitwiseAND(F.lit(_TOP)))
+def shingles(h: Column, width: int = WIDTH) -> Column:
+    """Non-negative 63-bit hashes of the runs of ``width`` words, or of all words if fewer, from the hashes of the words."""
+    whole = F.array(F.xxhash64(h))
+    long = F.transform(F.sequence(F.lit(0), F.size(h) - width), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)]))
+    runs = F.when(F.size(h) == 0, F.array().cast("array<bigint>")).when(F.size(h) < width, whole).otherwise(long)
+    return F.transform(runs, lambda x: x.bitwiseAND(F.lit(_TOP)))
 
 
 def sketch(text: Column, scale: int = SCALE, width: int = WIDTH) -> Column:
@@ -44,14 +42,15 @@ def sketch(text: Column, scale: int = SCALE, width: int = WIDTH) -> Column:
 
 
 def fingerprint(text: Column, scale: int = SCALE, width: int = WIDTH) -> Column:
-    """A struct of n, the number of different shingles, digest, a hash of them all, and kept, the sorted sketch; null counts as empty."""
+    """A struct of n, the number of words, digest, a hash of their sequence, and kept, the sorted sketch; null counts as empty."""
     limit = F.lit(_TOP // scale)
 
-    def of(hashes: Column) -> Column:
-        return F.struct(F.size(hashes).alias("n"), F.xxhash64(hashes).alias("digest"), F.filter(hashes, lambda x: x < limit).alias("kept"))
+    def of(h: Column) -> Column:
+        below = F.filter(shingles(h, width), lambda x: x < limit)
+        return F.struct(F.size(h).alias("n"), F.xxhash64(h).alias("digest"), F.sort_array(F.array_distinct(below)).alias("kept"))
 
-    # An array of one element gives the sorted hashes a name, so that they are made once.
-    return F.transform(F.array(F.array_sort(F.array_distinct(shingles(F.coalesce(text, F.lit("")), width)))), of)[0]
+    # An array of one element gives the hashes of the words a name, so that they are made once.
+    return F.transform(F.array(word_hashes(text)), of)[0]
 
 
 def merged(a: Column, b: Column) -> Column:
