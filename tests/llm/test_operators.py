@@ -331,7 +331,7 @@ def test_templated_sets_of_one_key_are_split(spark, monkeypatch):
     vocabulary = ["".join(rnd.choices("abcdefghij", k=5)) for _ in range(3000)]
     template = rnd.choices(vocabulary, k=150)
     n, texts = 240, []
-    monkeypatch.setattr(neardup, "BLOCK", 32)
+    monkeypatch.setattr(neardup, "CROWD", 64)
     for _ in range(n // 2):
         words = template + rnd.choices(vocabulary, k=90)
         twin = list(words)
@@ -896,7 +896,7 @@ def test_fingerprints(spark):
 
 
 def plain_fingerprint(text):
-    """(n, digest, kept) by a library's XXH64, whose seed is the hash of what came before."""
+    """(words, digest, kept) by a library's XXH64, whose seed is the hash of what came before."""
     top = 2**63 - 1
 
     def chain(values, seed=42):
@@ -905,10 +905,8 @@ def plain_fingerprint(text):
         return seed
 
     words = [xxhash.xxh64_intdigest(w.encode(), 42) for w in WORD.findall(text)]
-    found = {chain(words[k : k + 5]) & top for k in range(len(words) - 4)} if len(words) >= 5 else {chain([chain(words)]) & top} if words else set()
-    if words and len(words) < 5:
-        found = {chain(words) & top}
-    return len(found), chain(sorted(found)), {h for h in found if h < top // fingerprint.SCALE}
+    found = {chain(words[k : k + 5]) & top for k in range(max(1, len(words) - 4))} if words else set()
+    return len(words), chain(words), {h for h in found if h < top // fingerprint.SCALE}
 
 
 def plain_alike(a, b):

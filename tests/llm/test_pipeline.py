@@ -25,7 +25,7 @@ def test_stages(spark, sf_dir):
         before[name + "/out"] = docs
     out = lambda n: before[n + "/out"]
     assert out("language").count() >= 0.98 * start.count()
-    kept = {r.doc_id for r in neardup.near_duplicates(before["near_duplicates"]).filter("kept").collect()}
+    kept = {r.doc_id for r in neardup.near_duplicates(before["near_duplicates"], percent=corpus_pipeline.NEAR_PERCENT).filter("kept").collect()}
     assert {r.doc_id for r in out("near_duplicates").select("doc_id").collect()} == kept
     assert out("personal_data").count() == before["personal_data"].count()
     assert out("personal_data").filter(F.col("text").rlike(r"[a-z0-9]+@[a-z0-9]+\.example\.com")).count() == 0
