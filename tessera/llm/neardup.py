@@ -8,9 +8,10 @@ miss each other with a probability of 2e-5, of 0.8 with 4e-4.
 
 Candidates are confirmed on full shingle sets. Equal sets are one class from the start, so copies are not
 paired. Inside a table key, sets are first compared with the least one there; where those that are left
-are in different components, all of them are compared by their signatures. A key with many such sets, as pages of one
-template make, is first split by longer keys, whose length follows the number of sets, so that few of them meet
-by their template alone.
+are in different components, all of them are compared by their signatures. A key with many sets goes through more rounds
+before: those outside its largest component are compared with another member of it each time, which joins the near copies of a
+large group. What is still in many components, as pages of one template are, is split by longer keys, whose length
+follows the number of sets, so that few of them meet by their template alone.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ BLOCK = 128
 HASHES = 2 * ROWS * BANDS
 #: Minhashes of a long signature, of which one byte is kept, and by how many standard errors below the threshold they may agree.
 LONG, LONG_SLACK = 768, 4.65
+#: Sets of a key from which it goes through rounds with other hubs and is split, and how many such rounds there are.
+CROWD, ROUNDS = 2048, 4
 #: Probability that a similar pair of a split key meets in none of its longer keys, and least and most minhashes of one.
 MISS, SHORTEST, LONGEST = 1e-4, 8, 20
 
@@ -143,17 +146,17 @@ _FILTER_BITS = 16, 27
 
 
 def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``_texts_with`` the ids of pairs."""
-    return _texts_with(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    """``_texts_with`` the ids of pairs that are written down."""
+    return _texts_with(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")), 2 * pairs.count())
 
 
-def _texts_with(texts: DataFrame, ids: DataFrame) -> DataFrame:
+def _texts_with(texts: DataFrame, ids: DataFrame, most: int) -> DataFrame:
     """The rows (id, text) with one of the ids, and few others.
 
-    Ids set bits of a filter that has 16 for each of them, up to a size that can be broadcast whatever the
+    Ids, ``most`` at most, set bits of a filter that has 16 for each of them, up to a size that can be broadcast whatever the
     input, so that texts in no pair are not shuffled; where it fills up it only keeps more.
     """
-    bits = min(_FILTER_BITS[1], max(_FILTER_BITS[0], (16 * ids.count()).bit_length()))
+    bits = min(_FILTER_BITS[1], max(_FILTER_BITS[0], (16 * most).bit_length()))
     bit = F.xxhash64("id").bitwiseAND(F.lit(2**bits - 1))
     word = F.shiftright(bit, 6)
     mask = F.expr(f"shiftleft(1L, CAST((xxhash64(id) & {2**bits - 1}) & 63 AS INT))")
@@ -274,6 +277,27 @@ def _several(named: DataFrame) -> DataFrame:
     return named.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n")).filter("c < d").select("key", "n")
 
 
+def _hub_round(rest: DataFrame, sets: DataFrame, texts: DataFrame, percent: float, number: int) -> DataFrame:
+    """Confirmed links (a, b) between sets outside the largest component of a crowded key and one member b of that."""
+    sizes = rest.filter(F.col("n") > CROWD).groupBy("key", "component").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("x")).select("key", F.col("x.component").alias("main"))
+    rows = rest.join(largest, "key")
+    hub = rows.filter("component = main").groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(number))).alias("b"))
+    pairs = rows.filter("component <> main").join(hub, "key").select(F.col("id").alias("a"), "b").distinct()
+    return settle(_confirmed(_near(pairs, sets, percent), texts, percent))
+
+
+def _joined(rest: DataFrame, links: DataFrame) -> DataFrame:
+    """``rest`` after each component with a link (a, b) from it has taken the name of one that it leads to; what is closed then goes.
+
+    Sets of one name are connected; connected ones may still have two.
+    """
+    names = rest.select("id", "component").distinct()
+    to = links.join(names.toDF("a", "from"), "a").join(names.toDF("b", "to"), "b").groupBy("from").agg(F.min("to").alias("to"))
+    now = rest.join(to, F.col("component") == F.col("from"), "left").select("id", "key", "place", F.coalesce("to", "component").alias("component"))
+    return settle(now.join(_several(now).filter("n > 2"), "key"))
+
+
 def _links(sets: DataFrame, texts: DataFrame, percent: float) -> DataFrame:
     """Confirmed links (a, b) that connect what is similar."""
     keys = settle(_table_keys(sets))
@@ -284,17 +308,24 @@ def _links(sets: DataFrame, texts: DataFrame, percent: float) -> DataFrame:
     # Keys that still hold several components: all pairs of those but for the pairs with the hub, which are done.
     known = components(links)
     named = keys.join(known, keys["id"] == known["node"], "left").select("id", "key", "place", F.coalesce("component", "id").alias("component"))
-    open_keys = _several(named).filter("n > 2")
-    rest = settle(named.join(open_keys, "key"))
-    long = settle(_texts_with(texts, rest.select("id").distinct()).mapInArrow(_long_signatures, "id long, long binary"))
+    rest = settle(named.join(_several(named).filter("n > 2"), "key"))
     crowd = rest.agg(F.max("n")).first()[0] or 0
-    if crowd > BLOCK:
+    for number in range(ROUNDS):
+        if crowd <= CROWD:
+            break
+        more = _hub_round(rest, sets, texts, percent, number)
+        if more.isEmpty():
+            break
+        links, rest = links.union(more), _joined(rest, more)
+        crowd = rest.agg(F.max("n")).first()[0] or 0
+    long = settle(_texts_with(texts, rest.select("id"), rest.count()).mapInArrow(_long_signatures, "id long, long binary"))
+    if crowd > CROWD:
         # Each pair that meets in a crowded key is of two crowded sets, so one lot of longer keys does for all those keys.
         length, keys_each = split_keys(crowd, percent)
-        crowded = rest.filter(F.col("n") > BLOCK).select("id", "component").distinct().join(long, "id").select("id", "component", "long")
+        crowded = rest.filter(F.col("n") > CROWD).select("id", "component").distinct().join(long, "id").select("id", "component", "long")
         split = settle(crowded.mapInArrow(partial(_split, length=length, keys=keys_each), "key long, id long, component long"))
         split = split.join(_several(split), "key").withColumn("place", F.lit(-1))
-        rest = rest.filter(F.col("n") <= BLOCK).unionByName(split.select(*rest.columns))
+        rest = rest.filter(F.col("n") <= CROWD).unionByName(split.select(*rest.columns))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     rest = rest.join(long, "id").join(sets.select("id", "u", "v"), "id").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))

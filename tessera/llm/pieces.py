@@ -31,7 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 1
 #: Segmentations that a worker keeps, and how many children of one.
-KEPT, BRANCHES = 600_000, 24
+KEPT, BRANCHES = 250_000, 24
 #: Longest unit whose drops fit in 63 bits: n characters have 3 * (n - 1) candidates at most.
 SHORT = 22
 SPACE = "▁"
@@ -274,11 +274,11 @@ class Encoder:
     def _room(self, nodes: int, ids: int) -> None:
         """Let the trees have room for so many nodes and ids more."""
         if (short := self.size + nodes - len(self.seen)) > 0:
-            short += self.size + nodes
+            short += (self.size + nodes) // 4
             self.seen, self.met, self.begin, self.length = (np.concatenate([x, np.zeros(short, np.int64)]) for x in (self.seen, self.met, self.begin, self.length))
             self.child = np.concatenate([self.child, np.full((short, BRANCHES), -1, np.int32)])
         if self.filled + ids > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(self.filled + 2 * ids, np.int32)])
+            self.pool = np.concatenate([self.pool, np.zeros(self.filled // 4 + ids, np.int32)])
 
     def _add(self, units: list[str], drops: np.ndarray) -> np.ndarray:
         """New nodes of short units by their drops; their numbers follow each other."""
