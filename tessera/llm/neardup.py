@@ -147,7 +147,8 @@ _FILTER_BITS = 16, 27
 
 def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """``_texts_with`` the ids of pairs that are written down."""
-    return _texts_with(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")), 2 * pairs.count())
+    ids = pairs.select(F.col("a").alias("id")).distinct().union(pairs.select("b").distinct())
+    return _texts_with(texts, ids, 2 * pairs.count())
 
 
 def _texts_with(texts: DataFrame, ids: DataFrame, most: int) -> DataFrame:
