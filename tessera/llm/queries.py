@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, fingerprint, langid, maintext, mixing, neardup, pieces, pii, toxicity, warc
+from tessera.llm import ann, decontamination, fingerprint, langid, maintext, mixing, neardup, pieces, pii, spelling, toxicity, warc, whitening
 from tessera.llm.shared import read_table
 
 
@@ -54,9 +54,21 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_personal_data": op3_personal_data, "op4_near_duplicates": op4_near_duplicates, "op5_warc": op5_warc, "op6_main_text": op6_main_text, "op7_nearest": op7_nearest, "op8_language": op8_language, "op9_pieces": op9_pieces, "op10_fingerprint": op10_fingerprint}
+    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_personal_data": op3_personal_data, "op4_near_duplicates": op4_near_duplicates, "op5_warc": op5_warc, "op6_main_text": op6_main_text, "op7_nearest": op7_nearest, "op8_language": op8_language, "op9_pieces": op9_pieces, "op10_fingerprint": op10_fingerprint, "op11_spelling": op11_spelling, "op12_whitening": op12_whitening, "op13_decontamination": op13_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.ORACLE, "op4_near_duplicates": neardup.ORACLE, "op5_warc": warc.ORACLE}
+    return {"op1_mix": mixing.ORACLE, "op4_near_duplicates": neardup.ORACLE, "op5_warc": warc.ORACLE, "op11_spelling": spelling.ORACLE, "op13_decontamination": decontamination.ORACLE}

@@ -47,7 +47,7 @@ def test_query_against_sql(name, spark, sf_dir):
 
 
 def test_numbers():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 def test_near_duplicates_from_four_fifths(spark):
