@@ -52,19 +52,37 @@ def rename_namespace_to_bnodes(graph: DataFrame, prefix: str) -> DataFrame:
     return rename_resources(graph, old.withColumn("new", F.concat(F.lit("_:"), name_uuid(F.col("old")))))
 
 
+def reachable(edges: DataFrame, *by: str) -> DataFrame:
+    """(by, above, below, distance): the transitive closure of direct pairs (by, above, below) with the least number of steps; cycles end.
+
+    Paths double: a pair of at most twice the known distance is a known pair of exactly that distance, then another known pair. So the number of
+    rounds grows with the logarithm of the depth, and a pair that is known does not come again. Each round's new pairs are written
+    to the shared folder, beside those before.
+    """
+    parts = [settle(edges.select(*by, "above", "below").distinct().withColumn("distance", F.lit(1).cast("long")))]
+    far = 1
+    while True:
+        known = reduce(DataFrame.unionByName, parts)
+        front = parts[-1].filter(F.col("distance") == far).select(*by, "above", F.col("below").alias("mid"))
+        back = known.select(*by, F.col("above").alias("mid"), "below", (F.col("distance") + far).alias("distance"))
+        found = front.join(back, [*by, "mid"]).groupBy(*by, "above", "below").agg(F.min("distance").alias("distance"))
+        new = settle(found.join(known, [*by, "above", "below"], "left_anti"))
+        if new.isEmpty():
+            return known
+        parts.append(new)
+        far *= 2
+
+
 def transitive_pairs(edges: DataFrame, depth: int = 10) -> DataFrame:
-    """(above, below) of the transitive closure of direct pairs, by joins round after round.
+    """(above, below) of the transitive closure of direct pairs; see ``reachable``.
 
-    Pairs deeper than ``depth`` are an error, so a cycle is too. Each round's pairs are written to the shared folder.
+    A cycle, or a pair more than ``depth`` levels below its direct pairs, is an error.
     """
-    direct = edges.select("above", "below").distinct()
-    now, every = direct, direct
-    for _ in range(depth + 1):
-        now = settle(now.toDF("above", "mid").join(direct.toDF("mid", "below"), "mid").select("above", "below").distinct())
-        if now.isEmpty():
-            return every.distinct()
-        every = every.union(now)
-    raise ValueError(f"more than {depth} levels of nesting")
+    pairs = reachable(edges)
+    worst = pairs.agg(F.max("distance").alias("far"), F.max(F.col("above") == F.col("below")).alias("cycle")).first()
+    if worst["cycle"] or (worst["far"] or 0) > depth + 1:
+        raise ValueError(f"more than {depth} levels of nesting")
+    return pairs.select("above", "below")
 
 
 def closure_statements(pairs: DataFrame, superset: str, subset: str) -> DataFrame:
@@ -76,21 +94,26 @@ def closure_statements(pairs: DataFrame, superset: str, subset: str) -> DataFram
     return pairs.select(F.explode(both).alias("t")).select("t.*").distinct()
 
 
-def subject_subgraph(graph: DataFrame, roots: DataFrame, rounds: int = 1000) -> DataFrame:
-    """(root, statement columns) of each root and of the blank nodes that it leads to, at any depth.
+def blank_nodes_below(graph: DataFrame, roots: DataFrame) -> DataFrame:
+    """(root, node) of each root and of the blank nodes that it leads to, at any depth; cycles end.
 
-    What was visited is not visited again, so cycles of blank nodes end.
+    Jumps double: with the nodes nearer than 2**k steps known, jumps of exactly 2**k steps give those nearer than 2**(k + 1). So a chain of n
+    blank nodes takes log n rounds, and its jumps are never more than n rows.
     """
-    frontier = roots.select("root", F.col("root").alias("node")).distinct()
-    visited = frontier
-    step = graph.filter(F.col("o_kind") == "bnode").select(F.col("s").alias("node"), F.col("o").alias("following")).distinct()
-    for _ in range(rounds):
-        found = frontier.join(step, "node").select("root", F.col("following").alias("node")).distinct()
-        frontier = settle(found.join(visited, ["root", "node"], "left_anti"))
-        if frontier.isEmpty():
-            return visited.join(graph, F.col("node") == F.col("s")).select("root", *TRIPLE).distinct()
-        visited = settle(visited.union(frontier))
-    raise ValueError(f"more than {rounds} levels of blank nodes")
+    parts = [settle(roots.select("root", F.col("root").alias("node")).distinct())]
+    jump = settle(graph.filter(F.col("o_kind") == "bnode").select(F.col("s").alias("node"), F.col("o").alias("to")).distinct())
+    while True:
+        known = reduce(DataFrame.unionByName, parts)
+        new = settle(known.join(jump, "node").select("root", F.col("to").alias("node")).distinct().join(known, ["root", "node"], "left_anti"))
+        if new.isEmpty():
+            return known
+        parts.append(new)
+        jump = settle(jump.join(jump.toDF("to", "further"), "to").select("node", F.col("further").alias("to")).distinct())
+
+
+def subject_subgraph(graph: DataFrame, roots: DataFrame) -> DataFrame:
+    """(root, statement columns) of each root and of the blank nodes that it leads to; see ``blank_nodes_below``."""
+    return blank_nodes_below(graph, roots).join(graph, F.col("node") == F.col("s")).select("root", *TRIPLE).distinct()
 
 
 def label_lookup(subjects: DataFrame, graph: DataFrame, pref_label: str, label: str, override: str | None = None) -> DataFrame:

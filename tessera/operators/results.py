@@ -1,4 +1,4 @@
-"""Benchmark results from nanopublications, and the matching of profiles with datasets."""
+"""Benchmark results from nanopublications, stream types, and records of datasets and versions."""
 
 from __future__ import annotations
 
@@ -57,21 +57,6 @@ def results_order(results: DataFrame, task: str = "task", date: str = "date") ->
     return results.orderBy(F.coalesce(task, F.lit("zzz")), F.coalesce(date, F.lit("zzz")), "np")
 
 
-def match_profiles(targets: DataFrame, facts: DataFrame, constraints: DataFrame) -> DataFrame:
-    """C4: (profile, target) where a target has, for every constraint (profile, property, op, value), facts that hold.
-
-    facts (target, property, value) as numbers; operators eq, ge, le, exists. Spark broadcasts the constraints where their size
-    allows it, and each fact meets those of its property only; a target counts the constraints that it meets.
-    """
-    c = F.col
-    needed = constraints.groupBy("profile").agg(F.count_distinct("property", "op", "value").alias("needed"))
-    rules = constraints.select("profile", "property", "op", F.col("value").alias("want")).distinct()
-    ok = F.when(c("op") == "eq", c("value") == c("want")).when(c("op") == "ge", c("value") >= c("want")).when(c("op") == "le", c("value") <= c("want")).otherwise(c("value").isNotNull())
-    held = facts.join(rules, "property").groupBy("target", "profile", "property", "op", "want").agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("ok")).filter("ok")
-    met = held.groupBy("target", "profile").agg(F.count("*").alias("met"))
-    return met.join(needed, "profile").filter("met = needed").join(targets.select("target"), "target", "left_semi").select("profile", "target")
-
-
 def stream_types_of(usages: DataFrame, types: DataFrame) -> DataFrame:
     """(dataset, name, is_flat, element_type): usages (dataset, type IRI) by the local name in the small table of stream types."""
     named = usages.select("dataset", F.regexp_extract("type", r"([^/#]*)$", 1).alias("name"))

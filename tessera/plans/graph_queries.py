@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.names import ROOT
-from tessera.functions.terms import RDF_TYPE
-from tessera.operators import graphs, reports, results, stats, validate
+from tessera.functions.terms import RDF_TYPE, XSD
+from tessera.operators import graphs, profiles, reports, results, stats, validate
 from tessera.plans.stat_queries import STATISTICS, inputs, summary_sql
 from tessera.sources import files
-from tessera.sources.views import QUAD_COLUMNS, VIEWS, explode_quads, iri, literal, quad, table, with_views
+from tessera.sources.views import QUAD_COLUMNS, VIEWS, bnode, explode_quads, iri, literal, quad, table, with_views
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -58,6 +58,21 @@ def c13_subject_subgraph(spark, sf_dir):
     return graphs.subject_subgraph(scoped, roots).groupBy("root", "p").agg(F.count("*").alias("n"))
 
 
+@query("c13_long_chains_and_cycles", "WITH b AS (SELECT event_id, event_id // 2000 AS block, CAST(round(value * 100) AS BIGINT) AS cents FROM events) SELECT 'urn:chain:' || block AS root, 1 + count(*) + count(*) - CASE WHEN block % 2 = 0 THEN 1 ELSE 0 END AS statements, CAST(sum(cents) AS BIGINT) AS cents FROM b GROUP BY block")
+def c13_long_chains_and_cycles(spark, sf_dir):
+    """Events as blank nodes, each leading to the next, in chains of 2,000 and, in turn with these, cycles."""
+    e = table(spark, sf_dir, "events").select("event_id", F.round(F.col("value") * 100).cast("long").alias("cents"), F.floor(F.col("event_id") / 2000).alias("block"))
+    last = e.groupBy("block").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+    rows = e.join(last, "block")
+    node = lambda k: bnode(F.concat(F.lit("_:e"), k.cast("string")))
+    here, root = node(F.col("event_id")), iri(F.concat(F.lit("urn:chain:"), F.col("block").cast("string")))
+    following = F.when(F.col("event_id") < F.col("last"), F.col("event_id") + 1).when(F.col("block") % 2 == 1, F.col("first"))
+    start = F.when(F.col("event_id") == F.col("first"), F.col("event_id"))
+    g = explode_quads(rows, F.col("event_id"), [quad(here, "urn:p:cents", literal(F.col("cents"), "integer")), quad(here, "urn:p:next", node(following)), quad(root, "urn:p:start", node(start))])
+    found = graphs.subject_subgraph(g, last.select(F.concat(F.lit("urn:chain:"), F.col("block").cast("string")).alias("root")))
+    return found.groupBy("root").agg(F.count("*").alias("statements"), F.sum(F.when(F.col("p") == "urn:p:cents", F.col("o").cast("long"))).alias("cents"))
+
+
 @query("c14_element_subject_node", with_views("q_orders", "q_stars", "quoted_stars") + " SELECT DISTINCT element_id, s AS node FROM q_orders WHERE p = 'urn:p:status' UNION SELECT element_id, o FROM q_orders WHERE p = 'urn:p:customer' UNION SELECT element_id, s FROM quoted_stars")
 def c14_element_subject_node(spark, sf_dir):
     orders = validate.subject_nodes(VIEWS["q_orders"](spark, sf_dir), [("target_subjects_of", "urn:p:status"), ("target_objects_of", "urn:p:customer")])
@@ -245,14 +260,106 @@ def i8_metadata_consistency(spark, sf_dir):
     return validate.metadata_consistency(info(spark, sf_dir))
 
 
-_CONSTRAINTS = (("big", "size", "ge", 25.0), ("big", "price", "ge", 1000.0), ("small", "size", "le", 10.0), ("small", "price", "exists", 0.0), ("exact", "size", "eq", 7.0), ("impossible", "weight", "exists", 0.0))
+def _constraint(profile, level, path, op, *terms, n=None, kind="literal", dt="integer"):
+    """A row of profiles.CONSTRAINTS; terms of a kind, with the datatype if they are literals."""
+    full = [(t, kind, XSD + dt if kind == "literal" else None, None) for t in terms]
+    return (profile, level, f"{op} {' '.join(path)} {terms}", list(path), op, n, full)
+
+
+_PART_RULES = (
+    _constraint("big", "dataset", ["urn:p:size"], "ge", "25"),
+    _constraint("big", "dataset", ["urn:p:price"], "ge", "1000"),
+    _constraint("small", "dataset", ["urn:p:size"], "le", "10"),
+    _constraint("small", "dataset", ["urn:p:price"], "min_count", n=1),
+    _constraint("exact", "dataset", ["urn:p:size"], "has_value", "7"),
+    _constraint("impossible", "dataset", ["urn:p:weight"], "min_count", n=1),
+)
 
 
 @query("c4_match_profiles", "SELECT 'big' AS profile, p_partkey AS target FROM part WHERE p_size >= 25 AND p_retailprice >= 1000 UNION ALL SELECT 'small', p_partkey FROM part WHERE p_size <= 10 AND p_retailprice IS NOT NULL UNION ALL SELECT 'exact', p_partkey FROM part WHERE p_size = 7")
 def c4_match_profiles(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    f = p.select(F.col("p_partkey").alias("target"), F.explode(F.array(F.struct(F.lit("size").alias("property"), F.col("p_size").cast("double").alias("value")), F.struct(F.lit("price").alias("property"), F.col("p_retailprice").alias("value")))).alias("x")).select("target", "x.*")
-    return results.match_profiles(p.select(F.col("p_partkey").alias("target")), f, spark.createDataFrame(_CONSTRAINTS, "profile string, property string, op string, value double"))
+    s = iri(F.concat(F.lit("urn:part:"), F.col("p_partkey").cast("string")))
+    q = explode_quads(table(spark, sf_dir, "part"), F.col("p_partkey"), [quad(s, "urn:p:size", literal(F.col("p_size"), "integer")), quad(s, "urn:p:price", literal(F.col("p_retailprice"), "double"))])
+    rules = spark.createDataFrame(_PART_RULES, profiles.CONSTRAINTS)
+    found = profiles.conforming(q.withColumn("focus", F.col("s")), rules, rules.select("profile").distinct(), None, RDF_TYPE, "urn:p:subClassOf")
+    return found.select("profile", F.regexp_extract("focus", "([0-9]+)$", 1).cast("long").alias("target"))
+
+
+def _customers_as_datasets(spark, sf_dir) -> DataFrame:
+    """Customers as datasets, with a blank node that says their stream type; orders as their distributions, with a blank node of statistics."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    text = lambda prefix, column: F.concat(F.lit(prefix), F.col(column).cast("string"))
+    root, usage = iri(text("urn:dataset:", "c_custkey")), bnode(text("_:usage", "c_custkey"))
+    sets = explode_quads(
+        c,
+        F.col("c_custkey"),
+        [
+            quad(root, RDF_TYPE, iri("urn:t:Dataset")),
+            quad(root, "urn:p:usage", usage),
+            quad(usage, "urn:p:streamType", iri(text("urn:type:n", "c_nationkey"))),
+            quad(root, "urn:p:segment", literal(F.col("c_mktsegment"), lang=F.lit("en"))),
+            quad(root, "urn:p:count", literal(F.abs(F.col("c_acctbal")).cast("long"), "integer")),
+            quad(root, "urn:p:temporal", iri(F.when(F.col("c_custkey") % 4 == 0, "urn:p:day"))),
+        ],
+    )
+    dist, stats_ = iri(text("urn:dist:", "o_orderkey")), bnode(text("_:stats", "o_orderkey"))
+    of = explode_quads(
+        o,
+        F.col("o_orderkey"),
+        [
+            quad(iri(text("urn:dataset:", "o_custkey")), "urn:p:distribution", dist),
+            quad(dist, "urn:p:format", iri(text("urn:format:", "o_orderpriority"))),
+            quad(dist, "urn:p:size", literal(F.col("o_totalprice").cast("long"), "integer")),
+            quad(dist, "urn:p:statistics", stats_),
+            quad(stats_, "urn:p:status", literal(F.col("o_orderstatus"))),
+        ],
+    )
+    return sets.unionByName(of)
+
+
+def _stream_taxonomy(spark, sf_dir) -> DataFrame:
+    """Nations as stream types below their regions', and classes of those."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    text = lambda prefix, column: F.concat(F.lit(prefix), F.col(column).cast("string"))
+    kind = iri(text("urn:type:n", "n_nationkey"))
+    types = explode_quads(n, F.col("n_nationkey"), [quad(kind, "urn:p:broader", iri(text("urn:type:r", "n_regionkey"))), quad(kind, RDF_TYPE, iri(F.when(F.col("n_nationkey") % 2 == 0, "urn:t:Even").otherwise("urn:t:Odd")))])
+    region = iri(text("urn:type:r", "r_regionkey"))
+    above = explode_quads(r, F.col("r_regionkey"), [quad(region, "urn:p:broader", iri("urn:type:world"))])
+    classes = explode_quads(r.limit(1), F.lit(0), [quad(iri("urn:t:Even"), "urn:p:subClassOf", iri("urn:t:Whole")), quad(iri("urn:t:Whole"), "urn:p:subClassOf", iri("urn:t:Number"))])
+    return types.unionByName(above).unionByName(classes)
+
+
+_TYPE = ["urn:p:usage", "urn:p:streamType"]
+_LINK_RULES = (
+    # Only by a type above the stated one.
+    _constraint("supertype", "dataset", [*_TYPE, "urn:p:broader*"], "has_value", "urn:type:r3", kind="iri"),
+    _constraint("supertype", "distribution", ["urn:p:format"], "has_value", "urn:format:1-URGENT", kind="iri"),
+    _constraint("direct", "dataset", _TYPE, "in", "urn:type:n5", "urn:type:n7", "urn:type:r3", kind="iri"),
+    _constraint("direct", "dataset", ["urn:p:temporal"], "max_count", n=0),
+    _constraint("direct", "distribution", ["urn:p:size"], "ge", "100000"),
+    _constraint("direct", "distribution", ["urn:p:statistics", "urn:p:status"], "in", "O", "F", dt="string"),
+    _constraint("superclass", "dataset", _TYPE, "class", "urn:t:Number", kind="iri"),
+    _constraint("superclass", "dataset", ["urn:p:temporal"], "min_count", n=1),
+    _constraint("superclass", "dataset", ["urn:p:temporal"], "kind", "iri", kind="iri"),
+    _constraint("superclass", "distribution", ["urn:p:size"], "datatype", XSD + "date", kind="iri"),
+    _constraint("no_type_of_distributions", "dataset", ["urn:p:count"], "le", "100"),
+    _constraint("no_type_of_distributions", "distribution", ["urn:p:format"], "min_of_class", "urn:t:Even", n=1, kind="iri"),
+    _constraint("other_datatype", "dataset", ["urn:p:segment"], "has_value", "BUILDING", dt="string"),
+)
+_LINK_PROFILES = ("supertype", "direct", "superclass", "no_type_of_distributions", "other_datatype", "open")
+_LINK_SQL = """
+WITH d AS (SELECT c_custkey, n_regionkey, n_nationkey, c_custkey % 4 = 0 AS temporal, CAST(trunc(abs(c_acctbal)) AS BIGINT) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey),
+m AS (SELECT 'supertype' AS profile, c_custkey FROM d WHERE n_regionkey = 3 UNION ALL SELECT 'direct', c_custkey FROM d WHERE n_nationkey IN (5, 7) AND NOT temporal UNION ALL SELECT 'superclass', c_custkey FROM d WHERE n_nationkey % 2 = 0 AND temporal UNION ALL SELECT 'no_type_of_distributions', c_custkey FROM d WHERE n <= 100 UNION ALL SELECT 'open', c_custkey FROM d),
+o AS (SELECT 'supertype' AS profile, o_custkey, o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT 'direct', o_custkey, o_orderkey FROM orders WHERE CAST(trunc(o_totalprice) AS BIGINT) >= 100000 AND o_orderstatus IN ('O', 'F') UNION ALL SELECT 'open', o_custkey, o_orderkey FROM orders)
+SELECT m.profile, 'urn:dataset:' || c_custkey AS dataset, 'urn:dist:' || o_orderkey AS distribution FROM m LEFT JOIN o ON m.profile = o.profile AND c_custkey = o_custkey
+"""
+
+
+@query("c4_datasets_and_distributions", _LINK_SQL)
+def c4_datasets_and_distributions(spark, sf_dir):
+    shapes = spark.createDataFrame([(p, level) for p in _LINK_PROFILES for level in ("dataset", "distribution")], "profile string, level string")
+    rules = spark.createDataFrame(_LINK_RULES, profiles.CONSTRAINTS)
+    return profiles.link_profiles(_customers_as_datasets(spark, sf_dir), shapes, rules, _stream_taxonomy(spark, sf_dir), "urn:t:Dataset", "urn:p:distribution", RDF_TYPE, "urn:p:subClassOf")
 
 
 _RULES = (("r", "Part", "name", "min_count", "1"), ("r", "Part", "brand", "in", "Brand#11|Brand#12|Brand#13"), ("r", "Part", "size", "datatype", "integer"), ("r", "Part", "note", "max_count", "0"), ("r", "Part", "brand", "pattern", "^Brand#[0-9]+$"), ("r", "Part", "name", "kind", "literal"))

@@ -12,10 +12,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tessera.functions.names import directory_levels, element_id_of, element_path
 from tessera.functions.terms import nt_statement
+from tessera.operators.patterns import element_index
 from tessera.sources.shared import open_stream
 
 RELEASE = "struct<tag_name: string, assets: array<struct<name: string, browser_download_url: string>>>"
@@ -287,7 +287,9 @@ def pending(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def archive_entries(rows: DataFrame, number: Column, archive: Column, extension: str = "ttl") -> DataFrame:
-    """(archive, pos, path, number) of an archive's entries named by numbers."""
+    """(archive, pos, path, number) of archives' entries named by numbers; positions come from ranges of all entries, so an archive is no single task's."""
     named = rows.select(archive.alias("archive"), number.alias("number"), F.concat(F.lpad(number.cast("string"), 10, "0"), F.lit("." + extension)).alias("path"))
-    numbered = named.withColumn("pos", F.row_number().over(W.partitionBy("archive").orderBy("path")) - 1)
-    return numbered.withColumn("number", element_id_of(F.col("path")))
+    numbered = element_index(named, F.col("archive"), F.col("path")).withColumnRenamed("element_id", "pos")
+    first = numbered.groupBy("archive").agg(F.min("pos").alias("first"))
+    placed = numbered.join(first.withColumnRenamed("archive", "__archive"), F.col("archive").eqNullSafe(F.col("__archive")))
+    return placed.select("archive", (F.col("pos") - F.col("first")).alias("pos"), "path", element_id_of(F.col("path")).alias("number"))

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tessera.operators import intervals
 from tessera.sources.shared import shared_folder
 from tessera.sources.views import QUADS
 
@@ -71,48 +73,59 @@ def last_result(stream: DataFrame) -> DataFrame:
     return spark.read.parquet(base)
 
 
-class GapFinder(StatefulProcessor):
-    """Keeps the last number of each archive and gives (archive, after, missing) where the next is not one more."""
+class RunKeeper(StatefulProcessor):
+    """Keeps the numbers of a key and block as disjoint runs, in a map from start to end, and gives those that a batch changed.
+
+    Numbers may come in any order and again. A block holds at most 2**16 numbers, so a key's state is bounded.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "number long")
+        self.runs = handle.getMapState("runs", "lo long", "hi long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        numbers = pd.concat([r["number"] for r in rows]).sort_values().tolist()
-        last = self.last.get()[0] if self.last.exists() else None
-        found = []
-        for n in numbers:
-            if last is not None and n != last + 1:
-                found.append((key[0], last, last + 1))
-            last = n
-        self.last.update((last,))
-        yield pd.DataFrame(found, columns=["archive", "after", "missing"]).astype({"after": "int64", "missing": "int64"})
+        held = {lo[0]: hi[0] for lo, hi in self.runs.iterator()}
+        new = np.unique(np.concatenate([r["number"].to_numpy(np.int64) for r in rows]))
+        cut = np.flatnonzero(np.diff(new) != 1)
+        found = sorted([*held.items(), *zip(new[[0, *(cut + 1)]].tolist(), new[[*cut, -1]].tolist(), strict=True)])
+        merged = found[:1]
+        for lo, hi in found[1:]:
+            if lo <= merged[-1][1] + 1:
+                merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+            else:
+                merged.append((lo, hi))
+        now = dict(merged)
+        for lo in held.keys() - now.keys():
+            self.runs.removeKey((lo,))
+        for lo, hi in now.items():
+            if held.get(lo) != hi:
+                self.runs.updateValue((lo,), (hi,))
+        yield pd.DataFrame({"archive": [key[0]], "block": [key[1]], "lo": [[lo for lo, _ in merged]], "hi": [[hi for _, hi in merged]]})
 
     def close(self) -> None:
         pass
 
 
-def stream_gaps(numbers: DataFrame) -> DataFrame:
-    """Gaps in a stream (archive, number) whose batches come in order."""
-    return numbers.groupBy("archive").transformWithStateInPandas(GapFinder(), outputStructType="archive string, after long, missing long", outputMode="Append", timeMode="None")
+def stream_runs(numbers: DataFrame) -> DataFrame:
+    """(archive, block, lo, hi) with all runs, as arrays of their ends, of each archive and block that a batch of (archive, number) adds to; needs the RocksDB state store."""
+    placed = numbers.filter("number is not null").select("archive", "number", F.shiftright("number", intervals.BITS).alias("block"))
+    return placed.groupBy("archive", "block").transformWithStateInPandas(RunKeeper(), outputStructType="archive string, block long, lo array<long>, hi array<long>", outputMode="Update", timeMode="None")
 
 
-def stream_gaps_in_batches(numbers: DataFrame) -> DataFrame:
-    """J5 without keyed state: the gaps inside each batch, and between the last of one and the first of the next.
+def stream_gaps(numbers: DataFrame) -> DataFrame:
+    """Gaps (archive, after, missing) of a stream (archive, number) by keyed state, at its end, whatever the order of its files.
 
-    ``numbers`` (archive, number) is the stream. The ends of all batches are one row for each archive and batch.
+    Each batch writes the runs of the keys that it touched; the last of each key count.
     """
-    from pyspark.sql import Window as W
-
-    following = F.lead("number").over(W.partitionBy("archive").orderBy("number"))
+    base = shared_folder(numbers.sparkSession)
+    run_to_end(stream_runs(numbers), lambda batch, number: batch.write.mode("overwrite").parquet(f"{base}/batch={number}"), "update")
+    last = numbers.sparkSession.read.parquet(base).groupBy("archive", "block").agg(F.max_by(F.arrays_zip("lo", "hi"), "batch").alias("runs"))
+    return intervals.gaps_of(last.select("archive", F.inline("runs")))
 
-    def inner(batch: DataFrame) -> DataFrame:
-        return batch.withColumn("next", following).filter("next <> number + 1").select("archive", F.col("number").alias("after"), (F.col("number") + 1).alias("missing"))
 
-    def ends(batch: DataFrame) -> DataFrame:
-        return batch.groupBy("archive").agg(F.min("number").alias("lo"), F.max("number").alias("hi"))
+def stream_gaps_in_batches(numbers: DataFrame) -> DataFrame:
+    """J5 without keyed state: each batch is written as the runs of its numbers, and the runs of all batches are merged at the end.
 
-    parts = fan_out(numbers, {"inner": inner, "ends": ends})
-    upper = F.lead("lo").over(W.partitionBy("archive").orderBy("lo"))
-    between = parts["ends"].withColumn("next", upper).filter("next <> hi + 1").select("archive", F.col("hi").alias("after"), (F.col("hi") + 1).alias("missing"))
-    return parts["inner"].unionByName(between)
+    ``numbers`` (archive, number) is the stream; files may come in any order, and a batch that runs again writes its own runs again.
+    """
+    runs = fan_out(numbers, {"runs": intervals.runs_of})["runs"]
+    return intervals.gaps_of(intervals.merged_runs(runs))

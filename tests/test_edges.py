@@ -1,10 +1,15 @@
 """Edge cases on tables made by hand."""
 
+import functools
+import os
+import random
+
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import names, terms
-from tessera.operators import graphs, patterns, results, stats, validate
+from tessera.operators import graphs, intervals, patterns, profiles, results, stats, validate
 from tessera.sources import files
 from tessera.sources.views import QUADS, QUOTED
 from tessera.streaming import jobs
@@ -194,20 +199,50 @@ def test_release_assets(spark):
     assert [r.u for r in df.collect()] == ["u", None, None]
 
 
-def test_stream_state_finds_gaps(spark, tmp_path):
-    for k, part in enumerate(([0, 1, 3], [4, 6], [7])):
-        spark.createDataFrame([("a", n) for n in part], "archive string, number long").coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in{k}")
+def plain_gaps(rows):
+    by = {}
+    for archive, n in rows:
+        if n is not None:
+            by.setdefault(archive, set()).add(n)
     found = []
-    for mode in ("state", "batches"):
-        got = []
-        if mode == "state":
-            stream = spark.readStream.schema("archive string, number long").parquet(f"file://{tmp_path}/in*")
-            jobs.run_to_end(jobs.stream_gaps(stream), lambda b, n: got.extend(tuple(r) for r in b.collect()))
-        else:
-            stream = spark.readStream.schema("archive string, number long").option("maxFilesPerTrigger", 1).parquet(f"file://{tmp_path}/in*")
-            got = [tuple(r) for r in jobs.stream_gaps_in_batches(stream).collect()]
-        found.append(sorted(got))
-    assert found == [[("a", 1, 2), ("a", 4, 5)]] * 2
+    for archive, numbers in by.items():
+        order = sorted(numbers)
+        found += [(archive, a, a + 1) for a, b in zip(order, order[1:], strict=False) if b != a + 1]
+    return sorted(found, key=str)
+
+
+@pytest.mark.parametrize("bits", [16, 2])
+def test_gaps_of_runs_are_those_of_a_plain_loop(spark, monkeypatch, bits):
+    monkeypatch.setattr(intervals, "BITS", bits)
+    monkeypatch.setattr(intervals, "_WORD", 64 if bits == 16 else 24)
+    rnd = random.Random(bits)
+    rows = [(rnd.choice("ab"), rnd.randrange(400)) for _ in range(600)] + [("c", n) for n in (-9, -8, 3, 3, 4, None)] + [(None, 1), (None, 5), ("d", 7)]
+    rows += [("far", n) for n in ((0, 1, 2**40, 2**40 + 1, -(2**62)) if bits == 16 else (0, 1, 2**20))]
+    df = spark.createDataFrame(rows, "archive string, number long").repartition(3)
+    assert sorted(map(tuple, intervals.gaps(df).collect()), key=str) == plain_gaps(rows)
+    parts = [intervals.runs_of(df.filter(F.col("number") % 3 == k)) for k in range(3)] + [intervals.runs_of(df.filter("number < 100"))]
+    whole = intervals.merged_runs(functools.reduce(DataFrame.unionByName, parts))
+    assert sorted(map(tuple, intervals.gaps_of(whole).collect()), key=str) == plain_gaps(rows)
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, intervals.runs_of(df).collect()), key=str)
+
+
+@pytest.mark.parametrize("order", ["in order", "reversed", "shuffled"])
+def test_stream_gaps_in_any_order_of_files(spark, tmp_path, order):
+    starts = {"in order": [0, 10, 20, 30, 40], "reversed": [40, 30, 20, 10, 0], "shuffled": [0, 20, 10, 40, 30]}[order]
+    rows = []
+    for at, start in enumerate(starts):
+        part = [("a", n) for n in range(start, start + 10) if n != 25] + [("b", start // 10 + 70_000 * (start > 20)), ("a", 3)]
+        rows += part
+        spark.createDataFrame(part, "archive string, number long").coalesce(1).write.parquet(f"file://{tmp_path}/in{at}")
+        for f in (tmp_path / f"in{at}").glob("*.parquet"):
+            os.utime(f, (10_000 + at, 10_000 + at))
+    want = plain_gaps(rows)
+    assert want == [("a", 24, 25), ("b", 2, 3)]
+    for files_per_batch in (1, 2, 100):
+        stream = lambda n=files_per_batch: spark.readStream.schema("archive string, number long").option("maxFilesPerTrigger", n).parquet(f"file://{tmp_path}/in*")
+        assert sorted(map(tuple, jobs.stream_gaps_in_batches(stream()).collect())) == want
+        if files_per_batch != 2 or order == "shuffled":
+            assert sorted(map(tuple, jobs.stream_gaps(stream()).collect())) == want
 
 
 def test_following_over_ranges(spark):
@@ -267,3 +302,96 @@ def test_archives_are_read_as_streams(spark, tmp_path):
     for r in files.file_digests(spark, str(tmp_path)).collect():
         data = (tmp_path / r.file_name).read_bytes()
         assert (r.byte_size, r.md5, r.sha1, r.sha256) == (len(data), *(hashlib.new(n, data).hexdigest() for n in ("md5", "sha1", "sha256")))
+
+
+def test_closure_doubles(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(graphs, "settle", lambda df, keep=graphs.settle: rounds.append(1) or keep(df))
+    diamond = [(f"{k}{a}", f"{k + 1}{b}") for k in range(10) for a in "xy" for b in "xy"]
+    pairs = graphs.transitive_pairs(spark.createDataFrame(diamond, "above string, below string")).collect()
+    assert len(pairs) == len(set(pairs)) == 4 * 55 and len(rounds) <= 6
+    rounds.clear()
+    chain = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(0, 3)], "above long, below long")
+    far = {(r.above, r.below): r.distance for r in graphs.reachable(chain).collect()}
+    assert len(far) == 200 * 201 // 2 and far[0, 200] == 198 and len(rounds) <= 10
+    with pytest.raises(ValueError, match="levels"):
+        graphs.transitive_pairs(chain)
+    cycle = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "above string, below string")
+    assert {tuple(r)[:2] for r in graphs.reachable(cycle).collect()} == {(x, y) for x in "abc" for y in "abc"}
+    with pytest.raises(ValueError, match="levels"):
+        graphs.transitive_pairs(cycle)
+    assert graphs.transitive_pairs(cycle.limit(0)).count() == 0
+
+
+def test_blank_nodes_of_long_chains_and_cycles(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(graphs, "settle", lambda df, keep=graphs.settle: rounds.append(1) or keep(df))
+    b = lambda k: f"_:{k}"
+    rows = [("r", "iri", "p", "_:0", "bnode")] + [(b(k), "bnode", "p", b(k + 1), "bnode") for k in range(1999)]
+    rows += [("q", "iri", "p", "_:c0", "bnode"), ("q", "iri", "p", "_:5", "bnode"), ("q", "iri", "p", "r", "iri")] + [(f"_:c{k}", "bnode", "p", f"_:c{(k + 1) % 7}", "bnode") for k in range(7)]
+    g = spark.createDataFrame([(*r, None, None) for r in rows], "s string, s_kind string, p string, o string, o_kind string, o_dt string, o_lang string")
+    roots = spark.createDataFrame([("r",), ("q",), ("none",)], "root string")
+    found = {(r.root, r.node) for r in graphs.blank_nodes_below(g, roots).collect()}
+    assert found == {("r", "r"), ("q", "q"), ("none", "none")} | {("r", b(k)) for k in range(2000)} | {("q", b(k)) for k in range(5, 2000)} | {("q", f"_:c{k}") for k in range(7)}
+    assert len(rounds) <= 2 + 2 * 12
+
+
+SUB = "urn:p:sub"
+
+
+def conforming(spark, facts, rules, names, context=()):
+    full = [(s, "bnode" if s.startswith("_:") else "iri", p, *o) for s, p, o in facts]
+    schema = "s string, s_kind string, p string, o string, o_kind string, o_dt string, o_lang string"
+    own = spark.createDataFrame([("d", *r) for r in full], "focus string, " + schema)
+    shared = spark.createDataFrame([(s, "iri", p, *o) for s, p, o in context], schema)
+    constraints = spark.createDataFrame([(p, "dataset", str(k), path, op, n, terms) for k, (p, path, op, n, terms) in enumerate(rules)], profiles.CONSTRAINTS)
+    found = profiles.conforming(own, constraints, spark.createDataFrame([(n,) for n in names], "profile string"), shared, T, SUB)
+    return {r.profile for r in found.collect()}
+
+
+def test_constraints_of_profiles(spark):
+    i, text, num = (lambda v: (v, "iri", None, None)), (lambda v: (v, "literal", S, None)), (lambda v: (v, "literal", "int", None))
+    facts = [("d", "p", i("x")), ("d", "p", i("y")), ("d", "n", num("5")), ("d", "n", num("50")), ("d", "w", text("five")), ("d", "u", ("_:b", "bnode", None, None)), ("_:b", "t", i("k1")), ("d", "l", ("hi", "literal", "ls", "en"))]
+    context = [("k1", "up", i("k2")), ("k2", "up", i("k3")), ("k3", "up", i("k1")), ("x", T, i("C1")), ("y", T, i("C2")), ("C1", SUB, i("C")), ("C2", SUB, i("C")), ("C", SUB, i("C"))]
+    rules = {
+        "has": [(["p"], "has_value", None, [i("x")])],
+        "has other kind": [(["w"], "has_value", None, [("five", "literal", "int", None)])],
+        "has language": [(["l"], "has_value", None, [("hi", "literal", "ls", "en")])],
+        "in": [(["p"], "in", None, [i("x"), i("y"), i("z")])],
+        "not in": [(["p"], "in", None, [i("x")])],
+        "absent in": [(["q"], "in", None, [i("x")])],
+        "absent": [(["q"], "has_value", None, [i("x")])],
+        "two": [(["p"], "min_count", 2, [])],
+        "three": [(["p"], "min_count", 3, [])],
+        "zero": [(["q"], "min_count", 0, [])],
+        "at most two": [(["p"], "max_count", 2, []), (["q"], "max_count", 0, [])],
+        "at most one": [(["p"], "max_count", 1, [])],
+        "range": [(["n"], "ge", None, [num("5")]), (["n"], "le", None, [num("50")])],
+        "below": [(["n"], "le", None, [num("49")])],
+        "no number": [(["w"], "ge", None, [num("1")])],
+        "up": [(["u", "t", "up*"], "has_value", None, [i("k3")])],
+        "up none": [(["u", "t", "up*"], "has_value", None, [i("k1")])],
+        "up count": [(["u", "t", "up*"], "max_count", 3, []), (["u", "t", "up*"], "min_count", 3, [])],
+        "class": [(["p"], "class", None, [i("C")])],
+        "one class": [(["p"], "class", None, [i("C1")])],
+        "some class": [(["p"], "min_of_class", 1, [i("C1")])],
+        "two class": [(["p"], "min_of_class", 2, [i("C1")])],
+        "datatype": [(["n"], "datatype", None, [i("int")])],
+        "no datatype": [(["p"], "datatype", None, [i("int")])],
+        "kind": [(["u"], "kind", None, [text("bnode")])],
+        "itself": [([], "has_value", None, [i("d")]), (["up*"], "max_count", 1, [])],
+        "one broken": [(["p"], "has_value", None, [i("x")]), (["p"], "max_count", 1, [])],
+        "one unanswered": [(["p"], "has_value", None, [i("x")]), (["q"], "min_count", 1, [])],
+    }
+    want = {"has", "has language", "in", "absent in", "two", "zero", "at most two", "range", "up", "up none", "up count", "class", "some class", "datatype", "kind", "itself", "no constraint"}
+    assert conforming(spark, facts, [(p, *r) for p, rs in rules.items() for r in rs], [*rules, "no constraint"], context) == want
+
+
+def test_a_profile_without_shape_is_an_error(spark):
+    g = spark.createDataFrame([("d", "iri", T, "D", "iri", None, None)], "s string, s_kind string, p string, o string, o_kind string, o_dt string, o_lang string")
+    shapes = spark.createDataFrame([("a", "dataset"), ("a", "distribution"), ("b", "dataset")], "profile string, level string")
+    rules = spark.createDataFrame([], profiles.CONSTRAINTS)
+    with pytest.raises(Exception, match="no shape for the distribution in profile b"):
+        profiles.link_profiles(g, shapes, rules, g.limit(0), "D", "dist", T, SUB).collect()
+    got = profiles.link_profiles(g, shapes.filter("profile = 'a'"), rules, g.limit(0), "D", "dist", T, SUB).collect()
+    assert [tuple(r) for r in got] == [("a", "d", None)]
