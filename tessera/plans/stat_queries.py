@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,7 +80,7 @@ def values_sql(name: str, view: str) -> str:
     body = {
         "graphs": "SELECT element_id, count(DISTINCT coalesce(g, 'DEFAULT GRAPH')) AS value FROM {v} GROUP BY element_id",
         "statements": "SELECT element_id, count(*) AS value FROM {v} GROUP BY element_id",
-        "quoted_triples": "SELECT element_id, count(*) AS value FROM quoted_stars GROUP BY element_id",
+        "quoted_triples": "SELECT element_id, count(*) AS value FROM quoted_stars GROUP BY element_id" if view == "q_stars" else "SELECT element_id, 0 AS value FROM {v} WHERE false",
         "ascii_control_chars": r"SELECT element_id, CAST(sum(length(v) - length(regexp_replace(v, '[\x00-\x08\x0B\x0C\x0E-\x13]', '', 'g'))) AS BIGINT) AS value FROM u WHERE k = 'literal' GROUP BY element_id",
         "byte_density": "SELECT element_id, sum(strlen(" + LINE + ") + 1) / CAST(count(*) AS DOUBLE) AS value FROM {v} GROUP BY element_id",
     }[name].replace("{v}", view)
@@ -146,16 +148,58 @@ def d17_approx_distinct_bounds(spark, sf_dir):
     return stats.prefix_unique(values, sizes).join(about, "size").select("size", "unique_count", near.alias("within_3_percent"), ((F.col("unique_lower") <= F.col("estimate")) & (F.col("estimate") <= F.col("unique_upper"))).alias("in_bounds"))
 
 
+#: The streams that all statistics are made of.
+STREAMS = {"documents": _STARS, "orders": _ORDERS, "events": ("q_events", "events", "event_id", (1_000, 10_000, 100_000))}
+
+
+def shown(found: DataFrame) -> DataFrame:
+    """All statistics without what differs from engine to engine: the exact unique count, the values that are listed, and which have a sketch."""
+    exact = F.when(F.col("statistic") == stats.LISTED, F.col("unique_count"))
+    bounded = (F.col("unique_lower") <= F.col("unique_count")) & (F.col("unique_count") <= F.col("unique_upper"))
+    listed = F.array_join("values", " ")
+    return found.select("size", "is_full", "n", "mean", "st_dev", "min", "max", "statistic", exact.alias("exact_unique"), listed.alias("values"), F.coalesce(bounded, F.lit(False)).alias("sketched"))
+
+
+def shown_sql(view: str, base: str, key: str, sizes: tuple[int, ...]) -> str:
+    which, what = _DISTINCT["datatypes"]
+    listed = uses_sql(view) + f", {sizes_sql(base, sizes)}, seen AS (SELECT DISTINCT size, {what} AS x FROM sizes JOIN u ON element_id < size WHERE {which}) SELECT size, CAST(count(x) AS BIGINT) AS exact_unique, coalesce(string_agg(x, ' ' ORDER BY x), '') AS values FROM sizes LEFT JOIN seen USING (size) GROUP BY size"
+    one = lambda n: f"SELECT size, is_full, n, mean, st_dev, min, max, '{n}' AS statistic FROM ({summary_sql(n, view, base, key, sizes)})"
+    sketched = ", ".join(f"'{n}'" for n in stats.SKETCHED)
+    return "SELECT a.*, exact_unique, values, statistic IN (" + sketched + ") AS sketched FROM (" + " UNION ALL ".join(map(one, stats.NAMES)) + f") a LEFT JOIN ({listed}) l ON a.size = l.size AND statistic = 'datatypes'"
+
+
 def d1_d15_all_statistics(spark, sf_dir):
-    """All statistics of the quoted-triple stream from one scan; the elements are its documents."""
+    """All statistics of three streams, each from one scan, with the exact set of datatypes at each prefix."""
+    def of(name: str) -> DataFrame:
+        view, base, key, sizes = STREAMS[name]
+        elements, quads, quoted = inputs(spark, sf_dir, view, base, key)
+        return shown(stats.all_statistics(elements, quads, quoted, stats.prefix_sizes(elements, sizes))).withColumn("stream", F.lit(name))
+
+    return reduce(DataFrame.unionByName, map(of, STREAMS))
+
+
+def d17_unique_of_all_statistics(spark, sf_dir):
+    """Exact unique counts of all statistics that have one, from one scan, and whether the sketches' bounds hold them, or miss by less than their width."""
     elements, quads, quoted = inputs(spark, sf_dir, *_STARS[:3])
-    return stats.prefix_stats(list(stats.NAMES), elements, quads, quoted, stats.prefix_sizes(elements, _STARS[3])).drop("sum")
+    sizes = stats.prefix_sizes(elements, _STARS[3])
+    about = stats.all_statistics(elements, quads, quoted, sizes).select("size", "statistic", F.col("unique_count").alias("estimate"), "unique_lower", "unique_upper")
+    exact = stats.prefix_unique_counts([*stats.SKETCHED, stats.LISTED], quads, quoted, sizes)
+    off = F.greatest(F.col("unique_lower") - F.col("unique_count"), F.col("unique_count") - F.col("unique_upper"), F.lit(0))
+    near = F.when(F.col("statistic") == stats.LISTED, F.col("estimate") == F.col("unique_count")).otherwise(off <= F.col("unique_upper") - F.col("unique_lower"))
+    return exact.join(about, ["size", "statistic"]).select("size", "statistic", "unique_count", near.alias("near"))
 
 
 _UNIQUE = uses_sql("q_events") + f", {sizes_sql('events', _EVENTS[3])} SELECT size, count(DISTINCT {_KEY}) AS unique_count"
 QUERIES |= {"e2_cumulative_prefix_stats": e2_cumulative_prefix_stats, "d16_stat_summary": d16_stat_summary, "e3_cumulative_exact_distinct": e3_cumulative_exact_distinct, "d17_approx_distinct_bounds": d17_approx_distinct_bounds}
 QUERIES["d1_d15_all_statistics"] = d1_d15_all_statistics
-SQL["d1_d15_all_statistics"] = " UNION ALL ".join(f"SELECT size, is_full, n, mean, st_dev, min, max, '{n}' AS statistic FROM ({summary_sql(n, *_STARS)})" for n in stats.NAMES)
+SQL["d1_d15_all_statistics"] = " UNION ALL ".join(f"SELECT *, '{name}' AS stream FROM ({shown_sql(*of)})" for name, of in STREAMS.items())
+QUERIES["d17_unique_of_all_statistics"] = d17_unique_of_all_statistics
+_EXACT = {**_DISTINCT, "graphs": ("r = 'd'", "v")}
+SQL["d17_unique_of_all_statistics"] = " UNION ALL ".join(
+    f"SELECT size, '{n}' AS statistic, count(DISTINCT x) AS unique_count, true AS near FROM ({uses_sql('q_stars')}, w AS (SELECT element_id, r, v, k, dt, lang FROM u UNION ALL SELECT element_id, 'd', coalesce(g, 'DEFAULT GRAPH'), NULL, NULL, NULL FROM q_stars), {sizes_sql('documents', _STARS[3])} SELECT size, x FROM sizes LEFT JOIN (SELECT element_id, {what} AS x FROM w WHERE {which}) ON element_id < size) GROUP BY size"
+    for n, (which, what) in _EXACT.items()
+    if n in (*stats.SKETCHED, stats.LISTED)
+)
 SQL["e2_cumulative_prefix_stats"] = summary_sql("statements", *_EVENTS)
 SQL["d16_stat_summary"] = " UNION ALL ".join(f"SELECT *, '{n}' AS statistic FROM ({summary_sql(n, *_EVENTS)})" for n in ("iris", "literals", "objects"))
 SQL["e3_cumulative_exact_distinct"] = _UNIQUE + " FROM sizes JOIN u ON element_id < size WHERE k = 'literal' GROUP BY size"

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import stats, validate
-from tessera.plans.stat_queries import sizes_sql
+from tessera.plans.stat_queries import STREAMS, shown, shown_sql
+from tessera.sources import files
 from tessera.sources.shared import shared_folder
 from tessera.sources.views import VIEWS, table, with_views
 from tessera.streaming import jobs
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-_SIZES = (1_000, 10_000, 100_000)
 
 
 def _stream(spark, sf_dir, view: str):
@@ -36,13 +36,10 @@ def j2_fan_out(spark, sf_dir):
 
 
 def j3_running_stats(spark, sf_dir):
-    elements = table(spark, sf_dir, "events").select(F.col("event_id").alias("element_id"))
-    sizes = stats.prefix_sizes(elements, _SIZES)
-    bounds = sorted(r["size"] for r in sizes.collect())  # at most four numbers
-    found = jobs.last_result(jobs.running_stats(_stream(spark, sf_dir, "q_events"), bounds))
-    exact = stats.with_bucket(VIEWS["q_events"](spark, sf_dir).select("element_id", "s"), sizes).groupBy("bucket").agg(F.count_distinct("s").alias("exact"))
-    near = F.abs(F.hll_sketch_estimate("subjects") - F.col("exact")) <= 0.03 * F.col("exact")
-    return found.join(exact, "bucket").select("bucket", "statements", "exact", near.alias("subjects_near"))
+    """All fifteen statistics of the stream of documents with quoted triples, which are read from its terms."""
+    elements = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("element_id"))
+    sizes = stats.prefix_sizes(elements, STREAMS["documents"][3])
+    return shown(jobs.running_stats(_stream(spark, sf_dir, "q_stars"), sizes, quoted=files.quoted_parts))
 
 
 def j4_stream_checks(spark, sf_dir):
@@ -67,6 +64,6 @@ def j5_stream_gap_check(spark, sf_dir):
 QUERIES |= {f.__name__: f for f in (j1_element_stream, j2_fan_out, j3_running_stats, j4_stream_checks, j5_stream_gap_check)}
 SQL["j1_element_stream"] = with_views("q_events") + " SELECT element_id, p, o FROM q_events"
 SQL["j2_fan_out"] = with_views("q_events") + " SELECT 'predicates' AS sink, p, count(*) AS n FROM q_events GROUP BY p UNION ALL SELECT 'samples', p, count(*) FROM q_events WHERE element_id IN (0, 10, 100, 1000) GROUP BY p"
-SQL["j3_running_stats"] = with_views("q_events") + f", {sizes_sql('events', _SIZES)}, e AS (SELECT event_id, CAST(min(size) AS BIGINT) AS bucket FROM events JOIN sizes ON event_id < size GROUP BY event_id) SELECT bucket, count(*) AS statements, count(DISTINCT s) AS exact, true AS subjects_near FROM q_events JOIN e ON element_id = event_id GROUP BY bucket"
+SQL["j3_running_stats"] = shown_sql(*STREAMS["documents"])
 SQL["j4_stream_checks"] = "SELECT event_id AS element_id, 'no_named_graphs' AS rule, 'named graphs in a triple stream' AS message FROM events WHERE event_id % 50 = 0"
 SQL["j5_stream_gap_check"] = "WITH n AS (SELECT DISTINCT 'a' || (o_orderkey % 3) AS archive, o_orderkey // 3 AS number FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)), f AS (SELECT *, lead(number) OVER (PARTITION BY archive ORDER BY number) AS following FROM n) SELECT archive, number AS after, number + 1 AS missing FROM f WHERE following <> number + 1"

@@ -107,18 +107,8 @@ def write_flat(quads: DataFrame, path: str, with_graph: bool = True) -> None:
 _IRI = r'<[^<>"\s]*+>'
 _BNODE = r'_:[^\s"<>.]++(?:\.++[^\s"<>.]++)*+'
 _LITERAL = rf'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:@[A-Za-z]++(?:-[A-Za-z0-9]++)*+|\^\^{_IRI})?+'
-#: Quoted triples may hold others, down to this depth.
-QUOTED_DEPTH = 2
-
-
-def _node(depth: int) -> str:
-    """An IRI, a blank node, or a quoted triple with at most ``depth`` levels."""
-    inner = "" if depth == 0 else rf"|<<\s*+{_node(depth - 1)}\s*+{_IRI}\s*+(?:{_LITERAL}|{_node(depth - 1)})\s*+>>"
-    return rf"(?:{_IRI}|{_BNODE}{inner})"
-
-
-#: The terms of a line one after the other, each where the one before ends, then the full stop with what may follow it.
-_TOKENS = rf"\G\s*+({_LITERAL}|{_node(QUOTED_DEPTH)}|\.\s*+(?:#.*+)?+$)"
+#: The terms of a line and the marks of quoted triples, one after the other, each where the one before ends, then the full stop with what may follow it.
+_TOKENS = rf"\G\s*+(<<|>>|{_LITERAL}|{_IRI}|{_BNODE}|\.\s*+(?:#.*+)?+$)"
 #: Runs of one escape, or of none; escapes of 16 bits come together, as two may be one character.
 _PIECES = r"(?s)\G(?:(?:\\u[0-9A-Fa-f]{4})++|\\U[0-9A-Fa-f]{8}|\\.|[^\\]++)"
 _SURROGATES = r"(?i)^(?:\\u(?:[0-9a-c][0-9a-f]{3}|d[0-7][0-9a-f]{2}|[ef][0-9a-f]{3}|d[89ab][0-9a-f]{2}\\ud[c-f][0-9a-f]{2}))++$"
@@ -145,22 +135,66 @@ def _unescaped(text: Column) -> Column:
     return F.when(~F.contains(text, F.lit("\\")), text).otherwise(F.array_join(F.transform(pieces, piece), ""))
 
 
+def _no_triples() -> Column:
+    return F.array().cast("array<struct<path: string, depth: int, terms: array<string>>>")
+
+
+def _closed(tokens: Column) -> Column:
+    """Tokens with each quoted triple closed to one term: a struct of ``terms``, ``done`` (path, depth, terms of each quoted triple), and ``ok``.
+
+    A fold with a stack of the triples that are open, the line first; so depth has no limit. The path of a triple says at which place
+    it stands in each of those around it, and its text is its terms with single spaces. Without quoted triples nothing is folded.
+    """
+    none, triples = F.array().cast("array<string>"), _no_triples()
+
+    def put(frames: Column, term: Column) -> Column:
+        """The frames, with a term more in the last one."""
+        return F.array_append(F.slice(frames, F.lit(1), F.size(frames) - 1), F.array_append(F.element_at(frames, -1), term))
+
+    def place(frame: Column) -> Column:
+        return F.when(F.size(frame) == 0, "s").when(F.size(frame) == 1, "p").when(F.size(frame) == 2, "o").otherwise("?")
+
+    def step(state: Column, token: Column) -> Column:
+        frames, inner = state["frames"], F.element_at(state["frames"], -1)
+        around = F.slice(frames, F.lit(1), F.size(frames) - 1)
+        closes = (token == ">>") & (F.size(frames) > 1)
+        whole = F.concat(F.lit("<< "), F.array_join(inner, " "), F.lit(" >>"))
+        found = F.struct(F.array_join(F.transform(around, place), "").alias("path"), (F.size(frames) - 1).alias("depth"), inner.alias("terms"))
+        sound = (F.size(inner) == 3) & ~F.startswith(F.get(inner, F.lit(0)), F.lit('"')) & F.startswith(F.get(inner, F.lit(1)), F.lit("<")) & ~F.startswith(F.get(inner, F.lit(1)), F.lit("<<"))
+        return F.struct(
+            F.when(token == "<<", F.array_append(frames, none)).when(closes, put(around, whole)).otherwise(put(frames, token)).alias("frames"),
+            F.when(closes, F.array_append(state["done"], found)).otherwise(state["done"]).alias("done"),
+            F.when(token == ">>", state["ok"] & closes & F.coalesce(sound, F.lit(False))).otherwise(state["ok"]).alias("ok"),
+        )
+
+    start = F.struct(F.array(none).alias("frames"), triples.alias("done"), F.lit(True).alias("ok"))
+    end = lambda s: F.struct(F.get(s["frames"], F.lit(0)).alias("terms"), s["done"].alias("done"), (s["ok"] & (F.size(s["frames"]) == 1)).alias("ok"))
+    plain = F.struct(tokens.alias("terms"), triples.alias("done"), F.lit(True).alias("ok"))
+    return F.when(F.array_contains(tokens, "<<") | F.array_contains(tokens, ">>"), F.aggregate(tokens, start, step, end)).otherwise(plain)
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Lines (text, ...) with the quad columns added; all are null where a line is no statement.
 
-    A quoted triple is a term of kind ``triple`` with its parts as written; ``quoted_parts`` gives those. Each line is matched once.
+    A quoted triple, of any depth, is a term of kind ``triple`` with its terms joined by spaces; ``quoted_parts`` gives those. Each line is matched once.
     """
+    # An array of one row keeps the match a step of its own, so that its uses don't repeat it.
+    found = lines.select("*", F.explode(F.array(F.regexp_extract_all("text", F.lit(_TOKENS), F.lit(1)))).alias("__t"))
+    found = found.select(*lines.columns, F.explode(F.array(_closed(F.col("__t")))).alias("__c")).select(*lines.columns, F.when(F.col("__c.ok"), F.col("__c.terms")).alias("__t"), F.col("__c.done").alias("__q"))
+    return _parsed(found, lines.columns)
+
+
+def _parsed(found: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with the terms of a line and its full stop (__t), and the quoted triples among them (__q), as quads; see ``parse_lines``."""
 
     def kind(t: Column) -> Column:
         return F.when(t.startswith("<<"), "triple").when(t.startswith("<"), "iri").when(t.startswith("_:"), "bnode").when(t.startswith('"'), "literal")
 
     c, null = F.col, F.lit(None).cast("string")
-    # An array of one row keeps the match a step of its own, so that its uses don't repeat it.
-    found = lines.select("*", F.explode(F.array(F.regexp_extract_all("text", F.lit(_TOKENS), F.lit(1)))).alias("__t"))
     at = lambda k: F.get("__t", F.lit(k))
     ended = at(4).startswith(".")
     tokens = {"s": at(0), "p": at(1), "o": at(2), "g": F.when(ended, at(3))}
-    found = found.select(*lines.columns, (F.when(F.size("__t") == 4, at(3).startswith(".")).otherwise((F.size("__t") == 5) & ended)).alias("__whole"), *[t.alias("__" + n) for n, t in tokens.items()])
+    found = found.select(*columns, (F.when(F.size("__t") == 4, at(3).startswith(".")).otherwise((F.size("__t") == 5) & ended)).alias("__whole"), "__q", *[t.alias("__" + n) for n, t in tokens.items()])
     suffix = F.when(c("__o").startswith('"'), F.substring_index("__o", '"', -1))
     found = found.withColumns({"__suffix": suffix, **{f"__{n}_kind": kind(c("__" + n)) for n in tokens}})
     size = lambda n: F.char_length(c("__" + n))
@@ -173,17 +207,18 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
     found = found.withColumns({"__in_" + n: inside(n) for n in tokens} | {"__dt": F.when(F.startswith("__suffix", F.lit("^^")), F.substr("__suffix", F.lit(4), F.char_length("__suffix") - 4))})
     node = lambda n, *kinds: c(f"__{n}_kind").isin(*kinds)
-    escapes = [(c(f"__{n}_kind") == "triple") | _sound_escapes(c("__in_" + n)) for n in tokens] + [_sound_escapes(c("__dt"))]
+    inner = F.forall("__q", lambda q: F.forall(q["terms"], lambda t: t.startswith("<<") | _sound_escapes(t)))
+    escapes = [inner] + [(c(f"__{n}_kind") == "triple") | _sound_escapes(c("__in_" + n)) for n in tokens] + [_sound_escapes(c("__dt"))]
     sound = c("__whole") & node("s", "iri", "bnode", "triple") & node("p", "iri") & c("__o_kind").isNotNull() & (c("__g").isNull() | node("g", "iri", "bnode"))
     for fine in escapes:
         sound = sound & F.coalesce(fine, F.lit(True))
     plain = F.lit("http://www.w3.org/2001/XMLSchema#string")
     lang = F.when(F.startswith("__suffix", F.lit("@")), F.substr("__suffix", F.lit(2)))
-    columns = {"o_dt": F.when(c("__suffix") == "", plain).otherwise(_unescaped(c("__dt"))), "o_lang": lang}
+    terms = {"o_dt": F.when(c("__suffix") == "", plain).otherwise(_unescaped(c("__dt"))), "o_lang": lang}
     for n in tokens:
-        columns |= {n: F.when(c(f"__{n}_kind") == "triple", c("__in_" + n)).otherwise(_unescaped(c("__in_" + n))), n + "_kind": c(f"__{n}_kind")}
+        terms |= {n: F.when(c(f"__{n}_kind") == "triple", c("__in_" + n)).otherwise(_unescaped(c("__in_" + n))), n + "_kind": c(f"__{n}_kind")}
     found = found.withColumn("__sound", F.coalesce(sound, F.lit(False)))
-    return found.select(*lines.columns, *[F.when(c("__sound"), columns.get(n, null)).alias(n) for n in ("o", "o_kind", "o_dt", "o_lang", "g", "g_kind", "s", "s_kind", "p", "p_kind")])
+    return found.select(*columns, *[F.when(c("__sound"), terms.get(n, null)).alias(n) for n in ("o", "o_kind", "o_dt", "o_lang", "g", "g_kind", "s", "s_kind", "p", "p_kind")])
 
 
 def is_blank(text: Column) -> Column:
@@ -207,18 +242,20 @@ def read_flat_statements(spark: SparkSession, path: str, bad: str = "error") ->
 
 
 def quoted_parts(quads: DataFrame) -> DataFrame:
-    """(element_id, path, depth, parts) of the quoted triples that are subject or object of a quad, those inside them included.
+    """(element_id, path, depth, parts) of the quoted triples that are subject or object of a quad, those inside them at any depth included.
 
-    ``path`` says where: s or o for each level. There are QUOTED_DEPTH levels at most.
+    ``path`` says where: s or o for each level.
     """
     parts = ("s", "s_kind", "p", "p_kind", "o", "o_kind", "o_dt", "o_lang")
-    level, found = quads.select("element_id", F.lit("").alias("path"), F.lit(0).alias("depth"), *parts), None
-    for _ in range(QUOTED_DEPTH):
-        inner = F.filter(F.array(*[F.when(F.col(n + "_kind") == "triple", F.struct(F.lit(n).alias("at"), F.concat(n, F.lit(" .")).alias("text"))) for n in "so"]), lambda x: x.isNotNull())
-        lines = level.select("element_id", "path", "depth", F.explode(inner).alias("x")).select("element_id", F.concat("path", "x.at").alias("path"), (F.col("depth") + 1).alias("depth"), "x.text")
-        level = statements(lines).select("element_id", "path", "depth", *parts)
-        found = level if found is None else found.unionByName(level)
-    return found
+    outer = F.filter(F.array(*[F.when(F.col(n + "_kind") == "triple", F.struct(F.lit(n).alias("at"), F.concat(F.lit("<< "), F.col(n), F.lit(" >>")).alias("text"))) for n in "so"]), lambda x: x.isNotNull())
+    texts = quads.select("element_id", F.explode(outer).alias("x")).select("element_id", "x.*")
+    tokens = texts.select("element_id", "at", F.explode(F.array(F.regexp_extract_all("text", F.lit(_TOKENS), F.lit(1)))).alias("t"))
+    found = tokens.select("element_id", "at", F.explode(_closed(F.col("t"))["done"]).alias("q"))
+    # The path of the outermost is s, as it is the first term of its text.
+    rows = found.select("element_id", F.concat("at", F.substr("q.path", F.lit(2))).alias("path"), "q.depth", F.array_append("q.terms", F.lit(".")).alias("__t"), _no_triples().alias("__q"))
+    read = _parsed(rows, ["element_id", "path", "depth"])
+    wrong = F.raise_error(F.concat(F.lit("no quoted triple at "), F.col("path"), F.lit(" of element "), F.col("element_id").cast("string")))
+    return read.select("element_id", "path", "depth", F.when(F.col("s").isNull(), wrong).otherwise(F.col("s")).alias("s"), *parts[1:])
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tessera.operators import intervals
+from tessera.operators import intervals, stats
 from tessera.sources.shared import shared_folder
 from tessera.sources.views import QUADS
 
@@ -59,18 +59,39 @@ def fan_out(stream: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]
     return {name: spark.read.parquet(f"{base}/{name}").drop("batch") for name in sinks}
 
 
-def running_stats(stream: DataFrame, bounds: list[int]) -> DataFrame:
-    """Statements of the stream by bucket of its elements: partial counts that merge from batch to batch."""
-    bucket = F.get(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b > F.col("element_id")), F.lit(0))
-    return stream.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("statements"), F.hll_sketch_agg("s", F.lit(16)).alias("subjects"))
+def statistics_sink(base: str, bounds: list[int], names: tuple[str, ...] = stats.NAMES, quoted: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+    """A sink that writes what the statistics need of a batch of whole elements: mergeable states by bucket, and datatypes by the bucket where they
+    come first. A batch that runs again replaces its own part."""
 
+    def each(batch: DataFrame, number: int) -> None:
+        sizes = batch.sparkSession.createDataFrame([(b,) for b in bounds], "size long")
+        rows = stats.element_table(list(names), None, batch, None if quoted is None else quoted(batch), unique=True).persist()
+        stats.states(rows, list(names), sizes).write.mode("overwrite").parquet(f"{base}/states/batch={number}")
+        if stats.LISTED in names:
+            stats.first_seen(rows, sizes).write.mode("overwrite").parquet(f"{base}/seen/batch={number}")
+        rows.unpersist()
 
-def last_result(stream: DataFrame) -> DataFrame:
-    """What an aggregating stream has at its end."""
-    spark = stream.sparkSession
-    base = shared_folder(spark)
-    run_to_end(stream, lambda batch, number: batch.write.mode("overwrite").parquet(base), "complete")
-    return spark.read.parquet(base)
+    return each
+
+
+def statistics_so_far(spark: SparkSession, base: str, sizes: DataFrame, names: tuple[str, ...] = stats.NAMES) -> DataFrame:
+    """The statistics of all batches that the sink has written; may be read while the stream runs."""
+    found = stats.summaries_of(stats.merged(spark.read.parquet(f"{base}/states").drop("batch")), list(names), sizes, dense=True)
+    if stats.LISTED not in names:
+        return found
+    seen = spark.read.parquet(f"{base}/seen").groupBy("x").agg(F.min("bucket").alias("bucket"))
+    return stats.with_listed(found, seen, sizes)
+
+
+def running_stats(stream: DataFrame, sizes: DataFrame, names: tuple[str, ...] = stats.NAMES, quoted: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """All statistics of a stream of quads at the prefixes ``sizes`` (size, is_full), as ``stats.all_statistics`` has them.
+
+    ``quoted`` gives the quoted triples of a batch. Element numbers are dense, so one below a size that does not come has no statements.
+    """
+    base = shared_folder(stream.sparkSession)
+    bounds = sorted(r["size"] for r in sizes.select("size").collect())  # at most seven
+    run_to_end(stream, statistics_sink(base, bounds, names, quoted))
+    return statistics_so_far(stream.sparkSession, base, sizes, names)
 
 
 class RunKeeper(StatefulProcessor):

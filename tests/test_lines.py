@@ -92,3 +92,28 @@ def test_collections(spark, tmp_path):
     (folder / "c.nt").write_text("<s> <p> .\n")
     with pytest.raises(Exception, match="no statement in c"):
         files.load_collection(spark, str(folder)).collect()
+
+
+@pytest.mark.parametrize(
+    ("text", "parts"),
+    [
+        ("<< <a> <p> << _:b <q> \"x\\\"<<\"@en >> >> <r> <o> .", [("s", 1), ("so", 2)]),
+        ("<a> <p> <<<< <a> <p> <<<b> <q> <c>>> >> <r> << <a> <b> <c> >>>> <g> .", [("o", 1), ("os", 2), ("oso", 3), ("oo", 2)]),
+        ("<< <a> <p> <b> <r> <o> .", None),
+        ("<< <a> <p> >> <r> <o> .", None),
+        ("<< <a> <p> <b> <c> >> <r> <o> .", None),
+        ("<< \"a\" <p> <b> >> <r> <o> .", None),
+        ("<< <a> << <a> <b> <c> >> <b> >> <r> <o> .", None),
+        ("<a> <p> <b> >> .", None),
+        ("<< <a> <p> \"\\x\" >> <r> <o> .", None),
+        ("<a> << <a> <p> <b> >> <c> .", None),
+        ("<< " * 300 + "<a>" + " <p> <b> >>" * 300 + " <p> <b> .", [("s" * k, k) for k in range(1, 301)]),
+    ],
+)
+def test_quoted_triples_of_any_depth(spark, text, parts):
+    lines = spark.createDataFrame([(1, text)], "element_id long, text string")
+    read = files.statements(lines, bad="drop")
+    if parts is None:
+        assert read.count() == 0
+    else:
+        assert sorted((r.path, r.depth) for r in files.quoted_parts(read).collect()) == sorted(parts)
