@@ -32,7 +32,11 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SCOPES = frozenset("html body table ul ol dl div article section main aside nav footer header form".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog button select".split())
 CONTENT = frozenset("article main".split())
-SIGNS = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|social|related|sidebar|widget|menu|nav\w*|breadcrumbs?|comments?|disqus|repl(?:y|ies)|footer|header|masthead|copyright|login|search|tags|toolbar|pagination)(?=$|[\s_-])", re.I)
+SIGNS = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|social|related|sidebar|widget|menu|nav\w*|breadcrumbs?|footer|header|masthead|copyright|login|search|tags|toolbar|pagination)(?=$|[\s_-])", re.I)
+#: Names of what readers write, and short lines that come with it again and again.
+READERS = re.compile(r"(?:^|[\s_-])(comments?|commentlist|disqus|repl(?:y|ies)|respond|responses?|talkback|discussion|guestbook|reactions?)(?=$|[\s_-])", re.I)
+REPLY = re.compile(r"^\W*(reply|reply to this|report|flag|like|upvote|permalink|quote)\W*$|\b(says|said|wrote|replied|commented|posted)\s*:?\s*$|\b(minutes?|hours?|days?|weeks?) ago\b", re.I)
+LEGAL = re.compile(r"©|\(c\) ?\d{4}|\bcopyright\b|\ball rights reserved\b", re.I)
 
 _HEAD = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
 #: One attribute: its name, and the quote that begins its value or the value itself; or the end of the tag.
@@ -46,35 +50,84 @@ class Block:
     tag: str
     parent: int
     links: int
-    boilerplate: bool
     content: bool
-    header: bool
-    sign: bool
     keep: bool
+    element: int
+    boilerplate: bool = False
+    header: bool = False
+    sign: bool = False
+    outside: bool = False
 
 
 class _Open:
     """An open element, with what it has from those around it; ``block`` is the nearest that is not inline."""
 
-    __slots__ = ("tag", "number", "boilerplate", "content", "header", "sign", "keep", "link", "hidden", "block", "above")
+    __slots__ = ("tag", "number", "content", "keep", "link", "hidden", "block", "above")
 
-    def __init__(self, tag: str, number: int, over: "_Open | None" = None, keep: bool = False, values: str = ""):
+    def __init__(self, tag: str, number: int, over: "_Open | None" = None, keep: bool = False):
         self.tag, self.number = tag, number
         if over is None:
-            self.boilerplate = self.content = self.header = self.link = self.keep = self.sign = self.hidden = False
+            self.content = self.link = self.keep = self.hidden = False
             self.block, self.above = self, number
             return
-        self.boilerplate = over.boilerplate or tag in BOILERPLATE
         self.content = over.content or tag in CONTENT
-        self.header = over.header or (tag == "header" and not self.content)
         self.link = over.link or tag == "a"
         self.hidden = over.hidden or tag in HIDDEN
         self.keep = over.keep or keep
-        self.sign = over.sign or (bool(values) and bool(SIGNS.search(values)))
         self.block = over.block if tag in INLINE else self
         self.above = over.number
 
 
+#: Marks of elements.
+_BOILERPLATE, _HEADER, _SIGN, _READERS, _MAIN, _ARTICLE, _TITLE = (1 << k for k in range(7))
+
+
+def _marks(tag: str, values: str, content: bool) -> int:
+    """What an element's tag and its class, id and role say of it."""
+    found = _BOILERPLATE if tag in BOILERPLATE else _HEADER if tag == "header" and not content else _MAIN if tag == "main" else _ARTICLE if tag == "article" else _TITLE if tag == "h1" else 0
+    if values:
+        found |= (_SIGN if SIGNS.search(values) else 0) | (_READERS if READERS.search(values) else 0)
+    return found
+
+
+def _judge(blocks: list[Block], above: list[int], marks: list[int]) -> None:
+    """Hand the marks of elements down to their blocks, but not those of elements that hold the page's text.
+
+    A word in the class of a wrapper says nothing of the article in it. An element holds the page's text if at least half of all
+    text without links is in it, with the title, an article or the main element, or four fifths of it without one, and no more content
+    elements are outside than inside. Where the class tells of readers, the title or main element must be inside. An element with two lines or more that come with
+    readers' comments, and no title or content element, is one of these too.
+    """
+    n = len(above)
+    text, content, replies, inside = [0] * n, [0] * n, [0] * n, [0] * n
+    for b in blocks:
+        size = len(b.text) - b.links
+        text[b.element] += size
+        content[b.element] += size if b.content else 0
+        replies[b.element] += len(b.text) <= 80 and bool(REPLY.search(b.text))
+        inside[b.element] |= marks[b.element] if b.text else 0
+    for k in range(n - 1, 0, -1):
+        text[above[k]] += text[k]
+        content[above[k]] += content[k]
+        replies[above[k]] += replies[k]
+        inside[above[k]] |= inside[k] | (marks[k] if text[k] else 0)
+    whole, marked = max(text[0], 1), content[0]
+    down = [0] * n
+    for k in range(1, n):
+        own, within = marks[k] & (_BOILERPLATE | _HEADER | _SIGN | _READERS), inside[k]
+        if own and 2 * content[k] >= marked:
+            told = within & (_TITLE | _MAIN if own & _READERS else _TITLE | _MAIN | _ARTICLE)
+            if (told and 2 * text[k] >= whole) or (not own & _READERS and 5 * text[k] >= 4 * whole):
+                own = 0
+        if not own and replies[k] >= 2 and 2 * content[k] <= marked and not within & (_TITLE | _MAIN) and not marks[k] & (_MAIN | _ARTICLE) and 10 * text[k] < 9 * whole:
+            own = _READERS
+        down[k] = down[above[k]] | own
+    for b in blocks:
+        d = down[b.element]
+        b.boilerplate, b.header, b.sign = bool(d & _BOILERPLATE), bool(d & _HEADER), bool(d & (_SIGN | _READERS))
+        b.outside = 4 * marked >= whole and not b.content
+
+
 class _Stack:
     """The open elements, with the places of each tag and of those that bound an implied end."""
 
@@ -152,7 +205,7 @@ def blocks_of(page: str) -> list[Block]:
     top = stack.open[0]
     parts: list[str] = []
     links = 0
-    numbers = 0
+    above, marks = [0], [0]
     endless: set[str] = set()
 
     def flush() -> None:
@@ -161,7 +214,7 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join((parts[0] if len(parts) == 1 else "".join(parts)).split())
             if text:
                 at = top.block
-                found.append(Block(text, at.tag, at.above, links, at.boilerplate, at.content, at.header, at.sign, at.keep))
+                found.append(Block(text, at.tag, at.above, links, at.content, at.keep, at.number))
             parts.clear()
         links = 0
 
@@ -241,20 +294,22 @@ def blocks_of(page: str) -> list[Block]:
         if ended and (place := stack.last(ended)) > stack.scopes[-1]:
             stack.cut(place)
             top = stack.open[-1]
-        numbers += 1
-        top = _Open(tag, numbers, top, keep, values)
+        above.append(top.number)
+        top = _Open(tag, len(marks), top, keep)
+        marks.append(_marks(tag, values, top.content))
         stack.push(top)
     flush()
+    _judge(found, above, marks)
     return found
 
 
-FEATURES = ("one", "in content element", "in boilerplate element", "in page header", "class says boilerplate", "paragraph", "heading", "list item", "share of links", "all links", "long", "sentences")
+FEATURES = ("one", "in content element", "in boilerplate element", "in page header", "class says boilerplate", "paragraph", "heading", "list item", "share of links", "all links", "long", "sentences", "outside of the page's content elements", "legal line outside of content elements")
 
 
 def features(b: Block) -> list[float]:
     n = len(b.text)
     share = min(1.0, b.links / max(n, 1))
-    return [1.0, b.content, b.boilerplate, b.header, b.sign, b.tag in ("p", "blockquote", "pre", "td", "figcaption", "dd"), b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"), b.tag in ("li", "dt"), share, share > 0.8, min(1.0, n / 120), any(x in b.text for x in ".!?")]
+    return [1.0, b.content, b.boilerplate, b.header, b.sign, b.tag in ("p", "blockquote", "pre", "td", "figcaption", "dd"), b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"), b.tag in ("li", "dt"), share, share > 0.8, min(1.0, n / 120), any(x in b.text for x in ".!?"), b.outside, n < 200 and not b.content and bool(LEGAL.search(b.text))]
 
 
 def labelled_pages() -> list[str]:
@@ -280,6 +335,18 @@ def labelled_pages() -> list[str]:
         form = "<form><label>Your mail</label> Sign up for our letter <button>Go</button></form>" if k % 6 == 0 else ""
         foot = "<footer>&copy; 2020 The Daily. All rights reserved.</footer>" if k % 4 else '<div class="footer"><p>Copyright The Daily. Terms apply.</p></div>'
         out.append(f"<html><head><title>x</title></head><body>{top}{notice}{ad}{inner}{side}{form}{foot}</body></html>")
+    # Real layouts: telling names on wrappers, a form around the page, tables, readers without telling names, a plain line of copyright.
+    readers = "".join(f"<div class=b><b>{who}</b><p>{text}</p><a href=#>Reply</a></div>" for who, text in (("Ann", "I was there and saw nothing of the kind, to be honest."), ("Bob", "Great. When does it start?"), ("Cy", "They said the same last year.")))
+    wrappers = ('<div class="page with-sidebar">', '<div class="header-fixed">', '<div id="social">', '<form id="aspnetForm" method="post">', '<div class="layout"><table><tr><td class="nav-col">', '<div class="content-wrapper widget">')
+    for k in range(24):
+        body = "".join(f"<p keep>{texts[(3 * k + j) % len(texts)]}</p>" for j in range(2 + k % 4))
+        title = f"<h1 keep>{'River plan agreed' if k % 2 else 'Council'}</h1>"
+        article = f"<article>{title}{body}</article>" if k % 2 else f"<div class=text>{title}{body}</div>"
+        open_ = wrappers[k % len(wrappers)]
+        close = "".join(f"</{t}>" for t in reversed(re.findall(r"<(\w+)", open_)))
+        talk = f"<div id={'talkback' if k % 3 else 'x1'}><h3>What readers say</h3>{readers}</div>" if k % 4 < 2 else ""
+        legal = "<p>&copy; 2021 The Daily Ltd. All rights reserved.</p>" if k % 3 else "<div>Copyright 2020 The Daily</div>"
+        out.append(f"<html><body>{open_}<div>{menu}</div>{article}{talk}{legal}{close}</body></html>")
     return out
 
 

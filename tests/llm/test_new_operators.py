@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, spelling, whitening
+from tessera.llm import decontamination, maintext, spelling, whitening
 from tests.llm.test_operators import ODD_TEXTS, docs, frame, odd  # noqa: F401
 
 # 11 Spelling variants
@@ -270,3 +270,43 @@ def test_common_shingles_and_copies(spark):
     texts = [common + " tail" for _ in range(300)] + [f"{k} of the and" for k in range(300)]
     items = [(k, common) for k in range(20)] + [(50, "of the and")]
     assert contamination(docs(spark, texts), item_frame(spark, items)) == Counter((k, *r) for k, r in enumerate(plain_contamination(texts, items)))
+
+
+# 6 Main text of layouts that the labelled table does not have
+
+_BODY = "<h1>Harbour to open again</h1><p>The harbour will open again in spring, the town said on Monday.</p><p>It was closed after the storm.</p><p>Repairs cost more than expected.</p>"
+_TEXT = "Harbour to open again\nThe harbour will open again in spring, the town said on Monday.\nIt was closed after the storm.\nRepairs cost more than expected."
+_TALK = "<p>Eva</p><p>I sail there every year and it is about time.</p><a href=#>Reply</a><p>Finn</p><p>Who pays for it in the end?</p><a href=#>Reply</a>"
+_MENU = "<ul><li><a href=/>Home</a></li><li><a href=/t>Town and country</a></li></ul>"
+
+
+@pytest.mark.parametrize("element", ["article", "main", "div", "div class=story", "td"])
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='page with-sidebar'>{}</div>",
+        "<div class='header-fixed nav-open'>{}</div>",
+        "<div id=social>{}</div>",
+        "<form id=aspnetForm method=post>{}</form>",
+        "<div class='menu-page'><div class='share widget'>{}</div></div>",
+        "<div class='site'>" + "<nav>{menu}</nav>" + "{}<div class='footer'>Contact the town hall</div></div>",
+        "<div class=modal-ready>{}<div class=modal>Please log in to go on reading.</div></div>",
+        "<section id=login-wrapper role=search>{}<div>Copyright 2019 The Tide</div></section>",
+    ],
+)
+def test_telling_names_on_wrappers(page, element):
+    weights = maintext.train()
+    inner = f"<table><tr><td>{_BODY}</td></tr></table>" if element == "td" else f"<{element}>{_BODY}</{element.split()[0]}>"
+    assert maintext.main_text(page.replace("{menu}", _MENU).replace("{}", inner), weights) == _TEXT
+
+
+@pytest.mark.parametrize("talk", ["<div id=talkback>{}</div>", "<div class=x9>{}</div>", "<ul class=comment-list><li>{}</li></ul>", "<section id=respond>{}</section>", "<div class='single comments-area'>{}</div>"])
+@pytest.mark.parametrize("page", ["<article>{b}</article>{t}", "<div class=comments-on><main>{b}</main>{t}</div>", "<div><div>{b}</div>{t}</div>", "<article>{b}{t}</article>"])
+def test_readers_are_left_out(page, talk):
+    weights = maintext.train()
+    assert maintext.main_text(page.format(b=_BODY, t=talk.format(_TALK)), weights) == _TEXT
+
+
+def test_a_line_of_the_article_may_tell_of_rights():
+    weights = maintext.train()
+    assert maintext.main_text(f"<article>{_BODY}<p>All rights reserved.</p></article><footer>Us</footer>", weights) == _TEXT + "\nAll rights reserved."
