@@ -33,7 +33,7 @@ ROWS, BANDS, WIDTH, PERCENT = 3, 12, 5, 85
 #: Pairs whose signatures agree less than this many percent below the threshold are not confirmed: over four standard errors.
 SLACK = 19
 #: Sets of one table key that are compared in one block.
-BLOCK = 128
+BLOCK = 512
 HASHES = 2 * ROWS * BANDS
 #: Minhashes of a long signature, of which one byte is kept, and by how many standard errors below the threshold they may agree.
 LONG, LONG_SLACK = 768, 4.65
