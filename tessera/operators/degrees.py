@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.terms import nt_term
 
-#: Standard deviations of the bounds and relative error of a sketch with 2**12 slots.
-_SIGMAS, _RSE = 2.0, 1.04 / 2**6
+#: Hashes that a sketch keeps, as a power of 2, and standard deviations of the bounds of its estimate.
+LG_HASHES, _SIGMAS = 12, 2.0
 
 
 def node_uses(quads: DataFrame, detailed: bool = True) -> DataFrame:
@@ -34,10 +34,31 @@ def degree_distribution(quads: DataFrame, detailed: bool = True) -> DataFrame:
     return by_statement.groupBy("role", "node").agg(F.sum("uses").alias("occurrences"), F.count("*").alias("distinct_statements"))
 
 
+def sketch_table(quads: DataFrame) -> DataFrame:
+    """(role, node, occurrences, sketch): a theta sketch of the different statements of each node in each role.
+
+    Tables of several streams or parts of one add up by ``merged_sketches``; nodes without their role too.
+    """
+    return node_uses(quads).groupBy("role", "node").agg(F.count("*").alias("occurrences"), F.theta_sketch_agg("h", LG_HASHES).alias("sketch"))
+
+
+def merged_sketches(parts: DataFrame, detailed: bool = True) -> DataFrame:
+    """The union of sketch tables; without detail the roles of a node are one, ``statement``, and a statement counts once for all of them."""
+    roles = parts if detailed else parts.withColumn("role", F.lit("statement"))
+    return roles.groupBy("role", "node").agg(F.sum("occurrences").alias("occurrences"), F.theta_union_agg("sketch", LG_HASHES).alias("sketch"))
+
+
+def with_bounds(sketches: DataFrame) -> DataFrame:
+    """(role, node, occurrences, distinct_lower, distinct_est, distinct_upper): up to 2**LG_HASHES statements a sketch holds all hashes, and its number is exact."""
+    estimate = F.theta_sketch_estimate("sketch").cast("double")
+    off = F.when(F.col("distinct_est") <= 2**LG_HASHES, 0.0).otherwise(F.col("distinct_est") * (_SIGMAS / (2**LG_HASHES - 1) ** 0.5))
+    return sketches.select("role", "node", "occurrences", estimate.alias("distinct_est")).withColumns({"distinct_lower": F.col("distinct_est") - off, "distinct_upper": F.col("distinct_est") + off})
+
+
 def degree_sketches(quads: DataFrame, detailed: bool = True) -> DataFrame:
-    """As ``degree_distribution``, with an estimate and bounds two standard deviations away instead of the exact number."""
-    found = node_uses(quads, detailed).groupBy("role", "node").agg(F.count("*").alias("occurrences"), F.hll_sketch_estimate(F.hll_sketch_agg("h", F.lit(12))).alias("distinct_est"))
-    return found.withColumns({"distinct_lower": F.col("distinct_est") / (1 + _SIGMAS * _RSE), "distinct_upper": F.col("distinct_est") / (1 - _SIGMAS * _RSE)})
+    """As ``degree_distribution``, with an estimate and its bounds instead of the exact number."""
+    found = sketch_table(quads)
+    return with_bounds(found if detailed else merged_sketches(found, detailed=False))
 
 
 def distinct_nodes(quads: DataFrame, detailed: bool = True) -> DataFrame:

@@ -9,6 +9,7 @@ from tessera.operators import graphs, patterns, stats
 from tessera.plans.stat_queries import LINE, sizes_sql
 from tessera.sources import files
 from tessera.sources.views import VIEWS, table, with_views
+from tessera.streaming import commits
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -283,7 +284,27 @@ def a3_quoted_depths(spark, sf_dir):
 @query("j6_skip_done", "SELECT o_custkey FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
 def j6_skip_done(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    return files.pending(o.select("o_custkey").distinct(), o.filter("o_orderstatus = 'F'"), "o_custkey")
+    return commits.pending(o.select("o_custkey").distinct(), o.filter("o_orderstatus = 'F'"), "o_custkey")
+
+
+_MARKED = "WITH o AS (SELECT o_orderkey % 40 AS key, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders) SELECT key, CASE WHEN key % 3 = 0 THEN 'first' ELSE 'third' END AS run, count(*) AS orders, CAST(sum(cents) AS BIGINT) AS cents FROM o WHERE key % 7 <> 1 GROUP BY key UNION ALL SELECT key, CASE WHEN key % 3 = 0 THEN 'first' ELSE 'third' END, 0, 0 FROM (SELECT DISTINCT key FROM o) WHERE key % 7 = 1"
+
+
+@query("j6_marked_outputs", _MARKED)
+def j6_marked_outputs(spark, sf_dir):
+    """Orders in forty outputs by three runs: the first does a third of them, the second is stopped before its markers, the third does what is left. Some outputs are empty."""
+    from tessera.sources.shared import shared_folder
+
+    base = shared_folder(spark)
+    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 40).alias("key"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    work = lambda todo: o.join(todo, "key", "left_semi").filter("key % 7 <> 1")
+    keys = o.select("key").distinct()
+    commits.process_pending(keys.filter("key % 3 = 0"), "key", work, base, "first")
+    work(keys.filter("key % 3 <> 2")).limit(100).write.partitionBy("key").parquet(f"{base}/data/run=second")
+    commits.process_pending(keys, "key", work, base, "third")
+    rows = commits.finished(spark, base, "cents long", "key", "long").groupBy("key").agg(F.count("*").alias("orders"), F.sum("cents").alias("cents"))
+    done = commits.markers(spark, base, "key", "long")
+    return done.join(rows, "key", "left").select("key", "run", F.when(F.col("rows") == F.coalesce("orders", F.lit(0)), F.col("rows")).alias("orders"), F.coalesce("cents", F.lit(0)).alias("cents"))
 
 
 @query("g1_merge_graphs", with_views("q_events") + " SELECT p, count(*) AS n FROM (SELECT s, p, o FROM q_events WHERE element_id % 2 = 0 UNION SELECT s, p, o FROM q_events WHERE element_id % 3 = 0) GROUP BY p")

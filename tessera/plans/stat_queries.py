@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import degrees, stats
+from tessera.sources.shared import settle
 from tessera.sources.views import VIEWS, table, with_views
 
 QUERIES: dict = {}
@@ -218,16 +219,22 @@ def d20_distinct_nodes_per_role(spark, sf_dir):
     return degrees.distinct_nodes(VIEWS["q_orders"](spark, sf_dir))
 
 
+def _sketches_held(about: DataFrame, exact: DataFrame) -> DataFrame:
+    """For each role: whether nodes of few statements are exact, and 95 % of the others in their bounds."""
+    both = exact.join(about.drop("occurrences"), ["role", "node"])
+    n = F.col("distinct_statements")
+    inside = (F.col("distinct_lower") <= n) & (n <= F.col("distinct_upper"))
+    few = n <= 2**degrees.LG_HASHES
+    told = F.col("distinct_lower") == F.col("distinct_upper")
+    return both.groupBy("role").agg(F.count("*").alias("nodes"), F.sum("occurrences").alias("occurrences"), F.sum("distinct_statements").alias("distinct_statements"), F.bool_and(~few | (inside & told)).alias("few_are_exact"), (F.count_if(inside & ~few) >= 0.95 * F.count_if(~few) - 1).alias("many_are_near"))
+
+
 def d18_degree_sketches(spark, sf_dir):
-    """For each role: nodes whose estimate is within 10 % of the exact number, and inside its own bounds; the exact number is in the bounds of all but one in twenty."""
-    quads = VIEWS["q_orders"](spark, sf_dir)
-    about = degrees.degree_sketches(quads).drop("occurrences")
-    both = degrees.degree_distribution(quads).join(about, ["role", "node"])
-    exact = F.col("distinct_statements")
-    near = F.abs(F.col("distinct_est") - exact) <= 0.1 * exact
-    inside = (F.col("distinct_lower") <= exact) & (exact <= F.col("distinct_upper"))
-    ordered = (F.col("distinct_lower") <= F.col("distinct_est")) & (F.col("distinct_est") <= F.col("distinct_upper"))
-    return both.groupBy("role").agg(F.count("*").alias("nodes"), F.sum("occurrences").alias("occurrences"), F.bool_and(near).alias("within_10_percent"), F.bool_and(ordered).alias("ordered"), (F.count_if(inside) >= 0.95 * F.count("*")).alias("in_bounds"))
+    """Sketches of two streams in each role and in any, all merged from one table of each stream, against exact numbers."""
+    streams = [VIEWS[v](spark, sf_dir) for v in ("q_orders", "q_events")]
+    table_ = settle(reduce(DataFrame.unionByName, map(degrees.sketch_table, streams)))
+    together = reduce(DataFrame.unionByName, streams)
+    return _sketches_held(degrees.with_bounds(degrees.merged_sketches(table_)), degrees.degree_distribution(together)).unionByName(_sketches_held(degrees.with_bounds(degrees.merged_sketches(table_, detailed=False)), degrees.degree_distribution(together, detailed=False)))
 
 
 def a12_degree_counts(spark, sf_dir):
@@ -248,7 +255,8 @@ _COUNTS = " SELECT role, node, count(*) AS occurrences, count(DISTINCT line) AS
 SQL["d18_degree_distribution"] = _degree_sql("q_orders", True) + _COUNTS
 SQL["d19_degree_any_position"] = _degree_sql("q_orders", False) + _COUNTS
 SQL["d20_distinct_nodes_per_role"] = _degree_sql("q_orders", True) + " SELECT role, count(DISTINCT node) AS nodes FROM uses WHERE node IS NOT NULL GROUP BY role"
-SQL["d18_degree_sketches"] = _degree_sql("q_orders", True) + " SELECT role, count(DISTINCT node) AS nodes, count(*) AS occurrences, true AS within_10_percent, true AS ordered, true AS in_bounds FROM uses WHERE node IS NOT NULL GROUP BY role"
+_BOTH = [f"SELECT * FROM ({_degree_sql(view, detailed)} SELECT role, node, line FROM uses WHERE node IS NOT NULL)" for view in ("q_orders", "q_events") for detailed in (True, False)]
+SQL["d18_degree_sketches"] = f"WITH both_streams AS ({' UNION ALL '.join(_BOTH)}), n AS (SELECT role, node, count(*) AS occurrences, count(DISTINCT line) AS d FROM both_streams GROUP BY role, node) SELECT role, count(*) AS nodes, CAST(sum(occurrences) AS BIGINT) AS occurrences, CAST(sum(d) AS BIGINT) AS distinct_statements, true AS few_are_exact, true AS many_are_near FROM n GROUP BY role"
 SQL["a12_degree_counts"] = _degree_sql("q_events", True) + f" SELECT role, occurrences, count(*) AS nodes FROM ({_COUNTS}) GROUP BY role, occurrences"
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.names import element_id_of
 from tessera.operators import stats, validate
 from tessera.plans.stat_queries import STREAMS, shown, shown_sql
 from tessera.sources import files
@@ -25,6 +26,16 @@ def j1_element_stream(spark, sf_dir):
     return jobs.fan_out(_stream(spark, sf_dir, "q_events"), {"all": lambda b: b.select("element_id", "p", "o")})["all"]
 
 
+def j1_archive_stream(spark, sf_dir):
+    """Elements in archives, streamed from these: number and lines of each."""
+    folder = shared_folder(spark)
+    documents = files.element_documents(VIEWS["q_events"](spark, sf_dir), with_graph=False)
+    files.write_element_stream(documents, folder, members=10_000).write.format("noop").mode("overwrite").save()
+    entries = files.stream_element_archives(spark, folder, 3)
+    lines = F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 1
+    return jobs.fan_out(entries, {"all": lambda b: b.select(element_id_of(F.col("path")).alias("element_id"), lines.alias("statements"))})["all"]
+
+
 def j2_fan_out(spark, sf_dir):
     sinks = {
         "predicates": lambda b: b.groupBy("p").agg(F.count("*").alias("n")),
@@ -61,8 +72,9 @@ def j5_stream_gap_check(spark, sf_dir):
     return jobs.stream_gaps_in_batches(stream)
 
 
-QUERIES |= {f.__name__: f for f in (j1_element_stream, j2_fan_out, j3_running_stats, j4_stream_checks, j5_stream_gap_check)}
+QUERIES |= {f.__name__: f for f in (j1_element_stream, j1_archive_stream, j2_fan_out, j3_running_stats, j4_stream_checks, j5_stream_gap_check)}
 SQL["j1_element_stream"] = with_views("q_events") + " SELECT element_id, p, o FROM q_events"
+SQL["j1_archive_stream"] = with_views("q_events") + " SELECT element_id, count(*) AS statements FROM q_events GROUP BY element_id"
 SQL["j2_fan_out"] = with_views("q_events") + " SELECT 'predicates' AS sink, p, count(*) AS n FROM q_events GROUP BY p UNION ALL SELECT 'samples', p, count(*) FROM q_events WHERE element_id IN (0, 10, 100, 1000) GROUP BY p"
 SQL["j3_running_stats"] = shown_sql(*STREAMS["documents"])
 SQL["j4_stream_checks"] = "SELECT event_id AS element_id, 'no_named_graphs' AS rule, 'named graphs in a triple stream' AS message FROM events WHERE event_id % 50 = 0"

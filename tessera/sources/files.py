@@ -22,29 +22,42 @@ RELEASE = "struct<tag_name: string, assets: array<struct<name: string, browser_d
 ENTRIES = "archive string, pos long, path string, size long, mtime long, content binary"
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """ENTRIES of the archives whose paths are given, read as streams."""
+    schema = pa.schema([("archive", pa.string()), ("pos", pa.int64()), ("path", pa.string()), ("size", pa.int64()), ("mtime", pa.int64()), ("content", pa.binary())])
+    for batch in batches:
+        for archive in batch.column(0).to_pylist():
+            rows, held = [], 0
+            with open_stream(archive) as source, tarfile.open(fileobj=source, mode="r|gz") as tar:
+                for pos, m in enumerate(x for x in tar if x.isreg()):
+                    data = tar.extractfile(m).read()
+                    rows.append((archive, pos, m.name, m.size, int(m.mtime), data))
+                    held += len(data)
+                    if held > 1 << 22:
+                        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+                        rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+
+
 def read_element_archive(spark: SparkSession, path: str) -> DataFrame:
     """A1: ENTRIES of the regular members of tar.gz archives of any size, read as streams in the tasks, members one by one.
 
     A gzip stream cannot be split, so an archive is one task's, and large streams should come as many archives.
     """
+    return spark.read.format("binaryFile").load(path).select("path").mapInArrow(_members, ENTRIES)
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("archive", pa.string()), ("pos", pa.int64()), ("path", pa.string()), ("size", pa.int64()), ("mtime", pa.int64()), ("content", pa.binary())])
-        for batch in batches:
-            for archive in batch.column(0).to_pylist():
-                rows, held = [], 0
-                with open_stream(archive) as source, tarfile.open(fileobj=source, mode="r|gz") as tar:
-                    for pos, m in enumerate(x for x in tar if x.isreg()):
-                        data = tar.extractfile(m).read()
-                        rows.append((archive, pos, m.name, m.size, int(m.mtime), data))
-                        held += len(data)
-                        if held > 1 << 22:
-                            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
-                            rows, held = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
-
-    return spark.read.format("binaryFile").load(path).select("path").mapInArrow(members, ENTRIES)
+
+def stream_element_archives(spark: SparkSession, path: str, archives_per_batch: int | None = None) -> DataFrame:
+    """The ENTRIES of a folder of tar.gz archives as a stream; archives that come later are read too.
+
+    Spark's file source keeps in the checkpoint which archives a batch has, so a stream that is stopped goes on after the last
+    batch that ended. The contents of archives are read in the tasks only, from their paths.
+    """
+    one_each = archives_per_batch or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    binary = "path string, modificationTime timestamp, length long, content binary"
+    found = spark.readStream.format("binaryFile").schema(binary).option("maxFilesPerTrigger", one_each).option("pathGlobFilter", "*.tar.gz").load(path)
+    return found.select("path").mapInArrow(_members, ENTRIES)
 
 
 def write_element_stream(documents: DataFrame, folder: str, archives: int | None = None, extension: str = "ttl", members: int | None = None) -> DataFrame:
@@ -318,11 +331,6 @@ def write_degrees(degrees: DataFrame, path: str, with_nodes: bool = True) -> Non
     degrees.select("role", *columns).write.partitionBy("role").option("sep", "\t").csv(path)
 
 
-def pending(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """The inputs of which no output exists."""
-    return inputs.join(done.select(key).distinct(), key, "left_anti")
-
-
 def archive_entries(rows: DataFrame, number: Column, archive: Column, extension: str = "ttl") -> DataFrame:
     """(archive, pos, path, number) of archives' entries named by numbers; positions come from ranges of all entries, so an archive is no single task's."""
     named = rows.select(archive.alias("archive"), number.alias("number"), F.concat(F.lpad(number.cast("string"), 10, "0"), F.lit("." + extension)).alias("path"))

@@ -35,9 +35,12 @@ def element_stream(spark: SparkSession, path: str, files_per_batch: int | None =
     return spark.readStream.schema(QUADS).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def run_to_end(stream: DataFrame, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Process all that is there, batch by batch, with a checkpoint of its own; exceptions of a batch are raised."""
-    query = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", shared_folder(stream.sparkSession)).trigger(availableNow=True).start()
+def run_to_end(stream: DataFrame, sink: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None) -> None:
+    """Process all that is there, batch by batch; exceptions of a batch are raised.
+
+    A run with the checkpoint of one that was stopped goes on after the last batch that ended; without one it has its own.
+    """
+    query = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint or shared_folder(stream.sparkSession)).trigger(availableNow=True).start()
     query.awaitTermination()
 
 

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import names, terms
-from tessera.operators import graphs, intervals, patterns, profiles, results, stats, validate
+from tessera.operators import degrees, graphs, intervals, patterns, profiles, results, stats, validate
 from tessera.sources import files
 from tessera.sources.views import QUADS, QUOTED
-from tessera.streaming import jobs
+from tessera.streaming import commits, jobs
 
 T = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 S = "http://www.w3.org/2001/XMLSchema#string"
@@ -411,3 +411,42 @@ def test_a_batch_that_runs_again_counts_once(spark, tmp_path):
         jobs.run_to_end(jobs.element_stream(spark, f"file://{tmp_path}/in", n), lambda b, k, sink=sink, times=times: [sink(b, k) for _ in range(times)] and None)
         assert rows_of(jobs.statistics_so_far(spark, base, sizes)) == want
     assert want[10, "datatypes"]["values"] == [f"urn:d{k}" for k in range(5)] and want[30, "subjects"].unique_count == 7 == want[30, "subjects"].unique_lower
+
+
+def test_degree_sketches_of_few_statements_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(degrees, "LG_HASHES", 6)
+    rows = [(0, None, None, "s", "iri", "p", f"o{k}", "iri", None, None) for k in range(1000)] + [(0, None, None, f"s{k % 40}", "iri", "q", "s", "iri", None, None) for k in range(80)]
+    got = {(r.role, r.node): r for r in degrees.degree_sketches(quads(spark, rows)).collect()}
+    assert all((r.distinct_lower, r.distinct_upper) == (1.0, 1.0) for (role, node), r in got.items() if node.startswith("<o"))
+    assert got["predicate", "<q>"].occurrences == 80 and got["predicate", "<q>"].distinct_est == 40 == got["predicate", "<q>"].distinct_upper
+    many = got["subject", "<s>"]
+    assert many.distinct_lower < many.distinct_est < many.distinct_upper and 600 < many.distinct_est < 1500
+    whole = {r.node: r for r in degrees.degree_sketches(quads(spark, rows), detailed=False).collect()}
+    assert whole["<s>"].occurrences == 1080 and whole["<s0>"].distinct_est == 1
+
+
+def test_a_stream_of_archives_goes_on_where_it_stopped(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"line {k}\n") for k in range(40)], "element_id long, data string")
+    files.write_element_stream(docs, f"file://{tmp_path}/in", archives=5).collect()
+    base, checkpoint = f"file://{tmp_path}/out", f"file://{tmp_path}/checkpoint"
+    text = lambda batch: batch.select("path", F.decode("content", "UTF-8").alias("text"))
+    seen = []
+
+    def stop(number):
+        seen.append(number)
+        if number == 1 and seen.count(1) == 1:
+            raise RuntimeError("stopped after the data, before the marker")
+
+    stream = lambda: files.stream_element_archives(spark, f"file://{tmp_path}/in", 2)
+    sink = commits.marked_sink(base, text, stop)
+    with pytest.raises(Exception, match="stopped after the data"):
+        jobs.run_to_end(stream(), sink, checkpoint=checkpoint)
+    assert seen == [0, 1]
+    schema = "path string, text string"
+    early = commits.finished_batches(spark, base, schema).count()
+    assert 0 < early < 40
+    files.write_element_stream(docs.selectExpr("element_id + 40 AS element_id", "data"), f"file://{tmp_path}/in", archives=1).collect()
+    jobs.run_to_end(stream(), sink, checkpoint=checkpoint)
+    assert seen[:3] == [0, 1, 1] and seen.count(0) == 1
+    got = sorted((r.path, r.text) for r in commits.finished_batches(spark, base, schema).collect())
+    assert got == [(f"{k:010d}.ttl", f"line {k % 40}\n") for k in range(80)]
