@@ -35,8 +35,9 @@ def prefix_sizes(elements: DataFrame, sizes: tuple[int, ...] = tuple(PACKAGE_SIZ
 def with_bucket(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """``rows`` with ``bucket``, the least size above the element's number; elements beyond all sizes go."""
     bounds = sizes.agg(F.sort_array(F.collect_list("size")).alias("bounds"))  # of at most seven numbers
-    found = F.get(F.filter("bounds", lambda b: b > F.col("element_id")), F.lit(0))
-    return rows.crossJoin(F.broadcast(bounds)).withColumn("bucket", found).drop("bounds").filter("bucket is not null")
+    # An array of the one bucket, or of none: as a filter this would become a part of the join, which Spark then plans wrongly under a range sort.
+    found = F.slice(F.filter("bounds", lambda b: b > F.col("element_id")), 1, 1)
+    return rows.crossJoin(F.broadcast(bounds)).withColumn("bucket", F.explode(found)).drop("bounds")
 
 
 _PARTS = ("s", "s_kind", "p", "p_kind", "o", "o_kind", "o_dt", "o_lang")

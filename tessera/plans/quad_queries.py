@@ -129,6 +129,32 @@ def e6_last_matching(spark, sf_dir):
     return patterns.last_matching(table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'"), "o_custkey", "o_orderpriority", "o_orderkey")
 
 
+_PACKAGE_SIZES = (100, 1_000, 5_000)
+_PACKAGES = (
+    with_views("q_events")
+    + f", {sizes_sql('events', _PACKAGE_SIZES)}, l AS (SELECT element_id, s, p, o, coalesce(o_dt, '') AS dt, coalesce(o_lang, '') AS lang, {LINE} || chr(10) AS line FROM q_events), "
+    + "f AS (SELECT size, any_value(is_full) AS is_full, count(*) AS statements, count(DISTINCT element_id) AS elements, CAST(sum(strlen(line)) AS BIGINT) AS plain_bytes, string_agg(line, '' ORDER BY element_id, s, p, o, dt, lang) AS text FROM sizes JOIN l ON element_id < size GROUP BY size) "
+    + "SELECT size, is_full, elements, statements, plain_bytes, md5(text) AS plain_md5, sha256(text) AS plain_sha256, true AS sizes_agree, true AS file_is_whole FROM f"
+)
+
+
+@query("a8_package_files", _PACKAGES)
+def a8_package_files(spark, sf_dir):
+    """Package files of all prefixes from one write: sizes and digests, those of the files held against the files as they are read back."""
+    from tessera.sources import packages
+    from tessera.sources.shared import shared_folder
+
+    elements = table(spark, sf_dir, "events").select(F.col("event_id").alias("element_id"))
+    sizes = stats.prefix_sizes(elements, _PACKAGE_SIZES)
+    parts = packages.write_members(view("q_events", spark, sf_dir), sizes, shared_folder(spark), with_graph=False)
+    folder = shared_folder(spark)
+    files_ = packages.write_packages(parts, sizes, folder)
+    known = packages.package_sizes(parts, sizes).withColumnsRenamed({"plain_bytes": "p", "byte_size": "b"})
+    read = files.file_digests(spark, folder).select(F.regexp_extract("file_name", "_([0-9]+)", 1).cast("long").alias("size"), F.col("byte_size").alias("r"), F.col("md5").alias("m"), F.col("sha1").alias("h"))
+    both = files_.join(known, "size").join(read, "size").join(sizes, "size")
+    return both.select("size", "is_full", "elements", "statements", "plain_bytes", "plain_md5", "plain_sha256", ((F.col("p") == F.col("plain_bytes")) & (F.col("b") == F.col("byte_size"))).alias("sizes_agree"), ((F.col("r") == F.col("byte_size")) & (F.col("m") == F.col("md5")) & (F.col("h") == F.col("sha1"))).alias("file_is_whole"))
+
+
 @query("a9_text_digests", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS byte_size, md5(text) AS md5, sha1(text) AS sha1, sha256(text) AS sha256 FROM documents")
 def a9_text_digests(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", *files.digests(F.col("text")))

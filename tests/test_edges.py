@@ -1,6 +1,8 @@
 """Edge cases on tables made by hand."""
 
 import functools
+import gzip
+import hashlib
 import os
 import random
 
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import names, terms
 from tessera.operators import degrees, graphs, intervals, patterns, profiles, results, stats, validate
-from tessera.sources import files
+from tessera.sources import files, packages
 from tessera.sources.views import QUADS, QUOTED
 from tessera.streaming import commits, jobs
 
@@ -450,3 +452,17 @@ def test_a_stream_of_archives_goes_on_where_it_stopped(spark, tmp_path):
     assert seen[:3] == [0, 1, 1] and seen.count(0) == 1
     got = sorted((r.path, r.text) for r in commits.finished_batches(spark, base, schema).collect())
     assert got == [(f"{k:010d}.ttl", f"line {k % 40}\n") for k in range(80)]
+
+
+def test_packages_are_members_one_after_the_other(spark, tmp_path):
+    rows = [(k, None, None, f"s{k}", "iri", "p", f"o {j}\n", "literal", S, None) for k in range(50) for j in range(3) if k != 30]
+    sizes = spark.createDataFrame([(10,), (25,), (50,)], "size long")
+    parts = packages.write_members(quads(spark, rows).repartition(3), sizes, f"file://{tmp_path}/m", with_graph=False)
+    got = {r["size"]: r for r in packages.write_packages(parts, sizes, f"file://{tmp_path}/p").collect()}
+    known = {r["size"]: r for r in packages.package_sizes(parts, sizes).collect()}
+    for size, r in got.items():
+        text = gzip.decompress(open(r.path, "rb").read()).decode()
+        want = "".join(f'<s{k}> <p> "o {j}\\n" .\n' for k in range(size) for j in range(3) if k != 30)
+        assert text == want and r.plain_md5 == hashlib.md5(want.encode()).hexdigest()
+        assert (known[size].elements, known[size].statements, known[size].plain_bytes, known[size].byte_size) == (size - (size > 30), want.count("\n"), len(want), os.path.getsize(r.path))
+    assert not list(tmp_path.glob("*/.attempt*")) and got[50].members >= 3
