@@ -49,9 +49,9 @@ def values_at(facts: DataFrame, paths: DataFrame, context: DataFrame | None = No
     """
     stated = _terms(facts, "focus")
     shared = _terms(facts).limit(0) if context is None else _terms(context)
-    steps = [r["p"] for r in paths.select(F.explode("path").alias("p")).distinct().collect()]  # of the profiles, so few
-    starred = [p[:-1] for p in steps if p.endswith("*")]
-    longest = paths.agg(F.max(F.size("path"))).first()[0] or 0
+    listed = [r["path"] for r in paths.collect()]  # of the profiles, so few
+    starred = sorted({p[:-1] for path in listed for p in path if p.endswith("*")})
+    longest = max(map(len, listed), default=0)
     null = F.lit(None).cast("string")
     own_closure = _closure(stated, starred, "focus") if starred else None
     shared_closure = _closure(shared, starred) if starred and context is not None else None
@@ -73,12 +73,18 @@ def values_at(facts: DataFrame, paths: DataFrame, context: DataFrame | None = No
     first = F.get("path", F.lit(0))
     plain = paths.filter(~F.endswith(first, F.lit("*"))).select("path", first.alias("p"))
     now = stated.filter("s = focus").join(plain, "p").select("focus", "path", *TERM)
-    others = paths.filter(F.coalesce(F.endswith(first, F.lit("*")), F.lit(True))).agg(F.collect_set("path").alias("paths"))  # one row of few paths
-    kind = F.coalesce(F.min(F.when(F.col("s") == F.col("focus"), F.col("s_kind"))), F.lit("iri"))
-    at_focus = facts.groupBy("focus").agg(kind.alias("kind")).crossJoin(F.broadcast(others)).select("focus", F.explode("paths").alias("path"), F.col("focus").alias("value"), "kind", null.alias("dt"), null.alias("lang"))
-    done = [at_focus.filter(F.size("path") == 0)]
-    now = now.unionByName(star(at_focus.filter(F.size("path") > 0).withColumn("step", F.get("path", F.lit(0)))) if starred else at_focus.limit(0)).distinct()
+    done = []
+    if any(not path or path[0].endswith("*") for path in listed):
+        others = paths.filter(F.coalesce(F.endswith(first, F.lit("*")), F.lit(True))).agg(F.collect_set("path").alias("paths"))  # one row of few paths
+        kind = F.coalesce(F.min(F.when(F.col("s") == F.col("focus"), F.col("s_kind"))), F.lit("iri"))
+        at_focus = facts.groupBy("focus").agg(kind.alias("kind")).crossJoin(F.broadcast(others)).select("focus", F.explode("paths").alias("path"), F.col("focus").alias("value"), "kind", null.alias("dt"), null.alias("lang"))
+        done.append(at_focus.filter(F.size("path") == 0))
+        now = now.unionByName(star(at_focus.filter(F.size("path") > 0).withColumn("step", first)))
+    now = now.distinct()
     for k in range(1, longest + 1):
+        if k == longest:
+            done.append(now)
+            break
         now = settle(now)
         done.append(now.filter(F.size("path") == k))
         moving = now.filter(F.size("path") > k).withColumn("step", F.get("path", F.lit(k)))
@@ -86,7 +92,7 @@ def values_at(facts: DataFrame, paths: DataFrame, context: DataFrame | None = No
         if starred:
             now = now.unionByName(star(moving.filter(F.endswith("step", F.lit("*")))))
         now = now.distinct()
-    return reduce(DataFrame.unionByName, done).distinct()
+    return reduce(DataFrame.unionByName, done, now.limit(0)).distinct()
 
 
 def classes_of(facts: DataFrame, context: DataFrame | None, rdf_type: str, subclass: str) -> DataFrame:
@@ -110,15 +116,11 @@ def conforming(facts: DataFrame, constraints: DataFrame, profiles: DataFrame, co
     """
     c = F.col
     paths = constraints.select("path").distinct()
-    values = settle(values_at(facts, paths, context)).withColumn("at", F.struct(*TERM))
+    of_classes = {"class", "min_of_class"} & {r["op"] for r in constraints.select("op").distinct().collect()}  # at most ten
+    values = values_at(facts, paths, context).withColumn("at", F.struct(*TERM))
+    values = settle(values) if of_classes else values
     met = values.join(constraints, "path").select("focus", "profile", "id", "op", "n", "terms", "at", *TERM)
     wanted = F.get("terms", F.lit(0))
-    of_class = met.filter(c("op").isin("class", "min_of_class"))
-    classes = classes_of(facts, context, rdf_type, subclass)
-    asked = of_class.select("focus", "profile", "id", "op", "n", "value", wanted["value"].alias("class"))
-    own = classes.filter("focus is not null").withColumn("is", F.lit(True))
-    shared = classes.filter("focus is null").select("value", "class").withColumn("is_shared", F.lit(True))
-    member = asked.join(own, ["focus", "value", "class"], "left").join(shared, ["value", "class"], "left").select("focus", "profile", "id", "op", "n", F.coalesce("is", "is_shared", F.lit(False)).alias("ok"))
     fits = (
         F.when(c("op") == "has_value", wanted.eqNullSafe(c("at")))
         .when(c("op") == "in", F.exists("terms", lambda t: t.eqNullSafe(c("at"))))
@@ -129,7 +131,15 @@ def conforming(facts: DataFrame, constraints: DataFrame, profiles: DataFrame, co
         .when(c("op").isin("min_count", "max_count"), F.lit(True))
         .otherwise(F.raise_error(F.concat(F.lit("unknown constraint "), c("op"))).cast("boolean"))
     )
-    judged = met.filter(~c("op").isin("class", "min_of_class")).select("focus", "profile", "id", "op", "n", fits.alias("ok")).unionByName(member)
+    judged = met.filter(~c("op").isin("class", "min_of_class")).select("focus", "profile", "id", "op", "n", fits.alias("ok"))
+    if of_classes:
+        of_class = met.filter(c("op").isin("class", "min_of_class"))
+        asked = of_class.select("focus", "profile", "id", "op", "n", "value", wanted["value"].alias("class"))
+        classes = settle(classes_of(facts, context, rdf_type, subclass))
+        own = classes.filter("focus is not null").withColumn("is", F.lit(True))
+        shared = classes.filter("focus is null").select("value", "class").withColumn("is_shared", F.lit(True))
+        member = asked.join(own, ["focus", "value", "class"], "left").join(shared, ["value", "class"], "left")
+        judged = judged.unionByName(member.select("focus", "profile", "id", "op", "n", F.coalesce("is", "is_shared", F.lit(False)).alias("ok")))
     counted = settle(judged.groupBy("focus", "profile", "id", "op", "n").agg(F.count_if("ok").alias("fit"), F.count("*").alias("all")))
     asking = c("op").isin(*ASKING)
     broken = F.when(c("op") == "max_count", c("all") > c("n")).otherwise(~asking & (c("fit") < c("all")))
