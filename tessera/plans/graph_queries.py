@@ -329,16 +329,16 @@ def _stream_taxonomy(spark, sf_dir) -> DataFrame:
     return types.unionByName(above).unionByName(classes)
 
 
-_TYPE = ["urn:p:usage", "urn:p:streamType"]
+_TYPE_PATH = ["urn:p:usage", "urn:p:streamType"]
 _LINK_RULES = (
     # Only by a type above the stated one.
-    _constraint("supertype", "dataset", [*_TYPE, "urn:p:broader*"], "has_value", "urn:type:r3", kind="iri"),
+    _constraint("supertype", "dataset", [*_TYPE_PATH, "urn:p:broader*"], "has_value", "urn:type:r3", kind="iri"),
     _constraint("supertype", "distribution", ["urn:p:format"], "has_value", "urn:format:1-URGENT", kind="iri"),
-    _constraint("direct", "dataset", _TYPE, "in", "urn:type:n5", "urn:type:n7", "urn:type:r3", kind="iri"),
+    _constraint("direct", "dataset", _TYPE_PATH, "in", "urn:type:n5", "urn:type:n7", "urn:type:r3", kind="iri"),
     _constraint("direct", "dataset", ["urn:p:temporal"], "max_count", n=0),
     _constraint("direct", "distribution", ["urn:p:size"], "ge", "100000"),
     _constraint("direct", "distribution", ["urn:p:statistics", "urn:p:status"], "in", "O", "F", dt="string"),
-    _constraint("superclass", "dataset", _TYPE, "class", "urn:t:Number", kind="iri"),
+    _constraint("superclass", "dataset", _TYPE_PATH, "class", "urn:t:Number", kind="iri"),
     _constraint("superclass", "dataset", ["urn:p:temporal"], "min_count", n=1),
     _constraint("superclass", "dataset", ["urn:p:temporal"], "kind", "iri", kind="iri"),
     _constraint("superclass", "distribution", ["urn:p:size"], "datatype", XSD + "date", kind="iri"),
