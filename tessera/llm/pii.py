@@ -4,8 +4,10 @@ The base spans are what four patterns and their checks find. The field is traine
 table and labels words as begin or inside of a kind, decoded by Viterbi for all word runs of a batch
 together. Its spans that no base span overlaps, and that pass their kind's own check, are added.
 
-If training leaves a word without digit or at sign so far on the side of "outside" that no transition can outweigh it
-(``Field.prunes`` checks this), Viterbi goes over the runs of the other words only, which gives the same labels; if not, over all words.
+In the model a word with a letter and without digit or at sign is outside of all kinds, as no kind's form has such words; training
+and decoding go over the runs of the other words, each run between two words that are outside, which gives the same labels as going over all words.
+The words around a run are seen by all its words: themselves, their beginnings, endings and marks, so the same number is a phone number
+after one word and the number of an order after another.
 """
 
 from __future__ import annotations
@@ -99,8 +101,101 @@ chapter 12 (page 345) again
 (2019) and (2020) editions
 """
 
-#: Most that a transition may weigh.
-LIMIT = 1.5
+#: Frames for the numbers below: of phone numbers, of other numbers of the same form, and words that tell nothing.
+PHONE_FRAMES = """\
+call {} now
+please call us at {} today
+phone {} or write
+phone: {}
+telephone {} for details
+tel. {}
+tel: {}, mornings
+Tel.: {} (office)
+fax {} only
+fax: {}
+mobile {} after six
+cell: {}
+my mobile number is {} since then
+my number is {}
+ring {} in the evening
+ring me on {} before noon
+dial {} to reach us
+reach me at {} at night
+contact us under {} or by mail
+text {} for help
+hotline {} is free
+Telefon {} erreichbar
+Tel {} und Fax
+Handy: {}
+Mobil {} bitte anrufen
+Rufnummer {} lautet so
+rufen Sie {} an
+téléphone {} le matin
+appelez le {} avant midi
+portable : {} ou bureau
+teléfono {} por la tarde
+llame al {} hoy
+móvil: {} gracias
+WhatsApp {} any time
+office {} extension
+"""
+OTHER_FRAMES = """\
+order {} shipped
+the order {} was late
+order no. {} is open
+order number {} arrived
+orders {} and more
+serial {} part
+serial number {} is on the back
+serial no {} of the unit
+sum {} total
+a sum of {} in all
+total {} units
+the total is {} so far
+rows {} found
+lines {} were cut
+records {} of the table
+invoice {} is due
+invoice no. {} was paid
+account {} was closed
+article {} sold out
+item {} in stock
+part {} is missing
+ticket {} was closed
+case {} before court
+reference {} of the letter
+ref. {} please
+id {} not known
+code {} is not valid
+batch {} expired
+model {} with cable
+version {} of the file
+population {} in all
+ISBN {} hardcover
+tracking {} delivered
+parcel {} sent back
+customer {} left
+contract {} ended
+Bestellung {} wurde versandt
+Bestellnummer {} ist offen
+Rechnung {} ist bezahlt
+Summe {} gesamt
+Seriennummer {} am Teil
+Artikel {} ausverkauft
+Kunde {} ging
+commande {} est partie
+facture {} payée
+série {} de la pièce
+somme {} en tout
+pedido {} enviado
+factura {} pagada
+total {} filas
+"""
+PLAIN_FRAMES = "kitchen {} mirror|blue {} seems|also {} because|and {} then|summer {} forest|old {} friends|said {} again|they {} went|{} is here|maybe {}|rather {} quickly|of {} on|the {} it"
+#: Phone numbers in forms that also occur as other numbers, and numbers that are of no phone's form.
+PHONES = "212-555-0187|(415) 555-2671|(415)555-2671|646 555 0199|0171 5550123|030/5550123|030 / 5550123|020 7946 0958|0043 1 5550 1234|0049-30-5550123|303.555.7742|089 5550143|917-555-4821|0151/23456789|(030) 5550 1234|123 456 7890|0033 1 55 50 12 34|0221-5550178|503 555-1109"
+OTHERS = "1999|250|12-15|12/05/2021|12.05.2021|2020/2021|2021-05-12|640 480|3 645 000|(2019)|555123|45678|98765432|100 200 300|345 678 912|1,299.00|48213 1500|71234 5678|10:45|3/4|12.50"
+
 _SPACE = r"\x20\x09-\x0D"
 _EMAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _EMAIL_HEAD = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -112,8 +207,11 @@ _ANY_PHONE = re.compile(r"[+(]*[0-9][\x20()./0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _MARK = re.compile(r"<(\w+)>(.*?)</\1>")
 _ALL_WORDS = re.compile(rf"[^{_SPACE}]+")
-#: Words with a digit or an at sign.
-_LIVE_WORDS = re.compile(rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+")
+#: Words with a digit or an at sign, and words that are only marks of phone numbers.
+_LIVE_WORDS = re.compile(rf"(?<![^{_SPACE}])(?:[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+|[+()/-]++(?![^{_SPACE}]))")
+#: Characters on both sides of a run in which its neighbours are looked for, and how many of them are seen.
+REACH, BEFORE, AFTER = 64, 3, 2
+_EDGES = ".,;:!?\"'#$%&*|()[]<>"
 _RUNS = re.compile(r"[0-9]+|[A-Z]+|[^\W\d_A-Z]+|[^0-9A-Za-z]", re.ASCII)
 
 
@@ -163,20 +261,45 @@ def _bucket(n: int) -> str:
 
 
 def size_of(word: str) -> str:
-    """What a word's neighbours see of it: about how many digits it has, nothing for a word without digit and at sign."""
-    n = len(_DIGIT.findall(word))
-    return _bucket(n) if n or "@" in word else ""
+    """What a word of a run shows the words beside it: about how many digits it has."""
+    return _bucket(len(_DIGIT.findall(word)))
+
+
+def around(text: str, start: int, end: int) -> tuple[str, ...]:
+    """Features of the words around the run text[start:end]: words in lower case, their first and last letters, shape and mark of the nearest."""
+    left, right = text[max(0, start - REACH) : start], text[end : end + REACH]
+    before, after = _ALL_WORDS.findall(left), _ALL_WORDS.findall(right)
+    if start > REACH and before and _ALL_WORDS.match(text[start - REACH - 1]) and _ALL_WORDS.match(left):
+        del before[0]  # only its end is in reach
+    if end + REACH < len(text) and after and _ALL_WORDS.match(text[end + REACH]) and _ALL_WORDS.match(right[-1]):
+        del after[-1]
+    out = []
+    for side, words in (("before", before[::-1][:BEFORE]), ("after", after[:AFTER])):
+        for k, word in enumerate(words):
+            core = word.strip(_EDGES).lower()
+            if _DIGIT.search(core):
+                core = "9"
+            out.append(f"{side}={core}")
+            if len(core) > 3:
+                out += [f"{side}={core[:3]}*", f"{side}=*{core[-3:]}"]
+            if k == 0:
+                out += [f"next {side}={core}", f"{side} shape={'X' if word.isupper() else 'Xx' if word[:1].isupper() else 'x'}"]
+                if not word[-1].isalnum():
+                    out.append(f"{side} mark={word[-1]}")
+    return tuple(out)
 
 
 def word_features(word: str, before: str = "", after: str = "") -> tuple[str, ...]:
-    """Shape features of one word, with the ``size_of`` the words around it."""
+    """Shape features of one word of a run, with the ``size_of`` the words beside it."""
     core = word.strip(".,;:!?\"'#$%&*|")
     digits = _DIGIT.findall(core)
     if not digits and "@" not in core:
-        return ("bias", "plain")
+        return ("bias", "marks", f"marks={core[:1]}", f"around={before},-,{after}")
     parts = core.split(".")
     own = _bucket(len(digits)) + ("+" if core[:1] == "+" else "(" if core[:1] == "(" else "0" if core[:1] == "0" else "")
     out = ["bias", "live", f"around={before},{own},{after}", f"before={before},{own}", f"after={own},{after}", f"digits={_bucket(len(digits))}", f"first={core[:1] if not core[:1].isalnum() else 'd' if core[:1].isdigit() else 'x'}"]
+    marks = "".join(sorted({c for c in core if not c.isalnum()}))
+    out += [f"marks={marks}", f"marks={marks},{_bucket(len(digits))}", "lead=" + ("00" if core[:2] == "00" else "0" if core[:1] == "0" else "x")]
     out.append("shape=" + "".join(p[0] if not p[0].isalnum() else ("d" * min(len(p), 4) if p[0].isdigit() else "x") for p in _RUNS.findall(core)))
     if any(c.isalpha() for c in core):
         out.append("letters")
@@ -230,26 +353,51 @@ class Field:
     def __init__(self, names: dict[str, int], weight: np.ndarray, trans: np.ndarray):
         self.names, self.weight, self.trans = names, weight, trans
         self._known: dict[tuple[str, str, str], np.ndarray] = {}
-        plain = self.emission("plain")
-        self.prunes = bool(plain[0] - plain[1:].max() > 2 * (trans.max() - trans.min()))
+
+    def _sum(self, features: tuple[str, ...]) -> np.ndarray:
+        return self.weight[[self.names[f] for f in features if f in self.names]].sum(0)
 
     def emission(self, word: str, before: str = "", after: str = "") -> np.ndarray:
         key = word, before, after
         found = self._known.get(key)
         if found is None:
-            found = self.weight[[self.names[f] for f in word_features(*key) if f in self.names]].sum(0)
+            found = self._sum(word_features(*key))
             if len(self._known) < 100_000 and len(word) < 100:
                 self._known[key] = found
         return found
 
-    def emissions(self, words: list[str]) -> list[np.ndarray]:
-        """Of words that follow each other."""
-        sizes = ["", *map(size_of, words), ""]
-        return [self.emission(w, sizes[k], sizes[k + 2]) for k, w in enumerate(words)]
-
-
-def labelled_words(line: str) -> tuple[list[str], list[int]]:
-    """The words of a marked line and their states."""
+    def emissions(self, words: list[str], context: tuple[str, ...]) -> list[np.ndarray]:
+        """Of the words of a run."""
+        sizes, near = ["", *map(size_of, words), ""], self._sum(context)
+        return [self.emission(w, sizes[k], sizes[k + 2]) + near for k, w in enumerate(words)]
+
+
+def runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Places of the words of each run: words that may be of a kind, without another word between them."""
+    run: list[tuple[int, int]] = []
+    for m in _LIVE_WORDS.finditer(text):
+        if run and text[run[-1][1] : m.start()].strip(" \t\n\v\f\r"):
+            yield run
+            run = []
+        run.append(m.span())
+    if run:
+        yield run
+
+
+def labelled_table() -> list[str]:
+    """The labelled lines: those written out, and each frame with some of the numbers, in turn."""
+    phones, others = PHONES.split("|"), OTHERS.split("|")
+    lines = LABELLED.splitlines()
+    for frames, number, label in ((PHONE_FRAMES.splitlines(), phones, True), (OTHER_FRAMES.splitlines(), phones, False), (PHONE_FRAMES.splitlines(), others, False), (OTHER_FRAMES.splitlines(), others, False)):
+        for k, frame in enumerate(frames):
+            lines += [frame.format(f"<phone>{n}</phone>" if label else n) for j, n in enumerate(number) if (j + k) % (3 if number is phones else 7) == 0]
+    for frame in PLAIN_FRAMES.split("|"):
+        lines += [frame.format(f"<phone>{n}</phone>") for n in phones] + [frame.format(n) for n in others]
+    return lines
+
+
+def labelled_runs(line: str) -> Iterator[tuple[list[tuple[str, ...]], list[int]]]:
+    """Features and states of the words of each run of a marked line."""
     marks, text, at = [], "", 0
     for m in _MARK.finditer(line):
         text += line[at : m.start()]
@@ -257,93 +405,96 @@ def labelled_words(line: str) -> tuple[list[str], list[int]]:
         text += m[2]
         at = m.end()
     text += line[at:]
-    words, states = [], []
-    for m in _ALL_WORDS.finditer(text):
-        inside = next((x for x in marks if x[0] < m.end() and m.start() < x[1]), None)
-        words.append(m.group())
-        states.append(0 if inside is None else STATES.index(("B-" if m.start() <= inside[0] else "I-") + inside[2]))
-    return words, states
+    for run in runs(text):
+        words, states = [text[s:e] for s, e in run], []
+        for s, e in run:
+            inside = next((x for x in marks if x[0] < e and s < x[1]), None)
+            states.append(0 if inside is None else STATES.index(("B-" if s <= inside[0] else "I-") + inside[2]))
+        sizes, context = ["", *map(size_of, words), ""], around(text, run[0][0], run[-1][1])
+        yield [word_features(w, sizes[k], sizes[k + 2]) + context for k, w in enumerate(words)], states
 
 
-def train(labelled: str = LABELLED, rounds: int = 1000, rate: float = 0.3, decay: float = 0.002) -> Field:
-    """Maximum likelihood by AdaGrad; forward and backward sums go over all lines together.
+def likelihood(weight: np.ndarray, trans: np.ndarray, data: tuple) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log-likelihood of labelled runs and its gradients; forward and backward sums go over all runs together.
 
-    The labelled table is small by nature and is fitted where it is called. Transitions are kept within LIMIT of 0.
+    A run lies between two words that are outside: its first word is entered from state 0 and its last left for it.
     """
-    lines = [labelled_words(x) for x in labelled.splitlines()]
+    feature, begin, y, real = data
+    (n, steps), s = y.shape, len(STATES)
+    score, rows, last = np.add.reduceat(weight[feature], begin), np.arange(n), real.sum(1) - 1
+    top = score.max(1, keepdims=True)
+    move, emit = np.exp(trans), np.zeros((n, steps, s))
+    emit[real] = np.exp(score - top)
+    ahead, back, scale = np.zeros((n, steps, s)), np.zeros((n, steps, s)), np.ones((n, steps))
+    alive = [np.flatnonzero(real[:, t]) for t in range(steps)]
+    for t, k in enumerate(alive):
+        step = (ahead[k, t - 1] @ move if t else move[0]) * emit[k, t]
+        scale[k, t] = step.sum(1)
+        ahead[k, t] = step / scale[k, t, None]
+    left = ahead[rows, last] @ move[:, 0]
+    back[rows, last] = move[:, 0] / left[:, None]
+    pair = np.zeros((s, s))
+    for t in range(steps - 1, 0, -1):
+        k = alive[t]
+        later = emit[k, t] * back[k, t] / scale[k, t, None]
+        pair += ahead[k, t - 1].T @ later * move
+        back[k, t - 1] = later @ move.T
+    node = ahead * back
+    gold, both = y[real], real[:, 1:]
+    wrong = np.eye(s)[gold] - node[real]
+    long = np.diff([*begin, len(feature)])
+    grad_w = np.stack([np.bincount(feature, np.repeat(wrong[:, k], long), len(weight)) for k in range(s)], 1)
+    grad_t = -pair
+    np.add.at(grad_t, (y[:, :-1][both], y[:, 1:][both]), 1)
+    grad_t[0] += (np.eye(s)[y[:, 0]] - node[:, 0]).sum(0)
+    grad_t[:, 0] += (np.eye(s)[y[rows, last]] - node[rows, last]).sum(0)
+    path = score[np.arange(len(gold)), gold].sum() + trans[0, y[:, 0]].sum() + trans[y[rows, last], 0].sum() + trans[y[:, :-1][both], y[:, 1:][both]].sum()
+    return float(path - np.log(scale).sum() - top.sum() - np.log(left).sum()), grad_w, grad_t
+
+
+def training_data(lines: list[str]) -> tuple[dict[str, int], tuple]:
+    """Numbers of the features, and what ``likelihood`` takes: features of all words, where each word's begin, states, and which steps are words."""
+    found = [r for line in lines for r in labelled_runs(line)]
     names: dict[str, int] = {}
-    shapes: list[list[tuple[str, ...]]] = []
-    for words, _ in lines:
-        sizes = ["", *map(size_of, words), ""]
-        shapes.append([word_features(w, sizes[k], sizes[k + 2]) for k, w in enumerate(words)])
-        for f in itertools.chain(*shapes[-1]):
-            names.setdefault(f, len(names))
-    n, steps, s = len(lines), max(len(w) for w, _ in lines), len(STATES)
-    x = np.zeros((n, steps, len(names)))
-    y = np.zeros((n, steps), int)
-    real = np.zeros((n, steps), bool)
-    for k, (_, states) in enumerate(lines):
-        for t, shape in enumerate(shapes[k]):
-            x[k, t, [names[f] for f in shape]] = 1
-            y[k, t], real[k, t] = states[t], True
-    weight, trans = np.zeros((len(names), s)), np.zeros((s, s))
+    feature, begin = [], []
+    real = np.arange(max(len(y) for _, y in found)) < np.array([[len(y)] for _, y in found])
+    y = np.zeros(real.shape, int)
+    y[real] = list(itertools.chain(*(states for _, states in found)))
+    for word in itertools.chain(*(words for words, _ in found)):
+        begin.append(len(feature))
+        feature += [names.setdefault(f, len(names)) for f in word]
+    return names, (np.array(feature), np.array(begin), y, real)
+
+
+def train(lines: list[str] | None = None, rounds: int = 250, rate: float = 0.3, decay: float = 0.02) -> Field:
+    """Maximum likelihood with an L2 penalty, by AdaGrad. The labelled table is small by nature and is fitted where it is called."""
+    names, data = training_data(labelled_table() if lines is None else lines)
+    weight, trans = np.zeros((len(names), len(STATES))), np.zeros((len(STATES), len(STATES)))
     seen_w, seen_t = np.full_like(weight, 1e-8), np.full_like(trans, 1e-8)
-    flat = x.reshape(n * steps, -1)
-    gold_w = flat.T @ (np.eye(s)[y] * real[..., None]).reshape(n * steps, s)
-    gold_t = np.einsum("nta,ntb,nt->ab", np.eye(s)[y][:, :-1], np.eye(s)[y][:, 1:], real[:, 1:])
-
-    def lse(v, axis):
-        top = v.max(axis, keepdims=True)
-        return (top + np.log(np.exp(v - top).sum(axis, keepdims=True))).squeeze(axis)
-
     for _ in range(rounds):
-        emit = (flat @ weight).reshape(n, steps, s)
-        ahead, back = np.zeros((n, steps, s)), np.zeros((n, steps, s))
-        ahead[:, 0] = emit[:, 0]
-        for t in range(1, steps):
-            step = lse(ahead[:, t - 1, :, None] + trans, 1) + emit[:, t]
-            ahead[:, t] = np.where(real[:, t, None], step, ahead[:, t - 1])
-        for t in range(steps - 2, -1, -1):
-            step = lse(trans + (emit[:, t + 1] + back[:, t + 1])[:, None, :], 2)
-            back[:, t] = np.where(real[:, t + 1, None], step, 0)
-        total = lse(ahead[:, -1], 1)
-        node = np.exp(ahead + back - total[:, None, None]) * real[..., None]
-        pair = np.exp(ahead[:, :-1, :, None] + trans + (emit[:, 1:] + back[:, 1:])[:, :, None, :] - total[:, None, None, None]) * real[:, 1:, None, None]
-        grad_w = gold_w - flat.T @ node.reshape(n * steps, s) - decay * weight
-        grad_t = gold_t - pair.sum((0, 1)) - decay * trans
+        _, grad_w, grad_t = likelihood(weight, trans, data)
+        grad_w -= decay * weight
+        grad_t -= decay * trans
         seen_w += grad_w**2
         seen_t += grad_t**2
         weight += rate * grad_w / np.sqrt(seen_w)
-        trans = np.clip(trans + rate * grad_t / np.sqrt(seen_t), -LIMIT, LIMIT)
+        trans = trans + rate * grad_t / np.sqrt(seen_t)
     return Field(names, weight, trans)
 
 
 def field_spans(field: Field, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """(start, kind number, end) of what the field labels in each text."""
-    pattern = _LIVE_WORDS if field.prunes else _ALL_WORDS
-    emit, rows, of, where, words = [], [0], [], [], []
-
-    def end_run() -> None:
-        if words:
-            emit.extend(field.emissions(words))
-            rows.append(len(emit))
-            words.clear()
-
+    emit, rows, of, where = [], [0], [], []
     for k, text in enumerate(texts):
-        last = -1
-        for m in pattern.finditer(text):
-            if words and text[last : m.start()].strip(" \t\n\v\f\r"):
-                end_run()  # words between
-            words.append(m.group())
-            of.append(k)
-            where.append(m.span())
-            last = m.end()
-        end_run()
+        for run in runs(text):
+            emit += field.emissions([text[s:e] for s, e in run], around(text, run[0][0], run[-1][1]))
+            rows.append(len(emit))
+            of += [k] * len(run)
+            where += run
     out: list[list] = [[] for _ in texts]
     if not emit:
         return out
-    edge = (field.trans[0], field.trans[:, 0]) if field.prunes else (np.zeros(len(STATES)),) * 2
-    states = viterbi(np.array(emit), np.array(rows), field.trans, edge)
+    states = viterbi(np.array(emit), np.array(rows), field.trans, (field.trans[0], field.trans[:, 0]))
     begins = set(rows)
     at = 0
     while at < len(states):
