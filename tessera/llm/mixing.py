@@ -7,7 +7,7 @@ mix. A source whose target is above its size goes round again, at most ``max_epo
 
 Sums over an order are taken in levels (totals of slices, then the rows of a slice), so no task
 holds a source or the whole order. The slice of virtual time in which the budget is spent is cut into finer
-ones until it has few rows; those are sorted.
+ones, from its first to its last time, until it has few rows or only one time; those are sorted. Of one time there is at most a row for each source and round.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from pyspark.sql import Window as W
 
 from tessera.llm.shared import settle
 
-#: Slices of a source's shuffled order, by the first three hexadecimal digits of the shuffle key.
-SLICE_DIGITS = 3
-#: Slices of virtual time 1, and of a slice that is cut again; rows of a slice that is not cut again; most cuts, as doubles are no finer.
-TIME_SLICES, FEW, CUTS = 4096, 20_000, 4
+#: Least hexadecimal digits of the shuffle key that name a slice of a source's order; rows that there are for each slice before more digits are taken.
+SLICE_DIGITS, SLICE_ROWS = 3, 50_000
+#: Slices of virtual time 1, and of a slice that is cut again; slices of each doubling of the time beyond 2; rows of a slice that is not cut again.
+TIME_SLICES, LATE_SLICES, FEW = 4096, 64, 20_000
 
 
 def word_count(text: Column) -> Column:
@@ -86,8 +86,10 @@ def mix_sources(
             *number,
         )
     )
+    n = sized.count()
+    digits = next(d for d in range(SLICE_DIGITS, 33) if n <= SLICE_ROWS * 16**d)
     targets = source_targets(sized, cycle, max_epochs)
-    rows = sized.alias("d").join(targets.alias("t"), F.expr("d.source <=> t.source")).select("d.*", "t.source_no", "t.source_size", "t.target", "t.budget").withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
+    rows = sized.alias("d").join(targets.alias("t"), F.expr("d.source <=> t.source")).select("d.*", "t.source_no", "t.source_size", "t.target", "t.budget").withColumn("slice", F.substring("key", 1, digits))
     before = W.partitionBy("source_no").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     slices = (
         rows.groupBy("source_no", "slice")
@@ -110,26 +112,28 @@ def mix_sources(
 
     queue = placed.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1)))).withColumn("time", finish(F.col("epoch")))
     so_far = W.orderBy("slice").rowsBetween(W.unboundedPreceding, 0)  # over one row for each slice
-    slices_of_one, left, some = float(TIME_SLICES), None, queue
-    for _ in range(CUTS):
+    # Sources with large documents and small targets have late times: these are in slices that grow, so their number does not follow the number of sources.
+    time = F.col("time")
+    slice_of = F.when(time < 2, F.floor(time * TIME_SLICES)).otherwise(2 * TIME_SLICES + F.floor(F.log2(time / 2) * LATE_SLICES))
+    left, some, low, high = None, queue, 0.0, 0.0
+    while True:
         budget = F.max("budget") if left is None else F.lit(left)
         cut = (
-            some.groupBy(F.floor(F.col("time") * slices_of_one).alias("slice"))
-            .agg(F.sum("size").alias("slice_size"), F.count("*").alias("n"), budget.alias("budget"))
+            some.groupBy(slice_of.alias("slice"))
+            .agg(F.sum("size").alias("slice_size"), F.count("*").alias("n"), F.min("time").alias("low"), F.max("time").alias("high"), budget.alias("budget"))
             .withColumn("spent", F.sum("slice_size").over(so_far))
             .filter("spent > budget")
-            .agg(F.min_by(F.struct("slice", "n", (F.col("budget") - F.col("spent") + F.col("slice_size")).alias("left")), "slice").alias("cut"))
+            .agg(F.min_by(F.struct("n", "low", "high", (F.col("budget") - F.col("spent") + F.col("slice_size")).alias("left")), "slice").alias("cut"))
             .first()["cut"]
         )
         if cut is None:
             break
-        left = cut["left"]
-        # What is before this slice is taken whole, what is after it not at all.
-        low, high = cut["slice"] / slices_of_one, (cut["slice"] + 1) / slices_of_one
-        some = queue.filter((F.col("time") >= low) & (F.col("time") < high))
-        if cut["n"] <= FEW:
+        # What is before this slice is taken whole, what is after it not at all. Slices follow the time, so no other slice has a time between these two.
+        left, low, high = cut["left"], cut["low"], cut["high"]
+        some = queue.filter(time.between(low, high))
+        if cut["n"] <= FEW or low == high:
             break
-        slices_of_one *= TIME_SLICES
+        slice_of = F.least(F.floor((time - low) / (high - low) * TIME_SLICES), F.lit(TIME_SLICES - 1))
     last = None
     if left is not None:
         order = W.orderBy("time", "source_no", "epoch", "key", "doc_id").rowsBetween(W.unboundedPreceding, 0)
@@ -140,7 +144,7 @@ def mix_sources(
         taken = F.lit(1)
         if left is not None:
             time = finish(epoch)
-            taken = F.when(time < low, 1).when((time < high) & F.coalesce(place(time, epoch) <= F.col("last"), F.lit(False)), 1).otherwise(0)
+            taken = F.when(time < low, 1).when((time <= high) & F.coalesce(place(time, epoch) <= F.col("last"), F.lit(False)), 1).otherwise(0)
         return F.when(F.col("size") == 0, 0).otherwise(taken)
 
     epochs = sum((taken_in(F.lit(k)) for k in range(1, max_epochs)), taken_in(F.lit(0)))

@@ -102,6 +102,33 @@ def test_mix_cuts_time_until_few_rows_are_left(spark, monkeypatch):
         assert sorted(mixing.mix_sources(df).collect()) == whole
 
 
+def test_mix_with_late_times_is_that_of_one_sorted_queue(spark, monkeypatch):
+    """Sources of one large document have finish times far beyond 2; slices of the order take more digits."""
+    rnd = random.Random(10)
+    texts = [f"{k} " + "w " * (4000 if k % 50 == 0 else rnd.randint(0, 30)) for k in range(400)]
+    df = docs(spark, texts, lambda k: f"large{k}" if k % 50 == 0 else f"s{k % 7}")
+    monkeypatch.setattr(mixing, "FEW", 0)
+    monkeypatch.setattr(mixing, "TIME_SLICES", 4)
+    monkeypatch.setattr(mixing, "LATE_SLICES", 1)
+    monkeypatch.setattr(mixing, "SLICE_DIGITS", 1)
+    monkeypatch.setattr(mixing, "SLICE_ROWS", 2)
+    got = mixing.mix_sources(df).collect()
+    target, total = {r.source: r.target for r in got}, {r.source: r.source_size for r in got}
+    order = sorted((r.source, hashlib.md5(f"mix:{r.doc_id}:{hashlib.md5(texts[r.doc_id].encode()).hexdigest()}".encode()).hexdigest(), r.doc_id, r["size"]) for r in got if r["size"])
+    upto, queue = Counter(), []
+    for source, key, k, size in order:
+        upto[source] += size
+        queue += [((e * total[source] + upto[source]) / target[source], source.encode(), e, key, k, size) for e in range(3)]
+    assert max(queue)[0] > 8
+    taken, left = Counter(), sum(total.values())
+    for _, _, _, _, k, size in sorted(queue):
+        if size > left:
+            break
+        taken[k] += size
+        left -= size
+    assert {r.doc_id: r.taken for r in got if r.taken} == dict(taken)
+
+
 def test_mix_of_rows_of_one_id(spark):
     texts = ["w " * (k % 7 + 1) + str(k) for k in range(300)]
     df = frame(spark, [(1, t, "en", "s" + str(k % 2), None) for k, t in enumerate(texts)])
