@@ -14,6 +14,7 @@ Characters that no piece has, and U+2581 itself, become byte pieces, so decoding
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -364,7 +365,14 @@ class Encoder:
         return drops, key
 
     def encode_many(self, texts: list[str], documents: list[int]) -> list[bytes]:
-        """The ids of the pieces of each text, as 32-bit numbers."""
+        """The ids of the pieces of each text, as 32-bit numbers. A long text goes by parts of its units, which count on."""
+        if len(texts) == 1 and len(texts[0]) > TOGETHER:
+            units = map(re.Match.group, _UNITS.finditer(" " + texts[0]))
+            found, place = [], 0
+            while part := list(itertools.islice(units, PART)):
+                found.append(self._ids_of(part, np.full(len(part), documents[0], np.int64), np.arange(place, place + len(part)))[0].tobytes())
+                place += len(part)
+            return [b"".join(found)]
         units, rows = [], [0]
         for text in texts:
             if text:
@@ -373,9 +381,15 @@ class Encoder:
         if not units:
             return [b""] * len(texts)
         rows = np.array(rows)
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
         of = np.repeat(np.arange(len(texts)), np.diff(rows))
-        drops, key = self._drops(sizes, np.array(documents, np.int64)[of], np.arange(len(units)) - rows[of])
+        out, ends = self._ids_of(units, np.array(documents, np.int64)[of], np.arange(len(units)) - rows[of])
+        bounds = np.concatenate([[0], ends])[rows]
+        return [out[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+    def _ids_of(self, units: list[str], documents: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces of units that stand at a place of a document, one after the other, and where each unit's ids end."""
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        drops, key = self._drops(sizes, documents, places)
         get = self.roots.get
         node = np.array([get(u, -1) for u in units])
         new = {units[k]: None for k in np.flatnonzero((node < 0) & (sizes <= SHORT)).tolist()}
@@ -394,9 +408,8 @@ class Encoder:
             length[k] = len(ids) // 4
         ends = np.cumsum(length)
         out = self.pool[np.repeat(self.begin[node] - ends + length, length) + np.arange(ends[-1])] if not apart else self._with(apart, node, length, ends)
-        bounds = np.concatenate([[0], ends])[rows]
         self._trim(len(units))
-        return [out[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        return out, ends
 
     def _with(self, apart: dict[int, bytes], node: np.ndarray, length: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The ids of all units where some are not in the pool."""
@@ -412,8 +425,8 @@ class Encoder:
         return self.encode_many([text], [document])[0]
 
 
-#: Characters of texts that are encoded together.
-TOGETHER = 1 << 20
+#: Characters of texts that are encoded together; units or pieces of a longer text that are handled at once.
+TOGETHER, PART = 1 << 20, 1 << 18
 
 
 def decoded(vocabulary: Vocabulary, ids: list[int]) -> str:
@@ -421,6 +434,17 @@ def decoded(vocabulary: Vocabulary, ids: list[int]) -> str:
     return b"".join(map(vocabulary.pieces.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
+def restores(pieces: list[bytes], ids: bytes, text: str) -> bool:
+    """Whether the ids decode to the text."""
+    numbers, want, at = np.frombuffer(ids, np.int32), (" " + text).encode() if text else b"", 0
+    for a in range(0, len(numbers), PART):
+        part = b"".join(map(pieces.__getitem__, numbers[a : a + PART].tolist()))
+        if not want.startswith(part, at):
+            return False
+        at += len(part)
+    return at == len(want)
+
+
 _encoders: dict[tuple, Encoder] = {}
 
 
@@ -462,7 +486,7 @@ def encode_documents(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED
             for a, b, _, _ in chunks(batch.column(n + 1), TOGETHER):
                 texts = batch.column(n + 1).slice(a, b - a).to_pylist()
                 for text, ids in zip(texts, encoder.encode_many(texts, batch.column(n).slice(a, b - a).to_pylist()), strict=True):
-                    lossless.append(b"".join(map(pieces.__getitem__, np.frombuffer(ids, np.int32).tolist()))[1:] == text.encode())
+                    lossless.append(restores(pieces, ids, text))
                     found.append(ids)
             lengths = np.array([len(x) // 4 for x in found], np.int32)
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)

@@ -967,6 +967,19 @@ def test_segmentations_of_one_word_have_their_shares(vocabulary):
         assert got[x] / n == pytest.approx(m / (20 * n), abs=0.035)
 
 
+def test_long_texts_by_parts_have_the_ids_of_the_whole(vocabulary, monkeypatch):
+    rnd = random.Random(13)
+    words = ["the", "water", "été", "日本語", "\n", "  ", "\u2581", "x" * 300, "\U0001f600", "international"]
+    texts = [sep.join(rnd.choices(words, k=200)) for sep in (" ", "", "\n")] + ["y" * 2000, " ", "\n"]
+    whole = [pieces.Encoder(vocabulary, dropout=0.2).encode(t, k) for k, t in enumerate(texts)]
+    monkeypatch.setattr(pieces, "TOGETHER", 0)
+    monkeypatch.setattr(pieces, "PART", 7)
+    assert [pieces.Encoder(vocabulary, dropout=0.2).encode(t, k) for k, t in enumerate(texts)] == whole
+    for text, ids in zip(texts, whole, strict=True):
+        assert pieces.restores(vocabulary.pieces, ids, text) and pieces.decoded(vocabulary, np.frombuffer(ids, np.int32).tolist()) == text
+        assert not pieces.restores(vocabulary.pieces, ids, text + "a") and not pieces.restores(vocabulary.pieces, ids[:-4], text) and not pieces.restores(vocabulary.pieces, ids, text[:-1])
+
+
 def test_pieces_table(spark, odd):
     got = pieces.encode_documents(odd)
     assert sorted(got.columns) == sorted({*odd.columns, "n_pieces", "lossless"})
