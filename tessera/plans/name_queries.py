@@ -15,6 +15,13 @@ _ID = "'p-' || p_partkey"
 _V = "CASE WHEN p_partkey % 4 = 0 THEN 'dev' ELSE p_size || '.0.1' END"
 _KIND = "CASE p_partkey % 7 WHEN 0 THEN 'categories' WHEN 1 THEN 'tasks' WHEN 2 THEN 'profiles' WHEN 3 THEN 'datasets' WHEN 4 THEN 'schema' WHEN 5 THEN 'main' ELSE 'none' END"
 _ROOT = names.ROOT
+#: The short names of sizes, and the steps of byte sizes up to those of the largest BIGINT.
+SIZE_NAMES = "WHEN 10000 THEN '10K' WHEN 100000 THEN '100K' WHEN 1000000 THEN '1M' WHEN 10000000 THEN '10M' WHEN 100000000 THEN '100M' WHEN 1000000000 THEN '1B'"
+
+
+def human_sql(column: str) -> str:
+    text = [f"printf('%.1f {u}', round({column} / {1024**k}.0 * 10) / 10)" for k, u in enumerate(("B", "KB", "MB", "GB", "TB", "PB", "EB"))]
+    return "CASE " + " ".join(f"WHEN {column} < {1024 ** (k + 1)} THEN {t}" for k, t in enumerate(text[:-1])) + f" ELSE CASE WHEN {column} IS NOT NULL THEN {text[-1]} END END"
 
 
 def query(name: str, sql: str):
@@ -155,7 +162,7 @@ def h21_nt_statement(spark, sf_dir):
     return VIEWS["q_docs"](spark, sf_dir).select("element_id", F.md5(terms.nt_statement()).alias("line_md5"))
 
 
-@query("h22_distribution_title", "SELECT o_orderkey, CASE WHEN o_orderkey = 10000 THEN '10K elements' WHEN o_orderkey = 14999 THEN 'Full' ELSE o_orderkey || ' elements' END || CASE o_orderkey % 3 WHEN 0 THEN ' flat' WHEN 1 THEN ' stream' ELSE ' Jelly' END || ' distribution' AS title FROM orders")
+@query("h22_distribution_title", f"SELECT o_orderkey, CASE WHEN o_orderkey = 14999 THEN 'Full' ELSE CASE o_orderkey {SIZE_NAMES} ELSE CAST(o_orderkey AS STRING) END || ' elements' END || CASE o_orderkey % 3 WHEN 0 THEN ' flat' WHEN 1 THEN ' stream' ELSE ' Jelly' END || ' distribution' AS title FROM orders")
 def h22_distribution_title(spark, sf_dir):
     kind = F.when(F.col("o_orderkey") % 3 == 0, "flat").when(F.col("o_orderkey") % 3 == 1, "stream").otherwise("jelly")
     return table(spark, sf_dir, "orders").select("o_orderkey", names.distribution_title(F.col("o_orderkey"), F.lit(14999), kind).alias("title"))
