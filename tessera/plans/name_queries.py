@@ -83,7 +83,7 @@ def h3_parse_purl(spark, sf_dir):
     return rows.filter("p is not null").select("p_partkey", "p.*", whole.alias("with_fragment_too"))
 
 
-@query("h4_human_size", "SELECT o_orderkey, CASE o_orderkey WHEN 10000 THEN '10K' WHEN 100000 THEN '100K' ELSE CAST(o_orderkey AS STRING) END AS name, CASE o_orderkey WHEN 10000 THEN '10K' WHEN 100000 THEN '100K' ELSE 'Full' END AS full_name FROM orders")
+@query("h4_human_size", f"SELECT o_orderkey, CASE o_orderkey {SIZE_NAMES} ELSE CAST(o_orderkey AS STRING) END AS name, CASE o_orderkey {SIZE_NAMES} ELSE 'Full' END AS full_name FROM orders")
 def h4_human_size(spark, sf_dir):
     c = F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select(c, names.human_size(c).alias("name"), names.human_size(c, True).alias("full_name"))
