@@ -92,7 +92,7 @@ def h4_human_size(spark, sf_dir):
 _BYTES = "CAST(p_partkey AS BIGINT) * p_partkey * p_size * 37"
 
 
-@query("h5_human_bytes", f"WITH b AS (SELECT p_partkey, {_BYTES} AS n FROM part) SELECT p_partkey, " + "CASE " + " ".join(f"WHEN n < {1024.0 ** (k + 1):.0f} THEN printf('%.1f {u}', round(n / {1024.0**k:.0f}.0 * 10) / 10)" for k, u in enumerate(("B", "KB", "MB", "GB", "TB"))) + " END AS size FROM b")
+@query("h5_human_bytes", f"WITH b AS (SELECT p_partkey, {_BYTES} AS n FROM part) SELECT p_partkey, {human_sql('n')} AS size FROM b")
 def h5_human_bytes(spark, sf_dir):
     return part(spark, sf_dir).select("p_partkey", names.human_bytes(F.expr(_BYTES)).alias("size"))
 
