@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tessera.functions.names import ROOT
 from tessera.functions.terms import RDF_TYPE, XSD
 from tessera.operators import graphs, profiles, reports, results, stats, validate
+from tessera.plans.name_queries import SIZE_NAMES, human_sql
 from tessera.plans.stat_queries import STATISTICS, inputs, summary_sql
 from tessera.sources import files
 from tessera.sources.views import QUAD_COLUMNS, VIEWS, bnode, explode_quads, iri, literal, quad, table, with_views
@@ -144,12 +145,7 @@ def l5_profile_download_table(spark, sf_dir):
     return reports.union_all([reports.profile_size_table(d, [10_000, 100_000], f).withColumn("flavour", F.lit(f)) for f in (".n", "tar.gz", "jelly.gz")])
 
 
-def _human(column: str) -> str:
-    steps = " ".join(f"WHEN {column} < {1024 ** (k + 1)} THEN printf('%.1f {u}', round({column} / {1024**k}.0 * 10) / 10)" for k, u in enumerate(("B", "KB", "MB", "GB")))
-    return f"CASE {steps} END"
-
-
-@query("l6_dataset_download_table", _DISTS + f" SELECT dataset, size, CASE size WHEN 10000 THEN '10K' WHEN 100000 THEN '100K' ELSE 'Full' END AS name, {_human('max(byte_size)')} AS flat, {_human('max(byte_size)')} AS stream, {_human('max(byte_size)')} AS jelly FROM d GROUP BY dataset, size")
+@query("l6_dataset_download_table", _DISTS + f" SELECT dataset, size, CASE size {SIZE_NAMES} ELSE 'Full' END AS name, {human_sql('max(byte_size)')} AS flat, {human_sql('max(byte_size)')} AS stream, {human_sql('max(byte_size)')} AS jelly FROM d GROUP BY dataset, size")
 def l6_dataset_download_table(spark, sf_dir):
     return reports.dataset_download_table(distributions(spark, sf_dir))
 

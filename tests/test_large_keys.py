@@ -29,6 +29,6 @@ def large_keys(spark, sf_dir, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["h22_distribution_title", "h4_human_size", "h5_human_bytes"])
+@pytest.mark.parametrize("name", ["h22_distribution_title", "h4_human_size", "h5_human_bytes", "l6_dataset_download_table"])
 def test_large_keys(name, spark, large_keys):
     same(plans.queries()[name](spark, large_keys), connect(large_keys), plans.oracle_sql()[name])
