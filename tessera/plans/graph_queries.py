@@ -15,6 +15,7 @@ from tessera.operators import graphs, profiles, reports, results, stats, validat
 from tessera.plans.name_queries import SIZE_NAMES, human_sql
 from tessera.plans.stat_queries import STATISTICS, inputs, summary_sql
 from tessera.sources import files
+from tessera.sources.shared import dealt
 from tessera.sources.views import QUAD_COLUMNS, VIEWS, bnode, explode_quads, iri, literal, quad, table, with_views
 
 QUERIES: dict = {}
@@ -156,7 +157,7 @@ def c2_distribution_stats(spark, sf_dir):
     d = distributions(spark, sf_dir).withColumn("dist", F.concat_ws("#", "dataset", "file_name"))
     has_set = d.select("dist", F.concat(F.lit("set:"), F.col("dist")).alias("set"))
     statistics = d.select(F.concat(F.lit("set:"), F.col("dist")).alias("set"), F.explode(F.array(F.struct(F.lit("StatementCount").alias("class"), F.col("statements").alias("sum")), F.struct(F.lit("IriCount").alias("class"), F.lit(1).cast("long").alias("sum")))).alias("x")).select("set", "x.*")
-    return d.drop("statements").join(has_set, "dist").join(statistics.filter("class = 'StatementCount'"), "set").select("dataset", "file_name", "size", "byte_size", F.col("sum").alias("statements"))
+    return d.drop("statements").join(dealt(has_set), "dist").join(dealt(statistics.filter("class = 'StatementCount'")), "set").select("dataset", "file_name", "size", "byte_size", F.col("sum").alias("statements"))
 
 
 @query("d21_max_statement_count", _DISTS + " SELECT dataset, max(statements) AS statement_count FROM d GROUP BY dataset")

@@ -53,6 +53,15 @@ def open_stream(path: str):
     return system.open_input_stream(name, compression=None)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is not broadcast.
+
+    Spark guesses the size of a table from its files, which are compressed, and doesn't count the rows that an explode adds. So it
+    may take a table for small that the driver can't hold.
+    """
+    return df.hint("merge")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage is cut, and it survives lost executors."""
     path = shared_folder(df.sparkSession)
