@@ -87,6 +87,9 @@ def dataset_records(facts: DataFrame, required: list[str], optional: list[str])
 
 
 def previous_versions(releases: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(name, version) of the latest release of each wanted (name, file_name) that has the file as an asset; tags are v and the version."""
-    assets = releases.select(F.expr("substring(tag_name, 2)").alias("version"), F.explode("assets.name").alias("file_name"))
+    """(name, version) of the latest release of each wanted (name, file_name) that has the file as an asset; tags are v and the version.
+
+    Releases that repeat a version and file count once, before the join.
+    """
+    assets = releases.select(F.expr("substring(tag_name, 2)").alias("version"), F.explode("assets.name").alias("file_name")).distinct()
     return wanted.join(assets, "file_name").groupBy("name").agg(F.max_by("version", semver_key(F.col("version"))).alias("version"))
