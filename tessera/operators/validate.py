@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.patterns import with_following
+from tessera.sources.shared import dealt
 
 
 def strict(violations: DataFrame) -> DataFrame:
@@ -146,10 +147,10 @@ def constraint_violations(targets: DataFrame, facts: DataFrame, constraints: Dat
 
     targets (target, class), facts (target, property, kind, datatype, value), constraints (profile, class, property, op, value). Operators:
     min_count, max_count, kind, datatype, pattern, in (values joined by |). Each target meets the
-    constraints of its class only, and facts join on target and property; Spark broadcasts the constraints where their size allows it.
+    constraints of its class only, and facts join on target and property.
     """
-    asked = targets.join(constraints.withColumnRenamed("value", "want"), "class")
-    met = asked.join(facts, ["target", "property"], "left")
+    asked = targets.join(F.broadcast(constraints.withColumnRenamed("value", "want")), "class")  # few, and of few classes, so that no task gets all targets of one
+    met = asked.join(dealt(facts), ["target", "property"], "left")
     c = F.col
     ok = (
         F.when(c("value").isNull(), True)
