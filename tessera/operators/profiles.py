@@ -72,7 +72,7 @@ def values_at(facts: DataFrame, paths: DataFrame, context: DataFrame | None = No
 
     first = F.get("path", F.lit(0))
     plain = paths.filter(~F.endswith(first, F.lit("*"))).select("path", first.alias("p"))
-    now = stated.filter("s = focus").join(plain, "p").select("focus", "path", *TERM)
+    now = stated.filter("s = focus").join(F.broadcast(plain), "p").select("focus", "path", *TERM)
     done = []
     if any(not path or path[0].endswith("*") for path in listed):
         others = paths.filter(F.coalesce(F.endswith(first, F.lit("*")), F.lit(True))).agg(F.collect_set("path").alias("paths"))  # one row of few paths
@@ -115,6 +115,7 @@ def conforming(facts: DataFrame, constraints: DataFrame, profiles: DataFrame, co
     ``facts`` must have a row for each focus node. A profile without constraints is met by all.
     """
     c = F.col
+    constraints = F.broadcast(constraints)  # of the profiles, so few; each has the values of many focus nodes
     paths = constraints.select("path").distinct()
     of_classes = {"class", "min_of_class"} & {r["op"] for r in constraints.select("op").distinct().collect()}  # at most ten
     values = values_at(facts, paths, context).withColumn("at", F.struct(*TERM))
@@ -146,7 +147,7 @@ def conforming(facts: DataFrame, constraints: DataFrame, profiles: DataFrame, co
     answered = counted.filter(asking & (c("fit") >= F.when(c("op") == "has_value", 1).otherwise(c("n"))))
     # Asking for no value is no question.
     questions = constraints.filter(asking & ((c("op") == "has_value") | (c("n") > 0))).groupBy("profile").agg(F.count_distinct("id").alias("questions"))
-    by_answers = answered.filter((c("op") == "has_value") | (c("n") > 0)).groupBy("profile", "focus").agg(F.count("*").alias("answers")).join(questions, "profile").filter("answers = questions").select("profile", "focus")
+    by_answers = answered.filter((c("op") == "has_value") | (c("n") > 0)).groupBy("profile", "focus").agg(F.count("*").alias("answers")).join(F.broadcast(questions), "profile").filter("answers = questions").select("profile", "focus")
     free = profiles.join(questions, "profile", "left_anti").agg(F.collect_set("profile").alias("profiles"))  # one row, of profiles that ask for nothing
     by_default = facts.select("focus").distinct().crossJoin(F.broadcast(free)).select(F.explode("profiles").alias("profile"), "focus")
     return by_answers.unionByName(by_default).join(counted.filter(broken).select("profile", "focus").distinct(), ["profile", "focus"], "left_anti")
