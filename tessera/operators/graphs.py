@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.terms import name_uuid
-from tessera.sources.shared import settle
+from tessera.sources.shared import dealt, settle
 
 TRIPLE = ["s", "s_kind", "p", "o", "o_kind", "o_dt", "o_lang"]
 
@@ -104,16 +104,16 @@ def blank_nodes_below(graph: DataFrame, roots: DataFrame) -> DataFrame:
     jump = settle(graph.filter(F.col("o_kind") == "bnode").select(F.col("s").alias("node"), F.col("o").alias("to")).distinct())
     while True:
         known = reduce(DataFrame.unionByName, parts)
-        new = settle(known.join(jump, "node").select("root", F.col("to").alias("node")).distinct().join(known, ["root", "node"], "left_anti"))
+        new = settle(known.join(dealt(jump), "node").select("root", F.col("to").alias("node")).distinct().join(dealt(known), ["root", "node"], "left_anti"))
         if new.isEmpty():
             return known
         parts.append(new)
-        jump = settle(jump.join(jump.toDF("to", "further"), "to").select("node", F.col("further").alias("to")).distinct())
+        jump = settle(jump.join(dealt(jump.toDF("to", "further")), "to").select("node", F.col("further").alias("to")).distinct())
 
 
 def subject_subgraph(graph: DataFrame, roots: DataFrame) -> DataFrame:
     """(root, statement columns) of each root and of the blank nodes that it leads to; see ``blank_nodes_below``."""
-    return blank_nodes_below(graph, roots).join(graph, F.col("node") == F.col("s")).select("root", *TRIPLE).distinct()
+    return blank_nodes_below(graph, roots).join(dealt(graph), F.col("node") == F.col("s")).select("root", *TRIPLE).distinct()
 
 
 def label_lookup(subjects: DataFrame, graph: DataFrame, pref_label: str, label: str, override: str | None = None) -> DataFrame:

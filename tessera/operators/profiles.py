@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.graphs import TRIPLE, reachable, subject_subgraph
-from tessera.sources.shared import settle
+from tessera.sources.shared import dealt, settle
 
 #: A constraint. ``path``: properties from the focus node; one that ends with * goes on as often as it can, or not at all. ``terms``: what
 #: the constraint names, an IRI, a literal with its datatype and language, a class, a datatype, a kind or a number. ``n``: a count.
@@ -59,12 +59,12 @@ def values_at(facts: DataFrame, paths: DataFrame, context: DataFrame | None = No
     def along(at: DataFrame) -> DataFrame:
         """One plain property further."""
         from_node = at.filter("kind <> 'literal'").select("focus", "path", F.col("value").alias("s"), F.col("step").alias("p"))
-        return from_node.join(stated, ["focus", "s", "p"]).select("focus", "path", *TERM).unionByName(from_node.join(shared, ["s", "p"]).select("focus", "path", *TERM))
+        return from_node.join(dealt(stated), ["focus", "s", "p"]).select("focus", "path", *TERM).unionByName(from_node.join(shared, ["s", "p"]).select("focus", "path", *TERM))
 
     def star(at: DataFrame) -> DataFrame:
         """Any number of steps by a starred property."""
         now = at.select("focus", "path", *TERM, F.rtrim(F.col("step"), F.lit("*")).alias("p"))
-        for closure, keys in ((own_closure, ["focus", "p", "node"]), (shared_closure, ["p", "node"])):
+        for closure, keys in ((own_closure and dealt(own_closure), ["focus", "p", "node"]), (shared_closure, ["p", "node"])):
             if closure is not None:
                 moved = now.select("focus", "path", "p", F.col("value").alias("node")).join(closure, keys).select("focus", "path", "value", "kind", null.alias("dt"), null.alias("lang"), "p")
                 now = now.unionByName(moved).distinct()
@@ -139,7 +139,7 @@ def conforming(facts: DataFrame, constraints: DataFrame, profiles: DataFrame, co
         classes = settle(classes_of(facts, context, rdf_type, subclass))
         own = classes.filter("focus is not null").withColumn("is", F.lit(True))
         shared = classes.filter("focus is null").select("value", "class").withColumn("is_shared", F.lit(True))
-        member = asked.join(own, ["focus", "value", "class"], "left").join(shared, ["value", "class"], "left")
+        member = asked.join(dealt(own), ["focus", "value", "class"], "left").join(shared, ["value", "class"], "left")
         judged = judged.unionByName(member.select("focus", "profile", "id", "op", "n", F.coalesce("is", "is_shared", F.lit(False)).alias("ok")))
     counted = settle(judged.groupBy("focus", "profile", "id", "op", "n").agg(F.count_if("ok").alias("fit"), F.count("*").alias("all")))
     asking = c("op").isin(*ASKING)
@@ -150,7 +150,7 @@ def conforming(facts: DataFrame, constraints: DataFrame, profiles: DataFrame, co
     by_answers = answered.filter((c("op") == "has_value") | (c("n") > 0)).groupBy("profile", "focus").agg(F.count("*").alias("answers")).join(F.broadcast(questions), "profile").filter("answers = questions").select("profile", "focus")
     free = profiles.join(questions, "profile", "left_anti").agg(F.collect_set("profile").alias("profiles"))  # one row, of profiles that ask for nothing
     by_default = facts.select("focus").distinct().crossJoin(F.broadcast(free)).select(F.explode("profiles").alias("profile"), "focus")
-    return by_answers.unionByName(by_default).join(counted.filter(broken).select("profile", "focus").distinct(), ["profile", "focus"], "left_anti")
+    return by_answers.unionByName(by_default).join(dealt(counted.filter(broken).select("profile", "focus").distinct()), ["profile", "focus"], "left_anti")
 
 
 def link_profiles(graph: DataFrame, shapes: DataFrame, constraints: DataFrame, context: DataFrame, dataset_class: str, distribution: str, rdf_type: str, subclass: str) -> DataFrame:
@@ -169,12 +169,12 @@ def link_profiles(graph: DataFrame, shapes: DataFrame, constraints: DataFrame, c
     def judge(focus: DataFrame, level: str, context: DataFrame | None) -> DataFrame:
         facts = settle(subject_subgraph(graph, focus.select(F.col("focus").alias("root"))).withColumnRenamed("root", "focus"))
         # A focus node of which nothing is said has no values, but may meet a profile.
-        silent = focus.join(facts.select("focus").distinct(), "focus", "left_anti").select("focus", *[F.lit(None).cast("string").alias(c) for c in TRIPLE])
+        silent = focus.join(dealt(facts.select("focus").distinct()), "focus", "left_anti").select("focus", *[F.lit(None).cast("string").alias(c) for c in TRIPLE])
         return conforming(facts.unionByName(silent), rules.filter(F.col("level") == level).drop("level"), profiles, context, rdf_type, subclass)
 
     datasets = graph.filter((F.col("p") == rdf_type) & (F.col("o") == dataset_class)).select(F.col("s").alias("focus")).distinct()
     matches = settle(judge(datasets, "dataset", context).withColumnRenamed("focus", "dataset"))
-    links = graph.filter((F.col("p") == distribution) & (F.col("o_kind") != "literal")).select(F.col("s").alias("dataset"), F.col("o").alias("focus")).join(matches.select("dataset").distinct(), "dataset", "left_semi")
+    links = graph.filter((F.col("p") == distribution) & (F.col("o_kind") != "literal")).select(F.col("s").alias("dataset"), F.col("o").alias("focus")).join(dealt(matches.select("dataset").distinct()), "dataset", "left_semi")
     links = settle(links.distinct())
-    fitting = judge(links.select("focus").distinct(), "distribution", None).join(links, "focus").select("profile", "dataset", F.col("focus").alias("distribution"))
-    return matches.join(fitting, ["profile", "dataset"], "left")
+    fitting = judge(links.select("focus").distinct(), "distribution", None).join(dealt(links), "focus").select("profile", "dataset", F.col("focus").alias("distribution"))
+    return matches.join(dealt(fitting), ["profile", "dataset"], "left")
