@@ -2,36 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.terms import nt_term
 
 #: Hashes that a sketch keeps, as a power of 2, and standard deviations of the bounds of its estimate.
 LG_HASHES, _SIGMAS = 12, 2.0
+#: The roles of nodes in a statement.
+ROLES = ("subject", "predicate", "object", "graph")
 
 
-def node_uses(quads: DataFrame, detailed: bool = True) -> DataFrame:
-    """(role, node, h, k) of each use of a node; without detail all roles are ``statement``.
-
-    h and k are a digest of the statement of 128 bits, which stands for its text in shuffles.
-    """
+def _written(quads: DataFrame) -> DataFrame:
+    """The parts of each statement as they are written, by role."""
     null = F.lit(None).cast("string")
     nodes = {"subject": nt_term(F.col("s"), F.col("s_kind")), "predicate": nt_term(F.col("p"), F.col("p_kind")), "object": nt_term(F.col("o"), F.col("o_kind"), F.col("o_dt"), F.col("o_lang")), "graph": F.when(F.col("g").isNotNull(), nt_term(F.col("g"), F.coalesce("g_kind", null)))}
-    written = quads.select(*[n.alias(role) for role, n in nodes.items()])
-    stmt = F.concat_ws(" ", *nodes)
-    each = F.array(*[F.struct(F.lit(role if detailed else "statement").alias("role"), F.col(role).alias("node")) for role in nodes])
-    return written.select(F.xxhash64(stmt).alias("h"), F.xxhash64(F.lit(1), stmt).alias("k"), F.explode(each).alias("u")).select("u.role", "u.node", "h", "k").filter("node is not null")
+    return quads.select(*[n.alias(role) for role, n in nodes.items()])
+
+
+def node_uses(quads: DataFrame, detailed: bool = True) -> DataFrame:
+    """(role, node, h) of each use of a node, with a digest of the statement; without detail all roles are ``statement``."""
+    stmt = F.concat_ws(" ", *ROLES)
+    each = F.array(*[F.struct(F.lit(role if detailed else "statement").alias("role"), F.col(role).alias("node")) for role in ROLES])
+    return _written(quads).select(F.xxhash64(stmt).alias("h"), F.explode(each).alias("u")).select("u.role", "u.node", "h").filter("node is not null")
 
 
 def degree_distribution(quads: DataFrame, detailed: bool = True) -> DataFrame:
     """Role, node, occurrences and the number of different statements.
 
-    Statements are first made different by role and node, which spreads a frequent predicate over all tasks; then both
-    counts need partial sums only.
+    Statements, not the uses of their nodes, are made different first, dealt by subject, so that the uses of a subject and its graph
+    are mostly summed up where they are; then both counts need partial sums only, also those of a frequent predicate.
     """
-    by_statement = node_uses(quads, detailed).groupBy("role", "node", "h", "k").agg(F.count("*").alias("uses"))
-    return by_statement.groupBy("role", "node").agg(F.sum("uses").alias("occurrences"), F.count("*").alias("distinct_statements"))
+    different = _written(quads).repartition("subject").groupBy(*ROLES).agg(F.count("*").alias("uses"))
+    each = []
+    for k, role in enumerate(ROLES):
+        node, uses = F.col(role), F.col("uses")
+        if not detailed:
+            # A node that a statement has in several places has an occurrence for each, of one statement.
+            again = [F.coalesce(F.col(r) == node, F.lit(False)) for r in ROLES]
+            node = F.when(~reduce(Column.__or__, again[:k], F.lit(False)), node)
+            uses = uses * reduce(Column.__add__, [a.cast("int") for a in again[k + 1 :]], F.lit(1))
+        each.append(F.struct(F.lit(role if detailed else "statement").alias("role"), node.alias("node"), uses.alias("uses")))
+    used = different.select(F.explode(F.array(*each)).alias("u")).select("u.*").filter("node is not null")
+    return used.groupBy("role", "node").agg(F.sum("uses").alias("occurrences"), F.count("*").alias("distinct_statements"))
 
 
 def sketch_table(quads: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import glob
 
 from pyspark.sql import functions as F
 
-from tessera.operators import profiles, validate
+from tessera.operators import degrees, graphs, profiles, validate
 from tessera.plans import graph_queries
 from tessera.sources import files
 from tessera.sources.views import QUADS, VIEWS
@@ -57,3 +57,27 @@ def test_one_large_element_is_written_by_several_tasks(spark, tmp_path):
     parts = sorted(glob.glob(str(tmp_path / "flat" / "part-*")))
     lines = [[r[0] for r in spark.read.text(p).collect()] for p in parts]
     assert sum(map(bool, lines)) > 1 and (whole := sum(lines, [])) == sorted(whole) and len(whole) == 4000
+
+
+def test_degrees_of_statements_that_repeat_and_nodes_in_several_places(spark):
+    rows = [(e, g, "iri" if g else None, "a", "iri", "p", "iri", o, "iri", None, None) for e, g, o in ((0, "a", "a"), (1, "a", "a"), (2, None, "a"), (3, "g", "b"))]
+    q = spark.createDataFrame(rows, QUADS)
+    found = {(r["role"], r["node"]): (r["occurrences"], r["distinct_statements"]) for r in degrees.degree_distribution(q).collect()}
+    assert found == {("subject", "<a>"): (4, 3), ("predicate", "<p>"): (4, 3), ("object", "<a>"): (3, 2), ("object", "<b>"): (1, 1), ("graph", "<a>"): (2, 1), ("graph", "<g>"): (1, 1)}
+    found = {r["node"]: (r["occurrences"], r["distinct_statements"]) for r in degrees.degree_distribution(q, detailed=False).collect()}
+    assert found == {"<a>": (9, 3), "<p>": (4, 3), "<b>": (1, 1), "<g>": (1, 1)}
+
+
+def test_statements_are_dealt_before_the_uses_of_their_nodes(spark, sf_dir):
+    for detailed in (True, False):
+        text = plan(degrees.degree_distribution(VIEWS["q_events"](spark, sf_dir), detailed))
+        assert text.count("Exchange hashpartitioning") == 2 and "hashpartitioning(subject" in text
+
+
+def test_removal_joins_the_graph_once(spark):
+    rows = [(0, None, None, s, "iri", p, "iri", o, "iri", None, None) for s, p, o in (("a", "p", "x"), ("a", "q", "y"), ("b", "p", "x"), ("b", "p", "y"), ("x", "r", "z"), ("y", "r", "z"), ("z", "p", "x"))]
+    q = spark.createDataFrame(rows, QUADS)
+    left = graphs.remove_values_deep(q, spark.createDataFrame([("a",), ("z",), ("a",)], "s string"), "p")
+    assert plan(left).count("LeftAnti") == 0 and plan(left).count("LeftOuter") == 1
+    assert {(r["s"], r["p"], r["o"]) for r in left.collect()} == {("a", "q", "y"), ("b", "p", "x"), ("b", "p", "y"), ("y", "r", "z")}
+    assert left.count() == 4 and left.columns == q.columns
