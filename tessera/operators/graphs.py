@@ -31,9 +31,12 @@ def remove_statements(graph: DataFrame, s: str | None = None, p: str | None = No
 
 def remove_values_deep(graph: DataFrame, subjects: DataFrame, p: str) -> DataFrame:
     """Without (s, p, o) of the subjects (s), and without the statements about those o, one level deep."""
-    gone = graph.filter(F.col("p") == p).join(subjects, "s", "left_semi").select(F.col("s").alias("gone_s"), F.col("o").alias("gone_o")).distinct()
-    without = graph.join(gone, (F.col("p") == p) & (F.col("s") == F.col("gone_s")) & (F.col("o") == F.col("gone_o")), "left_anti")
-    return without.join(gone.select("gone_o").distinct(), F.col("s") == F.col("gone_o"), "left_anti")
+    roots = subjects.select("s", F.lit(True).alias("root")).distinct()
+    below = graph.filter(F.col("p") == p).join(dealt(roots), "s", "left_semi").select(F.col("o").alias("s"), F.lit(False).alias("root")).distinct()
+    # What goes depends on a statement's subject and property alone, so the graph is joined once, with a row for each subject.
+    marks = roots.unionByName(below).groupBy(F.col("s").alias("__s")).agg(F.bool_or("root").alias("__root"), F.bool_or(~F.col("root")).alias("__below"))
+    gone = F.col("__below") | (F.col("__root") & F.coalesce(F.col("p") == p, F.lit(False)))
+    return graph.join(dealt(marks), F.col("s") == F.col("__s"), "left").filter(~F.coalesce(gone, F.lit(False))).select(*graph.columns)
 
 
 def rename_resources(graph: DataFrame, renames: DataFrame) -> DataFrame:
