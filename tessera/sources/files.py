@@ -112,7 +112,7 @@ def element_documents(quads: DataFrame, with_graph: bool = True) -> DataFrame:
 def write_flat(quads: DataFrame, path: str, with_graph: bool = True) -> None:
     """A4: gzipped N-Quads (N-Triples) lines, in the order of elements and then of statements."""
     order = ["element_id", F.coalesce("g", F.lit("")), "s", "p", "o", F.coalesce("o_dt", F.lit("")), F.coalesce("o_lang", F.lit(""))]
-    ranged = quads.repartitionByRange("element_id").sortWithinPartitions(*order)
+    ranged = quads.repartitionByRange(*order).sortWithinPartitions(*order)  # by all of the order, as one element may be the whole graph
     ranged.select(nt_statement(with_graph).alias("value")).write.option("compression", "gzip").text(path)
 
 
