@@ -32,8 +32,8 @@ from tessera.llm.textops import BASE, IS_SPACE, LOWER, chunks, hash_runs, mix, r
 ROWS, BANDS, WIDTH, PERCENT = 3, 12, 5, 85
 #: Pairs whose signatures agree less than this many percent below the threshold are not confirmed: over four standard errors.
 SLACK = 19
-#: Sets of one table key that are compared in one block.
-BLOCK = 512
+#: Sets of one table key that are compared in one block; a key that is not split has one, so its sets are not copied.
+BLOCK = 2048
 HASHES = 2 * ROWS * BANDS
 #: Minhashes of a long signature, of which one byte is kept, and by how many standard errors below the threshold they may agree.
 LONG, LONG_SLACK = 768, 4.65
@@ -278,6 +278,15 @@ def _several(named: DataFrame) -> DataFrame:
     return named.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n")).filter("c < d").select("key", "n")
 
 
+def _grouped(rest: DataFrame) -> DataFrame:
+    """The rows of keys with n sets each by groups in which all are compared: a key, or each two of its blocks if it has more than ``BLOCK``."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = rest.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    # All pairs inside a block are compared in its own group only.
+    return rows.select(group.alias("group"), "id", "component", "block", (F.col("block") == F.col("other")).alias("single"), "long", "place", "u", "v")
+
+
 def _hub_round(rest: DataFrame, sets: DataFrame, texts: DataFrame, percent: float, number: int) -> DataFrame:
     """Confirmed links (a, b) between sets outside the largest component of a crowded key and one member b of that."""
     sizes = rest.filter(F.col("n") > CROWD).groupBy("key", "component").agg(F.count("*").alias("size"))
@@ -327,12 +336,8 @@ def _links(sets: DataFrame, texts: DataFrame, percent: float) -> DataFrame:
         split = settle(crowded.mapInArrow(partial(_split, length=length, keys=keys_each), "key long, id long, component long"))
         split = split.join(_several(split), "key").withColumn("place", F.lit(-1))
         rest = rest.filter(F.col("n") <= CROWD).unionByName(split.select(*rest.columns))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = rest.join(long, "id").join(sets.select("id", "u", "v"), "id").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
-    # All pairs inside a block are compared in its own group only.
-    rest = rest.select(group.alias("group"), "id", "component", "block", (F.col("block") == F.col("other")).alias("single"), "long", "place", "u", "v")
-    late = rest.repartition("group").sortWithinPartitions("group").mapInArrow(partial(_compare, percent=percent), "a long, b long").distinct()
+    late = _grouped(rest.join(long, "id").join(sets.select("id", "u", "v"), "id"))
+    late = late.repartition("group").sortWithinPartitions("group").mapInArrow(partial(_compare, percent=percent), "a long, b long").distinct()
     return links.union(_confirmed(late, texts, percent))
 
 

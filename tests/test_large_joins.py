@@ -4,8 +4,9 @@ import glob
 
 from pyspark.sql import functions as F
 
+from tessera.llm import neardup
 from tessera.operators import degrees, graphs, profiles, validate
-from tessera.plans import graph_queries
+from tessera.plans import graph_queries, quad_queries
 from tessera.sources import files
 from tessera.sources.views import QUADS, VIEWS
 
@@ -81,3 +82,12 @@ def test_removal_joins_the_graph_once(spark):
     assert plan(left).count("LeftAnti") == 0 and plan(left).count("LeftOuter") == 1
     assert {(r["s"], r["p"], r["o"]) for r in left.collect()} == {("a", "q", "y"), ("b", "p", "x"), ("b", "p", "y"), ("y", "r", "z")}
     assert left.count() == 4 and left.columns == q.columns
+
+
+def test_sets_of_one_key_are_not_copied(spark):
+    """All sets of a key that is not split meet in one group."""
+    rest = spark.range(1500).select("id", F.col("id").alias("component"), F.lit(7).cast("long").alias("key"), F.lit(1500).cast("long").alias("n"), F.lit(b"").alias("long"), F.lit(0).alias("place"), F.array().cast("array<long>").alias("u"), F.array().cast("array<long>").alias("v"))
+    found = neardup._grouped(rest)
+    assert found.count() == 1500 and found.select("group").distinct().count() == 1 and found.filter("single").count() == 1500
+    several = neardup._grouped(rest.withColumn("n", F.lit(neardup.BLOCK + 1).cast("long")))
+    assert several.count() == 3000 and several.select("group").distinct().count() == 3
