@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.terms import RDF_TYPE, XSD, nt_term
+from tessera.sources.shared import dealt
 
 QUAD_COLUMNS = ("g", "g_kind", "s", "s_kind", "p", "p_kind", "o", "o_kind", "o_dt", "o_lang")
 QUADS = "element_id long, " + ", ".join(f"{c} string" for c in QUAD_COLUMNS)
@@ -65,10 +66,17 @@ def q_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A timestamped named graph stream: one element for each order, a blank node for each of its different lines."""
+def q_orders(spark: SparkSession, sf_dir: str, by_element: bool = False) -> DataFrame:
+    """A timestamped named graph stream: one element for each order, a blank node for each of its different lines.
+
+    With ``by_element`` rows are dealt by element while they are orders and lines, which are far smaller than the statements made of
+    them; what is grouped by element then needs no shuffle of its own.
+    """
     o = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "key")
     c = F.col
+    keys = o.select("key")
+    if by_element:
+        o = o.repartition("key")
     g = iri(F.concat(F.lit("urn:order:"), c("key").cast("string")))
     facts = explode_quads(
         o,
@@ -82,8 +90,8 @@ def q_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             quad(g, "urn:p:created", literal(c("o_orderdate").cast("date"), "date")),
         ],
     )
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("qty")).distinct()
-    lines = lines.join(o.select("key"), c("l_orderkey") == c("key"), "left_semi")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("qty"))
+    lines = lines.repartition("l_orderkey").distinct().join(dealt(keys), c("l_orderkey") == c("key"), "left_semi")  # one shuffle for both
     g = iri(F.concat(F.lit("urn:order:"), c("l_orderkey").cast("string")))
     b = bnode(F.concat_ws("_", F.lit("b"), c("l_linenumber"), c("l_partkey"), c("qty")))
     parts = explode_quads(
@@ -203,6 +211,11 @@ VIEWS_SQL = {"q_events": _events_sql(), "q_orders": _orders_sql(), "q_docs": _do
 VIEWS = {"q_events": q_events, "q_orders": q_orders, "q_docs": q_docs, "q_stars": q_stars, "quoted_stars": quoted_stars}
 
 
+def by_element(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view for work by element: its statements are where their element is, if they come from several tables."""
+    return q_orders(spark, sf_dir, by_element=True) if name == "q_orders" else VIEWS[name](spark, sf_dir)
+
+
 def with_views(*names: str) -> str:
     """The start of a query: WITH clauses of views, to go on with a comma or a SELECT."""
     return "WITH RECURSIVE " + ", ".join(f"{n} AS ({VIEWS_SQL[n]})" for n in names)

@@ -91,3 +91,8 @@ def test_sets_of_one_key_are_not_copied(spark):
     assert found.count() == 1500 and found.select("group").distinct().count() == 1 and found.filter("single").count() == 1500
     several = neardup._grouped(rest.withColumn("n", F.lit(neardup.BLOCK + 1).cast("long")))
     assert several.count() == 3000 and several.select("group").distinct().count() == 3
+
+
+def test_statements_of_an_element_are_dealt_as_rows_of_tables(spark, sf_dir):
+    text = plan(quad_queries.a4_flat_lines(spark, sf_dir))
+    assert text.count("Exchange hashpartitioning") == 3 and "hashpartitioning(element_id" not in text
