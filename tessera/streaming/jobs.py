@@ -68,8 +68,9 @@ def statistics_sink(base: str, bounds: list[int], names: tuple[str, ...] = stats
 
     def each(batch: DataFrame, number: int) -> None:
         sizes = batch.sparkSession.createDataFrame([(b,) for b in bounds], "size long")
-        rows = stats.element_table(list(names), None, batch, None if quoted is None else quoted(batch), unique=True).persist()
-        stats.states(rows, list(names), sizes).write.mode("overwrite").parquet(f"{base}/states/batch={number}")
+        inner = None if quoted is None else quoted(batch)
+        rows = stats.element_table(list(names), None, batch, inner, unique=True).persist()
+        stats.with_sketches(stats.states(rows, list(names), sizes), list(names), batch, inner, sizes).write.mode("overwrite").parquet(f"{base}/states/batch={number}")
         if stats.LISTED in names:
             stats.first_seen(rows, sizes).write.mode("overwrite").parquet(f"{base}/seen/batch={number}")
         rows.unpersist()

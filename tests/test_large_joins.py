@@ -5,10 +5,10 @@ import glob
 from pyspark.sql import functions as F
 
 from tessera.llm import neardup
-from tessera.operators import degrees, graphs, profiles, validate
-from tessera.plans import graph_queries, quad_queries
+from tessera.operators import degrees, graphs, profiles, stats, validate
+from tessera.plans import graph_queries, quad_queries, stat_queries
 from tessera.sources import files
-from tessera.sources.views import QUADS, VIEWS
+from tessera.sources.views import QUADS, VIEWS, by_element
 
 
 def plan(df) -> str:
@@ -96,3 +96,23 @@ def test_sets_of_one_key_are_not_copied(spark):
 def test_statements_of_an_element_are_dealt_as_rows_of_tables(spark, sf_dir):
     text = plan(quad_queries.a4_flat_lines(spark, sf_dir))
     assert text.count("Exchange hashpartitioning") == 3 and "hashpartitioning(element_id" not in text
+
+
+def test_statistics_of_dealt_statements_shuffle_no_statements(spark, sf_dir):
+    elements, quads, quoted = stat_queries.inputs(spark, sf_dir, "q_orders", "orders", "o_orderkey")
+    text = plan(stats.element_table(["objects", "literals"], None, quads, quoted, dealt=True))
+    assert "hashpartitioning(element_id" not in text and text.count("Exchange hashpartitioning") == 3
+
+
+def test_a_single_role_makes_one_use_of_a_statement(spark):
+    q = spark.createDataFrame([(0, "g", "iri", "a", "iri", "p", "iri", str(k), "literal", None, None) for k in range(3)], QUADS)
+    assert stats.uses(stats.statements(q), roles=stats._roles("objects")).count() == 3
+    assert stats.element_table(["objects"], None, q).first()["objects"] == 3
+
+
+def test_elements_have_no_sketches_of_their_own(spark):
+    """Sketches are of a bucket, not of each element."""
+    q = spark.createDataFrame([(k, None, None, "a", "iri", "p", "iri", str(k), "literal", None, None) for k in range(20)], QUADS)
+    assert set(stats.element_table(["objects", "datatypes"], None, q, unique=True).columns) == {"element_id", "objects", "datatypes", "seen"}
+    found = stats.all_statistics(q.select("element_id").distinct(), q, sizes=stats.prefix_sizes(q.select("element_id").distinct(), (10,)))
+    assert {r["size"]: r["unique_count"] for r in found.filter("statistic = 'objects'").collect()} == {10: 10, 20: 20}
