@@ -16,7 +16,7 @@ from tessera.plans.name_queries import SIZE_NAMES, human_sql
 from tessera.plans.stat_queries import STATISTICS, inputs, summary_sql
 from tessera.sources import files
 from tessera.sources.shared import dealt
-from tessera.sources.views import QUAD_COLUMNS, VIEWS, bnode, explode_quads, iri, literal, quad, table, with_views
+from tessera.sources.views import QUAD_COLUMNS, VIEWS, bnode, explode_quads, iri, literal, quad, spread, table, with_views
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -109,7 +109,7 @@ def b10_flat_stream_type(spark, sf_dir):
 
 def distributions(spark, sf_dir) -> DataFrame:
     """Distributions of parts: three sizes by three types, with the statistics sum as statements."""
-    rows = table(spark, sf_dir, "part").select("p_partkey", "p_size", F.explode(F.array(F.lit(10_000), F.lit(100_000), F.expr("100001 + p_partkey"))).alias("size"))
+    rows = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select("p_partkey", "p_size", F.explode(F.array(F.lit(10_000), F.lit(100_000), F.expr("100001 + p_partkey"))).alias("size"))
     rows = rows.withColumn("dist_type", F.explode(F.array(*map(F.lit, reports.DIST_TYPES))))
     return rows.select(
         F.expr("'urn:d:' || p_partkey").alias("dataset"),
