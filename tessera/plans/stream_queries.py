@@ -9,7 +9,7 @@ from tessera.operators import stats, validate
 from tessera.plans.stat_queries import STREAMS, shown, shown_sql
 from tessera.sources import files
 from tessera.sources.shared import shared_folder
-from tessera.sources.views import VIEWS, table, with_views
+from tessera.sources.views import VIEWS, by_element, table, with_views
 from tessera.streaming import jobs
 
 QUERIES: dict = {}
@@ -29,7 +29,7 @@ def j1_element_stream(spark, sf_dir):
 def j1_archive_stream(spark, sf_dir):
     """Elements in archives, streamed from these: number and lines of each."""
     folder = shared_folder(spark)
-    documents = files.element_documents(VIEWS["q_events"](spark, sf_dir), with_graph=False)
+    documents = files.element_documents(by_element("q_events", spark, sf_dir), with_graph=False)
     files.write_element_stream(documents, folder, members=10_000).write.format("noop").mode("overwrite").save()
     entries = files.stream_element_archives(spark, folder, 3)
     lines = F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 1
