@@ -35,18 +35,29 @@ def degree_distribution(quads: DataFrame, detailed: bool = True) -> DataFrame:
     Statements, not the uses of their nodes, are made different first, dealt by subject, so that the uses of a subject and its graph
     are mostly summed up where they are; then both counts need partial sums only, also those of a frequent predicate.
     """
+    used = _uses_of_different(quads)
+    if detailed:
+        return used.groupBy("role", "node").agg(F.sum("uses").alias("occurrences"), F.count("*").alias("distinct_statements"))
+    # A node that a statement has in several places has an occurrence for each, of one statement.
+    return used.groupBy(F.lit("statement").alias("role"), "node").agg(F.sum("uses").alias("occurrences"), F.count_if("first").alias("distinct_statements"))
+
+
+def _uses_of_different(quads: DataFrame) -> DataFrame:
+    """(role, node, uses, first) of each place of the different statements: how often the statement comes, and whether no place before has the node."""
     different = _written(quads).repartition("subject").groupBy(*ROLES).agg(F.count("*").alias("uses"))
     each = []
     for k, role in enumerate(ROLES):
-        node, uses = F.col(role), F.col("uses")
-        if not detailed:
-            # A node that a statement has in several places has an occurrence for each, of one statement.
-            again = [F.coalesce(F.col(r) == node, F.lit(False)) for r in ROLES]
-            node = F.when(~reduce(Column.__or__, again[:k], F.lit(False)), node)
-            uses = uses * reduce(Column.__add__, [a.cast("int") for a in again[k + 1 :]], F.lit(1))
-        each.append(F.struct(F.lit(role if detailed else "statement").alias("role"), node.alias("node"), uses.alias("uses")))
-    used = different.select(F.explode(F.array(*each)).alias("u")).select("u.*").filter("node is not null")
-    return used.groupBy("role", "node").agg(F.sum("uses").alias("occurrences"), F.count("*").alias("distinct_statements"))
+        again = [F.coalesce(F.col(r) == F.col(role), F.lit(False)) for r in ROLES[:k]]
+        each.append(F.struct(F.lit(role).alias("role"), F.col(role).alias("node"), F.col("uses"), (~reduce(Column.__or__, again, F.lit(False))).alias("first")))
+    return different.select(F.explode(F.array(*each)).alias("u")).select("u.*").filter("node is not null")
+
+
+def node_degrees(quads: DataFrame) -> DataFrame:
+    """D18 and D19 in one: a row for each node, with (occurrences, distinct_statements) in each role, null where it has none, and in any as ``statement``."""
+    of = lambda where: (F.sum(F.when(where, F.col("uses"))), F.count_if(where))
+    found = [(role, *of(F.col("role") == role)) for role in ROLES] + [("statement", F.sum("uses"), F.count_if("first"))]
+    each = [F.when(n > 0, F.struct(uses.alias("occurrences"), n.alias("distinct_statements"))).alias(role) for role, uses, n in found]
+    return _uses_of_different(quads).groupBy("node").agg(*each)
 
 
 def sketch_table(quads: DataFrame) -> DataFrame:

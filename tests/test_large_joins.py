@@ -115,3 +115,13 @@ def test_small_rows_of_which_much_is_made_are_spread(spark, sf_dir):
     assert f"RoundRobinPartitioning({n})" in plan(graph_queries.l9_distributions_to_statements(spark, sf_dir))
     assert f"RoundRobinPartitioning({n})" in plan(quad_queries.a3_quoted_depths(spark, sf_dir))
     assert "hashpartitioning(event_id" in plan(by_element("q_events", spark, sf_dir))
+
+
+def test_degrees_of_roles_and_of_any_come_from_one_pass(spark, sf_dir):
+    rows = [(e, g, "iri" if g else None, "a", "iri", "p", "iri", o, "iri", None, None) for e, g, o in ((0, "a", "a"), (1, "a", "a"), (2, None, "a"), (3, "g", "b"))]
+    q = spark.createDataFrame(rows, QUADS)
+    whole = [{(r["role"], r["node"]): (r["occurrences"], r["distinct_statements"]) for r in degrees.degree_distribution(q, detailed).collect()} for detailed in (True, False)]
+    found = {(role, r["node"]): tuple(r[role]) for r in degrees.node_degrees(q).collect() for role in (*degrees.ROLES, "statement") if r[role]}
+    assert found == whole[0] | whole[1] and len(found) == 10
+    text = plan(stat_queries.d18_degree_sketches(spark, sf_dir))
+    assert text.count("hashpartitioning(subject") == 1 and "hashpartitioning(role, node" not in text
