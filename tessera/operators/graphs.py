@@ -39,11 +39,23 @@ def remove_values_deep(graph: DataFrame, subjects: DataFrame, p: str) -> DataFra
     return graph.join(dealt(marks), F.col("s") == F.col("__s"), "left").filter(~F.coalesce(gone, F.lit(False))).select(*graph.columns)
 
 
-def rename_resources(graph: DataFrame, renames: DataFrame) -> DataFrame:
-    """Old to new of ``renames`` in subjects and objects, on both sides of a statement; predicates and graph names stay."""
+def rename_resources(graph: DataFrame, renames: DataFrame, by: str | None = None) -> DataFrame:
+    """Old to new of ``renames`` in subjects and objects, on both sides of a statement; predicates and graph names stay.
+
+    With ``by``, the column of small elements by which the graph is dealt, the different resources of an element are looked up, and its
+    statements stay where they are; without, the statements are joined with the renames by subject and by object.
+    """
     new = renames.select("old", "new")
-    out = graph.join(new.toDF("old_s", "new_s"), F.col("s") == F.col("old_s"), "left")
-    out = out.join(new.toDF("old_o", "new_o"), (F.col("o") == F.col("old_o")) & (F.col("o_kind") != "literal"), "left")
+    if by is None:
+        out = graph.join(new.toDF("old_s", "new_s"), F.col("s") == F.col("old_s"), "left")
+        out = out.join(new.toDF("old_o", "new_o"), (F.col("o") == F.col("old_o")) & (F.col("o_kind") != "literal"), "left")
+    else:
+        terms = graph.select(by, F.explode(F.array("s", F.when(F.col("o_kind") != "literal", F.col("o")))).alias("old")).filter("old is not null").distinct()
+        own = terms.join(dealt(new), "old").groupBy(by).agg(F.collect_list(F.struct("old", "new")).alias("__own"))
+        news = lambda n, at: F.explode_outer(F.transform(F.filter("__own", lambda x: at & (x["old"] == F.col(n))), lambda x: x["new"]))
+        out = graph.join(dealt(own), by, "left")
+        out = out.select("*", news("s", F.lit(True)).alias("new_s"))
+        out = out.select("*", news("o", F.col("o_kind") != "literal").alias("new_o"))
     fresh_kind = lambda old, new, kind: F.when(new.isNull(), kind).when(new.startswith("_:"), "bnode").otherwise("iri")  # noqa: E731, ARG005
     out = out.withColumns({"s_kind": fresh_kind(F.col("s"), F.col("new_s"), F.col("s_kind")), "o_kind": fresh_kind(F.col("o"), F.col("new_o"), F.col("o_kind"))})
     return out.withColumns({"s": F.coalesce("new_s", "s"), "o": F.coalesce("new_o", "o")}).select(*graph.columns)

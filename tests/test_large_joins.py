@@ -125,3 +125,13 @@ def test_degrees_of_roles_and_of_any_come_from_one_pass(spark, sf_dir):
     assert found == whole[0] | whole[1] and len(found) == 10
     text = plan(stat_queries.d18_degree_sketches(spark, sf_dir))
     assert text.count("hashpartitioning(subject") == 1 and "hashpartitioning(role, node" not in text
+
+
+def test_renames_by_element_move_no_statements(spark, sf_dir):
+    text = plan(quad_queries.g5_rename_resource(spark, sf_dir))
+    assert "hashpartitioning(s," not in text and "hashpartitioning(o," not in text and "hashpartitioning(old" in text
+    rows = [(e, None, None, s, "iri", "a", "iri", o, k, None, None) for e, s, o, k in ((0, "a", "a", "iri"), (0, "a", "a", "literal"), (1, "b", "a", "iri"), (1, "b", "c", "bnode"), (2, "d", "d", "iri"))]
+    q = spark.createDataFrame(rows, QUADS)
+    renames = spark.createDataFrame([("a", "x"), ("b", "_:y"), ("b", "z"), ("e", "w")], "old string, new string")
+    found = sorted(map(tuple, graphs.rename_resources(q, renames, by="element_id").collect()), key=str)
+    assert found == sorted(map(tuple, graphs.rename_resources(q, renames).collect()), key=str) and len(found) == 7
