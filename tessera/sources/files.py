@@ -116,12 +116,14 @@ def write_flat(quads: DataFrame, path: str, with_graph: bool = True) -> None:
     ranged.select(nt_statement(with_graph).alias("value")).write.option("compression", "gzip").text(path)
 
 
+#: The white space that \s stands for, spelled out, as a set of plain characters is matched faster.
+_WHITE = r" \t\n\x0B\f\r"
 #: Terms of a line. All repeats are possessive, so texts of any length are matched without recursion.
-_IRI = r'<[^<>"\s]*+>'
-_BNODE = r'_:[^\s"<>.]++(?:\.++[^\s"<>.]++)*+'
+_IRI = rf'<[^<>"{_WHITE}]*+>'
+_BNODE = rf'_:[^{_WHITE}"<>.]++(?:\.++[^{_WHITE}"<>.]++)*+'
 _LITERAL = rf'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:@[A-Za-z]++(?:-[A-Za-z0-9]++)*+|\^\^{_IRI})?+'
 #: The terms of a line and the marks of quoted triples, one after the other, each where the one before ends, then the full stop with what may follow it.
-_TOKENS = rf"\G\s*+(<<|>>|{_LITERAL}|{_IRI}|{_BNODE}|\.\s*+(?:#.*+)?+$)"
+_TOKENS = rf"\G[{_WHITE}]*+(<<|>>|{_IRI}|{_LITERAL}|{_BNODE}|\.\s*+(?:#.*+)?+$)"
 #: Runs of one escape, or of none; escapes of 16 bits come together, as two may be one character.
 _PIECES = r"(?s)\G(?:(?:\\u[0-9A-Fa-f]{4})++|\\U[0-9A-Fa-f]{8}|\\.|[^\\]++)"
 _SURROGATES = r"(?i)^(?:\\u(?:[0-9a-c][0-9a-f]{3}|d[0-7][0-9a-f]{2}|[ef][0-9a-f]{3}|d[89ab][0-9a-f]{2}\\ud[c-f][0-9a-f]{2}))++$"
@@ -191,9 +193,10 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
     A quoted triple, of any depth, is a term of kind ``triple`` with its terms joined by spaces; ``quoted_parts`` gives those. Each line is matched once.
     """
-    # An array of one row keeps the match a step of its own, so that its uses don't repeat it.
-    found = lines.select("*", F.explode(F.array(F.regexp_extract_all("text", F.lit(_TOKENS), F.lit(1)))).alias("__t"))
-    found = found.select(*lines.columns, F.explode(F.array(_closed(F.col("__t")))).alias("__c")).select(*lines.columns, F.when(F.col("__c.ok"), F.col("__c.terms")).alias("__t"), F.col("__c.done").alias("__q"))
+    found = lines.select("*", F.regexp_extract_all("text", F.lit(_TOKENS), F.lit(1)).alias("__t"))
+    # An array of one row keeps the match and the fold a step of their own, so that their uses, and filters on them, don't repeat them.
+    found = found.select(*lines.columns, F.explode(F.array(_closed(F.col("__t")))).alias("__c"))
+    found = found.select(*lines.columns, F.when(F.col("__c.ok"), F.col("__c.terms")).alias("__t"), F.col("__c.done").alias("__q"))
     return _parsed(found, lines.columns)
 
 
@@ -319,9 +322,11 @@ def load_collection(spark: SparkSession, path: str) -> DataFrame:
 
     A member is a file, or a folder of part files, right below ``path``.
     """
-    top = re.escape(path.rstrip("/").rpartition("/")[2])
-    member = F.regexp_replace(F.regexp_extract("_metadata.file_path", rf"/{top}/([^/]+)", 1), r"^\w+=", "")
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("value").alias("text"), member_name(member).alias("name")).filter("name is not null")
+    top = f"/{path.rstrip('/').rpartition('/')[2]}/"
+    file, start = F.col("_metadata.file_path"), F.locate(top, F.col("_metadata.file_path"))
+    member = F.when(start > 0, F.substring_index(F.substr(file, start + len(top)), "/", 1)).otherwise("")
+    # An array of one row keeps the name a step of its own, so that the filter doesn't repeat it for each line.
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("value").alias("text"), F.explode(F.array(member_name(F.regexp_replace(member, r"^\w+=", "")))).alias("name")).filter("name is not null")
     return statements(lines, where="name").drop("text")
 
 

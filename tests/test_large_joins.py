@@ -135,3 +135,14 @@ def test_renames_by_element_move_no_statements(spark, sf_dir):
     renames = spark.createDataFrame([("a", "x"), ("b", "_:y"), ("b", "z"), ("e", "w")], "old string, new string")
     found = sorted(map(tuple, graphs.rename_resources(q, renames, by="element_id").collect()), key=str)
     assert found == sorted(map(tuple, graphs.rename_resources(q, renames).collect()), key=str) and len(found) == 7
+
+
+def test_a_line_is_matched_and_named_once(spark, tmp_path):
+    top = tmp_path / "members"
+    for at, n in (("member=profile-a.nq/part-0", 1), ("profile-b.nt", 2), ("deep/members/c.nq", 1), ("template.nq/part-0", 5)):
+        (top / at).parent.mkdir(parents=True, exist_ok=True)
+        (top / at).write_text("".join(f'<urn:{k}>\t<urn:p>\x0b"a b"@en .\n' for k in range(n)))
+    found = files.load_collection(spark, str(top))
+    assert sorted((r["name"], r["s"], r["o"], r["o_lang"]) for r in found.collect()) == [("a", "urn:0", "a b", "en"), ("b", "urn:0", "a b", "en"), ("b", "urn:1", "a b", "en"), ("deep", "urn:0", "a b", "en")]
+    text = plan(found)
+    assert text.count("Generate explode") == 2 and "regexp_extract(" not in text
