@@ -15,8 +15,8 @@ from tessera.operators import graphs, profiles, reports, results, stats, validat
 from tessera.plans.name_queries import SIZE_NAMES, human_sql
 from tessera.plans.stat_queries import STATISTICS, inputs, summary_sql
 from tessera.sources import files
-from tessera.sources.shared import dealt
-from tessera.sources.views import QUAD_COLUMNS, VIEWS, bnode, explode_quads, iri, literal, quad, spread, table, with_views
+from tessera.sources.shared import dealt, settle
+from tessera.sources.views import QUAD_COLUMNS, VIEWS, bnode, by_element, explode_quads, iri, literal, quad, spread, table, with_views
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -53,7 +53,10 @@ def c12_profile_closure(spark, sf_dir):
 
 @query("c13_subject_subgraph", with_views("q_orders") + ", p AS (SELECT element_id, s AS root, s AS node FROM q_orders WHERE p = 'urn:p:status' AND o = 'P' UNION SELECT q.element_id, p.root, q.o FROM p JOIN q_orders q ON q.s = p.node AND q.o_kind = 'bnode' AND q.element_id = p.element_id) SELECT root, q.p, count(*) AS n FROM p JOIN q_orders q ON q.s = p.node AND q.element_id = p.element_id GROUP BY root, q.p")
 def c13_subject_subgraph(spark, sf_dir):
-    q = VIEWS["q_orders"](spark, sf_dir)
+    q = by_element("q_orders", spark, sf_dir)
+    own = q.filter("p = 'urn:p:status' and o = 'P'").select("element_id").distinct()
+    # A root leads to statements of its own element only, so other elements go before statements are dealt by their subjects.
+    q = settle(q.join(dealt(own), "element_id", "left_semi"))
     # Labels of blank nodes are local to an element, so they are made global first.
     scoped = q.withColumns({x: F.when(F.col(x + "_kind") == "bnode", F.concat_ws("/", "element_id", x)).otherwise(F.col(x)) for x in "so"})
     roots = scoped.filter("p = 'urn:p:status' and o = 'P'").select(F.col("s").alias("root"))

@@ -146,3 +146,13 @@ def test_a_line_is_matched_and_named_once(spark, tmp_path):
     assert sorted((r["name"], r["s"], r["o"], r["o_lang"]) for r in found.collect()) == [("a", "urn:0", "a b", "en"), ("b", "urn:0", "a b", "en"), ("b", "urn:1", "a b", "en"), ("deep", "urn:0", "a b", "en")]
     text = plan(found)
     assert text.count("Generate explode") == 2 and "regexp_extract(" not in text
+
+
+def test_elements_without_root_go_before_statements_are_dealt(spark, sf_dir):
+    seen, settle = [], graph_queries.settle
+    graph_queries.settle = lambda df: seen.append(plan(df)) or settle(df)
+    try:
+        graph_queries.c13_subject_subgraph(spark, sf_dir)
+    finally:
+        graph_queries.settle = settle
+    assert len(seen) == 1 and "LeftSemi" in seen[0] and "hashpartitioning(element_id" not in seen[0]
