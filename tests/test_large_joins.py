@@ -156,3 +156,12 @@ def test_elements_without_root_go_before_statements_are_dealt(spark, sf_dir):
     finally:
         graph_queries.settle = settle
     assert len(seen) == 1 and "LeftSemi" in seen[0] and "hashpartitioning(element_id" not in seen[0]
+
+
+def test_named_graphs_are_dealt_by_graph_and_subject(spark):
+    rows = [(e, g, "iri" if g else None, "a", "iri", "p", "iri", o, "iri", None, None) for e, g, o in ((0, "g", "x"), (1, "g", "x"), (2, None, "x"), (3, "g", "y"), (4, None, "x"))]
+    q = spark.createDataFrame(rows, QUADS)
+    found = graphs.merge_named_graphs(q, q.filter("element_id > 2"))
+    text = plan(found)
+    assert text.count("Exchange hashpartitioning") == 1 and "hashpartitioning(g" in text and "s_kind" not in text.split("hashpartitioning(")[1].split(")")[0]
+    assert sorted((r["g"] or "", r["o"]) for r in found.collect()) == [("", "x"), ("g", "x"), ("g", "y")]
