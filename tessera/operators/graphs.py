@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.terms import name_uuid
@@ -112,21 +112,64 @@ def closure_statements(pairs: DataFrame, superset: str, subset: str) -> DataFram
     return pairs.select(F.explode(both).alias("t")).select("t.*").distinct()
 
 
+#: Up to so many edges, doubled jumps are as cheap as a chain that is shortened first.
+SMALL = 2**16
+
+
+def _heads(node: str, at: int) -> Column:
+    """A coin of a node in a round, the same wherever it is asked."""
+    return F.xxhash64(F.lit(at), F.col(node)).bitwiseAND(1) == 1
+
+
+def _shortened(graph: DataFrame, roots: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(node, to) of the edges to blank nodes, less nodes on chains; and for each round the nodes taken out, with the one above: (node, above).
+
+    ``roots`` (node) are different. A node that is none of them and has one edge to it is below just the roots that its upper node is below.
+    If it leads on, a round takes it out where its coin shows heads and the upper one's tails, and hangs what it leads to on the upper
+    one, which the round leaves in. So a chain loses a quarter of its edges in a round, and all rounds together move and write as much as
+    a few rounds of all edges. Rounds end when few edges are left, or when fewer than a sixth would go, as in graphs that are not deep.
+    """
+    edges = settle(graph.filter(F.col("o_kind") == "bnode").select(F.col("s").alias("node"), F.col("o").alias("to")))
+    if edges.count() <= SMALL:
+        return edges.distinct(), []
+    leads = edges.select(F.col("node").alias("to")).distinct().withColumn("leads", F.lit(True))
+    own = roots.select(F.col("node").alias("to"), F.lit(True).alias("own"))
+    marked = edges.repartition("to").distinct().withColumn("above", F.count("*").over(Window.partitionBy("to")))
+    marked = marked.join(dealt(leads), "to", "left").join(dealt(own), "to", "left")
+    left = settle(marked.select("node", "to", ((F.col("above") == 1) & F.col("leads").isNotNull() & F.col("own").isNull()).alias("inner")))
+    rounds = []
+    while True:
+        at = len(rounds)
+        cut = F.col("inner") & _heads("to", at) & ~_heads("node", at)
+        n = left.agg(F.count("*").alias("all"), F.count_if(cut).alias("cut")).first()
+        if n["all"] <= SMALL or n["cut"] * 6 < n["all"]:
+            return left.select("node", "to"), rounds
+        gone, stay = left.filter(cut).select(F.col("to").alias("node"), F.col("node").alias("above")), left.filter(~cut)
+        moved = stay.filter(_heads("node", at)).join(dealt(gone), "node", "left").select(F.coalesce("above", "node").alias("node"), "to", "inner")
+        rounds.append(gone)
+        left = settle(moved.unionByName(stay.filter(~_heads("node", at))))
+
+
 def blank_nodes_below(graph: DataFrame, roots: DataFrame) -> DataFrame:
     """(root, node) of each root and of the blank nodes that it leads to, at any depth; cycles end.
 
-    Jumps double: with the nodes nearer than 2**k steps known, jumps of exactly 2**k steps give those nearer than 2**(k + 1). So a chain of n
-    blank nodes takes log n rounds, and its jumps are never more than n rows.
+    Long chains are shortened first, see ``_shortened``, and their nodes found last, below those that were found without them. In what is
+    left jumps double: with the nodes nearer than 2**k steps known, jumps of exactly 2**k steps give those nearer than 2**(k + 1). So a
+    chain of n blank nodes takes log n rounds, and its jumps are never more than n rows.
     """
     parts = [settle(roots.select("root", F.col("root").alias("node")).distinct())]
-    jump = settle(graph.filter(F.col("o_kind") == "bnode").select(F.col("s").alias("node"), F.col("o").alias("to")).distinct())
+    jump, rounds = _shortened(graph, parts[0].select("node"))
     while True:
         known = reduce(DataFrame.unionByName, parts)
         new = settle(known.join(dealt(jump), "node").select("root", F.col("to").alias("node")).distinct().join(dealt(known), ["root", "node"], "left_anti"))
         if new.isEmpty():
-            return known
+            break
         parts.append(new)
         jump = settle(jump.join(dealt(jump.toDF("to", "further")), "to").select("node", F.col("further").alias("to")).distinct())
+    for at in reversed(range(len(rounds))):
+        above = reduce(DataFrame.unionByName, parts).filter(~_heads("node", at)).withColumnRenamed("node", "above")
+        parts.append(settle(above.join(dealt(rounds[at]), "above").select("root", "node")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def subject_subgraph(graph: DataFrame, roots: DataFrame) -> DataFrame:

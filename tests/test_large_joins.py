@@ -1,6 +1,7 @@
 """What is broadcast, and what is dealt over tasks, by the plans; and rows that come to a join once."""
 
 import glob
+import random
 
 from pyspark.sql import functions as F
 
@@ -165,3 +166,48 @@ def test_named_graphs_are_dealt_by_graph_and_subject(spark):
     text = plan(found)
     assert text.count("Exchange hashpartitioning") == 1 and "hashpartitioning(g" in text and "s_kind" not in text.split("hashpartitioning(")[1].split(")")[0]
     assert sorted((r["g"] or "", r["o"]) for r in found.collect()) == [("", "x"), ("g", "x"), ("g", "y")]
+
+
+def test_chains_are_shortened_before_jumps_double(spark, monkeypatch):
+    """What the rounds write of a chain and a cycle is a few times their edges, not their edges for each doubling of the length."""
+    chain = [("c", "c0"), *[(f"c{k}", f"c{k + 1}") for k in range(299)]]
+    cycle = [("d", "d0"), *[(f"d{k}", f"d{(k + 1) % 300}") for k in range(300)]]
+    g = spark.createDataFrame([(s, o, "bnode") for s, o in chain + cycle], "s string, o string, o_kind string")
+    written, settle = [], graphs.settle
+
+    def counted(df):
+        out = settle(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(graphs, "settle", counted)
+    monkeypatch.setattr(graphs, "SMALL", 40, raising=False)
+    found = [tuple(r) for r in graphs.blank_nodes_below(g, spark.createDataFrame([("c",), ("d",)], "root string")).collect()]
+    assert len(found) == 602 and set(found) == {(x, x) for x in "cd"} | {(x, f"{x}{k}") for x in "cd" for k in range(300)}
+    assert sum(written) < 7 * 601
+
+
+def test_shortened_graphs_lead_to_the_same_nodes(spark, monkeypatch):
+    """Chains with side chains, cycles, loops, nodes with several edges to them, repeated edges, and roots inside of them."""
+    monkeypatch.setattr(graphs, "SMALL", 0, raising=False)
+    chance = random.Random(27)
+    edges = [(f"{x}{k}", f"{x}{k + 1}") for x in "abef" for k in range(40)] + [("e40", "e0"), ("f40", "f7"), ("a3", "a3"), ("f20", "f20"), ("h1", "h0"), ("h0", "h1"), ("a40", "e9"), ("b40", "e9"), ("b5", "b6")]
+    edges += [(f"{chance.choice('abef')}{chance.randrange(41)}", f"g{k}") for k in range(20)] + [(f"g{k}", f"i{k}") for k in range(20)]
+    roots = ["a0", "a17", "b0", "f0", "f30", "e20", "g4", "x"]
+    want = set()
+    for root in roots:
+        front = [root]
+        while front:
+            if (pair := (root, front.pop())) not in want:
+                want.add(pair)
+                front += [o for s, o in edges if s == pair[1]]
+    g = spark.createDataFrame([(s, o, "bnode") for s, o in edges] + [("a1", "z", "iri")], "s string, o string, o_kind string")
+    rounds = graphs._shortened(g, spark.createDataFrame([(r,) for r in roots], "node string"))[1]
+    found = [tuple(r) for r in graphs.blank_nodes_below(g, spark.createDataFrame([(r,) for r in roots + ["a0"]], "root string")).collect()]
+    assert len(rounds) > 1 and len(found) == len(want) and set(found) == want
+
+
+def test_graphs_that_are_not_deep_are_not_shortened(spark, monkeypatch):
+    monkeypatch.setattr(graphs, "SMALL", 0, raising=False)
+    g = spark.createDataFrame([(f"r{k}", f"b{k}_{i}", "bnode") for k in range(30) for i in range(4)], "s string, o string, o_kind string")
+    assert graphs._shortened(g, spark.createDataFrame([(f"r{k}",) for k in range(30)], "node string"))[1] == []
