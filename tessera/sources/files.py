@@ -150,58 +150,79 @@ def _unescaped(text: Column) -> Column:
     return F.when(~F.contains(text, F.lit("\\")), text).otherwise(F.array_join(F.transform(pieces, piece), ""))
 
 
-def _no_triples() -> Column:
-    return F.array().cast("array<struct<path: string, depth: int, terms: array<string>>>")
+def _joined(tokens: Column, first: Column, last: Column) -> Column:
+    """Tokens from ``first`` to ``last``, counted from 1, as the text of one term."""
+    return F.array_join(F.slice(tokens, first, last - first + 1), " ")
 
 
-def _closed(tokens: Column) -> Column:
-    """Tokens with each quoted triple closed to one term: a struct of ``terms``, ``done`` (path, depth, terms of each quoted triple), and ``ok``.
+def _closed(tokens: Column, parts: bool = False) -> Column:
+    """Tokens with each quoted triple closed to one term: a struct of ``terms``, ``ok``, and with ``parts`` ``done``, a struct of each quoted triple.
 
-    A fold with a stack of the triples that are open, the line first; so depth has no limit. The path of a triple says at which place
-    it stands in each of those around it, and its text is its terms with single spaces. Without quoted triples nothing is folded.
+    A fold with what is open: the places (s or o) at which open triples stand, outermost first, and where in the tokens each of them and its
+    predicate is; so depth has no limit. Of a closed triple ``done`` has its path, depth and where it starts, has its predicate and ends; see
+    ``_part_terms``. The fold keeps numbers, not texts, so a step costs the same whatever was closed before.
     """
-    none, triples = F.array().cast("array<string>"), _no_triples()
-
-    def put(frames: Column, term: Column) -> Column:
-        """The frames, with a term more in the last one."""
-        return F.array_append(F.slice(frames, F.lit(1), F.size(frames) - 1), F.array_append(F.element_at(frames, -1), term))
-
-    def place(frame: Column) -> Column:
-        return F.when(F.size(frame) == 0, "s").when(F.size(frame) == 1, "p").when(F.size(frame) == 2, "o").otherwise("?")
-
-    def step(state: Column, token: Column) -> Column:
-        frames, inner = state["frames"], F.element_at(state["frames"], -1)
-        around = F.slice(frames, F.lit(1), F.size(frames) - 1)
-        closes = (token == ">>") & (F.size(frames) > 1)
-        whole = F.concat(F.lit("<< "), F.array_join(inner, " "), F.lit(" >>"))
-        found = F.struct(F.array_join(F.transform(around, place), "").alias("path"), (F.size(frames) - 1).alias("depth"), inner.alias("terms"))
-        sound = (F.size(inner) == 3) & ~F.startswith(F.get(inner, F.lit(0)), F.lit('"')) & F.startswith(F.get(inner, F.lit(1)), F.lit("<")) & ~F.startswith(F.get(inner, F.lit(1)), F.lit("<<"))
-        return F.struct(
-            F.when(token == "<<", F.array_append(frames, none)).when(closes, put(around, whole)).otherwise(put(frames, token)).alias("frames"),
-            F.when(closes, F.array_append(state["done"], found)).otherwise(state["done"]).alias("done"),
-            F.when(token == ">>", state["ok"] & closes & F.coalesce(sound, F.lit(False))).otherwise(state["ok"]).alias("ok"),
-        )
-
-    start = F.struct(F.array(none).alias("frames"), triples.alias("done"), F.lit(True).alias("ok"))
-    end = lambda s: F.struct(F.get(s["frames"], F.lit(0)).alias("terms"), s["done"].alias("done"), (s["ok"] & (F.size(s["frames"]) == 1)).alias("ok"))
-    plain = F.struct(tokens.alias("terms"), triples.alias("done"), F.lit(True).alias("ok"))
-    return F.when(F.array_contains(tokens, "<<") | F.array_contains(tokens, ">>"), F.aggregate(tokens, start, step, end)).otherwise(plain)
-
-
-def parse_lines(lines: DataFrame) -> DataFrame:
+    ints = F.array().cast("array<int>")
+    done = F.array().cast("array<struct<path: string, depth: int, first: int, predicate: int, last: int>>")
+
+    def state(path: Column, place: Column, ok: Column, opened: Column, ends: Column, found: Column, n: Column) -> Column:
+        return F.struct(path.alias("path"), place.alias("place"), ok.alias("ok"), opened.alias("opened"), ends.alias("ends"), *([found.alias("done")] if parts else []), n.alias("n"))
+
+    def step(x: Column, token: Column) -> Column:
+        path, place, opened, ends, n = x["path"], x["place"], x["opened"], x["ends"], x["n"] + 1
+        before = x["done"] if parts else None
+        nested, outermost = path != "", F.length(path) == 1
+        held = F.size(opened)
+        part = F.struct(path.alias("path"), F.length(path).alias("depth"), F.get(opened, held - 2).alias("first"), F.get(opened, held - 1).alias("predicate"), n.alias("last"))
+        opens = state(F.concat(path, F.when(place == 0, "s").otherwise("o")), F.lit(0), (place == 0) | (place == 2), F.array_append(opened, n), ends, before, n)
+        shorter = F.substring(path, F.lit(1), F.length(path) - 1)
+        closes = state(shorter, F.when(F.endswith(path, F.lit("s")), 1).otherwise(3), nested & (place == 3), F.slice(opened, F.lit(1), F.greatest(held - 2, F.lit(0))), F.when(outermost, F.array_append(ends, n)).otherwise(ends), F.array_append(before, part) if parts else None, n)
+        fits = F.when(place == 0, ~F.startswith(token, F.lit('"'))).when(place == 1, F.startswith(token, F.lit("<"))).otherwise(place == 2)
+        term = state(path, place + 1, F.when(nested, fits).otherwise(place < 5), F.when(nested & (place == 1), F.array_append(opened, n)).otherwise(opened), F.when(nested, ends).otherwise(F.array_append(ends, n)), before, n)
+        return F.when(~x["ok"], x).when(token == "<<", opens).when(token == ">>", closes).otherwise(term)
+
+    def end(x: Column) -> Column:
+        terms = F.transform(x["ends"], lambda last, k: _joined(tokens, F.coalesce(F.get(x["ends"], k - 1), F.lit(0)) + 1, last))
+        return F.struct(terms.alias("terms"), (x["ok"] & (x["path"] == "")).alias("ok"), *([x["done"].alias("done")] if parts else []))
+
+    start = state(F.lit(""), F.lit(0), F.lit(True), ints, ints, done, F.lit(0))
+    return F.aggregate(tokens, start, step, end)
+
+
+def _part_terms(tokens: Column, part: Column) -> Column:
+    """The three terms of a quoted triple that ``_closed`` found in the tokens, null if it has none."""
+    at = part["predicate"]
+    return F.array(_joined(tokens, part["first"] + 1, at - 1), F.get(tokens, at - 1), _joined(tokens, at + 1, part["last"] - 1))
+
+
+def parse_lines(lines: DataFrame, parts: str | None = None) -> DataFrame:
     """Lines (text, ...) with the quad columns added; all are null where a line is no statement.
 
     A quoted triple, of any depth, is a term of kind ``triple`` with its terms joined by spaces; ``quoted_parts`` gives those. Each line is matched once.
+    With ``parts`` a column of that name has the path and depth of each of a statement's quoted triples, as ``quoted_parts`` has them.
     """
-    found = lines.select("*", F.regexp_extract_all("text", F.lit(_TOKENS), F.lit(1)).alias("__t"))
-    # An array of one row keeps the match and the fold a step of their own, so that their uses, and filters on them, don't repeat them.
-    found = found.select(*lines.columns, F.explode(F.array(_closed(F.col("__t")))).alias("__c"))
-    found = found.select(*lines.columns, F.when(F.col("__c.ok"), F.col("__c.terms")).alias("__t"), F.col("__c.done").alias("__q"))
-    return _parsed(found, lines.columns)
+    tokens, path = F.regexp_extract_all("text", F.lit(_TOKENS), F.lit(1)), F.array().cast("array<struct<path: string, depth: int>>")
+
+    def row(terms: Column, ok: Column, fine: Column, found: Column) -> Column:
+        return F.struct(F.when(ok, terms).alias("t"), fine.alias("fine"), *([found.alias("q")] if parts else []))
+
+    def quoted(tokens: Column) -> Column:
+        # What follows the full stop may have any characters.
+        fine = ~F.contains("text", F.lit("\\")) | F.forall(tokens, lambda t: t.startswith(".") | _sound_escapes(t))
+        of = lambda c: row(c["terms"], c["ok"], fine, F.transform(c["done"], lambda d: F.struct(d["path"].alias("path"), d["depth"].alias("depth"))) if parts else path)
+        return F.get(F.transform(F.array(_closed(tokens, parts is not None)), of), F.lit(0))
+
+    # An array of one row keeps the match and the fold a step of their own, so that their uses, and filters on them, don't repeat them; a
+    # function of the one in an array has it evaluated once. Without the marks of quoted triples nothing is folded.
+    marked = F.contains("text", F.lit("<<")) | F.contains("text", F.lit(">>"))
+    rows = F.when(marked, F.transform(F.array(tokens), quoted)).otherwise(F.array(row(tokens, F.lit(True), F.lit(True), path)))
+    found = lines.select("*", F.explode(rows).alias("__x")).select(*lines.columns, F.col("__x.t").alias("__t"), F.col("__x.fine").alias("__fine"), *([F.col("__x.q").alias(parts)] if parts else []))
+    read = _parsed(found, [*lines.columns, *([parts] if parts else [])])
+    return read.withColumn(parts, F.when(F.col("s").isNotNull(), F.col(parts)).otherwise(F.slice(F.col(parts), F.lit(1), F.lit(0)))) if parts else read
 
 
 def _parsed(found: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows with the terms of a line and its full stop (__t), and the quoted triples among them (__q), as quads; see ``parse_lines``."""
+    """Rows with the terms of a line and its full stop (__t), and whether escapes in quoted triples are sound (__fine), as quads; see ``parse_lines``."""
 
     def kind(t: Column) -> Column:
         return F.when(t.startswith("<<"), "triple").when(t.startswith("<"), "iri").when(t.startswith("_:"), "bnode").when(t.startswith('"'), "literal")
@@ -210,7 +231,7 @@ def _parsed(found: DataFrame, columns: list[str]) -> DataFrame:
     at = lambda k: F.get("__t", F.lit(k))
     ended = at(4).startswith(".")
     tokens = {"s": at(0), "p": at(1), "o": at(2), "g": F.when(ended, at(3))}
-    found = found.select(*columns, (F.when(F.size("__t") == 4, at(3).startswith(".")).otherwise((F.size("__t") == 5) & ended)).alias("__whole"), "__q", *[t.alias("__" + n) for n, t in tokens.items()])
+    found = found.select(*columns, (F.when(F.size("__t") == 4, at(3).startswith(".")).otherwise((F.size("__t") == 5) & ended)).alias("__whole"), "__fine", *[t.alias("__" + n) for n, t in tokens.items()])
     suffix = F.when(c("__o").startswith('"'), F.substring_index("__o", '"', -1))
     found = found.withColumns({"__suffix": suffix, **{f"__{n}_kind": kind(c("__" + n)) for n in tokens}})
     size = lambda n: F.char_length(c("__" + n))
@@ -223,8 +244,7 @@ def _parsed(found: DataFrame, columns: list[str]) -> DataFrame:
 
     found = found.withColumns({"__in_" + n: inside(n) for n in tokens} | {"__dt": F.when(F.startswith("__suffix", F.lit("^^")), F.substr("__suffix", F.lit(4), F.char_length("__suffix") - 4))})
     node = lambda n, *kinds: c(f"__{n}_kind").isin(*kinds)
-    inner = F.forall("__q", lambda q: F.forall(q["terms"], lambda t: t.startswith("<<") | _sound_escapes(t)))
-    escapes = [inner] + [(c(f"__{n}_kind") == "triple") | _sound_escapes(c("__in_" + n)) for n in tokens] + [_sound_escapes(c("__dt"))]
+    escapes = [c("__fine")] + [(c(f"__{n}_kind") == "triple") | _sound_escapes(c("__in_" + n)) for n in tokens] + [_sound_escapes(c("__dt"))]
     sound = c("__whole") & node("s", "iri", "bnode", "triple") & node("p", "iri") & c("__o_kind").isNotNull() & (c("__g").isNull() | node("g", "iri", "bnode"))
     for fine in escapes:
         sound = sound & F.coalesce(fine, F.lit(True))
@@ -266,9 +286,12 @@ def quoted_parts(quads: DataFrame) -> DataFrame:
     outer = F.filter(F.array(*[F.when(F.col(n + "_kind") == "triple", F.struct(F.lit(n).alias("at"), F.concat(F.lit("<< "), F.col(n), F.lit(" >>")).alias("text"))) for n in "so"]), lambda x: x.isNotNull())
     texts = quads.select("element_id", F.explode(outer).alias("x")).select("element_id", "x.*")
     tokens = texts.select("element_id", "at", F.explode(F.array(F.regexp_extract_all("text", F.lit(_TOKENS), F.lit(1)))).alias("t"))
-    found = tokens.select("element_id", "at", F.explode(_closed(F.col("t"))["done"]).alias("q"))
+    closed = tokens.select("element_id", "at", "t", F.explode(F.array(_closed(F.col("t"), parts=True))).alias("c"))
+    none = F.lit(None).cast("int")  # a text that is no quoted triple has one part without terms, which is an error below
+    wrong = F.array(F.struct(F.lit("s").alias("path"), F.lit(1).alias("depth"), none.alias("first"), none.alias("predicate"), none.alias("last")))
+    found = closed.select("element_id", "at", "t", F.explode(F.when(F.col("c.ok"), F.col("c.done")).otherwise(wrong)).alias("q"))
     # The path of the outermost is s, as it is the first term of its text.
-    rows = found.select("element_id", F.concat("at", F.substr("q.path", F.lit(2))).alias("path"), "q.depth", F.array_append("q.terms", F.lit(".")).alias("__t"), _no_triples().alias("__q"))
+    rows = found.select("element_id", F.concat("at", F.substr("q.path", F.lit(2))).alias("path"), "q.depth", F.array_append(_part_terms(F.col("t"), F.col("q")), F.lit(".")).alias("__t"), F.lit(True).alias("__fine"))
     read = _parsed(rows, ["element_id", "path", "depth"])
     wrong = F.raise_error(F.concat(F.lit("no quoted triple at "), F.col("path"), F.lit(" of element "), F.col("element_id").cast("string")))
     return read.select("element_id", "path", "depth", F.when(F.col("s").isNull(), wrong).otherwise(F.col("s")).alias("s"), *parts[1:])

@@ -117,3 +117,22 @@ def test_quoted_triples_of_any_depth(spark, text, parts):
         assert read.count() == 0
     else:
         assert sorted((r.path, r.depth) for r in files.quoted_parts(read).collect()) == sorted(parts)
+
+
+def test_quoted_lines_are_read_once(spark, sf_dir):
+    from tessera.plans import quad_queries
+
+    found = quad_queries.a3_quoted_depths(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert found.count("FileScan parquet") == 1
+
+
+def test_the_parts_of_a_line_are_those_of_its_statement(spark):
+    texts = ["<a> <p> <<<< <a> <p> <<<b> <q> <c>>> >> <r> << <a> <b> \"\\u0041\\\\\" >>>> <g> . # \\x", "<< <a> <p> <b> >> <p> << << _:a <p> <b> >> <q> <c> >> .", "<a> <p> <b> .", "<< <a> <p> <b> >> <p> <b>", "<< <a> <p> <b> >> << <a> <p> <b> >> <c> .", "<< <a> <p> <b> . >> <p> <c> .", "<a> <b> <c> <d> <e> << <a> <p> <b> >> ."]
+    lines = spark.createDataFrame(list(enumerate(texts)), "element_id long, text string")
+    found = {r.element_id: (r.s is not None, sorted(map(tuple, r.q))) for r in files.parse_lines(lines, parts="q").collect()}
+    parts = files.quoted_parts(files.statements(lines, bad="drop")).collect()
+    assert found == {k: (k < 3, sorted((r.path, r.depth) for r in parts if r.element_id == k)) for k in range(7)}
+    assert [len(found[k][1]) for k in range(7)] == [4, 3, 0, 0, 0, 0, 0]
+    assert [r.o for r in parts if (r.element_id, r.path) == (0, "oo")] == ["A\\"]
+    with pytest.raises(Exception, match="no quoted triple at s"):
+        files.quoted_parts(spark.createDataFrame([(0, "<a> <p> << <b> <c> >>", "triple", "p", "iri", "o", "iri", None, None)], "element_id long, s string, s_kind string, p string, p_kind string, o string, o_kind string, o_dt string, o_lang string")).collect()
