@@ -68,6 +68,26 @@ def sketch_table(quads: DataFrame) -> DataFrame:
     return node_uses(quads).groupBy("role", "node").agg(F.count("*").alias("occurrences"), F.theta_sketch_agg("h", LG_HASHES).alias("sketch"))
 
 
+def node_sketches(quads: DataFrame) -> DataFrame:
+    """A row for each node, with (occurrences, sketch) in each role, null where it has none: ``sketch_table`` with the name of a node once for all its roles.
+
+    Tables of several streams or parts of one are joined by node and add up by ``united``.
+    """
+    of = lambda role: F.when(F.count_if(F.col("role") == role) > 0, F.struct(F.count_if(F.col("role") == role).alias("occurrences"), F.theta_sketch_agg(F.when(F.col("role") == role, F.col("h")), LG_HASHES).alias("sketch")))
+    return node_uses(quads).groupBy("node").agg(*[of(role).alias(role) for role in ROLES])
+
+
+def united(a: Column, b: Column) -> Column:
+    """Two sketches of a node as one, each with its occurrences; a sketch alone is left as it is."""
+    both = F.struct((a["occurrences"] + b["occurrences"]).alias("occurrences"), F.theta_union(a["sketch"], b["sketch"], LG_HASHES).alias("sketch"))
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(both)
+
+
+def in_any_role(roles: list[Column]) -> Column:
+    """The sketches of a node in each role as one, in which a statement counts once for all of them."""
+    return reduce(united, roles)
+
+
 def merged_sketches(parts: DataFrame, detailed: bool = True) -> DataFrame:
     """The union of sketch tables; without detail the roles of a node are one, ``statement``, and a statement counts once for all of them."""
     roles = parts if detailed else parts.withColumn("role", F.lit("statement"))
@@ -78,7 +98,7 @@ def with_bounds(sketches: DataFrame) -> DataFrame:
     """(role, node, occurrences, distinct_lower, distinct_est, distinct_upper): up to 2**LG_HASHES statements a sketch holds all hashes, and its number is exact."""
     estimate = F.theta_sketch_estimate("sketch").cast("double")
     off = F.when(F.col("distinct_est") <= 2**LG_HASHES, 0.0).otherwise(F.col("distinct_est") * (_SIGMAS / (2**LG_HASHES - 1) ** 0.5))
-    return sketches.select("role", "node", "occurrences", estimate.alias("distinct_est")).withColumns({"distinct_lower": F.col("distinct_est") - off, "distinct_upper": F.col("distinct_est") + off})
+    return sketches.select(*[c for c in sketches.columns if c != "sketch"], estimate.alias("distinct_est")).withColumns({"distinct_lower": F.col("distinct_est") - off, "distinct_upper": F.col("distinct_est") + off})
 
 
 def degree_sketches(quads: DataFrame, detailed: bool = True) -> DataFrame:

@@ -47,19 +47,19 @@ def explode_quads(rows: DataFrame, element: Column, quads: list[Column]) -> Data
     return rows.select(element.cast("long").alias("element_id"), F.explode(F.array(*quads)).alias("q")).select("element_id", "q.*").filter(F.col("o").isNotNull())
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """``rows`` dealt over as many tasks as there are shuffle partitions, by keys if there are some.
+def spread(rows: DataFrame, *keys: str, times: int = 1) -> DataFrame:
+    """``rows`` dealt over as many tasks as there are shuffle partitions, or so many times more, by keys if there are some.
 
     For small rows of which much is made: Spark counts the bytes of a file or shuffle, and would give few tasks all of that work.
     """
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * times, *keys)
 
 
-def _dealt_by(rows: DataFrame, key: str, by_element: bool) -> DataFrame:
-    return spread(rows, key) if by_element else rows
+def _dealt_by(rows: DataFrame, key: str, by_element: int) -> DataFrame:
+    return spread(rows, key, times=by_element) if by_element else rows
 
 
-def q_events(spark: SparkSession, sf_dir: str, by_element: bool = False) -> DataFrame:
+def q_events(spark: SparkSession, sf_dir: str, by_element: int = 0) -> DataFrame:
     """A triple stream: one element for each event."""
     e = _dealt_by(table(spark, sf_dir, "events"), "event_id", by_element)
     c = F.col
@@ -78,7 +78,7 @@ def q_events(spark: SparkSession, sf_dir: str, by_element: bool = False) -> Data
     )
 
 
-def q_orders(spark: SparkSession, sf_dir: str, by_element: bool = False) -> DataFrame:
+def q_orders(spark: SparkSession, sf_dir: str, by_element: int = 0) -> DataFrame:
     """A timestamped named graph stream: one element for each order, a blank node for each of its different lines.
 
     With ``by_element`` rows are dealt by element while they are orders and lines, which are far smaller than the statements made of
@@ -101,7 +101,7 @@ def q_orders(spark: SparkSession, sf_dir: str, by_element: bool = False) -> Data
         ],
     )
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("qty"))
-    lines = spread(lines, "l_orderkey").distinct().join(dealt(keys), c("l_orderkey") == c("key"), "left_semi")  # one shuffle for both
+    lines = spread(lines, "l_orderkey", times=by_element or 1).distinct().join(dealt(keys), c("l_orderkey") == c("key"), "left_semi")  # one shuffle for both
     g = iri(F.concat(F.lit("urn:order:"), c("l_orderkey").cast("string")))
     b = bnode(F.concat_ws("_", F.lit("b"), c("l_linenumber"), c("l_partkey"), c("qty")))
     parts = explode_quads(
@@ -116,7 +116,7 @@ def q_orders(spark: SparkSession, sf_dir: str, by_element: bool = False) -> Data
     return facts.unionByName(parts)
 
 
-def q_docs(spark: SparkSession, sf_dir: str, by_element: bool = False) -> DataFrame:
+def q_docs(spark: SparkSession, sf_dir: str, by_element: int = 0) -> DataFrame:
     """A subject graph stream: one element for each document, with control characters put before the source."""
     d = _dealt_by(table(spark, sf_dir, "documents"), "doc_id", by_element)
     c = F.col
@@ -132,7 +132,7 @@ def q_docs(spark: SparkSession, sf_dir: str, by_element: bool = False) -> DataFr
     )
 
 
-def q_stars(spark: SparkSession, sf_dir: str, by_element: bool = False) -> DataFrame:
+def q_stars(spark: SparkSession, sf_dir: str, by_element: int = 0) -> DataFrame:
     """One element for each labelled document, whose subject is a quoted triple."""
     part = _star_part(spark, sf_dir, by_element)
     c = F.col
@@ -140,12 +140,12 @@ def q_stars(spark: SparkSession, sf_dir: str, by_element: bool = False) -> DataF
     return explode_quads(part.withColumn("inner", inner), c("element_id"), [quad((c("inner"), F.lit("triple")), "urn:p:toxic", literal(c("toxic"), "integer"))])
 
 
-def quoted_stars(spark: SparkSession, sf_dir: str, by_element: bool = False) -> DataFrame:
+def quoted_stars(spark: SparkSession, sf_dir: str, by_element: int = 0) -> DataFrame:
     """The quoted triples of ``q_stars``: path of the position, depth, and the parts."""
     return _star_part(spark, sf_dir, by_element).select("element_id", F.lit("s").alias("path"), F.lit(1).alias("depth"), *QUAD_COLUMNS[2:])
 
 
-def _star_part(spark: SparkSession, sf_dir: str, by_element: bool) -> DataFrame:
+def _star_part(spark: SparkSession, sf_dir: str, by_element: int) -> DataFrame:
     labels = _dealt_by(table(spark, sf_dir, "labels"), "doc_id", by_element)
     c = F.col
     s = iri(F.concat(F.lit("urn:doc:"), c("doc_id").cast("string")))
@@ -221,9 +221,9 @@ VIEWS_SQL = {"q_events": _events_sql(), "q_orders": _orders_sql(), "q_docs": _do
 VIEWS = {"q_events": q_events, "q_orders": q_orders, "q_docs": q_docs, "q_stars": q_stars, "quoted_stars": quoted_stars}
 
 
-def by_element(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A view for work by element: the statements of an element are where its rows of the tables were dealt to."""
-    return VIEWS[name](spark, sf_dir, by_element=True)
+def by_element(name: str, spark: SparkSession, sf_dir: str, times: int = 1) -> DataFrame:
+    """A view for work by element: the statements of an element are where its rows of the tables were dealt to; see ``spread`` for ``times``."""
+    return VIEWS[name](spark, sf_dir, by_element=times)
 
 
 def with_views(*names: str) -> str:

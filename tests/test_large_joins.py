@@ -211,3 +211,24 @@ def test_graphs_that_are_not_deep_are_not_shortened(spark, monkeypatch):
     monkeypatch.setattr(graphs, "SMALL", 0, raising=False)
     g = spark.createDataFrame([(f"r{k}", f"b{k}_{i}", "bnode") for k in range(30) for i in range(4)], "s string, o string, o_kind string")
     assert graphs._shortened(g, spark.createDataFrame([(f"r{k}",) for k in range(30)], "node string"))[1] == []
+
+
+def test_sketches_of_a_node_are_one_row(spark, sf_dir):
+    """Nothing is written between, a table of sketches is shuffled once, and its rows are those of the tables by role."""
+    seen, settle = [], stat_queries.settle
+    stat_queries.settle = lambda df: seen.append(df) or settle(df)
+    try:
+        text = plan(stat_queries.d18_degree_sketches(spark, sf_dir))
+    finally:
+        stat_queries.settle = settle
+    assert not seen and text.count("hashpartitioning(node") == 3
+    rows = [(e, g, "iri" if g else None, "a", "iri", "p", "iri", o, "iri", None, None) for e, g, o in ((0, "a", "a"), (1, "a", "a"), (2, None, "a"), (3, "g", "b"), *[(k, None, f"o{k % 5000}") for k in range(6000)])]
+    q = spark.createDataFrame(rows, QUADS)
+    halves = [degrees.node_sketches(q.filter(f"element_id % 2 = {k}")).select("node", *[F.col(r).alias(f"{r}{k}") for r in degrees.ROLES]) for k in (0, 1)]
+    merged = halves[0].join(halves[1], "node", "full").select("node", *[degrees.united(F.col(f"{r}0"), F.col(f"{r}1")).alias(r) for r in degrees.ROLES])
+    merged = merged.withColumn("statement", degrees.in_any_role([F.col(r) for r in degrees.ROLES]))
+    found = {(role, r["node"]): (r[role]["occurrences"], r[role]["n"]) for r in merged.select("node", *[F.when(F.col(r).isNotNull(), F.struct(F.col(r)["occurrences"].alias("occurrences"), F.theta_sketch_estimate(F.col(r)["sketch"]).alias("n"))).alias(r) for r in (*degrees.ROLES, "statement")]).collect() for role in (*degrees.ROLES, "statement") if r[role]}
+    tables = degrees.sketch_table(q)
+    want = {(r["role"], r["node"]): (r["occurrences"], r["n"]) for detailed in (True, False) for r in degrees.merged_sketches(tables, detailed).select("role", "node", "occurrences", F.theta_sketch_estimate("sketch").alias("n")).collect()}
+    assert found.keys() == want.keys() and all(found[k][0] == want[k][0] and abs(found[k][1] - want[k][1]) <= 0.05 * want[k][1] for k in want)
+    assert {k: v for k, v in found.items() if v[1] < 4000} == {k: v for k, v in want.items() if v[1] < 4000} and found["statement", "<p>"][0] == 6004
