@@ -343,14 +343,18 @@ def member_name(path: Column, strip: str = "profile-") -> Column:
 def load_collection(spark: SparkSession, path: str) -> DataFrame:
     """The statements of all flat files under ``path``, keyed by ``name``; a line that is none is an error.
 
-    A member is a file, or a folder of part files, right below ``path``.
+    A member is a file, or a folder of part files, right below ``path``; files may be compressed, as Spark's readers know it by their names. A name
+    is found once a file. Of the files only paths come to the join, which the driver lists anyway, so they may be broadcast.
     """
     top = f"/{path.rstrip('/').rpartition('/')[2]}/"
-    file, start = F.col("_metadata.file_path"), F.locate(top, F.col("_metadata.file_path"))
+    under = lambda kind: spark.read.format(kind).option("recursiveFileLookup", "true").load(path)
+    file = F.col("_metadata.file_path")
+    start = F.locate(top, file)
     member = F.when(start > 0, F.substring_index(F.substr(file, start + len(top)), "/", 1)).otherwise("")
-    # An array of one row keeps the name a step of its own, so that the filter doesn't repeat it for each line.
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("value").alias("text"), F.explode(F.array(member_name(F.regexp_replace(member, r"^\w+=", "")))).alias("name")).filter("name is not null")
-    return statements(lines, where="name").drop("text")
+    # An array of one row keeps the name a step of its own, so that the filter doesn't repeat it.
+    names = under("binaryFile").select(file.alias("__named"), F.explode(F.array(member_name(F.regexp_replace(member, r"^\w+=", "")))).alias("name")).filter("name is not null")
+    lines = under("text").select(F.col("value").alias("text"), file.alias("__file"))
+    return statements(lines.join(F.broadcast(names), F.col("__file") == F.col("__named")).select("text", "name"), where="name").drop("text")
 
 
 def write_degrees(degrees: DataFrame, path: str, with_nodes: bool = True) -> None:

@@ -232,3 +232,16 @@ def test_sketches_of_a_node_are_one_row(spark, sf_dir):
     want = {(r["role"], r["node"]): (r["occurrences"], r["n"]) for detailed in (True, False) for r in degrees.merged_sketches(tables, detailed).select("role", "node", "occurrences", F.theta_sketch_estimate("sketch").alias("n")).collect()}
     assert found.keys() == want.keys() and all(found[k][0] == want[k][0] and abs(found[k][1] - want[k][1]) <= 0.05 * want[k][1] for k in want)
     assert {k: v for k, v in found.items() if v[1] < 4000} == {k: v for k, v in want.items() if v[1] < 4000} and found["statement", "<p>"][0] == 6004
+
+
+def test_members_of_a_collection_are_written_compressed(spark, sf_dir, monkeypatch):
+    from tessera.sources import shared
+
+    made, shared_folder = [], shared.shared_folder
+    monkeypatch.setattr(shared, "shared_folder", lambda s: made.append(shared_folder(s)) or made[-1])
+    found = quad_queries.a15_load_collection(spark, sf_dir)
+    parts = [r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(made[0]).select("path").collect()]
+    lines = spark.read.option("recursiveFileLookup", "true").text(made[0])
+    size = sum(r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(made[0]).select("length").collect())
+    assert len({p.split("/")[-2] for p in parts}) == 8 and size * 4 < lines.agg(F.sum(F.length("value") + 1)).first()[0]
+    assert found.agg(F.sum("n")).first()[0] == lines.count() - 1 and "FileScan binaryFile" in plan(found)
