@@ -351,8 +351,7 @@ def load_collection(spark: SparkSession, path: str) -> DataFrame:
     file = F.col("_metadata.file_path")
     start = F.locate(top, file)
     member = F.when(start > 0, F.substring_index(F.substr(file, start + len(top)), "/", 1)).otherwise("")
-    # An array of one row keeps the name a step of its own, so that the filter doesn't repeat it.
-    names = under("binaryFile").select(file.alias("__named"), F.explode(F.array(member_name(F.regexp_replace(member, r"^\w+=", "")))).alias("name")).filter("name is not null")
+    names = under("binaryFile").select(file.alias("__named"), member_name(F.regexp_replace(member, r"^\w+=", "")).alias("name")).filter("name is not null")
     lines = under("text").select(F.col("value").alias("text"), file.alias("__file"))
     return statements(lines.join(F.broadcast(names), F.col("__file") == F.col("__named")).select("text", "name"), where="name").drop("text")
 
